@@ -12,8 +12,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.operators import analytics, dedup, latest, quality
+from vigil.functions import text
+from vigil.operators import analytics, consumers, dedup, latest, quality, windows
 from vigil.plans import oracle, refine
+from vigil.sources import envelope, schemas
 from vigil.sources import telemetry as tel
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -213,3 +215,406 @@ def q_rejected_total(spark, sf):
     " anomaly_level FROM current_status"))
 def q_current_status(spark, sf):
     return latest.current_status(refine.refined(spark, sf)).drop("updated_at")
+
+
+# --- shared SQL fragments ---------------------------------------------------------------------------------------
+
+def avg2_sql(s: str, n: str, name: str) -> str:
+    return (f"CAST(CASE WHEN {s} < 0 THEN -((2 * (-{s}) + {n}) // (2 * {n})) ELSE (2 * {s} + {n}) // (2 * {n}) END"
+            f" AS DOUBLE) / 1.0E2 AS {name}")
+
+
+def hundredths_sql(x: str, over: str = "") -> str:
+    return f"CAST(SUM(CAST({x} AS DECIMAL(18,2))){over} * 100 AS BIGINT)"
+
+
+NORM = """
+norm AS (
+  SELECT arrival_seq, COALESCE(event_id, 'N/A') AS event_id, COALESCE(device_id, 'UNKNOWN') AS device_id,
+         event_timestamp, COALESCE(temperature, 0.0E0) AS temperature, COALESCE(pressure, 0.0E0) AS pressure,
+         COALESCE(vibration, 0.0E0) AS vibration, rpm, UPPER(COALESCE(status, 'UNKNOWN')) AS status
+  FROM telemetry
+)"""
+
+MAINT = """
+mnorm AS (
+  SELECT arrival_seq, event_id, device_id, temperature, pressure, vibration, UPPER(machine_status) AS status
+  FROM refined
+),
+mstate AS (
+  SELECT arrival_seq, device_id, event_id, status,
+    COUNT(*) OVER w AS total_cycles,
+    SUM(CASE WHEN status = 'RUNNING' THEN 1 ELSE 0 END) OVER w AS running_cycles,
+    SUM(CAST(vibration AS DECIMAL(18,2))) OVER w AS acc,
+    SUM(CASE WHEN temperature > 75 THEN 1 ELSE 0 END) OVER w AS hot,
+    SUM(CASE WHEN pressure > 5 THEN 1 ELSE 0 END) OVER w AS high_press,
+    SUM(CASE WHEN status = 'FAILURE' THEN 1 ELSE 0 END) OVER w AS failures
+  FROM mnorm
+  WINDOW w AS (PARTITION BY device_id ORDER BY arrival_seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+),
+mscore AS (
+  SELECT *,
+    CAST(GREATEST(0, ROUND(100 - LEAST(50, CAST(acc AS DECIMAL(18,4)) * 0.5)
+                               - LEAST(50, CAST(hot AS DECIMAL(18,4)) * 2.5), 1)) AS DOUBLE) AS health_score,
+    CONCAT_WS('; ',
+      CASE WHEN acc >= 100 THEN 'Excessive Accumulated Vibration (' || CAST(CAST(acc AS DOUBLE) AS VARCHAR)
+                                || ' >= 100.0)' END,
+      CASE WHEN hot >= 20 THEN 'High Temperature Operating Limit (' || CAST(hot AS VARCHAR) || ' >= 20 cycles)' END,
+      CASE WHEN status = 'FAILURE' THEN 'Catastrophic Machine Failure Detected' END) AS reasons
+  FROM mstate
+),
+wo AS (
+  SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY device_id ORDER BY arrival_seq) AS r
+                 FROM mscore WHERE reasons <> '') WHERE r = 1
+)"""
+
+
+# --- consumers: alerts -------------------------------------------------------------------------------------------
+
+@register("normalize_consumer_input", oracle.sql(
+    "SELECT arrival_seq, event_id, device_id, temperature, pressure, vibration, status FROM norm", NORM))
+def q_normalize_consumer_input(spark, sf):
+    n = consumers.normalize(tel.telemetry(spark, sf))
+    return n.select("arrival_seq", "event_id", "device_id", "temperature", "pressure", "vibration", "status")
+
+
+ALERTS_SQL = """
+SELECT 'alt-' || substr(sha256(event_id), 1, 8) AS alert_id, device_id, event_id, 'CRITICAL' AS severity,
+  COALESCE(NULLIF(CONCAT_WS('; ',
+    CASE WHEN temperature > 90 THEN 'Temperature CRITICAL (' || CAST(temperature AS VARCHAR) || '°C > 90.0°C)' END,
+    CASE WHEN vibration > 15 THEN 'Vibration CRITICAL (' || CAST(vibration AS VARCHAR) || ' mm/s > 15.0 mm/s)' END,
+    CASE WHEN pressure > 7 THEN 'Pressure CRITICAL (' || CAST(pressure AS VARCHAR) || ' bar > 7.0 bar)' END,
+    CASE WHEN status = 'FAILURE' THEN 'Machine Status FAILURE' END), ''), 'Anomaly Level CRITICAL Flagged') AS reasons,
+  temperature, pressure, vibration, status, event_timestamp
+FROM norm WHERE temperature > 90 OR vibration > 15 OR pressure > 7 OR status = 'FAILURE'"""
+
+
+@register("alerts", oracle.sql(ALERTS_SQL, NORM))
+def q_alerts(spark, sf):
+    return consumers.flat_alerts(consumers.alerts(tel.telemetry(spark, sf)))
+
+
+# --- consumers: metrics ------------------------------------------------------------------------------------------
+
+def _metric_cols_sql(n: str) -> str:
+    parts = []
+    for m, a in (("temperature", "t"), ("pressure", "p"), ("vibration", "v")):
+        parts.append(avg2_sql(f"s{a}", n, f"avg_{m}"))
+        parts.append(f"min_{m}")
+        parts.append(f"max_{m}")
+    return ", ".join(parts)
+
+
+@register("device_metrics", oracle.sql(
+    f"SELECT device_id, total_events, {_metric_cols_sql('total_events')}, last_event_timestamp FROM ("
+    " SELECT device_id, COUNT(*) AS total_events,"
+    f" {hundredths_sql('temperature')} AS st, MIN(temperature) AS min_temperature, MAX(temperature) AS max_temperature,"
+    f" {hundredths_sql('pressure')} AS sp, MIN(pressure) AS min_pressure, MAX(pressure) AS max_pressure,"
+    f" {hundredths_sql('vibration')} AS sv, MIN(vibration) AS min_vibration, MAX(vibration) AS max_vibration,"
+    " (array_agg(event_timestamp ORDER BY arrival_seq DESC))[1] AS last_event_timestamp FROM norm GROUP BY device_id)", NORM))
+def q_device_metrics(spark, sf):
+    return consumers.device_metrics(tel.telemetry(spark, sf)).drop("updated_at")
+
+
+@register("status_distribution", oracle.sql(
+    "SELECT device_id, status, COUNT(*) AS n FROM norm GROUP BY device_id, status", NORM))
+def q_status_distribution(spark, sf):
+    return consumers.status_distribution(tel.telemetry(spark, sf))
+
+
+@register("fleet_summary", oracle.sql(
+    "SELECT COUNT(*) AS total_processed_events, COUNT(DISTINCT device_id) AS total_active_devices FROM norm", NORM))
+def q_fleet_summary(spark, sf):
+    return consumers.fleet_summary(tel.telemetry(spark, sf)).drop("generated_at")
+
+
+_W_ALL = "OVER (PARTITION BY device_id ORDER BY arrival_seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+
+
+@register("running_metrics", oracle.sql(
+    f"SELECT arrival_seq, device_id, total_events, {_metric_cols_sql('total_events')} FROM ("
+    f" SELECT arrival_seq, device_id, COUNT(*) {_W_ALL} AS total_events,"
+    f" {hundredths_sql('temperature', ' ' + _W_ALL)} AS st, MIN(temperature) {_W_ALL} AS min_temperature,"
+    f" MAX(temperature) {_W_ALL} AS max_temperature,"
+    f" {hundredths_sql('pressure', ' ' + _W_ALL)} AS sp, MIN(pressure) {_W_ALL} AS min_pressure,"
+    f" MAX(pressure) {_W_ALL} AS max_pressure,"
+    f" {hundredths_sql('vibration', ' ' + _W_ALL)} AS sv, MIN(vibration) {_W_ALL} AS min_vibration,"
+    f" MAX(vibration) {_W_ALL} AS max_vibration FROM norm)", NORM))
+def q_running_metrics(spark, sf):
+    return consumers.running_metrics(tel.telemetry(spark, sf))
+
+
+# --- consumers: archive ------------------------------------------------------------------------------------------
+
+ARCHIVE_DAY = "COALESCE(CAST(TRY_CAST(event_timestamp AS TIMESTAMPTZ) AS TIMESTAMP), CAST(current_timestamp AS TIMESTAMP))"
+
+
+@register("archive_records", oracle.sql(
+    "SELECT 'iot-machine-events' AS _source_topic, arrival_seq, event_id, device_id, event_timestamp, temperature,"
+    " pressure, vibration, rpm, status,"
+    f" strftime({ARCHIVE_DAY}, '%Y') AS year, strftime({ARCHIVE_DAY}, '%m') AS month,"
+    f" strftime({ARCHIVE_DAY}, '%d') AS day FROM telemetry"))
+def q_archive_records(spark, sf):
+    a = consumers.archive_records(tel.telemetry(spark, sf))
+    return a.select("_source_topic", "raw_payload.*", "year", "month", "day")
+
+
+# --- consumers: dead letters -------------------------------------------------------------------------------------
+
+DLQN = """
+dlqn AS (
+  SELECT arrival_seq, COALESCE(event_id, 'N/A') AS event_id, COALESCE(NULLIF(device_id, ''), 'UNKNOWN_DEVICE') AS device_id,
+         COALESCE(NULLIF(error_reason, ''), 'unspecified_error') AS error_reason
+  FROM quarantine
+)"""
+
+
+@register("dlq_records", oracle.sql(
+    "SELECT arrival_seq, 'dlq-' || CAST(ROW_NUMBER() OVER (ORDER BY arrival_seq) AS VARCHAR) AS quarantine_id,"
+    " event_id, device_id, error_reason FROM dlqn", DLQN))
+def q_dlq_records(spark, sf):
+    return consumers.dlq_records(refine.quarantined(spark, sf)).drop("processed_at")
+
+
+@register("dlq_by_reason", oracle.sql("SELECT error_reason, COUNT(*) AS n FROM dlqn GROUP BY error_reason", DLQN))
+def q_dlq_by_reason(spark, sf):
+    return consumers.dlq_by_reason(refine.quarantined(spark, sf))
+
+
+@register("dlq_by_device", oracle.sql("SELECT device_id, COUNT(*) AS n FROM dlqn GROUP BY device_id", DLQN))
+def q_dlq_by_device(spark, sf):
+    return consumers.dlq_by_device(refine.quarantined(spark, sf))
+
+
+@register("dlq_by_code", oracle.sql(
+    "SELECT code, COUNT(*) AS n FROM (SELECT UNNEST(string_split(error_reason, ', ')) AS code FROM dlqn) GROUP BY code",
+    DLQN))
+def q_dlq_by_code(spark, sf):
+    return consumers.dlq_by_code(refine.quarantined(spark, sf))
+
+
+@register("dlq_rate_by_device", oracle.sql(
+    "SELECT COALESCE(NULLIF(device_id, ''), 'UNKNOWN_DEVICE') AS device_id, COUNT(*) AS total,"
+    " COUNT(*) FILTER (WHERE error_reason IS NOT NULL) AS rejected,"
+    " CAST(COUNT(*) FILTER (WHERE error_reason IS NOT NULL) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) AS reject_rate"
+    " FROM dq GROUP BY 1"))
+def q_dlq_rate_by_device(spark, sf):
+    return consumers.dlq_rate_by_device(quality.check(tel.telemetry(spark, sf)))
+
+
+@register("dlq_summary", oracle.sql(
+    "SELECT COUNT(*) AS total_quarantined_events, COUNT(DISTINCT error_reason) AS distinct_reasons,"
+    " COUNT(DISTINCT device_id) AS distinct_devices FROM dlqn", DLQN))
+def q_dlq_summary(spark, sf):
+    return consumers.dlq_summary(refine.quarantined(spark, sf)).drop("last_processed_at")
+
+
+@register("dlq_threshold", oracle.sql(
+    "SELECT error_reason, COUNT(*) AS n FROM dlqn GROUP BY error_reason HAVING COUNT(*) >= 10", DLQN))
+def q_dlq_threshold(spark, sf):
+    return consumers.dlq_threshold(refine.quarantined(spark, sf))
+
+
+# --- consumers: maintenance --------------------------------------------------------------------------------------
+
+@register("maintenance_state", oracle.sql(
+    "SELECT arrival_seq, device_id, total_cycles, running_cycles, CAST(acc AS DOUBLE) AS accumulated_vibration,"
+    " hot AS high_temp_cycles, high_press AS high_pressure_cycles,"
+    " (acc >= 100 OR hot >= 20 OR failures > 0) AS maintenance_required FROM mstate", MAINT))
+def q_maintenance_state(spark, sf):
+    s = consumers.maintenance_state(refine.refined(spark, sf))
+    return s.select("arrival_seq", "device_id", "total_cycles", "running_cycles", "accumulated_vibration",
+                    "high_temp_cycles", "high_pressure_cycles", "maintenance_required")
+
+
+@register("health_scores", oracle.sql("SELECT arrival_seq, device_id, health_score FROM mscore", MAINT))
+def q_health_scores(spark, sf):
+    return consumers.maintenance_state(refine.refined(spark, sf)).select("arrival_seq", "device_id", "health_score")
+
+
+@register("maintenance_reasons", oracle.sql("SELECT arrival_seq, device_id, reasons FROM mscore", MAINT))
+def q_maintenance_reasons(spark, sf):
+    s = consumers.maintenance_state(refine.refined(spark, sf))
+    return s.select("arrival_seq", "device_id", text.joined(F.col("reasons")).alias("reasons"))
+
+
+@register("work_orders", oracle.sql(
+    "SELECT 'WO-' || device_id || '-' || CAST(total_cycles AS VARCHAR) AS work_order_id, device_id,"
+    " event_id AS trigger_event_id, CASE WHEN status = 'FAILURE' THEN 'HIGH' ELSE 'MEDIUM' END AS priority,"
+    " health_score, reasons FROM wo", MAINT))
+def q_work_orders(spark, sf):
+    w = consumers.work_orders(consumers.maintenance_state(refine.refined(spark, sf)))
+    return w.select("work_order_id", "device_id", "trigger_event_id", "priority", "health_score",
+                    text.joined(F.col("reasons")).alias("reasons"))
+
+
+LIFE_SQL = """
+SELECT f.device_id, total_cycles, running_cycles, CAST(acc AS DOUBLE) AS accumulated_vibration, high_temp_cycles,
+  high_pressure_cycles, last_status, w.wo_device IS NOT NULL AS maintenance_required,
+  COALESCE(w.wo_reasons, '') AS maintenance_reasons,
+  CAST(GREATEST(0, ROUND(100 - LEAST(50, CAST(acc AS DECIMAL(18,4)) * 0.5)
+                             - LEAST(50, CAST(high_temp_cycles AS DECIMAL(18,4)) * 2.5), 1)) AS DOUBLE) AS health_score
+FROM (SELECT device_id, COUNT(*) AS total_cycles, COUNT(*) FILTER (WHERE status = 'RUNNING') AS running_cycles,
+        SUM(CAST(vibration AS DECIMAL(18,2))) AS acc, COUNT(*) FILTER (WHERE temperature > 75) AS high_temp_cycles,
+        COUNT(*) FILTER (WHERE pressure > 5) AS high_pressure_cycles, arg_max(status, arrival_seq) AS last_status
+      FROM mnorm GROUP BY device_id) f
+LEFT JOIN (SELECT device_id AS wo_device, reasons AS wo_reasons FROM wo) w ON f.device_id = w.wo_device"""
+
+
+@register("lifecycle_by_device", oracle.sql(LIFE_SQL, MAINT))
+def q_lifecycle_by_device(spark, sf):
+    d = consumers.lifecycle_by_device(refine.refined(spark, sf))
+    return d.withColumn("maintenance_reasons", text.joined(F.col("maintenance_reasons")))
+
+
+@register("lifecycle_summary", oracle.sql(
+    "SELECT COUNT(*) AS monitored_devices_count, COUNT(*) FILTER (WHERE maintenance_required) AS open_work_orders_count"
+    f" FROM ({LIFE_SQL})", MAINT))
+def q_lifecycle_summary(spark, sf):
+    return consumers.lifecycle_summary(consumers.lifecycle_by_device(refine.refined(spark, sf))).drop("updated_at")
+
+
+# --- event-time windows and row frames ---------------------------------------------------------------------------
+
+@register("tumbling_metrics", oracle.sql(
+    "SELECT time_bucket(INTERVAL '1 hour', event_timestamp) AS window_start,"
+    " time_bucket(INTERVAL '1 hour', event_timestamp) + INTERVAL '1 hour' AS window_end, device_id, COUNT(*) AS n,"
+    " CAST(SUM(CAST(temperature AS DECIMAL(18,2))) AS DOUBLE) / CAST(COUNT(temperature) AS DOUBLE) AS avg_temperature,"
+    " MAX(temperature) AS max_temperature FROM refined GROUP BY ALL"))
+def q_tumbling_metrics(spark, sf):
+    return windows.tumbling(refine.refined(spark, sf), "1 hour")
+
+
+@register("sliding_counts", oracle.sql(
+    "SELECT ws AS window_start, ws + INTERVAL '2 hours' AS window_end, device_id, COUNT(*) AS n FROM ("
+    " SELECT device_id, UNNEST([time_bucket(INTERVAL '1 hour', event_timestamp),"
+    " time_bucket(INTERVAL '1 hour', event_timestamp) - INTERVAL '1 hour']) AS ws FROM refined) GROUP BY ALL"))
+def q_sliding_counts(spark, sf):
+    return windows.sliding(refine.refined(spark, sf), "2 hours", "1 hour")
+
+
+@register("device_sessions", oracle.sql(
+    "SELECT device_id, MIN(event_timestamp) AS session_start, MAX(event_timestamp) + INTERVAL '6 hours' AS session_end,"
+    " COUNT(*) AS n FROM (SELECT device_id, event_timestamp, SUM(new_s) OVER (PARTITION BY device_id"
+    " ORDER BY event_timestamp, arrival_seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid FROM ("
+    " SELECT device_id, event_timestamp, arrival_seq, CASE WHEN LAG(event_timestamp) OVER (PARTITION BY device_id"
+    " ORDER BY event_timestamp, arrival_seq) IS NULL OR event_timestamp - LAG(event_timestamp) OVER (PARTITION BY"
+    " device_id ORDER BY event_timestamp, arrival_seq) >= INTERVAL '6 hours' THEN 1 ELSE 0 END AS new_s FROM refined))"
+    " GROUP BY device_id, sid"))
+def q_device_sessions(spark, sf):
+    return windows.sessions(refine.refined(spark, sf), "6 hours")
+
+
+@register("moving_avg", oracle.sql(
+    "SELECT device_id, arrival_seq, CAST(SUM(CAST(temperature AS DECIMAL(18,2))) OVER w AS DOUBLE)"
+    " / CAST(COUNT(temperature) OVER w AS DOUBLE) AS moving_avg_temperature FROM refined"
+    " WINDOW w AS (PARTITION BY device_id ORDER BY arrival_seq ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)"))
+def q_moving_avg(spark, sf):
+    return windows.moving_avg(refine.refined(spark, sf), 10, "temperature")
+
+
+@register("late_events", oracle.sql(
+    "SELECT arrival_seq, device_id, event_timestamp < MAX(event_timestamp) OVER (PARTITION BY device_id"
+    " ORDER BY arrival_seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL '10 minutes' AS is_late"
+    " FROM refined"))
+def q_late_events(spark, sf):
+    return windows.late_flag(refine.refined(spark, sf), 10).select("arrival_seq", "device_id", "is_late")
+
+
+# --- topic-side logic --------------------------------------------------------------------------------------------
+
+def _raw_payloads(spark, sf):
+    """Payload texts derived from the readings, with junk payloads injected by fixed rules on the arrival order."""
+    t = tel.telemetry(spark, sf)
+    a = F.col("arrival_seq")
+    obj = F.concat(F.lit('{"event_id":"'), F.col("event_id"), F.lit('","device_id":"'), F.col("device_id"), F.lit('"}'))
+    v = (F.when(a % 31 == 0, F.concat(F.lit("not json "), F.col("event_id")))
+          .when(a % 37 == 0, F.concat(F.lit("["), a.cast("string"), F.lit("]")))
+          .when(a % 41 == 0, F.lit("{}")).when(a % 43 == 0, F.lit('"scalar"')).when(a % 47 == 0, F.lit(""))
+          .otherwise(obj))
+    return t.select("arrival_seq", v.alias("value"))
+
+
+PAYLOADS = """
+payloads AS (
+  SELECT arrival_seq, CASE WHEN arrival_seq % 31 = 0 THEN 'not json ' || event_id
+    WHEN arrival_seq % 37 = 0 THEN '[' || CAST(arrival_seq AS VARCHAR) || ']' WHEN arrival_seq % 41 = 0 THEN '{}'
+    WHEN arrival_seq % 43 = 0 THEN '"scalar"' WHEN arrival_seq % 47 = 0 THEN ''
+    ELSE '{"event_id":"' || event_id || '","device_id":"' || device_id || '"}' END AS value
+  FROM telemetry
+)"""
+
+
+@register("envelope_check", oracle.sql(
+    "SELECT arrival_seq, COALESCE(CASE WHEN json_valid(value) THEN json_type(value) = 'OBJECT'"
+    " AND len(json_keys(value)) > 0 END, false) AS accepted FROM payloads", PAYLOADS))
+def q_envelope_check(spark, sf):
+    return envelope.valid_envelope(_raw_payloads(spark, sf)).select("arrival_seq", "accepted")
+
+
+@register("parse_events", oracle.sql(
+    "SELECT arrival_seq, event_id, device_id, event_timestamp, temperature, pressure, vibration, rpm, status,"
+    " CAST(NULL AS VARCHAR) AS machine_type, CAST(NULL AS VARCHAR) AS location FROM telemetry"))
+def q_parse_events(spark, sf):
+    payload = envelope.to_payload(tel.telemetry(spark, sf))
+    return envelope.parse(payload, keep_raw=False)
+
+
+@register("topic_envelope", oracle.sql(
+    "SELECT NULLIF(device_id, '') AS key, COUNT(*) AS n FROM telemetry GROUP BY 1"))
+def q_topic_envelope(spark, sf):
+    return envelope.keyed_records(tel.telemetry(spark, sf)).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("topic_route", oracle.sql(
+    "SELECT arrival_seq, topic, regexp_matches(topic, '^industrial/machines/([^/]*)/telemetry$') AS matched,"
+    " CASE WHEN regexp_matches(topic, '^industrial/machines/([^/]*)/telemetry$')"
+    " THEN regexp_extract(topic, '^industrial/machines/([^/]*)/telemetry$', 1) END AS routed_device FROM ("
+    " SELECT arrival_seq, 'industrial/machines/' || device_id || '/telemetry' AS topic FROM telemetry)"))
+def q_topic_route(spark, sf):
+    t = tel.telemetry(spark, sf).select("arrival_seq", envelope.topic_for(F.col("device_id")).alias("topic"))
+    return envelope.route(t)
+
+
+# --- point lookups, constraints, keyed merge ---------------------------------------------------------------------
+
+@register("lookup_event", oracle.sql(f"SELECT {REFINED_ORACLE_COLS} FROM refined WHERE event_id = 'evt-500'"))
+def q_lookup_event(spark, sf):
+    return analytics.lookup(q_refined(spark, sf), event_id="evt-500")
+
+
+@register("lookup_device_time", oracle.sql(
+    "SELECT event_id, device_id, event_timestamp, temperature, pressure, anomaly_level FROM refined"
+    " WHERE device_id = 'MTR-0027' AND event_timestamp = TIMESTAMP '2024-01-03 06:03:33.431023'"))
+def q_lookup_device_time(spark, sf):
+    r = refine.refined(spark, sf)
+    return r.filter((F.col("device_id") == "MTR-0027")
+                    & (F.col("event_timestamp") == F.lit("2024-01-03 06:03:33.431023").cast("timestamp"))).select(
+        "event_id", "device_id", "event_timestamp", "temperature", "pressure", "anomaly_level")
+
+
+@register("lookup_metrics", oracle.sql(
+    f"SELECT {REFINED_ORACLE_COLS} FROM refined WHERE device_id = 'MTR-0029' AND temperature = 39.14E0"
+    " AND pressure = 1.84E0"))
+def q_lookup_metrics(spark, sf):
+    return analytics.lookup(q_refined(spark, sf), device_id="MTR-0029", temperature=39.14, pressure=1.84)
+
+
+@register("refined_constraints", oracle.sql(
+    "SELECT (SELECT COUNT(*) - COUNT(DISTINCT event_id) FROM refined) AS duplicate_keys, "
+    + ", ".join(f"COUNT(*) FILTER (WHERE {c} IS NULL) AS null_{c}" for c in
+                ["event_id", "device_id", "event_timestamp", "temperature", "pressure", "vibration", "rpm",
+                 "machine_status", "anomaly_level", "temperature_alert", "pressure_alert", "vibration_alert"])
+    + ", 0 AS null_ingestion_timestamp FROM refined"))
+def q_refined_constraints(spark, sf):
+    return quality.constraint_violations(refine.refined(spark, sf), "event_id", schemas.REFINED_NOT_NULL)
+
+
+@register("current_status_merge", oracle.sql(
+    "SELECT device_id, last_event_id, last_event_timestamp, temperature, pressure, vibration, rpm, machine_status,"
+    " anomaly_level FROM current_status"))
+def q_current_status_merge(spark, sf):
+    r = refine.refined(spark, sf)
+    first = latest.merge_snapshot(None, r.filter(F.col("arrival_seq") % 2 == 1))
+    second = latest.merge_snapshot(first, r.filter(F.col("arrival_seq") % 2 == 0))
+    return second.drop("last_arrival_seq")
