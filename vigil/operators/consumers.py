@@ -260,13 +260,16 @@ def maintenance_reasons(acc: Column, hot: Column, status: Column, lim: WearLimit
 
 
 def maintenance_state(df: DataFrame, lim: WearLimits = WEAR, order: str = "arrival_seq",
-                      span: int | None = None) -> DataFrame:
+                      span: int | None = None, prior: DataFrame | None = None) -> DataFrame:
     """Wear state after each reading, per device, in arrival order.
 
     One skew-proof prefix scan computes every running quantity, including the number of FAILURE readings so far.
     Accumulated vibration and the hot-cycle count never decrease when vibration is non-negative (guaranteed on the
     refined layer by the quality rules), so "a work order exists" at a row is simply: a limit is reached or a
     failure was seen up to that row -- no second pass or join.
+
+    ``prior`` (streaming): a per-device snapshot (see ``maintenance_snapshot``) whose totals are carried into the
+    running values of this batch -- the same result as one pass over all batches.
     """
     norm = normalize(df)
     aggs = {
@@ -278,6 +281,12 @@ def maintenance_state(df: DataFrame, lim: WearLimits = WEAR, order: str = "arriv
         "_failures": ("sum", (F.col("status") == FAILURE).cast("bigint")),
     }
     r = scan.running(norm, "device_id", order, aggs, span=span)
+    if prior is not None:
+        p = prior.select("device_id", *[F.col(c).alias(f"_p{c}") for c in SNAPSHOT_TOTALS])
+        r = r.join(p, "device_id", "left")
+        for c in SNAPSHOT_TOTALS:
+            r = r.withColumn(c, F.col(c) + F.coalesce(F.col(f"_p{c}"), F.lit(0)))
+        r = r.drop(*[f"_p{c}" for c in SNAPSHOT_TOTALS])
     acc, hot = F.col("_acc"), F.col("high_temp_cycles")
     required = ((acc >= F.lit(lim.max_accumulated_vibration)) | (hot >= F.lit(lim.max_high_temp_cycles))
                 | (F.col("_failures") > 0))
@@ -285,14 +294,53 @@ def maintenance_state(df: DataFrame, lim: WearLimits = WEAR, order: str = "arriv
                     "running_cycles", acc.cast("double").alias("accumulated_vibration"), "high_temp_cycles",
                     "high_pressure_cycles", health_score(acc, hot, lim).alias("health_score"),
                     maintenance_reasons(acc, hot, F.col("status"), lim).alias("reasons"),
-                    required.alias("maintenance_required"))
+                    required.alias("maintenance_required"), "_acc", "_failures")
+
+
+# running totals carried between micro-batches
+SNAPSHOT_TOTALS = ["total_cycles", "running_cycles", "_acc", "high_temp_cycles", "high_pressure_cycles", "_failures"]
+
+
+def maintenance_snapshot(state: DataFrame, prior: DataFrame | None, new_orders: DataFrame,
+                         order: str = "arrival_seq", lim: WearLimits = WEAR) -> DataFrame:
+    """Next per-device snapshot: the last state row of each device in this batch (it already includes the prior
+    totals), devices untouched by the batch carried over, and the work order latched once."""
+    last = state.groupBy("device_id").agg(F.max_by(F.struct(*SNAPSHOT_TOTALS, "last_status"), order).alias("s"))
+    cur = last.select("device_id", *[F.col(f"s.{c}").alias(c) for c in SNAPSHOT_TOTALS + ["last_status"]])
+    orders = new_orders.select("device_id", F.col("reasons").alias("_new_reasons"))
+    cur = cur.join(orders, "device_id", "left")
+    if prior is not None:
+        old = prior.select("device_id", *[F.col(c).alias(f"_o{c}") for c in SNAPSHOT_TOTALS + ["last_status",
+                                                                                           "maintenance_reasons"]])
+        cur = cur.join(old, "device_id", "full_outer")
+        for c in SNAPSHOT_TOTALS + ["last_status"]:
+            cur = cur.withColumn(c, F.coalesce(F.col(c), F.col(f"_o{c}")))
+        reasons = F.coalesce(F.col("_omaintenance_reasons"), F.col("_new_reasons"))
+    else:
+        reasons = F.col("_new_reasons")
+    cur = cur.withColumn("maintenance_reasons", reasons)
+    return cur.select("device_id", *SNAPSHOT_TOTALS, "last_status", "maintenance_reasons")
+
+
+def snapshot_view(snapshot: DataFrame, lim: WearLimits = WEAR) -> DataFrame:
+    """The life-cycle-by-device view of a snapshot (same columns as ``lifecycle_by_device``)."""
+    acc = F.col("_acc")
+    return snapshot.select(
+        "device_id", "total_cycles", "running_cycles", acc.cast("double").alias("accumulated_vibration"),
+        "high_temp_cycles", "high_pressure_cycles", "last_status",
+        F.col("maintenance_reasons").isNotNull().alias("maintenance_required"),
+        F.coalesce(F.col("maintenance_reasons"), F.array().cast("array<string>")).alias("maintenance_reasons"),
+        health_score(acc, F.col("high_temp_cycles"), lim).alias("health_score"))
 
 
-def work_orders(state: DataFrame, order: str = "arrival_seq") -> DataFrame:
+def work_orders(state: DataFrame, order: str = "arrival_seq", latched: DataFrame | None = None) -> DataFrame:
     """The first reading per device whose reasons are non-empty (latched): one work order per device.
 
-    ``min_by`` over a keyed aggregate: partial aggregation keeps one candidate per device per mapper."""
+    ``min_by`` over a keyed aggregate: partial aggregation keeps one candidate per device per mapper.
+    ``latched``: devices that already have an order (streaming); they get none."""
     trig = state.filter(F.size("reasons") > 0)
+    if latched is not None:
+        trig = trig.join(latched.select("device_id"), "device_id", "left_anti")
     first = trig.groupBy("device_id").agg(F.min_by(F.struct(order, "event_id", "total_cycles", "last_status",
                                                             "health_score", "reasons"), order).alias("w"))
     return first.select(

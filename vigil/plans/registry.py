@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from vigil.functions import text
 from vigil.operators import analytics, consumers, dedup, latest, quality, windows
-from vigil.plans import oracle, refine
+from vigil.plans import oracle, refine, stream_runs
 from vigil.sources import envelope, schemas
 from vigil.sources import telemetry as tel
 
@@ -618,3 +618,88 @@ def q_current_status_merge(spark, sf):
     first = latest.merge_snapshot(None, r.filter(F.col("arrival_seq") % 2 == 1))
     second = latest.merge_snapshot(first, r.filter(F.col("arrival_seq") % 2 == 0))
     return second.drop("last_arrival_seq")
+
+
+# --- streaming queries and sinks (run to completion, sink read back) ---------------------------------------------
+
+@register("stream_bronze", oracle.sql(
+    "SELECT arrival_seq, event_id, device_id, event_timestamp, temperature, pressure, vibration, rpm, status"
+    " FROM telemetry"))
+def q_stream_bronze(spark, sf):
+    return stream_runs.bronze(spark, sf).select("arrival_seq", "event_id", "device_id", "event_timestamp",
+                                                 "temperature", "pressure", "vibration", "rpm", "status")
+
+
+@register("stream_refined", oracle.sql(f"SELECT {REFINED_ORACLE_COLS} FROM refined"))
+def q_stream_refined(spark, sf):
+    ref, _ = stream_runs.refined(spark, sf)
+    return ref.drop("ingestion_timestamp", "processing_timestamp", "batch_id")
+
+
+@register("stream_current_status", oracle.sql(
+    "SELECT device_id, last_event_id, last_event_timestamp, temperature, pressure, vibration, rpm, machine_status,"
+    " anomaly_level FROM current_status"))
+def q_stream_current_status(spark, sf):
+    _, writer = stream_runs.refined(spark, sf)
+    from vigil.streaming import medallion
+    return medallion.read_current_status(spark, writer.status_path).drop("last_arrival_seq")
+
+
+@register("stream_dedup", oracle.sql("SELECT DISTINCT event_id FROM valid"))
+def q_stream_dedup(spark, sf):
+    return stream_runs.dedup(spark, sf).select("event_id")
+
+
+@register("stream_alerts", oracle.sql(ALERTS_SQL, NORM))
+def q_stream_alerts(spark, sf):
+    return consumers.flat_alerts(stream_runs.alerts(spark, sf))
+
+
+@register("stream_metrics", oracle.sql(
+    f"SELECT device_id, total_events, {_metric_cols_sql('total_events')}, last_event_timestamp FROM ("
+    " SELECT device_id, COUNT(*) AS total_events,"
+    f" {hundredths_sql('temperature')} AS st, MIN(temperature) AS min_temperature, MAX(temperature) AS max_temperature,"
+    f" {hundredths_sql('pressure')} AS sp, MIN(pressure) AS min_pressure, MAX(pressure) AS max_pressure,"
+    f" {hundredths_sql('vibration')} AS sv, MIN(vibration) AS min_vibration, MAX(vibration) AS max_vibration,"
+    " (array_agg(event_timestamp ORDER BY arrival_seq DESC))[1] AS last_event_timestamp FROM norm GROUP BY device_id)",
+    NORM))
+def q_stream_metrics(spark, sf):
+    return stream_runs.metrics(spark, sf)
+
+
+@register("stream_archive", oracle.sql(
+    "SELECT arrival_seq, event_id, " + ", ".join(
+        f"strftime({ARCHIVE_DAY}, '{f}') AS {n}" for f, n in (("%Y", "year"), ("%m", "month"), ("%d", "day")))
+    + " FROM telemetry"))
+def q_stream_archive(spark, sf):
+    return stream_runs.archive(spark, sf).select("raw_payload.arrival_seq", "raw_payload.event_id", "year", "month",
+                                                 "day")
+
+
+@register("stream_maintenance", oracle.sql(LIFE_SQL, MAINT))
+def q_stream_maintenance(spark, sf):
+    return stream_runs.maintenance(spark, sf).withColumn("maintenance_reasons",
+                                                         text.joined(F.col("maintenance_reasons")))
+
+
+@register("stream_late_drop")
+def q_stream_late_drop(spark, sf):
+    return stream_runs.late_drop(spark, sf)
+
+
+@register("archive_partition_counts", oracle.sql(
+    "SELECT " + ", ".join(f"strftime({ARCHIVE_DAY}, '{f}') AS {n}" for f, n in
+                          (("%Y", "year"), ("%m", "month"), ("%d", "day")))
+    + ", COUNT(*) AS archived_events FROM telemetry GROUP BY ALL"))
+def q_archive_partition_counts(spark, sf):
+    return consumers.archive_partition_counts(stream_runs.archive_batch_roundtrip(spark, sf))
+
+
+@register("reprocess_archive", oracle.sql(f"SELECT {REFINED_ORACLE_COLS} FROM refined"))
+def q_reprocess_archive(spark, sf):
+    return stream_runs.reprocess_archive(spark, sf).drop("ingestion_timestamp", "processing_timestamp")
+
+
+@register("dlq_scan_json", oracle.sql("SELECT error_reason, COUNT(*) AS n FROM dlqn GROUP BY error_reason", DLQN))
+def q_dlq_scan_json(spark, sf):
+    return consumers.dlq_by_reason(stream_runs.quarantine_json_scan(spark, sf))
