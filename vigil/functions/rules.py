@@ -1,8 +1,9 @@
 """Data-quality rules, alert flags and severity as Spark Column expressions.
 
-The rule table is data: (code, failing-condition) pairs in a fixed order. ``failed_codes`` compiles it into
-one ``array<string>`` column; ``is_valid`` and ``error_reason`` are derived from that single column, so the
-rule logic is written once and is never three-valued (a NULL input fails its rule instead of vanishing).
+The rule table is data: (code, failing-condition) pairs in a fixed order. ``error_reason`` compiles it into one
+column (the failed codes joined by ", ", NULL when valid); ``is_valid`` and the ``failed_codes`` array are derived
+from that single column, so the rule logic is written once and is never three-valued (a NULL input fails its rule
+instead of vanishing from both the valid and the invalid side).
 """
 
 from __future__ import annotations
@@ -68,15 +69,16 @@ def parsed_time(c: Column) -> Column:
     return F.try_to_timestamp(c)
 
 
-def rule_table(df_columns, limits: Limits = LIMITS, null_codes: bool = False) -> list[tuple[str, Column]]:
-    """(code, fails) pairs in report order. ``event_timestamp`` may be text or a timestamp."""
-    cols = set(df_columns)
+def rule_table(dtypes, limits: Limits = LIMITS, null_codes: bool = False) -> list[tuple[str, Column]]:
+    """(code, fails) pairs in report order, for a frame with ``dtypes``; ``event_timestamp`` may be text (then
+    blank and unparseable texts fail) or a timestamp (then only NULL fails)."""
+    types = dict(dtypes)
     ts = F.col("event_timestamp")
     rules: list[tuple[str, Column]] = [
         (CODE_EVENT_ID, _blank(F.col("event_id"))),
         (CODE_DEVICE_ID, _blank(F.col("device_id"))),
     ]
-    if "event_timestamp" in cols and dict(df_columns).get("event_timestamp", "string") == "string":
+    if types.get("event_timestamp", "string") == "string":
         rules.append((CODE_TIMESTAMP, _blank(ts)))
         rules.append((CODE_TIMESTAMP_INVALID, ~_blank(ts) & parsed_time(ts).isNull()))
     else:
@@ -106,10 +108,28 @@ def rule_table(df_columns, limits: Limits = LIMITS, null_codes: bool = False) ->
     return rules
 
 
-def failed_codes(dtypes, limits: Limits = LIMITS, null_codes: bool = False) -> Column:
-    """``array<string>`` of the failed rule codes, in rule order; empty when the row is valid."""
-    return F.array_compact(F.array(*[F.when(fails, F.lit(code)) for code, fails in
-                                     rule_table(dtypes, limits, null_codes)]))
+def error_reason(dtypes, limits: Limits = LIMITS, null_codes: bool = False) -> Column:
+    """Failed rule codes joined with ", " in rule order; NULL when the row is valid.
+
+    Built with ``concat_ws`` over ``CASE`` expressions (skips NULLs, fully code-generated) rather than a
+    lambda-based array filter, which would fall back to interpreted evaluation."""
+    codes = F.concat_ws(REASON_SEPARATOR, *[F.when(fails, F.lit(code)) for code, fails in
+                                            rule_table(dtypes, limits, null_codes)])
+    return F.nullif(codes, F.lit(""))
+
+
+def passes(dtypes, limits: Limits = LIMITS) -> Column:
+    """TRUE when no rule fails (never NULL: every failing condition is NULL-safe). A plain boolean conjunction, so a
+    filter on it stays small when Catalyst pushes it down through projections."""
+    ok = F.lit(True)
+    for _, fails in rule_table(dtypes, limits):
+        ok = ok & ~fails
+    return ok
+
+
+def failed_codes(reason: Column) -> Column:
+    """``array<string>`` of the failed codes (empty when valid), derived from the reason text."""
+    return F.coalesce(F.split(reason, REASON_SEPARATOR), F.array().cast("array<string>"))
 
 
 def severity(temperature: Column, pressure: Column, vibration: Column, limits: Limits = LIMITS) -> Column:

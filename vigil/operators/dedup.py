@@ -12,9 +12,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def dedup_first(df: DataFrame, key: str | list[str] = "event_id", order: str = "arrival_seq") -> DataFrame:
+def dedup_first(df: DataFrame, key: str | list[str] = "event_id", order: str = "arrival_seq",
+                prefer: str | None = None) -> DataFrame:
+    """Per key, the first row in ``order``; with ``prefer`` (a boolean column) the first row where it is true wins
+    over any earlier row where it is false."""
     keys = [key] if isinstance(key, str) else list(key)
-    w = Window.partitionBy(*keys).orderBy(F.col(order).asc())
+    sort = ([F.col(prefer).desc()] if prefer else []) + [F.col(order).asc()]
+    w = Window.partitionBy(*keys).orderBy(*sort)
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 

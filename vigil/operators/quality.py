@@ -9,11 +9,15 @@ from vigil.functions import rules
 
 
 def check(df: DataFrame, limits: rules.Limits = rules.LIMITS, null_codes: bool = False) -> DataFrame:
-    """Add ``failed_codes array<string>``, ``is_valid boolean`` (never NULL) and ``error_reason`` (NULL when valid)."""
-    out = df.withColumn("failed_codes", rules.failed_codes(df.dtypes, limits, null_codes))
-    return (out.withColumn("is_valid", F.size("failed_codes") == 0)
-               .withColumn("error_reason", F.when(~F.col("is_valid"),
-                                                  F.concat_ws(rules.REASON_SEPARATOR, "failed_codes"))))
+    """Add ``error_reason`` (failed codes joined by ", ", NULL when valid) and ``is_valid`` (never NULL).
+
+    One rule table defines both, so a NULL input fails its rule instead of vanishing from both sides."""
+    return (df.withColumn("is_valid", rules.passes(df.dtypes, limits))
+              .withColumn("error_reason", rules.error_reason(df.dtypes, limits, null_codes)))
+
+
+def with_failed_codes(checked: DataFrame) -> DataFrame:
+    return checked.withColumn("failed_codes", rules.failed_codes(F.col("error_reason")))
 
 
 def validity_label(df: DataFrame) -> DataFrame:
@@ -28,7 +32,7 @@ def split(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
 def quarantine(invalid: DataFrame, payload_col: str | None = None) -> DataFrame:
     """Quarantine record: ids, reason, the payload as received (or the row as JSON), quarantine time."""
     payload = F.col(payload_col) if payload_col else F.to_json(F.struct(*[
-        F.col(c) for c in invalid.columns if c not in ("failed_codes", "is_valid", "error_reason", "value")]))
+        F.col(c) for c in invalid.columns if c not in ("is_valid", "error_reason", "value", "arrival_seq")]))
     keep = [c for c in ("arrival_seq",) if c in invalid.columns]
     return invalid.select(*keep, "event_id", "device_id", "error_reason",
                           payload.alias("original_payload"),

@@ -7,6 +7,7 @@ The same pure functions drive the streaming ``foreachBatch`` writer; here they r
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vigil.functions import rules
 from vigil.operators import dedup, enrich, quality
@@ -18,9 +19,13 @@ def checked(raw: DataFrame, limits: rules.Limits = rules.LIMITS) -> DataFrame:
 
 
 def refined_from(raw: DataFrame, limits: rules.Limits = rules.LIMITS) -> DataFrame:
-    valid, _ = quality.split(checked(raw, limits))
-    first = dedup.dedup_first(valid, "event_id", "arrival_seq")
-    return enrich.project_refined(enrich.enrich(first, limits))
+    """Keep-first dedup among valid readings, then enrichment.
+
+    The dedup window runs over all checked rows ordered by (valid first, arrival) and the validity filter is applied
+    after it: the filter then stays above the window instead of being pushed (with the whole projection inlined)
+    into the scan, and the first *valid* copy of an id wins exactly as if invalid rows had been removed first."""
+    first = dedup.dedup_first(checked(raw, limits), "event_id", "arrival_seq", prefer="is_valid")
+    return enrich.project_refined(enrich.enrich(first.filter(F.col("is_valid")), limits))
 
 
 def quarantine_from(raw: DataFrame, limits: rules.Limits = rules.LIMITS, payload_col: str | None = None) -> DataFrame:

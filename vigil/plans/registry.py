@@ -95,15 +95,16 @@ SELECT arrival_seq, NULLIF(CONCAT_WS(', ',
   CASE WHEN status IS NULL OR status NOT IN ('RUNNING', 'STOPPED', 'MAINTENANCE', 'FAILURE') THEN 'invalid_status' END
 ), '') AS codes FROM telemetry"""))
 def q_dq_codes_array(spark, sf):
-    checked = quality.check(tel.telemetry(spark, sf), null_codes=True)
+    checked = quality.with_failed_codes(quality.check(tel.telemetry(spark, sf), null_codes=True))
     return checked.select("arrival_seq", F.when(F.size("failed_codes") > 0,
                                                 F.concat_ws(", ", "failed_codes")).alias("codes"))
 
 
 @register("dedup_first", oracle.sql("SELECT arrival_seq, event_id FROM refined"))
 def q_dedup_first(spark, sf):
-    valid, _ = quality.split(quality.check(tel.telemetry(spark, sf)))
-    return dedup.dedup_first(valid).select("arrival_seq", "event_id")
+    checked = quality.check(tel.telemetry(spark, sf))
+    firsts = dedup.dedup_first(checked, "event_id", "arrival_seq", prefer="is_valid").filter(F.col("is_valid"))
+    return firsts.select("arrival_seq", "event_id")
 
 
 @register("dedup_count", oracle.sql("SELECT COUNT(DISTINCT event_id) AS n FROM valid"))

@@ -26,6 +26,23 @@ def iso_text(ts: Column) -> Column:
     return F.date_format(ts, ISO_FORMAT)
 
 
+def _padded(n: Column) -> Column:
+    """Zero-padded to at least 4 digits, never truncated (``lpad`` alone would cut longer ids)."""
+    txt = n.cast("string")
+    return F.when(F.length(txt) < 4, F.lpad(txt, 4, "0")).otherwise(txt)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a batch scan over the cluster's cores when it has fewer input splits than cores (a small or
+    unsplittable file). On a large table this is a no-op: the scan already has thousands of splits."""
+    if df.isStreaming:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def telemetry_from_events(events: DataFrame) -> DataFrame:
     """Project ``events`` into raw telemetry readings. Works on static and streaming frames."""
     eid = F.col("event_id")
@@ -45,7 +62,7 @@ def telemetry_from_events(events: DataFrame) -> DataFrame:
         eid.alias("arrival_seq"),
         F.concat(F.lit("evt-"), F.when(m(40) == 39, eid - 1).otherwise(eid).cast("string")).alias("event_id"),
         F.when(m(97) == 0, F.lit("")).otherwise(
-            F.concat(F.lit("MTR-"), F.format_string("%04d", F.col("user_id")))).alias("device_id"),
+            F.concat(F.lit("MTR-"), _padded(F.col("user_id")))).alias("device_id"),
         iso_text(event_ts).alias("event_timestamp"),
         F.col("value").alias("temperature"),
         F.when(m(83) == 0, F.lit(-1.0)).otherwise((k * 8).cast("double") / F.lit(100.0)).alias("pressure"),
@@ -58,4 +75,4 @@ def telemetry_from_events(events: DataFrame) -> DataFrame:
 
 
 def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return telemetry_from_events(table(spark, sf_dir, "events"))
+    return telemetry_from_events(spread(table(spark, sf_dir, "events")))
