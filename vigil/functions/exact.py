@@ -39,3 +39,23 @@ def half_up_avg2(s_hundredths: Column, n: Column) -> Column:
 def exact_mean(c: Column) -> Column:
     """Aggregate: unrounded mean computed from the exact decimal sum (same in every engine)."""
     return F.sum(dec2(c)).cast("double") / F.count(c).cast("double")
+
+
+# --- the same, as SQL text (one JVM call per expression when building plans) -----------------------------------
+
+def sum_hundredths_sql(x: str) -> str:
+    return f"CAST(sum(CAST({x} AS DECIMAL(18,2))) * 100 AS BIGINT)"
+
+
+def hundredths_sql(x: str) -> str:
+    """Per-row integer hundredths of a 2-dp reading (for running sums)."""
+    return f"CAST(CAST({x} AS DECIMAL(18,2)) * 100 AS BIGINT)"
+
+
+def half_up_avg2_sql(s: str, n: str) -> str:
+    return (f"CASE WHEN {n} > 0 THEN CAST(CASE WHEN {s} < 0 THEN -((-{s} * 2 + {n}) div ({n} * 2)) "
+            f"ELSE ({s} * 2 + {n}) div ({n} * 2) END AS DOUBLE) / 100.0D END")
+
+
+def exact_mean_sql(x: str) -> str:
+    return f"CAST(sum(CAST({x} AS DECIMAL(18,2))) AS DOUBLE) / CAST(count({x}) AS DOUBLE)"

@@ -55,13 +55,12 @@ class Limits:
 LIMITS = Limits()
 
 
-def _blank(c: Column) -> Column:
-    return c.isNull() | (c == F.lit(""))
+def _blank(c: str) -> str:
+    return f"({c} IS NULL OR {c} = '')"
 
 
-def _nan_safe_bad(c: Column, bad: Column) -> Column:
-    # NaN is greater than every number in Spark; reject it explicitly.
-    return bad | F.isnan(c)
+def _num(x: float) -> str:
+    return f"{float(x)!r}D"
 
 
 def parsed_time(c: Column) -> Column:
@@ -69,62 +68,67 @@ def parsed_time(c: Column) -> Column:
     return F.try_to_timestamp(c)
 
 
-def rule_table(dtypes, limits: Limits = LIMITS, null_codes: bool = False) -> list[tuple[str, Column]]:
-    """(code, fails) pairs in report order, for a frame with ``dtypes``; ``event_timestamp`` may be text (then
-    blank and unparseable texts fail) or a timestamp (then only NULL fails)."""
+def parsed_time_sql(c: str) -> str:
+    return f"try_to_timestamp({c})"
+
+
+def rule_table(dtypes, limits: Limits = LIMITS, null_codes: bool = False) -> list[tuple[str, str]]:
+    """(code, failing condition as SQL) pairs in report order, for a frame with ``dtypes``. Every condition is
+    NULL-safe (TRUE or FALSE, never NULL). ``event_timestamp`` may be text (blank and unparseable texts fail) or a
+    timestamp (only NULL fails). NaN metrics fail their range rule (NaN sorts above every number in Spark)."""
     types = dict(dtypes)
-    ts = F.col("event_timestamp")
-    rules: list[tuple[str, Column]] = [
-        (CODE_EVENT_ID, _blank(F.col("event_id"))),
-        (CODE_DEVICE_ID, _blank(F.col("device_id"))),
+    rules: list[tuple[str, str]] = [
+        (CODE_EVENT_ID, _blank("event_id")),
+        (CODE_DEVICE_ID, _blank("device_id")),
     ]
     if types.get("event_timestamp", "string") == "string":
-        rules.append((CODE_TIMESTAMP, _blank(ts)))
-        rules.append((CODE_TIMESTAMP_INVALID, ~_blank(ts) & parsed_time(ts).isNull()))
+        rules.append((CODE_TIMESTAMP, _blank("event_timestamp")))
+        rules.append((CODE_TIMESTAMP_INVALID,
+                      f"(NOT {_blank('event_timestamp')} AND {parsed_time_sql('event_timestamp')} IS NULL)"))
     else:
-        rules.append((CODE_TIMESTAMP, ts.isNull()))
+        rules.append((CODE_TIMESTAMP, "(event_timestamp IS NULL)"))
 
-    def metric(name: str, range_code: str, null_code: str, bad: Column):
-        c = F.col(name)
+    def metric(name: str, range_code: str, null_code: str, bad: str):
+        bad = f"({bad} OR isnan({name}))"
         if null_codes:
-            rules.append((null_code, c.isNull()))
-            rules.append((range_code, c.isNotNull() & _nan_safe_bad(c, bad)))
+            rules.append((null_code, f"({name} IS NULL)"))
+            rules.append((range_code, f"({name} IS NOT NULL AND {bad})"))
         else:
-            rules.append((range_code, c.isNull() | _nan_safe_bad(c, bad)))
+            rules.append((range_code, f"({name} IS NULL OR {bad})"))
 
-    t = F.col("temperature")
     metric("temperature", CODE_TEMPERATURE, CODE_TEMPERATURE_NULL,
-           (t < F.lit(limits.temperature_min)) | (t > F.lit(limits.temperature_max)))
-    metric("pressure", CODE_PRESSURE, CODE_PRESSURE_NULL, F.col("pressure") < F.lit(0.0))
-    metric("vibration", CODE_VIBRATION, CODE_VIBRATION_NULL, F.col("vibration") < F.lit(0.0))
-    r = F.col("rpm")
+           f"temperature < {_num(limits.temperature_min)} OR temperature > {_num(limits.temperature_max)}")
+    metric("pressure", CODE_PRESSURE, CODE_PRESSURE_NULL, "pressure < 0.0D")
+    metric("vibration", CODE_VIBRATION, CODE_VIBRATION_NULL, "vibration < 0.0D")
     if null_codes:
-        rules.append((CODE_RPM_NULL, r.isNull()))
-        rules.append((CODE_RPM, r.isNotNull() & (r < F.lit(0))))
+        rules.append((CODE_RPM_NULL, "(rpm IS NULL)"))
+        rules.append((CODE_RPM, "(rpm IS NOT NULL AND rpm < 0)"))
     else:
-        rules.append((CODE_RPM, r.isNull() | (r < F.lit(0))))
-    s = F.col("status")
-    rules.append((CODE_STATUS, s.isNull() | ~s.isin(*VALID_STATUSES)))
+        rules.append((CODE_RPM, "(rpm IS NULL OR rpm < 0)"))
+    states = ", ".join(f"'{v}'" for v in VALID_STATUSES)
+    rules.append((CODE_STATUS, f"(status IS NULL OR status NOT IN ({states}))"))
     return rules
 
 
+def error_reason_sql(dtypes, limits: Limits = LIMITS, null_codes: bool = False) -> str:
+    parts = ", ".join(f"CASE WHEN {cond} THEN '{code}' END" for code, cond in rule_table(dtypes, limits, null_codes))
+    return f"nullif(concat_ws('{REASON_SEPARATOR}', {parts}), '')"
+
+
 def error_reason(dtypes, limits: Limits = LIMITS, null_codes: bool = False) -> Column:
-    """Failed rule codes joined with ", " in rule order; NULL when the row is valid.
+    """Failed rule codes joined with ", " in rule order; NULL when the row is valid (``concat_ws`` skips NULLs and
+    is fully code-generated)."""
+    return F.expr(error_reason_sql(dtypes, limits, null_codes))
 
-    Built with ``concat_ws`` over ``CASE`` expressions (skips NULLs, fully code-generated) rather than a
-    lambda-based array filter, which would fall back to interpreted evaluation."""
-    codes = F.concat_ws(REASON_SEPARATOR, *[F.when(fails, F.lit(code)) for code, fails in
-                                            rule_table(dtypes, limits, null_codes)])
-    return F.nullif(codes, F.lit(""))
+
+def passes_sql(dtypes, limits: Limits = LIMITS) -> str:
+    return "NOT (" + " OR ".join(cond for _, cond in rule_table(dtypes, limits)) + ")"
 
 
 def passes(dtypes, limits: Limits = LIMITS) -> Column:
-    """TRUE when no rule fails (never NULL: every failing condition is NULL-safe). A plain boolean conjunction, so a
-    filter on it stays small when Catalyst pushes it down through projections."""
-    ok = F.lit(True)
-    for _, fails in rule_table(dtypes, limits):
-        ok = ok & ~fails
-    return ok
+    """TRUE when no rule fails (never NULL). A plain boolean expression, so a filter on it stays small when Catalyst
+    pushes it down through projections."""
+    return F.expr(passes_sql(dtypes, limits))
 
 
 def failed_codes(reason: Column) -> Column:
@@ -132,18 +136,22 @@ def failed_codes(reason: Column) -> Column:
     return F.coalesce(F.split(reason, REASON_SEPARATOR), F.array().cast("array<string>"))
 
 
-def severity(temperature: Column, pressure: Column, vibration: Column, limits: Limits = LIMITS) -> Column:
+def severity_sql(t: str = "temperature", p: str = "pressure", v: str = "vibration", limits: Limits = LIMITS) -> str:
     """CRITICAL > WARNING > NORMAL (strict ``>`` comparisons)."""
-    critical = ((temperature > F.lit(limits.temperature_critical)) | (vibration > F.lit(limits.vibration_critical))
-                | (pressure > F.lit(limits.pressure_critical)))
-    warning = ((temperature > F.lit(limits.temperature_alert)) | (vibration > F.lit(limits.vibration_alert))
-               | (pressure > F.lit(limits.pressure_alert)))
-    return F.when(critical, F.lit(CRITICAL)).when(warning, F.lit(WARNING)).otherwise(F.lit(NORMAL))
+    crit = (f"{t} > {_num(limits.temperature_critical)} OR {v} > {_num(limits.vibration_critical)} "
+            f"OR {p} > {_num(limits.pressure_critical)}")
+    warn = (f"{t} > {_num(limits.temperature_alert)} OR {v} > {_num(limits.vibration_alert)} "
+            f"OR {p} > {_num(limits.pressure_alert)}")
+    return f"CASE WHEN {crit} THEN '{CRITICAL}' WHEN {warn} THEN '{WARNING}' ELSE '{NORMAL}' END"
+
+
+def severity(limits: Limits = LIMITS) -> Column:
+    return F.expr(severity_sql(limits=limits))
 
 
 def alert_flags(limits: Limits = LIMITS) -> dict[str, Column]:
     return {
-        "temperature_alert": F.col("temperature") > F.lit(limits.temperature_alert),
-        "pressure_alert": F.col("pressure") > F.lit(limits.pressure_alert),
-        "vibration_alert": F.col("vibration") > F.lit(limits.vibration_alert),
+        "temperature_alert": F.expr(f"temperature > {_num(limits.temperature_alert)}"),
+        "pressure_alert": F.expr(f"pressure > {_num(limits.pressure_alert)}"),
+        "vibration_alert": F.expr(f"vibration > {_num(limits.vibration_alert)}"),
     }

@@ -11,6 +11,10 @@ def num(c: Column) -> Column:
     return F.format_string("%s", c.cast("double"))
 
 
+def num_sql(c: str) -> str:
+    return f"format_string('%s', CAST({c} AS DOUBLE))"
+
+
 def fnum(x: float) -> str:
     """Driver-side rendering of a fixed limit, same convention as ``num``."""
     return repr(float(x))
@@ -21,10 +25,19 @@ def reason_list(*parts: tuple[Column, Column]) -> Column:
     return F.array_compact(F.array(*[F.when(cond, msg) for cond, msg in parts]))
 
 
+def reason_list_sql(parts: list[tuple[str, str]]) -> str:
+    """SQL: ``array<string>`` of the messages whose condition holds, in order (``array_compact`` drops the rest)."""
+    return "array_compact(array(" + ", ".join(f"CASE WHEN {c} THEN {m} END" for c, m in parts) + "))"
+
+
 def short_hash_id(prefix: str, c: Column, n: int = 8) -> Column:
     """Deterministic id: prefix + first ``n`` hex digits of SHA-256 of the text (replays give the same id)."""
     return F.concat(F.lit(prefix), F.substring(F.sha2(c.cast("string"), 256), 1, n))
 
 
+def short_hash_id_sql(prefix: str, c: str, n: int = 8) -> str:
+    return f"concat('{prefix}', substring(sha2(CAST({c} AS STRING), 256), 1, {int(n)}))"
+
+
 def joined(c: Column, sep: str = "; ") -> Column:
     return F.concat_ws(sep, c)

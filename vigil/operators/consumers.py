@@ -7,7 +7,7 @@ dlq          quarantine statistics: by reason string, by single code, by device,
 maintenance  running wear state, health score, latched first work order per device, life-cycle summary
 
 Inputs are any frame with the telemetry columns; missing metrics count as 0.0, missing keys as ``UNKNOWN``
-(the consumers' own defaults).
+(the consumers' own defaults). Expressions are SQL text: one JVM call each while the plan is built.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil.functions import exact, rules, text
@@ -35,189 +35,201 @@ DLQ_ALARM_THRESHOLD = 10
 MSG_FAILURE = "Catastrophic Machine Failure Detected"
 # -------------------------------------------------------------------------------------------------------
 
+_METRICS = ("temperature", "pressure", "vibration")
+
+
+def _q(s: str) -> str:
+    """SQL string literal."""
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
 
 def normalize(df: DataFrame) -> DataFrame:
     """Consumer-side coercion: NULL metrics -> 0.0, NULL device/status -> UNKNOWN, status upper-cased."""
     cols = set(df.columns)
-    out = df
-    for m in ("temperature", "pressure", "vibration"):
-        out = out.withColumn(m, F.coalesce(F.col(m).cast("double"), F.lit(0.0)))
     status_src = "machine_status" if "machine_status" in cols and "status" not in cols else "status"
-    out = out.withColumn("status", F.upper(F.coalesce(F.col(status_src), F.lit(UNKNOWN))))
-    out = out.withColumn("device_id", F.coalesce(F.col("device_id"), F.lit(UNKNOWN)))
-    out = out.withColumn("event_id", F.coalesce(F.col("event_id"), F.lit(MISSING_EVENT_ID)))
-    level = F.col("anomaly_level") if "anomaly_level" in cols else F.lit(None).cast("string")
-    return out.withColumn("anomaly_level", F.upper(F.coalesce(level, F.lit(""))))
+    level = "anomaly_level" if "anomaly_level" in cols else "CAST(NULL AS STRING)"
+    new = {m: F.expr(f"coalesce(CAST({m} AS DOUBLE), 0.0D)") for m in _METRICS}
+    new.update({
+        "status": F.expr(f"upper(coalesce({status_src}, {_q(UNKNOWN)}))"),
+        "device_id": F.expr(f"coalesce(device_id, {_q(UNKNOWN)})"),
+        "event_id": F.expr(f"coalesce(event_id, {_q(MISSING_EVENT_ID)})"),
+        "anomaly_level": F.expr(f"upper(coalesce({level}, ''))"),
+    })
+    return df.withColumns(new)
 
 
 # --- alerts ----------------------------------------------------------------------------------------------------
 
-def critical_filter(norm: DataFrame, limits: rules.Limits = rules.LIMITS) -> Column:
-    return ((F.col("temperature") > limits.temperature_critical) | (F.col("vibration") > limits.vibration_critical)
-            | (F.col("pressure") > limits.pressure_critical) | (F.col("status") == FAILURE)
-            | (F.col("anomaly_level") == rules.CRITICAL))
+def critical_sql(limits: rules.Limits = rules.LIMITS) -> str:
+    n = text.fnum
+    return (f"(temperature > {n(limits.temperature_critical)}D OR vibration > {n(limits.vibration_critical)}D "
+            f"OR pressure > {n(limits.pressure_critical)}D OR status = {_q(FAILURE)} "
+            f"OR anomaly_level = {_q(rules.CRITICAL)})")
+
+
+def alert_reasons_sql(limits: rules.Limits = rules.LIMITS) -> str:
+    n = text.fnum
+    parts = [
+        (f"temperature > {n(limits.temperature_critical)}D",
+         f"concat('Temperature CRITICAL (', {text.num_sql('temperature')}, "
+         f"{_q('°C > ' + n(limits.temperature_critical) + '°C)')})"),
+        (f"vibration > {n(limits.vibration_critical)}D",
+         f"concat('Vibration CRITICAL (', {text.num_sql('vibration')}, "
+         f"{_q(' mm/s > ' + n(limits.vibration_critical) + ' mm/s)')})"),
+        (f"pressure > {n(limits.pressure_critical)}D",
+         f"concat('Pressure CRITICAL (', {text.num_sql('pressure')}, "
+         f"{_q(' bar > ' + n(limits.pressure_critical) + ' bar)')})"),
+        (f"status = {_q(FAILURE)}", _q(ALERT_FAILURE)),
+    ]
+    found = text.reason_list_sql(parts)
+    return f"CASE WHEN size({found}) > 0 THEN {found} ELSE array({_q(ALERT_FLAGGED)}) END"
 
 
 def alerts(df: DataFrame, limits: rules.Limits = rules.LIMITS) -> DataFrame:
     """Alert records for critical readings (works on streaming frames: no state)."""
     norm = normalize(df)
-    t, v, p = F.col("temperature"), F.col("vibration"), F.col("pressure")
-    reasons = text.reason_list(
-        (t > limits.temperature_critical,
-         F.concat(F.lit("Temperature CRITICAL ("), text.num(t),
-                  F.lit(f"°C > {text.fnum(limits.temperature_critical)}°C)"))),
-        (v > limits.vibration_critical,
-         F.concat(F.lit("Vibration CRITICAL ("), text.num(v),
-                  F.lit(f" mm/s > {text.fnum(limits.vibration_critical)} mm/s)"))),
-        (p > limits.pressure_critical,
-         F.concat(F.lit("Pressure CRITICAL ("), text.num(p),
-                  F.lit(f" bar > {text.fnum(limits.pressure_critical)} bar)"))),
-        (F.col("status") == FAILURE, F.lit(ALERT_FAILURE)),
-    )
-    reasons = F.when(F.size(reasons) > 0, reasons).otherwise(F.array(F.lit(ALERT_FLAGGED)))
     keep = [c for c in ("arrival_seq",) if c in df.columns]
-    return norm.filter(critical_filter(norm, limits)).select(
+    return norm.filter(F.expr(critical_sql(limits))).selectExpr(
         *keep,
-        text.short_hash_id("alt-", F.col("event_id")).alias("alert_id"),
-        "device_id", "event_id", F.lit(rules.CRITICAL).alias("severity"), reasons.alias("reasons"),
-        F.struct("temperature", "pressure", "vibration", "status").alias("metrics"),
-        "event_timestamp", F.current_timestamp().alias("alert_timestamp"))
+        f"{text.short_hash_id_sql('alt-', 'event_id')} AS alert_id",
+        "device_id", "event_id", f"{_q(rules.CRITICAL)} AS severity", f"{alert_reasons_sql(limits)} AS reasons",
+        "named_struct('temperature', temperature, 'pressure', pressure, 'vibration', vibration, 'status', status)"
+        " AS metrics",
+        "event_timestamp", "current_timestamp() AS alert_timestamp")
 
 
 def flat_alerts(alert_df: DataFrame) -> DataFrame:
-    return alert_df.select("alert_id", "device_id", "event_id", "severity",
-                           text.joined(F.col("reasons")).alias("reasons"),
-                           "metrics.temperature", "metrics.pressure", "metrics.vibration", "metrics.status",
-                           "event_timestamp")
+    return alert_df.selectExpr("alert_id", "device_id", "event_id", "severity",
+                               "concat_ws('; ', reasons) AS reasons", "metrics.temperature", "metrics.pressure",
+                               "metrics.vibration", "metrics.status", "event_timestamp")
 
 
 # --- metrics ---------------------------------------------------------------------------------------------------
 
-_METRICS = ("temperature", "pressure", "vibration")
+def _metric_aggs(order: str) -> list:
+    aggs = ["count(1) AS total_events"]
+    for m in _METRICS:
+        aggs += [f"{exact.sum_hundredths_sql(m)} AS _s_{m}", f"min({m}) AS min_{m}", f"max({m}) AS max_{m}"]
+    aggs.append(f"max_by(event_timestamp, {order}) AS last_event_timestamp")
+    return [F.expr(a) for a in aggs]
+
+
+def _metric_view(extra_first: list[str]) -> list[str]:
+    out = list(extra_first) + ["total_events"]
+    for m in _METRICS:
+        out += [f"{exact.half_up_avg2_sql(f'_s_{m}', 'total_events')} AS avg_{m}", f"min_{m}", f"max_{m}"]
+    return out
 
 
 def device_metrics(df: DataFrame, order: str = "arrival_seq") -> DataFrame:
     """Final per-device summary: count, exact avg (2 dp HALF_UP), min, max, last event time by arrival."""
-    norm = normalize(df)
-    aggs = [F.count(F.lit(1)).alias("total_events")]
-    for m in _METRICS:
-        aggs += [exact.sum_hundredths(F.col(m)).alias(f"_s_{m}"), F.min(m).alias(f"min_{m}"),
-                 F.max(m).alias(f"max_{m}")]
-    aggs.append(F.max_by("event_timestamp", order).alias("last_event_timestamp"))
-    g = norm.groupBy("device_id").agg(*aggs)
-    out = [F.col("device_id"), F.col("total_events")]
-    for m in _METRICS:
-        out += [exact.half_up_avg2(F.col(f"_s_{m}"), F.col("total_events")).alias(f"avg_{m}"),
-                F.col(f"min_{m}"), F.col(f"max_{m}")]
-    return g.select(*out, "last_event_timestamp", F.current_timestamp().alias("updated_at"))
+    g = normalize(df).groupBy("device_id").agg(*_metric_aggs(order))
+    return g.selectExpr(*_metric_view(["device_id"]), "last_event_timestamp", "current_timestamp() AS updated_at")
 
 
 def status_distribution(df: DataFrame, nested: bool = False) -> DataFrame:
     """(device, status, n); ``nested=True``: one row per device with ``map<status, n>``.
 
     Two-level aggregation: the map is built from at most one entry per distinct status of a device."""
-    flat = normalize(df).groupBy("device_id", "status").agg(F.count(F.lit(1)).alias("n"))
+    flat = normalize(df).groupBy("device_id", "status").agg(F.expr("count(1) AS n"))
     if not nested:
         return flat
     return flat.groupBy("device_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("status", "n"))).alias("status_distribution"))
+        F.expr("map_from_entries(collect_list(struct(status, n))) AS status_distribution"))
 
 
 def fleet_summary(df: DataFrame) -> DataFrame:
-    norm = normalize(df)
-    return norm.agg(F.count(F.lit(1)).alias("total_processed_events"),
-                    F.count_distinct("device_id").alias("total_active_devices"),
-                    F.current_timestamp().alias("generated_at"))
+    return normalize(df).agg(F.expr("count(1) AS total_processed_events"),
+                             F.expr("count(DISTINCT device_id) AS total_active_devices"),
+                             F.expr("current_timestamp() AS generated_at"))
 
 
 def running_metrics(df: DataFrame, order: str = "arrival_seq", span: int | None = None) -> DataFrame:
     """The summary after each reading, per device, in arrival order (skew-proof prefix scan)."""
-    norm = normalize(df)
-    aggs = {"total_events": ("sum", F.lit(1).cast("bigint"))}
-    for m in _METRICS:
-        aggs[f"_s_{m}"] = ("sum", (exact.dec2(F.col(m)) * 100).cast("bigint"))
-        aggs[f"min_{m}"] = ("min", F.col(m))
-        aggs[f"max_{m}"] = ("max", F.col(m))
-    r = scan.running(norm, "device_id", order, aggs, span=span)
-    out = [order, "device_id", "total_events"]
+    aggs = {"total_events": ("sum", "CAST(1 AS BIGINT)")}
     for m in _METRICS:
-        out += [exact.half_up_avg2(F.col(f"_s_{m}"), F.col("total_events")).alias(f"avg_{m}"),
-                F.col(f"min_{m}"), F.col(f"max_{m}")]
-    return r.select(*out)
+        aggs[f"_s_{m}"] = ("sum", exact.hundredths_sql(m))
+        aggs[f"min_{m}"] = ("min", m)
+        aggs[f"max_{m}"] = ("max", m)
+    r = scan.running(normalize(df), "device_id", order, aggs, span=span)
+    return r.selectExpr(*_metric_view([order, "device_id"]))
 
 
 # --- archive ---------------------------------------------------------------------------------------------------
 
-def with_date_parts(df: DataFrame, ts: Column, fallback: Column | None = None) -> DataFrame:
+def with_date_parts(df: DataFrame, ts: str, fallback: str | None = None) -> DataFrame:
     """Zero-padded ``year``/``month``/``day`` strings of the UTC calendar day; ``fallback`` when ts is NULL."""
-    t = F.coalesce(ts, fallback if fallback is not None else F.current_timestamp())
-    return (df.withColumn("year", F.date_format(t, "yyyy")).withColumn("month", F.date_format(t, "MM"))
-              .withColumn("day", F.date_format(t, "dd")))
+    t = f"coalesce({ts}, {fallback or 'current_timestamp()'})"
+    return df.withColumns({"year": F.expr(f"date_format({t}, 'yyyy')"), "month": F.expr(f"date_format({t}, 'MM')"),
+                           "day": F.expr(f"date_format({t}, 'dd')")})
 
 
-def archive_records(df: DataFrame, topic: str = DEFAULT_TOPIC, fallback: Column | None = None) -> DataFrame:
+def archive_records(df: DataFrame, topic: str = DEFAULT_TOPIC, fallback: str | None = None) -> DataFrame:
     """Envelope ``_ingested_at, _source_topic, raw_payload`` + partition columns (the raw event is kept whole)."""
     payload_cols = [c for c in df.columns if c not in ("value", "kafka_timestamp", "ingestion_timestamp")]
-    ts = df["event_timestamp"]
-    parsed = rules.parsed_time(ts) if dict(df.dtypes)["event_timestamp"] == "string" else ts.cast("timestamp")
-    out = df.select(F.current_timestamp().alias("_ingested_at"), F.lit(topic).alias("_source_topic"),
-                    F.struct(*payload_cols).alias("raw_payload"), parsed.alias("_ts"))
-    return with_date_parts(out, F.col("_ts"), fallback).drop("_ts")
+    parsed = (rules.parsed_time_sql("event_timestamp") if dict(df.dtypes)["event_timestamp"] == "string"
+              else "CAST(event_timestamp AS TIMESTAMP)")
+    out = df.selectExpr("current_timestamp() AS _ingested_at", f"{_q(topic)} AS _source_topic",
+                        f"struct({', '.join(payload_cols)}) AS raw_payload", f"{parsed} AS _ts")
+    return with_date_parts(out, "_ts", fallback).drop("_ts")
 
 
 def archive_partition_counts(archive: DataFrame) -> DataFrame:
-    return archive.groupBy("year", "month", "day").agg(F.count(F.lit(1)).alias("archived_events"))
+    return archive.groupBy("year", "month", "day").agg(F.expr("count(1) AS archived_events"))
 
 
 # --- dead-letter statistics ------------------------------------------------------------------------------------
 
+def _device_or_unknown(c: str = "device_id") -> str:
+    return f"coalesce(nullif({c}, ''), {_q(UNKNOWN_DEVICE)})"
+
+
 def dlq_normalize(q: DataFrame) -> DataFrame:
-    return (q.withColumn("device_id", F.coalesce(F.nullif(F.col("device_id"), F.lit("")), F.lit(UNKNOWN_DEVICE)))
-             .withColumn("error_reason",
-                         F.coalesce(F.nullif(F.col("error_reason"), F.lit("")), F.lit(UNSPECIFIED_ERROR)))
-             .withColumn("event_id", F.coalesce(F.col("event_id"), F.lit(MISSING_EVENT_ID))))
+    return q.withColumns({
+        "device_id": F.expr(_device_or_unknown()),
+        "error_reason": F.expr(f"coalesce(nullif(error_reason, ''), {_q(UNSPECIFIED_ERROR)})"),
+        "event_id": F.expr(f"coalesce(event_id, {_q(MISSING_EVENT_ID)})"),
+    })
 
 
 def dlq_records(q: DataFrame, order: str = "arrival_seq", span: int | None = None) -> DataFrame:
     """``dlq-<n>``: n = position in arrival order over the whole quarantine, computed by a chunked prefix count
     (no single-partition global window)."""
     seq = scan.sequence(dlq_normalize(q), None, order, "_n", span=span)
-    return seq.select(order, F.concat(F.lit("dlq-"), F.col("_n").cast("string")).alias("quarantine_id"),
-                      "event_id", "device_id", "error_reason", F.current_timestamp().alias("processed_at"))
+    return seq.selectExpr(order, "concat('dlq-', CAST(_n AS STRING)) AS quarantine_id", "event_id", "device_id",
+                          "error_reason", "current_timestamp() AS processed_at")
 
 
 def dlq_by_reason(q: DataFrame) -> DataFrame:
-    return dlq_normalize(q).groupBy("error_reason").agg(F.count(F.lit(1)).alias("n"))
+    return dlq_normalize(q).groupBy("error_reason").agg(F.expr("count(1) AS n"))
 
 
 def dlq_by_device(q: DataFrame) -> DataFrame:
-    return dlq_normalize(q).groupBy("device_id").agg(F.count(F.lit(1)).alias("n"))
+    return dlq_normalize(q).groupBy("device_id").agg(F.expr("count(1) AS n"))
 
 
 def dlq_by_code(q: DataFrame) -> DataFrame:
-    codes = dlq_normalize(q).select(F.explode(F.split(F.col("error_reason"), rules.REASON_SEPARATOR)).alias("code"))
-    return codes.groupBy("code").agg(F.count(F.lit(1)).alias("n"))
+    codes = dlq_normalize(q).selectExpr(f"explode(split(error_reason, {_q(rules.REASON_SEPARATOR)})) AS code")
+    return codes.groupBy("code").agg(F.expr("count(1) AS n"))
 
 
 def dlq_rate_by_device(checked: DataFrame) -> DataFrame:
     """Rejected / all readings per device, both sides counted in one aggregate."""
-    dev = F.coalesce(F.nullif(F.col("device_id"), F.lit("")), F.lit(UNKNOWN_DEVICE))
-    g = checked.groupBy(dev.alias("device_id")).agg(F.count(F.lit(1)).alias("total"),
-                                                    F.count_if(~F.col("is_valid")).alias("rejected"))
-    return g.withColumn("reject_rate", F.col("rejected").cast("double") / F.col("total").cast("double"))
+    g = checked.groupBy(F.expr(_device_or_unknown()).alias("device_id")).agg(
+        F.expr("count(1) AS total"), F.expr("count_if(NOT is_valid) AS rejected"))
+    return g.withColumn("reject_rate", F.expr("CAST(rejected AS DOUBLE) / CAST(total AS DOUBLE)"))
 
 
 def dlq_summary(q: DataFrame) -> DataFrame:
-    n = dlq_normalize(q)
-    return n.agg(F.count(F.lit(1)).alias("total_quarantined_events"),
-                 F.count_distinct("error_reason").alias("distinct_reasons"),
-                 F.count_distinct("device_id").alias("distinct_devices"),
-                 F.current_timestamp().alias("last_processed_at"))
+    return dlq_normalize(q).agg(F.expr("count(1) AS total_quarantined_events"),
+                                F.expr("count(DISTINCT error_reason) AS distinct_reasons"),
+                                F.expr("count(DISTINCT device_id) AS distinct_devices"),
+                                F.expr("current_timestamp() AS last_processed_at"))
 
 
 def dlq_threshold(q: DataFrame, n: int = DLQ_ALARM_THRESHOLD) -> DataFrame:
     """Reasons whose count reached the alarm threshold."""
-    return dlq_by_reason(q).filter(F.col("n") >= n)
+    return dlq_by_reason(q).filter(F.expr(f"n >= {int(n)}"))
 
 
 # --- maintenance -----------------------------------------------------------------------------------------------
@@ -235,28 +247,31 @@ class WearLimits:
 WEAR = WearLimits()
 
 
-def _factor(limit) -> Column:
-    return F.lit(Decimal(50) / Decimal(str(limit))).cast("decimal(20,10)")
+def _factor(limit) -> str:
+    return f"CAST({Decimal(50) / Decimal(str(limit))} AS DECIMAL(20,10))"
 
 
-def health_score(acc: Column, hot: Column, lim: WearLimits = WEAR) -> Column:
+def health_score_sql(acc: str = "_acc", hot: str = "high_temp_cycles", lim: WearLimits = WEAR) -> str:
     """``max(0, round(100 - min(50, acc/maxv*50) - min(50, hot/maxh*50), 1))`` in exact decimals."""
-    vib_pen = F.least(F.lit(50).cast("decimal(20,10)"), acc.cast("decimal(28,2)") * _factor(lim.max_accumulated_vibration))
-    hot_pen = F.least(F.lit(50).cast("decimal(20,10)"), hot.cast("decimal(20,0)") * _factor(lim.max_high_temp_cycles))
-    raw = F.lit(100).cast("decimal(20,10)") - vib_pen - hot_pen
-    return F.greatest(F.lit(0).cast("decimal(20,1)"), F.round(raw, 1)).cast("double")
+    vib_pen = f"least(CAST(50 AS DECIMAL(20,10)), CAST({acc} AS DECIMAL(28,2)) * {_factor(lim.max_accumulated_vibration)})"
+    hot_pen = f"least(CAST(50 AS DECIMAL(20,10)), CAST({hot} AS DECIMAL(20,0)) * {_factor(lim.max_high_temp_cycles)})"
+    return (f"CAST(greatest(CAST(0 AS DECIMAL(20,1)), round(CAST(100 AS DECIMAL(20,10)) - {vib_pen} - {hot_pen}, 1))"
+            " AS DOUBLE)")
 
 
-def maintenance_reasons(acc: Column, hot: Column, status: Column, lim: WearLimits = WEAR) -> Column:
-    return text.reason_list(
-        (acc >= F.lit(lim.max_accumulated_vibration),
-         F.concat(F.lit("Excessive Accumulated Vibration ("), text.num(acc),
-                  F.lit(f" >= {text.fnum(lim.max_accumulated_vibration)})"))),
-        (hot >= F.lit(lim.max_high_temp_cycles),
-         F.concat(F.lit("High Temperature Operating Limit ("), hot.cast("string"),
-                  F.lit(f" >= {int(lim.max_high_temp_cycles)} cycles)"))),
-        (status == FAILURE, F.lit(MSG_FAILURE)),
-    )
+def maintenance_reasons_sql(acc: str = "_acc", hot: str = "high_temp_cycles", status: str = "status",
+                            lim: WearLimits = WEAR) -> str:
+    v, h = text.fnum(lim.max_accumulated_vibration), int(lim.max_high_temp_cycles)
+    return text.reason_list_sql([
+        (f"{acc} >= {v}D", f"concat('Excessive Accumulated Vibration (', {text.num_sql(acc)}, {_q(' >= ' + v + ')')})"),
+        (f"{hot} >= {h}", f"concat('High Temperature Operating Limit (', CAST({hot} AS STRING), "
+                          f"{_q(f' >= {h} cycles)')})"),
+        (f"{status} = {_q(FAILURE)}", _q(MSG_FAILURE)),
+    ])
+
+
+# running totals carried between micro-batches
+SNAPSHOT_TOTALS = ["total_cycles", "running_cycles", "_acc", "high_temp_cycles", "high_pressure_cycles", "_failures"]
 
 
 def maintenance_state(df: DataFrame, lim: WearLimits = WEAR, order: str = "arrival_seq",
@@ -271,66 +286,58 @@ def maintenance_state(df: DataFrame, lim: WearLimits = WEAR, order: str = "arriv
     ``prior`` (streaming): a per-device snapshot (see ``maintenance_snapshot``) whose totals are carried into the
     running values of this batch -- the same result as one pass over all batches.
     """
-    norm = normalize(df)
     aggs = {
-        "total_cycles": ("sum", F.lit(1).cast("bigint")),
-        "running_cycles": ("sum", (F.col("status") == RUNNING).cast("bigint")),
-        "_acc": ("sum", exact.dec2(F.col("vibration"))),
-        "high_temp_cycles": ("sum", (F.col("temperature") > lim.hot_temperature).cast("bigint")),
-        "high_pressure_cycles": ("sum", (F.col("pressure") > lim.high_pressure).cast("bigint")),
-        "_failures": ("sum", (F.col("status") == FAILURE).cast("bigint")),
+        "total_cycles": ("sum", "CAST(1 AS BIGINT)"),
+        "running_cycles": ("sum", f"CAST(status = {_q(RUNNING)} AS BIGINT)"),
+        "_acc": ("sum", "CAST(vibration AS DECIMAL(18,2))"),
+        "high_temp_cycles": ("sum", f"CAST(temperature > {text.fnum(lim.hot_temperature)}D AS BIGINT)"),
+        "high_pressure_cycles": ("sum", f"CAST(pressure > {text.fnum(lim.high_pressure)}D AS BIGINT)"),
+        "_failures": ("sum", f"CAST(status = {_q(FAILURE)} AS BIGINT)"),
     }
-    r = scan.running(norm, "device_id", order, aggs, span=span)
+    r = scan.running(normalize(df), "device_id", order, aggs, span=span)
     if prior is not None:
-        p = prior.select("device_id", *[F.col(c).alias(f"_p{c}") for c in SNAPSHOT_TOTALS])
+        p = prior.selectExpr("device_id", *[f"{c} AS _p{c}" for c in SNAPSHOT_TOTALS])
         r = r.join(p, "device_id", "left")
-        for c in SNAPSHOT_TOTALS:
-            r = r.withColumn(c, F.col(c) + F.coalesce(F.col(f"_p{c}"), F.lit(0)))
+        r = r.withColumns({c: F.expr(f"{c} + coalesce(_p{c}, 0)") for c in SNAPSHOT_TOTALS})
         r = r.drop(*[f"_p{c}" for c in SNAPSHOT_TOTALS])
-    acc, hot = F.col("_acc"), F.col("high_temp_cycles")
-    required = ((acc >= F.lit(lim.max_accumulated_vibration)) | (hot >= F.lit(lim.max_high_temp_cycles))
-                | (F.col("_failures") > 0))
-    return r.select(order, "device_id", "event_id", F.col("status").alias("last_status"), "total_cycles",
-                    "running_cycles", acc.cast("double").alias("accumulated_vibration"), "high_temp_cycles",
-                    "high_pressure_cycles", health_score(acc, hot, lim).alias("health_score"),
-                    maintenance_reasons(acc, hot, F.col("status"), lim).alias("reasons"),
-                    required.alias("maintenance_required"), "_acc", "_failures")
-
-
-# running totals carried between micro-batches
-SNAPSHOT_TOTALS = ["total_cycles", "running_cycles", "_acc", "high_temp_cycles", "high_pressure_cycles", "_failures"]
+    required = (f"(_acc >= {text.fnum(lim.max_accumulated_vibration)}D OR high_temp_cycles >= "
+                f"{int(lim.max_high_temp_cycles)} OR _failures > 0)")
+    return r.selectExpr(order, "device_id", "event_id", "status AS last_status", "total_cycles", "running_cycles",
+                        "CAST(_acc AS DOUBLE) AS accumulated_vibration", "high_temp_cycles", "high_pressure_cycles",
+                        f"{health_score_sql(lim=lim)} AS health_score",
+                        f"{maintenance_reasons_sql(lim=lim)} AS reasons", f"{required} AS maintenance_required",
+                        "_acc", "_failures")
 
 
 def maintenance_snapshot(state: DataFrame, prior: DataFrame | None, new_orders: DataFrame,
                          order: str = "arrival_seq", lim: WearLimits = WEAR) -> DataFrame:
     """Next per-device snapshot: the last state row of each device in this batch (it already includes the prior
     totals), devices untouched by the batch carried over, and the work order latched once."""
-    last = state.groupBy("device_id").agg(F.max_by(F.struct(*SNAPSHOT_TOTALS, "last_status"), order).alias("s"))
-    cur = last.select("device_id", *[F.col(f"s.{c}").alias(c) for c in SNAPSHOT_TOTALS + ["last_status"]])
-    orders = new_orders.select("device_id", F.col("reasons").alias("_new_reasons"))
-    cur = cur.join(orders, "device_id", "left")
+    fields = SNAPSHOT_TOTALS + ["last_status"]
+    last = state.groupBy("device_id").agg(F.expr(f"max_by(struct({', '.join(fields)}), {order}) AS s"))
+    cur = last.selectExpr("device_id", *[f"s.{c} AS {c}" for c in fields])
+    cur = cur.join(new_orders.selectExpr("device_id", "reasons AS _new_reasons"), "device_id", "left")
     if prior is not None:
-        old = prior.select("device_id", *[F.col(c).alias(f"_o{c}") for c in SNAPSHOT_TOTALS + ["last_status",
-                                                                                           "maintenance_reasons"]])
+        old = prior.selectExpr("device_id", *[f"{c} AS _o{c}" for c in fields + ["maintenance_reasons"]])
         cur = cur.join(old, "device_id", "full_outer")
-        for c in SNAPSHOT_TOTALS + ["last_status"]:
-            cur = cur.withColumn(c, F.coalesce(F.col(c), F.col(f"_o{c}")))
-        reasons = F.coalesce(F.col("_omaintenance_reasons"), F.col("_new_reasons"))
+        cur = cur.withColumns({c: F.expr(f"coalesce({c}, _o{c})") for c in fields})
+        reasons = "coalesce(_omaintenance_reasons, _new_reasons)"
     else:
-        reasons = F.col("_new_reasons")
-    cur = cur.withColumn("maintenance_reasons", reasons)
-    return cur.select("device_id", *SNAPSHOT_TOTALS, "last_status", "maintenance_reasons")
+        reasons = "_new_reasons"
+    return cur.selectExpr("device_id", *fields, f"{reasons} AS maintenance_reasons")
+
+
+def _lifecycle_cols(lim: WearLimits) -> list[str]:
+    return ["device_id", "total_cycles", "running_cycles", "CAST(_acc AS DOUBLE) AS accumulated_vibration",
+            "high_temp_cycles", "high_pressure_cycles", "last_status",
+            "maintenance_reasons IS NOT NULL AS maintenance_required",
+            "coalesce(maintenance_reasons, CAST(array() AS ARRAY<STRING>)) AS maintenance_reasons",
+            f"{health_score_sql(lim=lim)} AS health_score"]
 
 
 def snapshot_view(snapshot: DataFrame, lim: WearLimits = WEAR) -> DataFrame:
     """The life-cycle-by-device view of a snapshot (same columns as ``lifecycle_by_device``)."""
-    acc = F.col("_acc")
-    return snapshot.select(
-        "device_id", "total_cycles", "running_cycles", acc.cast("double").alias("accumulated_vibration"),
-        "high_temp_cycles", "high_pressure_cycles", "last_status",
-        F.col("maintenance_reasons").isNotNull().alias("maintenance_required"),
-        F.coalesce(F.col("maintenance_reasons"), F.array().cast("array<string>")).alias("maintenance_reasons"),
-        health_score(acc, F.col("high_temp_cycles"), lim).alias("health_score"))
+    return snapshot.selectExpr(*_lifecycle_cols(lim))
 
 
 def work_orders(state: DataFrame, order: str = "arrival_seq", latched: DataFrame | None = None) -> DataFrame:
@@ -338,45 +345,34 @@ def work_orders(state: DataFrame, order: str = "arrival_seq", latched: DataFrame
 
     ``min_by`` over a keyed aggregate: partial aggregation keeps one candidate per device per mapper.
     ``latched``: devices that already have an order (streaming); they get none."""
-    trig = state.filter(F.size("reasons") > 0)
+    trig = state.filter(F.expr("size(reasons) > 0"))
     if latched is not None:
         trig = trig.join(latched.select("device_id"), "device_id", "left_anti")
-    first = trig.groupBy("device_id").agg(F.min_by(F.struct(order, "event_id", "total_cycles", "last_status",
-                                                            "health_score", "reasons"), order).alias("w"))
-    return first.select(
-        F.concat(F.lit("WO-"), F.col("device_id"), F.lit("-"), F.col("w.total_cycles").cast("string"))
-         .alias("work_order_id"),
-        "device_id", F.col("w.event_id").alias("trigger_event_id"),
-        F.when(F.col("w.last_status") == FAILURE, F.lit("HIGH")).otherwise(F.lit("MEDIUM")).alias("priority"),
-        F.col("w.health_score").alias("health_score"), F.col("w.reasons").alias("reasons"),
-        F.current_timestamp().alias("created_at"))
+    first = trig.groupBy("device_id").agg(F.expr(
+        f"min_by(struct({order}, event_id, total_cycles, last_status, health_score, reasons), {order}) AS w"))
+    return first.selectExpr(
+        "concat('WO-', device_id, '-', CAST(w.total_cycles AS STRING)) AS work_order_id", "device_id",
+        "w.event_id AS trigger_event_id",
+        f"CASE WHEN w.last_status = {_q(FAILURE)} THEN 'HIGH' ELSE 'MEDIUM' END AS priority",
+        "w.health_score AS health_score", "w.reasons AS reasons", "current_timestamp() AS created_at")
 
 
 def lifecycle_by_device(df: DataFrame, lim: WearLimits = WEAR, order: str = "arrival_seq",
                         span: int | None = None) -> DataFrame:
     """Final wear state per device: totals are plain keyed aggregates (no scan); the frozen reasons come from the
     device's work order (both sides have one row per device)."""
-    norm = normalize(df)
-    fin = norm.groupBy("device_id").agg(
-        F.count(F.lit(1)).alias("total_cycles"),
-        F.count_if(F.col("status") == RUNNING).alias("running_cycles"),
-        F.sum(exact.dec2(F.col("vibration"))).alias("_acc"),
-        F.count_if(F.col("temperature") > lim.hot_temperature).alias("high_temp_cycles"),
-        F.count_if(F.col("pressure") > lim.high_pressure).alias("high_pressure_cycles"),
-        F.max_by("status", order).alias("last_status"))
-    wo = work_orders(maintenance_state(df, lim, order, span), order).select(
-        "device_id", F.col("reasons").alias("maintenance_reasons"))
-    out = fin.join(wo, "device_id", "left")
-    acc = F.col("_acc")
-    return out.select("device_id", "total_cycles", "running_cycles", acc.cast("double").alias("accumulated_vibration"),
-                      "high_temp_cycles", "high_pressure_cycles", "last_status",
-                      F.col("maintenance_reasons").isNotNull().alias("maintenance_required"),
-                      F.coalesce(F.col("maintenance_reasons"), F.array().cast("array<string>"))
-                       .alias("maintenance_reasons"),
-                      health_score(acc, F.col("high_temp_cycles"), lim).alias("health_score"))
+    fin = normalize(df).groupBy("device_id").agg(*[F.expr(a) for a in (
+        "count(1) AS total_cycles", f"count_if(status = {_q(RUNNING)}) AS running_cycles",
+        "sum(CAST(vibration AS DECIMAL(18,2))) AS _acc",
+        f"count_if(temperature > {text.fnum(lim.hot_temperature)}D) AS high_temp_cycles",
+        f"count_if(pressure > {text.fnum(lim.high_pressure)}D) AS high_pressure_cycles",
+        f"max_by(status, {order}) AS last_status")])
+    wo = work_orders(maintenance_state(df, lim, order, span), order).selectExpr(
+        "device_id", "reasons AS maintenance_reasons")
+    return fin.join(wo, "device_id", "left").selectExpr(*_lifecycle_cols(lim))
 
 
 def lifecycle_summary(by_device: DataFrame) -> DataFrame:
-    return by_device.agg(F.count(F.lit(1)).alias("monitored_devices_count"),
-                         F.count_if(F.col("maintenance_required")).alias("open_work_orders_count"),
-                         F.current_timestamp().alias("updated_at"))
+    return by_device.agg(F.expr("count(1) AS monitored_devices_count"),
+                         F.expr("count_if(maintenance_required) AS open_work_orders_count"),
+                         F.expr("current_timestamp() AS updated_at"))

@@ -13,17 +13,16 @@ REFINED_COLUMNS = ["event_id", "device_id", "event_timestamp", "ingestion_timest
 
 
 def enrich(df: DataFrame, limits: rules.Limits = rules.LIMITS) -> DataFrame:
-    ts = F.col("event_timestamp")
-    parsed = rules.parsed_time(ts) if dict(df.dtypes)["event_timestamp"] == "string" else ts.cast("timestamp")
-    out = df.withColumn("event_timestamp", parsed)
-    for name, expr in rules.alert_flags(limits).items():
-        out = out.withColumn(name, expr)
-    out = out.withColumn("anomaly_level", rules.severity(F.col("temperature"), F.col("pressure"),
-                                                         F.col("vibration"), limits))
-    out = out.withColumnRenamed("status", "machine_status")
-    if "ingestion_timestamp" not in out.columns:
-        out = out.withColumn("ingestion_timestamp", F.current_timestamp())
-    return out.withColumn("processing_timestamp", F.current_timestamp())
+    text_ts = dict(df.dtypes)["event_timestamp"] == "string"
+    cols = {"event_timestamp": F.expr(rules.parsed_time_sql("event_timestamp") if text_ts
+                                      else "CAST(event_timestamp AS TIMESTAMP)")}
+    cols.update(rules.alert_flags(limits))
+    cols["anomaly_level"] = rules.severity(limits)
+    cols["machine_status"] = F.expr("status")
+    if "ingestion_timestamp" not in df.columns:
+        cols["ingestion_timestamp"] = F.expr("current_timestamp()")
+    cols["processing_timestamp"] = F.expr("current_timestamp()")
+    return df.withColumns(cols).drop("status")
 
 
 def project_refined(df: DataFrame, keep_arrival: bool = True) -> DataFrame:

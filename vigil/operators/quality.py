@@ -12,8 +12,9 @@ def check(df: DataFrame, limits: rules.Limits = rules.LIMITS, null_codes: bool =
     """Add ``error_reason`` (failed codes joined by ", ", NULL when valid) and ``is_valid`` (never NULL).
 
     One rule table defines both, so a NULL input fails its rule instead of vanishing from both sides."""
-    return (df.withColumn("is_valid", rules.passes(df.dtypes, limits))
-              .withColumn("error_reason", rules.error_reason(df.dtypes, limits, null_codes)))
+    dtypes = df.dtypes
+    return df.withColumns({"is_valid": rules.passes(dtypes, limits),
+                           "error_reason": rules.error_reason(dtypes, limits, null_codes)})
 
 
 def with_failed_codes(checked: DataFrame) -> DataFrame:

@@ -10,70 +10,68 @@ monotone bucket of the order column (``floor(order / span)``):
 4. an equi-join back on (key, chunk) and a combine (sum: add, min: least, max: greatest).
 
 sum / count / min / max are associative, so the result equals the single-window answer exactly (for decimals and
-integers; for doubles sums are added in a different order). Only the rows are shuffled once, by (key, chunk).
+integers; for doubles sums are added in a different order). Only the rows are shuffled once, by (key, chunk); the
+chunk table has one row per (key, chunk) and is joined back by key (AQE broadcasts it when it is small, measured at
+run time). Expressions are SQL text: one JVM call each while the plan is built.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_SPAN = 1 << 22
 SPAN_CONF = "spark.vigil.scan.span"
 
-_AGG = {"sum": F.sum, "min": F.min, "max": F.max}
-
 
 def default_span(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get(SPAN_CONF, str(DEFAULT_SPAN)))
 
 
-def _combine(kind: str, carry: Column, inner: Column) -> Column:
+def _combine(kind: str, carry: str, inner: str) -> str:
     if kind == "sum":
-        return F.when(carry.isNull(), inner).when(inner.isNull(), carry).otherwise(carry + inner)
-    if kind == "min":
-        return F.least(carry, inner)
-    return F.greatest(carry, inner)
+        return f"CASE WHEN {carry} IS NULL THEN {inner} WHEN {inner} IS NULL THEN {carry} ELSE {carry} + {inner} END"
+    return f"{'least' if kind == 'min' else 'greatest'}({carry}, {inner})"
 
 
-def running(df: DataFrame, key: str | list[str], order: str, aggs: dict[str, tuple[str, Column]],
+def running(df: DataFrame, key: str | list[str], order: str, aggs: dict[str, tuple[str, str | Column]],
             exclusive: bool = False, span: int | None = None) -> DataFrame:
-    """Add one column per ``aggs`` entry: ``name -> (kind, value)`` with kind in sum/min/max, aggregated over the
-    rows of the same key up to and including the current row in ``order`` (``exclusive``: strictly before it).
+    """Add one column per ``aggs`` entry: ``name -> (kind, value)`` with kind in sum/min/max and value a SQL
+    expression (or Column), aggregated over the rows of the same key up to and including the current row in
+    ``order`` (``exclusive``: strictly before it).
 
     ``order`` must be unique within a key (an arrival sequence or similar) for a deterministic frame.
     """
     keys = [key] if isinstance(key, str) else list(key)
     span = span or default_span(df)
-    staged = (df.withColumn("_k", F.struct(*[F.col(k) for k in keys]))
-                .withColumn("_blk", F.floor(F.col(order) / F.lit(float(span))).cast("bigint")))
+    staged_cols: dict[str, Column] = {
+        "_k": F.expr(f"struct({', '.join(keys)})"),
+        "_blk": F.expr(f"CAST(floor({order} / {float(span)!r}D) AS BIGINT)"),
+    }
     for name, (_, value) in aggs.items():
-        staged = staged.withColumn(f"_v_{name}", value)
+        staged_cols[f"_v_{name}"] = F.expr(value) if isinstance(value, str) else value
+    staged = df.withColumns(staged_cols)
 
-    upper = -1 if exclusive else Window.currentRow
-    w_in = Window.partitionBy("_k", "_blk").orderBy(F.col(order)).rowsBetween(Window.unboundedPreceding, upper)
-    inner = staged
-    for name, (kind, _) in aggs.items():
-        inner = inner.withColumn(f"_in_{name}", _AGG[kind](F.col(f"_v_{name}")).over(w_in))
+    upper = "1 PRECEDING" if exclusive else "CURRENT ROW"
+    frame = f"PARTITION BY _k, _blk ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND {upper}"
+    inner = staged.withColumns({f"_in_{n}": F.expr(f"{kind}(_v_{n}) OVER ({frame})") for n, (kind, _) in aggs.items()})
 
-    totals = inner.groupBy("_k", "_blk").agg(*[_AGG[kind](F.col(f"_v_{name}")).alias(f"_t_{name}")
-                                               for name, (kind, _) in aggs.items()])
-    w_carry = Window.partitionBy("_k").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = totals.select("_k", "_blk", *[_AGG[kind](F.col(f"_t_{name}")).over(w_carry).alias(f"_c_{name}")
-                                          for name, (kind, _) in aggs.items()])
+    totals = inner.groupBy("_k", "_blk").agg(*[F.expr(f"{kind}(_v_{n})").alias(f"_t_{n}")
+                                               for n, (kind, _) in aggs.items()])
+    carry_frame = "PARTITION BY _k ORDER BY _blk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    carry = totals.selectExpr("_k", "_blk", *[f"{kind}(_t_{n}) OVER ({carry_frame}) AS _c_{n}"
+                                              for n, (kind, _) in aggs.items()])
 
     joined = inner.join(carry, on=["_k", "_blk"], how="inner")
-    for name, (kind, _) in aggs.items():
-        joined = joined.withColumn(name, _combine(kind, F.col(f"_c_{name}"), F.col(f"_in_{name}")))
-    drop = ["_k", "_blk"] + [f"_{p}_{n}" for n in aggs for p in ("v", "in", "c")]
-    return joined.drop(*drop)
+    out = joined.withColumns({n: F.expr(_combine(kind, f"_c_{n}", f"_in_{n}")) for n, (kind, _) in aggs.items()})
+    return out.drop("_k", "_blk", *[f"_{p}_{n}" for n in aggs for p in ("v", "in", "c")])
 
 
 def sequence(df: DataFrame, key: str | list[str] | None, order: str, name: str = "seq",
              span: int | None = None) -> DataFrame:
     """1-based row number in ``order`` per key (``key=None``: one global sequence), skew-proof."""
     if key is None:
-        df = df.withColumn("_one", F.lit(0))
-        key = "_one"
-    out = running(df, key, order, {name: ("sum", F.lit(1).cast("bigint"))}, span=span)
-    return out.drop("_one") if "_one" in out.columns else out
+        out = running(df.withColumn("_one", F.lit(0)), "_one", order, {name: ("sum", "CAST(1 AS BIGINT)")},
+                      span=span)
+        return out.drop("_one")
+    return running(df, key, order, {name: ("sum", "CAST(1 AS BIGINT)")}, span=span)

@@ -44,3 +44,12 @@ def delete(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     if fs.exists(p):
         fs.delete(p, True)
+
+
+def size_of(spark: SparkSession, path: str) -> tuple[int, int]:
+    """(number of data files, total bytes) under ``path`` (a file or a folder, recursively)."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return 0, 0
+    summary = fs.getContentSummary(p)
+    return int(summary.getFileCount()), int(summary.getLength())
