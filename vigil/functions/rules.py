@@ -121,8 +121,26 @@ def error_reason(dtypes, limits: Limits = LIMITS, null_codes: bool = False) -> C
     return F.expr(error_reason_sql(dtypes, limits, null_codes))
 
 
+def holds_sql(dtypes, limits: Limits = LIMITS) -> list[str]:
+    """Each rule in its positive form: TRUE when it holds, FALSE when it fails, NULL when its input is NULL (a NULL
+    input fails every rule it feeds). ``coalesce(AND of these, FALSE)`` is exactly ``NOT (any failing condition)``
+    but references each input fewer times, which keeps a pushed-down filter small."""
+    text_ts = dict(dtypes).get("event_timestamp", "string") == "string"
+    states = ", ".join(f"'{v}'" for v in VALID_STATUSES)
+    return [
+        "event_id <> ''",
+        "device_id <> ''",
+        f"{parsed_time_sql('event_timestamp')} IS NOT NULL" if text_ts else "event_timestamp IS NOT NULL",
+        f"temperature BETWEEN {_num(limits.temperature_min)} AND {_num(limits.temperature_max)}",  # NaN is above all
+        "pressure >= 0.0D AND NOT isnan(pressure)",
+        "vibration >= 0.0D AND NOT isnan(vibration)",
+        "rpm >= 0",
+        f"status IN ({states})",
+    ]
+
+
 def passes_sql(dtypes, limits: Limits = LIMITS) -> str:
-    return "NOT (" + " OR ".join(cond for _, cond in rule_table(dtypes, limits)) + ")"
+    return "coalesce(" + " AND ".join(f"({h})" for h in holds_sql(dtypes, limits)) + ", false)"
 
 
 def passes(dtypes, limits: Limits = LIMITS) -> Column:
