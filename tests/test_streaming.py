@@ -133,3 +133,23 @@ def test_late_rows_dropped_by_watermark(spark, parts, scratch):
     both = batch.join(emitted.select(*keys, emitted["n"].alias("streamed")), keys)
     assert both.filter("streamed <> n").count() == 0
     assert both.count() == emitted.count() >= batch.count() - 1     # only the last open window may be missing
+
+
+def test_consumer_fan_out(spark, parts, scratch):
+    """All consumers started by name on one session, each with its own checkpoint, over the same replay."""
+    writer = medallion.RefinedWriter(f"{scratch}/out")
+    medallion.start_refined(streams.telemetry_replay(spark, parts), writer, f"{scratch}/ck").awaitTermination()
+    ref = spark.read.parquet(writer.refined_path)
+    ref_stream = spark.readStream.schema(ref.schema).parquet(writer.refined_path)
+    qs = cstream.start_consumers(spark, streams.telemetry_replay(spark, parts), f"{scratch}/c",
+                                 refined_stream=ref_stream)
+    assert set(qs) == set(cstream.NAMES)
+    for q in qs.values():
+        q.awaitTermination()
+        assert q.exception() is None
+    raw = refine.tel.telemetry(spark, SF_SMALL)
+    assert spark.read.json(f"{scratch}/c/alerts").count() == consumers.alerts(raw).count()
+    assert cstream.read_archive(spark, f"{scratch}/c/archive").count() == 1000
+    assert cstream.read_snapshot(spark, f"{scratch}/c/metrics").count() == consumers.device_metrics(raw).count()
+    snap = cstream.read_snapshot(spark, f"{scratch}/c/maintenance/snapshot")
+    assert snap.count() == ref.select("device_id").distinct().count()

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from vigil.functions import text
 from vigil.operators import analytics, consumers, dedup, latest, quality, windows
-from vigil.plans import oracle, refine, stream_runs
+from vigil.plans import oracle, refine, serving, stream_runs
 from vigil.sources import envelope, schemas
 from vigil.sources import telemetry as tel
 
@@ -704,3 +704,17 @@ def q_reprocess_archive(spark, sf):
 @register("dlq_scan_json", oracle.sql("SELECT error_reason, COUNT(*) AS n FROM dlqn GROUP BY error_reason", DLQN))
 def q_dlq_scan_json(spark, sf):
     return consumers.dlq_by_reason(stream_runs.quarantine_json_scan(spark, sf))
+
+
+# --- the serving queries through Spark SQL over temp views --------------------------------------------------------
+
+def _serving(name: str):
+    def run(spark, sf):
+        ref = refine.refined(spark, sf)
+        serving.register_views(ref, latest.current_status(ref))
+        return serving.run(spark, name)
+    return run
+
+
+for _name in serving.SQL:
+    register(f"sql_{_name}", ORACLES[_name])(_serving(_name))
