@@ -52,6 +52,8 @@ def test_refined_stream_equals_batch(spark, parts, scratch):
     q = medallion.start_refined(streams.telemetry_replay(spark, parts), writer, f"{scratch}/ck")
     q.awaitTermination()
     assert len(q.recentProgress) == 4
+    c = writer.last_counts                       # per-batch counts observed without extra jobs
+    assert c["batch_id"] == 3 and c["raw_count"] == c["valid_count"] + c["invalid_count"] == 1000 - 599
     got = spark.read.parquet(writer.refined_path)
     want = refine.refined(spark, SF_SMALL)
     assert rows(got, REFINED_COLS) == rows(want, REFINED_COLS)
@@ -77,6 +79,13 @@ def test_restart_from_checkpoint(spark, scratch):
     assert rows(got, REFINED_COLS) == rows(refine.refined(spark, SF_SMALL), REFINED_COLS)
 
 
+def test_dedup_lookback_prunes_but_keeps_same_day_copies(spark, parts, scratch):
+    writer = medallion.RefinedWriter(f"{scratch}/out", dedup_lookback_days=1)
+    medallion.start_refined(streams.telemetry_replay(spark, parts), writer, f"{scratch}/ck").awaitTermination()
+    got = spark.read.parquet(writer.refined_path)
+    assert got.count() == got.select("event_id").distinct().count() == refine.refined(spark, SF_SMALL).count()
+
+
 def test_replayed_batch_is_idempotent(spark, parts, scratch):
     writer = medallion.RefinedWriter(f"{scratch}/out")
     batch = refine.tel.telemetry(spark, SF_SMALL)
@@ -86,11 +95,9 @@ def test_replayed_batch_is_idempotent(spark, parts, scratch):
 
 
 def test_maintenance_stream_equals_batch(spark, parts, scratch):
-    writer = medallion.RefinedWriter(f"{scratch}/out")
+    maint = cstream.MaintenanceWriter(f"{scratch}/m")
+    writer = medallion.RefinedWriter(f"{scratch}/out", downstream=[maint])
     medallion.start_refined(streams.telemetry_replay(spark, parts), writer, f"{scratch}/ck").awaitTermination()
-    ref = spark.read.parquet(writer.refined_path)
-    ref_stream = spark.readStream.schema(ref.schema).option("maxFilesPerTrigger", "1").parquet(writer.refined_path)
-    cstream.start_maintenance(ref_stream, f"{scratch}/m", f"{scratch}/ck_m").awaitTermination()
     got = consumers.snapshot_view(cstream.read_snapshot(spark, f"{scratch}/m/snapshot"))
     want = consumers.lifecycle_by_device(refine.refined(spark, SF_SMALL))
     cols = ["device_id", "total_cycles", "running_cycles", "accumulated_vibration", "high_temp_cycles",
@@ -100,6 +107,9 @@ def test_maintenance_stream_equals_batch(spark, parts, scratch):
         rows(want.selectExpr("device_id", "concat_ws(';', maintenance_reasons) r"), ["device_id", "r"])
     orders = spark.read.parquet(f"{scratch}/m/work_orders")
     assert orders.count() == orders.select("device_id").distinct().count()   # at most one order per device
+    batch_orders = consumers.work_orders(consumers.maintenance_state(refine.refined(spark, SF_SMALL)))
+    ocols = ["work_order_id", "device_id", "trigger_event_id", "priority", "health_score"]
+    assert rows(orders, ocols) == rows(batch_orders, ocols)
 
 
 def test_metrics_stream_equals_batch(spark, parts, scratch):

@@ -634,7 +634,7 @@ def q_stream_bronze(spark, sf):
 @register("stream_refined", oracle.sql(f"SELECT {REFINED_ORACLE_COLS} FROM refined"))
 def q_stream_refined(spark, sf):
     ref, _ = stream_runs.refined(spark, sf)
-    return ref.drop("ingestion_timestamp", "processing_timestamp", "batch_id")
+    return ref.drop("ingestion_timestamp", "processing_timestamp", "batch_id", "event_date")
 
 
 @register("stream_current_status", oracle.sql(

@@ -31,9 +31,10 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{root}/table")
 
 
-def refined(spark: SparkSession, sf_dir: str, root: str | None = None) -> tuple[DataFrame, medallion.RefinedWriter]:
+def refined(spark: SparkSession, sf_dir: str, root: str | None = None,
+            downstream=()) -> tuple[DataFrame, medallion.RefinedWriter]:
     root = root or scratch_path(spark, "refined")
-    writer = medallion.RefinedWriter(root)
+    writer = medallion.RefinedWriter(root, downstream=downstream)
     _finish(medallion.start_refined(streams.telemetry_replay(spark, sf_dir), writer, f"{root}/_ck"))
     return spark.read.parquet(writer.refined_path), writer
 
@@ -63,14 +64,11 @@ def archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def maintenance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Refined stream -> refined table -> (as a file stream) maintenance writer -> last snapshot."""
+    """Refined writer with the maintenance writer downstream (same micro-batch) -> last snapshot."""
     root = scratch_path(spark, "maintenance")
-    ref, writer = refined(spark, sf_dir, f"{root}/medallion")
-    ref_stream = (spark.readStream.schema(ref.schema).option("maxFilesPerTrigger", "1")
-                       .parquet(writer.refined_path))
-    _finish(cstream.start_maintenance(ref_stream, f"{root}/maint", f"{root}/_ck_m"))
-    snap = cstream.read_snapshot(spark, f"{root}/maint/snapshot")
-    return consumers.snapshot_view(snap)
+    maint = cstream.MaintenanceWriter(f"{root}/maint")
+    refined(spark, sf_dir, f"{root}/medallion", downstream=[maint])
+    return consumers.snapshot_view(cstream.read_snapshot(spark, f"{root}/maint/snapshot"))
 
 
 def late_drop(spark: SparkSession, sf_dir: str) -> DataFrame:

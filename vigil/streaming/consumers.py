@@ -3,10 +3,11 @@
 alerts       stateless: filter + projection -> JSON append sink
 metrics      stateful aggregate per device (complete mode) -> versioned snapshot via foreachBatch
 archive      raw envelope -> JSON sink partitioned by year/month/day
-maintenance  foreachBatch over the refined table as a stream: prior snapshot + this batch -> state rows,
-             new work orders (latched once per device), next snapshot. Arrival-ordered, as the source consumer.
-late demo    watermark + tumbling window in append mode: rows later than the watermark are dropped and counted
-             in the progress metrics (``numRowsDroppedByWatermark``)
+maintenance  MaintenanceWriter: prior snapshot + this batch -> state rows, new work orders (latched once per
+             device), next snapshot. Arrival-ordered, as the source consumer; wire it downstream of the refined
+             writer (same micro-batch) or over an ordered stream of refined rows.
+late demo    watermark + tumbling window in append mode: rows behind the watermark are dropped, not counted
+             (Spark filters late rows against the watermark of the batch before the previous one)
 
 ``start_consumers`` starts any subset by name on one session (fan-out); ``spark.streams.awaitAnyTermination()``
 supervises them.
@@ -119,6 +120,9 @@ class MaintenanceWriter:
 
 def start_maintenance(refined_stream: DataFrame, root: str, checkpoint: str,
                       limits: consumers.WearLimits = consumers.WEAR, available_now: bool = True) -> StreamingQuery:
+    """Maintenance over a stream of refined rows (e.g. a topic, per-device ordered). Over a *file* stream of the
+    refined table, files are not arrival-ordered; there the preferred wiring is
+    ``RefinedWriter(downstream=[MaintenanceWriter(root)])``, which sees each refined micro-batch whole."""
     w = refined_stream.writeStream.foreachBatch(MaintenanceWriter(root, limits)).option("checkpointLocation",
                                                                                          checkpoint)
     return _trigger(w, available_now).start()

@@ -5,9 +5,14 @@ Bronze: parsed readings appended to Parquet with a checkpoint (exactly-once file
 Refined: one ``foreachBatch`` writer drives every sink from a single persisted, checked micro-batch:
 
 * quarantine   -> ``<root>/quarantine/batch_id=<n>``   (overwrite of its own folder: a replayed batch replaces itself)
-* refined      -> ``<root>/refined/batch_id=<n>``      keep-first dedup inside the batch, then (``exact_dedup``)
-                                                       a left-anti join against ids published by earlier batches,
-                                                       read with partition pruning ``batch_id < n``
+* refined      -> ``<root>/refined/batch_id=<n>/event_date=<d>``
+                                                       keep-first dedup inside the batch, then (``exact_dedup``)
+                                                       a left-anti join against ids published by earlier batches
+                                                       (``batch_id < n``). With ``dedup_lookback_days`` only the
+                                                       event days the batch touches (widened by the lookback) are
+                                                       read -- partition pruning keeps the join proportional to the
+                                                       batch, not to the whole history; a re-sent reading carries
+                                                       its original event time, so its copy is on the same day.
 * current state-> ``<root>/current_status/v=<n>``      keyed merge of the previous version and the new rows;
                                                        readers take the highest version
 * counts       -> ``observe`` metrics (raw / valid / invalid) without extra jobs
@@ -18,7 +23,7 @@ is keyed by ``batch_id`` the retry is idempotent.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -44,12 +49,18 @@ class RefinedWriter:
     """``foreachBatch`` callable: checked batch -> quarantine, refined, current-status snapshot."""
 
     def __init__(self, root: str, limits: rules.Limits = rules.LIMITS, exact_dedup: bool = True,
-                 payload_col: str | None = None, keep_versions: int = 3):
+                 payload_col: str | None = None, keep_versions: int = 3, dedup_lookback_days: int | None = None,
+                 downstream=()):
         self.root = root.rstrip("/")
         self.limits = limits
         self.exact_dedup = exact_dedup
+        self.dedup_lookback_days = dedup_lookback_days
         self.payload_col = payload_col
         self.keep_versions = keep_versions
+        self.last_counts: dict = {}
+        # callables (refined_rows_of_this_batch, batch_id) run after the refined write -- e.g. a MaintenanceWriter:
+        # they see exactly this batch's published rows, in the same micro-batch, so arrival order is kept
+        self.downstream = list(downstream)
 
     @property
     def refined_path(self) -> str:
@@ -65,7 +76,10 @@ class RefinedWriter:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        checked = quality.check(batch, self.limits).persist()
+        obs = Observation(f"dq_{batch_id}")
+        checked = quality.check(batch, self.limits).observe(
+            obs, F.count(F.lit(1)).alias("raw_count"), F.count_if(F.col("is_valid")).alias("valid_count"),
+            F.count_if(~F.col("is_valid")).alias("invalid_count")).persist()
         try:
             valid, invalid = quality.split(checked)
             payload = self.payload_col if self.payload_col in batch.columns else None
@@ -76,15 +90,32 @@ class RefinedWriter:
                                        else "event_timestamp")
             if self.exact_dedup and fs.has_data(spark, self.refined_path):
                 seen = spark.read.parquet(self.refined_path).filter(F.col("batch_id") < batch_id)
+                if self.dedup_lookback_days is not None:
+                    seen = seen.filter(self._days_of(firsts))
                 firsts = dedup.anti_seen(firsts, seen)
             refined = enrich.project_refined(enrich.enrich(firsts, self.limits))
             out = f"{self.refined_path}/batch_id={batch_id}"
-            refined.write.mode("overwrite").parquet(out)
-
-            self._merge_status(spark, spark.read.parquet(out), batch_id)
+            (refined.withColumn("event_date", F.to_date("event_timestamp"))
+                    .write.mode("overwrite").partitionBy("event_date").parquet(out))
+
+            published = spark.read.parquet(out).drop("event_date")
+            self._merge_status(spark, published, batch_id)
+            for sink in self.downstream:
+                sink(published, batch_id)
+            self.last_counts = {"batch_id": batch_id, **obs.get}
         finally:
             checked.unpersist()
 
+    def _days_of(self, batch: DataFrame):
+        """Partition filter: the event days present in the batch, widened by the lookback (one small aggregate)."""
+        r = batch.selectExpr("to_date(min(try_to_timestamp(event_timestamp))) AS lo",
+                             "to_date(max(try_to_timestamp(event_timestamp))) AS hi").first()
+        if r["lo"] is None:
+            return F.lit(False)
+        import datetime as dt
+        lo = r["lo"] - dt.timedelta(days=self.dedup_lookback_days)
+        return (F.col("event_date") >= F.lit(lo)) & (F.col("event_date") <= F.lit(r["hi"]))
+
     def _merge_status(self, spark: SparkSession, new_rows: DataFrame, batch_id: int) -> None:
         versions = [v for v in fs.partition_values(spark, self.status_path, "v") if v < batch_id]
         old = spark.read.parquet(f"{self.status_path}/v={versions[-1]}") if versions else None
