@@ -359,17 +359,10 @@ def work_orders(state: DataFrame, order: str = "arrival_seq", latched: DataFrame
 
 def lifecycle_by_device(df: DataFrame, lim: WearLimits = WEAR, order: str = "arrival_seq",
                         span: int | None = None) -> DataFrame:
-    """Final wear state per device: totals are plain keyed aggregates (no scan); the frozen reasons come from the
-    device's work order (both sides have one row per device)."""
-    fin = normalize(df).groupBy("device_id").agg(*[F.expr(a) for a in (
-        "count(1) AS total_cycles", f"count_if(status = {_q(RUNNING)}) AS running_cycles",
-        "sum(CAST(vibration AS DECIMAL(18,2))) AS _acc",
-        f"count_if(temperature > {text.fnum(lim.hot_temperature)}D) AS high_temp_cycles",
-        f"count_if(pressure > {text.fnum(lim.high_pressure)}D) AS high_pressure_cycles",
-        f"max_by(status, {order}) AS last_status")])
-    wo = work_orders(maintenance_state(df, lim, order, span), order).selectExpr(
-        "device_id", "reasons AS maintenance_reasons")
-    return fin.join(wo, "device_id", "left").selectExpr(*_lifecycle_cols(lim))
+    """Final wear state per device: the last state row of each device plus its (first, latched) work order --
+    the same snapshot the streaming writer keeps, built from one scan of the input."""
+    state = maintenance_state(df, lim, order, span)
+    return snapshot_view(maintenance_snapshot(state, None, work_orders(state, order), order, lim), lim)
 
 
 def lifecycle_summary(by_device: DataFrame) -> DataFrame:

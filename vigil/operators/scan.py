@@ -5,14 +5,17 @@ third of all readings would then be a third of the job in one task. Here each ke
 monotone bucket of the order column (``floor(order / span)``):
 
 1. running aggregates inside each (key, chunk) with a window -> each window group has at most ``span`` order values;
-2. chunk totals with an aggregate on the same partitioning (no new shuffle of the rows);
+2. chunk totals with a keyed aggregate (partial + final; the chunk table has one row per (key, chunk));
 3. a running aggregate over the *small* chunk-total table per key (exclusive), giving each chunk's carry-in;
 4. an equi-join back on (key, chunk) and a combine (sum: add, min: least, max: greatest).
 
 sum / count / min / max are associative, so the result equals the single-window answer exactly (for decimals and
-integers; for doubles sums are added in a different order). Only the rows are shuffled once, by (key, chunk); the
-chunk table has one row per (key, chunk) and is joined back by key (AQE broadcasts it when it is small, measured at
-run time). Expressions are SQL text: one JVM call each while the plan is built.
+integers; for doubles sums are added in a different order). The rows are shuffled once, by (key, chunk); the totals
+branch reads only the columns it aggregates and pre-aggregates before its shuffle; the chunk table is joined back by
+(key, chunk) (AQE broadcasts it when it is small, measured at run time). When the input is a computed plan rather than
+a stored table, Spark evaluates it for both branches (column pruning makes them differ, so the exchange is not
+reused); over a stored refined table that is one extra column-pruned scan. Expressions are SQL text: one JVM call
+each while the plan is built.
 """
 
 from __future__ import annotations
@@ -56,8 +59,8 @@ def running(df: DataFrame, key: str | list[str], order: str, aggs: dict[str, tup
     frame = f"PARTITION BY _k, _blk ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND {upper}"
     inner = staged.withColumns({f"_in_{n}": F.expr(f"{kind}(_v_{n}) OVER ({frame})") for n, (kind, _) in aggs.items()})
 
-    totals = inner.groupBy("_k", "_blk").agg(*[F.expr(f"{kind}(_v_{n})").alias(f"_t_{n}")
-                                               for n, (kind, _) in aggs.items()])
+    totals = staged.groupBy("_k", "_blk").agg(*[F.expr(f"{kind}(_v_{n})").alias(f"_t_{n}")
+                                                for n, (kind, _) in aggs.items()])
     carry_frame = "PARTITION BY _k ORDER BY _blk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
     carry = totals.selectExpr("_k", "_blk", *[f"{kind}(_t_{n}) OVER ({carry_frame}) AS _c_{n}"
                                               for n, (kind, _) in aggs.items()])
