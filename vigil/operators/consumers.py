@@ -359,10 +359,15 @@ def work_orders(state: DataFrame, order: str = "arrival_seq", latched: DataFrame
 
 def lifecycle_by_device(df: DataFrame, lim: WearLimits = WEAR, order: str = "arrival_seq",
                         span: int | None = None) -> DataFrame:
-    """Final wear state per device: the last state row of each device plus its (first, latched) work order --
-    the same snapshot the streaming writer keeps, built from one scan of the input."""
+    """Final wear state per device from one scan and one keyed aggregate: the last state row (``max_by``) and the
+    reasons of the first triggering row (``min_by ... FILTER``), i.e. the latched work order."""
     state = maintenance_state(df, lim, order, span)
-    return snapshot_view(maintenance_snapshot(state, None, work_orders(state, order), order, lim), lim)
+    fields = SNAPSHOT_TOTALS + ["last_status"]
+    g = state.groupBy("device_id").agg(
+        F.expr(f"max_by(struct({', '.join(fields)}), {order}) AS s"),
+        F.expr(f"min_by(reasons, {order}) FILTER (WHERE size(reasons) > 0) AS maintenance_reasons"))
+    snap = g.selectExpr("device_id", *[f"s.{c} AS {c}" for c in fields], "maintenance_reasons")
+    return snapshot_view(snap, lim)
 
 
 def lifecycle_summary(by_device: DataFrame) -> DataFrame:
