@@ -58,3 +58,13 @@ def test_plans_shuffle_rows_once(spark, skewed):
     plan = scan.running(skewed, "k", "seq", {"n": ("sum", "CAST(1 AS BIGINT)")}, span=64)
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert text.count("Exchange hashpartitioning(_k") >= 1
+
+
+@pytest.mark.parametrize("span_seconds", [3600, 86400 * 365])
+def test_sessions_equal_session_window(spark, span_seconds):
+    from conftest import SF_SMALL
+    from vigil.plans import refine
+    ref = refine.refined(spark, SF_SMALL)
+    got = windows.sessions(ref, "6 hours", span_seconds=span_seconds)
+    want = windows.sessions_stream(ref, "6 hours")
+    assert sorted(got.collect()) == sorted(want.collect())

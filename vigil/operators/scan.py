@@ -38,12 +38,13 @@ def _combine(kind: str, carry: str, inner: str) -> str:
 
 
 def running(df: DataFrame, key: str | list[str], order: str, aggs: dict[str, tuple[str, str | Column]],
-            exclusive: bool = False, span: int | None = None) -> DataFrame:
+            exclusive: bool = False, span: int | None = None, tiebreak: str | None = None) -> DataFrame:
     """Add one column per ``aggs`` entry: ``name -> (kind, value)`` with kind in sum/min/max and value a SQL
     expression (or Column), aggregated over the rows of the same key up to and including the current row in
     ``order`` (``exclusive``: strictly before it).
 
-    ``order`` must be unique within a key (an arrival sequence or similar) for a deterministic frame.
+    ``order`` (numeric) must be unique within a key for a deterministic frame, or be made unique by ``tiebreak``;
+    chunks are cut on ``order`` alone, so ties never straddle a chunk boundary.
     """
     keys = [key] if isinstance(key, str) else list(key)
     span = span or default_span(df)
@@ -56,7 +57,8 @@ def running(df: DataFrame, key: str | list[str], order: str, aggs: dict[str, tup
     staged = df.withColumns(staged_cols)
 
     upper = "1 PRECEDING" if exclusive else "CURRENT ROW"
-    frame = f"PARTITION BY _k, _blk ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND {upper}"
+    sort = f"{order}, {tiebreak}" if tiebreak else order
+    frame = f"PARTITION BY _k, _blk ORDER BY {sort} ROWS BETWEEN UNBOUNDED PRECEDING AND {upper}"
     inner = staged.withColumns({f"_in_{n}": F.expr(f"{kind}(_v_{n}) OVER ({frame})") for n, (kind, _) in aggs.items()})
 
     totals = staged.groupBy("_k", "_blk").agg(*[F.expr(f"{kind}(_v_{n})").alias(f"_t_{n}")

@@ -1,7 +1,9 @@
 """Event-time windows (tumbling, sliding, session), moving averages over a bounded row frame, late-event flags.
 
 Tumbling / sliding windows are keyed aggregates on ``window()`` (partial + final aggregation, skew-safe) and run
-unchanged on streaming frames with a watermark. Row-frame operators never put a whole device in one task:
+unchanged on streaming frames with a watermark. Batch sessions are built from two prefix scans and a keyed
+aggregate (``session_window`` would sort each device in one task); ``sessions_stream`` is the streaming form.
+Row-frame operators never put a whole device in one task:
 ``moving_avg`` numbers each device's rows with the chunked prefix scan, cuts them into blocks of ``block`` rows and
 copies the last ``n-1`` rows of each block into the next one as a halo, so each window group holds at most
 ``block + n - 1`` rows; ``late_flag`` uses an exclusive prefix max of the event time.
@@ -31,8 +33,29 @@ def sliding(df: DataFrame, width: str = "2 hours", slide: str = "1 hour", ts: st
     return g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), key, "n")
 
 
-def sessions(df: DataFrame, gap: str = "6 hours", ts: str = "event_timestamp", key: str = "device_id") -> DataFrame:
-    """Activity sessions per device: a new session starts after ``gap`` without readings."""
+def sessions(df: DataFrame, gap: str = "6 hours", ts: str = "event_timestamp", key: str = "device_id",
+             tiebreak: str = "arrival_seq", span_seconds: int = 86400) -> DataFrame:
+    """Activity sessions per device: a new session starts when ``gap`` or more passed since the previous reading.
+
+    Batch form built on the chunked prefix scan, so a device with a third of all readings is never sorted in one
+    task: the previous reading's time is an exclusive running max in time order, a gap flag marks session starts,
+    the session number is a running sum of flags, then one keyed aggregate. Same sessions as ``session_window``
+    (whose end is the last reading + gap); ``sessions_stream`` is the streaming form."""
+    gap_us = f"CAST(unix_micros(CAST({ts} AS TIMESTAMP)) - unix_micros(CAST({ts} AS TIMESTAMP) - INTERVAL {gap}) AS BIGINT)"
+    span = int(span_seconds) * 1_000_000
+    timed = df.filter(F.col(ts).isNotNull()).withColumn("_t", F.expr(f"unix_micros(CAST({ts} AS TIMESTAMP))"))
+    prev = scan.running(timed, key, "_t", {"_prev": ("max", "_t")}, exclusive=True, span=span, tiebreak=tiebreak)
+    flagged = prev.withColumn("_new", F.expr(f"CAST(_prev IS NULL OR _t - _prev >= {gap_us} AS BIGINT)"))
+    numbered = scan.running(flagged, key, "_t", {"_sid": ("sum", "_new")}, span=span, tiebreak=tiebreak)
+    g = numbered.groupBy(key, "_sid").agg(F.expr(f"min({ts}) AS session_start"),
+                                          F.expr(f"max({ts}) + INTERVAL {gap} AS session_end"),
+                                          F.expr("count(1) AS n"))
+    return g.select(key, "session_start", "session_end", "n")
+
+
+def sessions_stream(df: DataFrame, gap: str = "6 hours", ts: str = "event_timestamp",
+                    key: str = "device_id") -> DataFrame:
+    """Streaming-legal sessions (``session_window``; needs a watermark on ``ts`` in append mode)."""
     g = df.groupBy(F.session_window(F.col(ts), gap).alias("s"), F.col(key)).agg(F.count(F.lit(1)).alias("n"))
     return g.select(key, F.col("s.start").alias("session_start"), F.col("s.end").alias("session_end"), "n")
 
