@@ -23,17 +23,9 @@ def sum_hundredths(c: Column) -> Column:
     return (F.sum(dec2(c)) * F.lit(100)).cast("bigint")
 
 
-def int_div(a: Column, b: Column) -> Column:
-    """Floor division of non-negative integers, exact for any bigint (no double round trip)."""
-    exact = (a - F.pmod(a, b)).cast("decimal(38,0)") / b.cast("decimal(38,0)")
-    return exact.cast("bigint")
-
-
-def half_up_avg2(s_hundredths: Column, n: Column) -> Column:
-    """From an integer sum of hundredths and a count: the HALF_UP average to 2 dp, as double."""
-    q = int_div(F.abs(s_hundredths) * 2 + n, n * 2)
-    signed = F.when(s_hundredths < 0, -q).otherwise(q)
-    return F.when(n > 0, signed.cast("double") / F.lit(100.0))
+def half_up_avg2(s_hundredths: str, n: str) -> Column:
+    """From the names of an integer sum of hundredths and a count: the HALF_UP average to 2 dp, as double."""
+    return F.expr(half_up_avg2_sql(s_hundredths, n))
 
 
 def exact_mean(c: Column) -> Column:

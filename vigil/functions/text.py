@@ -6,12 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def num(c: Column) -> Column:
-    """Shortest round-trip decimal text of a double (``95.5``, ``100.0``), as Python's ``str(float)``."""
-    return F.format_string("%s", c.cast("double"))
-
-
 def num_sql(c: str) -> str:
+    """Shortest round-trip decimal text of a double (``95.5``, ``100.0``), as Python's ``str(float)``."""
     return f"format_string('%s', CAST({c} AS DOUBLE))"
 
 
@@ -20,22 +16,16 @@ def fnum(x: float) -> str:
     return repr(float(x))
 
 
-def reason_list(*parts: tuple[Column, Column]) -> Column:
-    """``array<string>`` of the messages whose condition holds, in the given order."""
-    return F.array_compact(F.array(*[F.when(cond, msg) for cond, msg in parts]))
-
-
 def reason_list_sql(parts: list[tuple[str, str]]) -> str:
-    """SQL: ``array<string>`` of the messages whose condition holds, in order (``array_compact`` drops the rest)."""
-    return "array_compact(array(" + ", ".join(f"CASE WHEN {c} THEN {m} END" for c, m in parts) + "))"
-
-
-def short_hash_id(prefix: str, c: Column, n: int = 8) -> Column:
-    """Deterministic id: prefix + first ``n`` hex digits of SHA-256 of the text (replays give the same id)."""
-    return F.concat(F.lit(prefix), F.substring(F.sha2(c.cast("string"), 256), 1, n))
+    """SQL: ``array<string>`` of the messages whose condition holds, in order. ``array_except(.., array(NULL))``
+    drops the others and is code-generated (``array_compact`` is a lambda filter that falls back to interpreted
+    evaluation); its set semantics are harmless because the messages of one list are all different."""
+    cases = ", ".join(f"CASE WHEN {c} THEN {m} END" for c, m in parts)
+    return f"array_except(array({cases}), array(CAST(NULL AS STRING)))"
 
 
 def short_hash_id_sql(prefix: str, c: str, n: int = 8) -> str:
+    """Deterministic id: prefix + first ``n`` hex digits of SHA-256 of the text (replays give the same id)."""
     return f"concat('{prefix}', substring(sha2(CAST({c} AS STRING), 256), 1, {int(n)}))"
 
 

@@ -46,11 +46,10 @@ def avg_by_device(refined: DataFrame) -> DataFrame:
         exact.sum_hundredths(F.col("pressure")).alias("_sp"),
         exact.sum_hundredths(F.col("vibration")).alias("_sv"),
         F.count(F.lit(1)).alias("total_measurements"))
-    n = F.col("total_measurements")
     return (sums.select("device_id",
-                        exact.half_up_avg2(F.col("_st"), n).alias("avg_temperature"),
-                        exact.half_up_avg2(F.col("_sp"), n).alias("avg_pressure"),
-                        exact.half_up_avg2(F.col("_sv"), n).alias("avg_vibration"),
+                        exact.half_up_avg2("_st", "total_measurements").alias("avg_temperature"),
+                        exact.half_up_avg2("_sp", "total_measurements").alias("avg_pressure"),
+                        exact.half_up_avg2("_sv", "total_measurements").alias("avg_vibration"),
                         "total_measurements")
                 .orderBy("device_id"))
 

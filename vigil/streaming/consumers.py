@@ -50,7 +50,7 @@ def metrics_aggregate(stream: DataFrame, order: str = "arrival_seq") -> DataFram
 def metrics_view(agg: DataFrame) -> DataFrame:
     out = [F.col("device_id"), F.col("total_events")]
     for m in ("temperature", "pressure", "vibration"):
-        out += [exact.half_up_avg2(F.col(f"_s_{m}"), F.col("total_events")).alias(f"avg_{m}"),
+        out += [exact.half_up_avg2(f"_s_{m}", "total_events").alias(f"avg_{m}"),
                 F.col(f"min_{m}"), F.col(f"max_{m}")]
     return agg.select(*out, "last_event_timestamp")
 

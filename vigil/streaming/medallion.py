@@ -76,6 +76,8 @@ class RefinedWriter:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        if batch.isEmpty():          # nothing arrived: write nothing (reads at most one row)
+            return
         obs = Observation(f"dq_{batch_id}")
         checked = quality.check(batch, self.limits).observe(
             obs, F.count(F.lit(1)).alias("raw_count"), F.count_if(F.col("is_valid")).alias("valid_count"),
