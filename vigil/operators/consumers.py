@@ -232,6 +232,16 @@ def dlq_threshold(q: DataFrame, n: int = DLQ_ALARM_THRESHOLD) -> DataFrame:
     return dlq_by_reason(q).filter(F.expr(f"n >= {int(n)}"))
 
 
+def dlq_alarms(q: DataFrame, n: int = DLQ_ALARM_THRESHOLD, order: str = "arrival_seq",
+               span: int | None = None) -> DataFrame:
+    """The quarantined record at which each reason's count reaches the threshold (when the alarm fires).
+    Per-reason arrival numbers come from the chunked prefix scan, so a reason holding most rejects is not
+    numbered in one task."""
+    seq = scan.sequence(dlq_normalize(q), "error_reason", order, "_n", span=span)
+    return seq.filter(F.expr(f"_n = {int(n)}")).selectExpr("error_reason", f"{order} AS alarm_at", "event_id",
+                                                          "device_id")
+
+
 # --- maintenance -----------------------------------------------------------------------------------------------
 
 @dataclass(frozen=True)
