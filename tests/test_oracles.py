@@ -17,9 +17,8 @@ def con():
     return duck(SF_SMALL)
 
 
-def test_every_query_has_an_oracle_or_is_stateful():
-    missing = set(QUERIES) - set(ORACLES)
-    assert missing <= {"stream_late_drop"}, missing
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry_smoke(spark):

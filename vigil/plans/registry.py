@@ -696,7 +696,18 @@ def q_stream_maintenance(spark, sf):
                                                          text.joined(F.col("maintenance_reasons")))
 
 
-@register("stream_late_drop")
+# One micro-batch over the whole table: nothing is behind the watermark inside it; the closing (no-data) batch then
+# emits exactly the windows whose end is at or before the watermark (latest event time - 10 minutes).
+LATE_SQL = """
+SELECT ws AS window_start, ws + INTERVAL '1 hour' AS window_end, device_id, COUNT(*) AS n
+FROM (SELECT device_id, time_bucket(INTERVAL '1 hour', t) AS ws, t FROM (
+        SELECT device_id, try_strptime(event_timestamp, '%Y-%m-%dT%H:%M:%S.%fZ') AS t FROM telemetry) WHERE t IS NOT NULL)
+GROUP BY ws, device_id
+HAVING ws + INTERVAL '1 hour' <= (SELECT max(try_strptime(event_timestamp, '%Y-%m-%dT%H:%M:%S.%fZ')) FROM telemetry)
+                                 - INTERVAL '10 minutes'"""
+
+
+@register("stream_late_drop", oracle.sql(LATE_SQL))
 def q_stream_late_drop(spark, sf):
     return stream_runs.late_drop(spark, sf)
 
