@@ -1,4 +1,4 @@
-"""Dedup, envelope, consumers, latest-state merge: the reference's unit cases as data plus the extra edge cases."""
+"""Dedup, envelope, consumers, latest-state merge: the source system's unit cases as data plus the extra edge cases."""
 
 from __future__ import annotations
 

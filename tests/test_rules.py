@@ -1,4 +1,4 @@
-"""Data-quality rules, severity and flags: the reference's unit cases as data, every threshold at / just below /
+"""Data-quality rules, severity and flags: the source system's unit cases as data, every threshold at / just below /
 just above its boundary, NULL / NaN / blank / garbage inputs, and the valid + invalid = input invariant."""
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from conftest import readings
 from vigil.functions import rules
 from vigil.operators import enrich, quality
 
-# (case, overrides, expected codes) -- the reference's own validator cases, then the extra ones
+# (case, overrides, expected codes) -- the source system's own validator cases, then the extra ones
 CASES = [
     ("valid", {"temperature": 65.5, "pressure": 4.2, "vibration": 3.1, "rpm": 1500, "status": "RUNNING"}, None),
     ("empty device", {"device_id": ""}, "device_id_null"),
@@ -78,7 +78,7 @@ def test_positive_and_failing_forms_agree(spark):
     assert all(r["is_valid"] == r["by_fails"] for r in out)
 
 
-# (temperature, pressure, vibration) -> severity: the reference's table, then each boundary
+# (temperature, pressure, vibration) -> severity: the source system's table, then each boundary
 SEVERITY = [
     ((60, 4, 3), "NORMAL"), ((80, 4, 3), "WARNING"), ((60, 6, 3), "WARNING"), ((60, 4, 8), "WARNING"),
     ((92.5, 4, 3), "CRITICAL"), ((60, 4, 18), "CRITICAL"), ((60, 8.5, 3), "CRITICAL"),

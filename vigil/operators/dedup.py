@@ -2,7 +2,7 @@
 
 ``dedup_first`` keeps, per key, the row that arrived first. It is written as ``row_number() == 1`` so Catalyst plans a
 ``WindowGroupLimit`` on the map side (at most one row per key per input partition leaves the mapper), which keeps a
-replay storm of one hot id from landing in one task. ``dedup_any`` is the reference's batch-local
+replay storm of one hot id from landing in one task. ``dedup_any`` is the source system's batch-local
 ``dropDuplicates`` (arbitrary survivor, hash aggregate with partial merge).
 """
 
