@@ -163,3 +163,19 @@ def test_consumer_fan_out(spark, parts, scratch):
     assert cstream.read_snapshot(spark, f"{scratch}/c/metrics").count() == consumers.device_metrics(raw).count()
     snap = cstream.read_snapshot(spark, f"{scratch}/c/maintenance/snapshot")
     assert snap.count() == ref.select("device_id").distinct().count()
+
+
+def test_quarantine_keeps_payload_as_received(spark, scratch):
+    """Malformed or invalid messages from the topic are quarantined with their original text."""
+    from vigil.sources import envelope
+    raw = spark.createDataFrame(
+        [(0, "not json at all"), (1, '{"event_id": "e1", "device_id": "MTR-001", "event_timestamp": "2026-09-13T18:30:00Z",'
+          ' "temperature": 60.0, "pressure": 4.0, "vibration": 3.0, "rpm": 1500, "status": "RUNNING"}'),
+         (2, '{"event_id": "e2", "device_id": "MTR-001", "status": "EXPLODED"}')], "arrival_seq long, value string")
+    writer = medallion.RefinedWriter(f"{scratch}/out")
+    writer(envelope.parse(raw), 0)
+    q = {r["arrival_seq"]: r for r in spark.read.parquet(writer.quarantine_path).collect()}
+    assert set(q) == {0, 2}
+    assert q[0]["original_payload"] == "not json at all" and q[0]["event_id"] is None
+    assert q[2]["original_payload"].startswith('{"event_id": "e2"')
+    assert [r["event_id"] for r in spark.read.parquet(writer.refined_path).collect()] == ["e1"]

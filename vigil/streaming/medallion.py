@@ -49,7 +49,7 @@ class RefinedWriter:
     """``foreachBatch`` callable: checked batch -> quarantine, refined, current-status snapshot."""
 
     def __init__(self, root: str, limits: rules.Limits = rules.LIMITS, exact_dedup: bool = True,
-                 payload_col: str | None = None, keep_versions: int = 3, dedup_lookback_days: int | None = None,
+                 payload_col: str | None = "value", keep_versions: int = 3, dedup_lookback_days: int | None = None,
                  downstream=()):
         self.root = root.rstrip("/")
         self.limits = limits
@@ -84,7 +84,8 @@ class RefinedWriter:
             F.count_if(~F.col("is_valid")).alias("invalid_count")).persist()
         try:
             valid, invalid = quality.split(checked)
-            payload = self.payload_col if self.payload_col in batch.columns else None
+            # the payload as received (raw topic text) when the batch carries it, else the row as JSON
+            payload = self.payload_col if self.payload_col and self.payload_col in batch.columns else None
             (quality.quarantine(invalid, payload).write.mode("overwrite")
                     .parquet(f"{self.quarantine_path}/batch_id={batch_id}"))
 
