@@ -25,8 +25,14 @@ def kafka_topic(spark: SparkSession, servers: str, topic: str = "iot-machine-eve
 
 
 def kafka_readings(raw: DataFrame) -> DataFrame:
-    """Topic records -> parsed readings with the broker timestamp, raw text kept for quarantine."""
-    parsed = envelope.parse(raw.select(F.col("value").cast("string").alias("value"),
+    """Topic records -> parsed readings with the broker timestamp, raw text kept for quarantine.
+
+    ``arrival_seq`` is the partition offset: records are keyed by device, so a device's readings (and any re-sent
+    copy of one) share a partition and the offset orders them as they arrived -- what the per-device scans and the
+    keep-first dedup need. ``kafka_partition`` is kept beside it."""
+    parsed = envelope.parse(raw.select(F.col("offset").cast("bigint").alias("arrival_seq"),
+                                       F.col("partition").alias("kafka_partition"),
+                                       F.col("value").cast("string").alias("value"),
                                        F.col("timestamp").alias("kafka_timestamp")))
     return parsed.withColumn("ingestion_timestamp", F.current_timestamp())
 
