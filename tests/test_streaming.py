@@ -179,3 +179,33 @@ def test_quarantine_keeps_payload_as_received(spark, scratch):
     assert q[0]["original_payload"] == "not json at all" and q[0]["event_id"] is None
     assert q[2]["original_payload"].startswith('{"event_id": "e2"')
     assert [r["event_id"] for r in spark.read.parquet(writer.refined_path).collect()] == ["e1"]
+
+
+@pytest.mark.parametrize("seed", [11, 23])
+def test_random_splits_equal_batch(spark, scratch, seed):
+    """Stream end state equals the batch result for a random split of the input into micro-batches."""
+    import random
+    rng = random.Random(seed)
+    cuts = sorted(rng.sample(range(1, 1000), 4))
+    bounds = [0] + cuts + [10 ** 9]
+    folder = f"{scratch}/events"
+    os.makedirs(folder, exist_ok=True)
+    table = pq.read_table(f"{SF_SMALL}/events.parquet")
+    ids = table.column("event_id").to_pylist()
+    now = time.time() - 1000
+    for p in range(len(bounds) - 1):
+        path = f"{folder}/part-{p:03d}.parquet"
+        pq.write_table(table.filter([bounds[p] <= i < bounds[p + 1] for i in ids]), path)
+        os.utime(path, (now + p, now + p))
+    maint = cstream.MaintenanceWriter(f"{scratch}/m")
+    writer = medallion.RefinedWriter(f"{scratch}/out", downstream=[maint])
+    medallion.start_refined(streams.telemetry_replay(spark, folder), writer, f"{scratch}/ck").awaitTermination()
+    want = refine.refined(spark, SF_SMALL)
+    assert rows(spark.read.parquet(writer.refined_path), REFINED_COLS) == rows(want, REFINED_COLS)
+    cols = ["device_id", "last_event_id", "last_event_timestamp"]
+    assert rows(medallion.read_current_status(spark, writer.status_path), cols) == \
+        rows(latest.current_status(want), cols)
+    got = consumers.snapshot_view(cstream.read_snapshot(spark, f"{scratch}/m/snapshot"))
+    mcols = ["device_id", "total_cycles", "accumulated_vibration", "last_status", "maintenance_required",
+             "health_score"]
+    assert rows(got, mcols) == rows(consumers.lifecycle_by_device(want), mcols)
