@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import documents
 from .ngram_join import ngram_components
+from .substring_dedup import substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -23,3 +25,9 @@ def query(name: str):
 @query("op1_ngram_jaccard_join")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(documents(spark, sf_dir), k=3, t=90)
+
+
+@query("op4_substring_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup(documents(spark, sf_dir), window=13)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
