@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents
+from .lm_scoring import held_out_by_id, lattice_scores
 from .ngram_join import ngram_components
 from .packing import pack
+from .sampled_pieces import decode, encode
 from .substring_dedup import substring_dedup
+from .token_counts import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -37,3 +40,21 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_best_fit_packing")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir))
+
+
+@query("op2_lattice_likelihood")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice_scores(documents(spark, sf_dir), held_out_by_id("doc_id", 10, 0))
+
+
+@query("op5_sampled_pieces")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: number and checksum of the sampled ids, and the digest of the text decoded from them."""
+    out = decode(encode(documents(spark, sf_dir), seed=17))
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), F.crc32(F.array_join("ids", " ").cast("binary")).alias("ids_crc32"),
+                      F.sha2("text", 256).alias("decoded_sha256"))
+
+
+@query("op7_token_counts")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(documents(spark, sf_dir))
