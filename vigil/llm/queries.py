@@ -11,6 +11,7 @@ from .common import documents
 from .lm_scoring import held_out_by_id, lattice_scores
 from .ngram_join import ngram_components
 from .packing import pack
+from .quality import quality_scores
 from .sampled_pieces import decode, encode
 from .substring_dedup import substring_dedup
 from .token_counts import token_counts
@@ -58,3 +59,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_token_counts")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir))
+
+
+@query("op10_quality_classifier")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"), held_out_by_id("id", 4, 2))
