@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents
+from .hash_forest import nearest
+from .kd_trees import exact_top
 from .lm_scoring import held_out_by_id, lattice_scores
 from .ngram_join import ngram_components
 from .packing import pack
@@ -64,3 +66,25 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_quality_classifier")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"), held_out_by_id("id", 4, 2))
+
+
+@query("op3_hash_prefix_forest")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 50 == 0, k=5)
+
+
+@query("op8_kd_tree_topk")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_top(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 100 == 0, k=10)
+
+
+ORACLES["op8_kd_tree_topk"] = """
+WITH u AS (SELECT vec_id, generate_subscripts(embedding, 1) AS i, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings WHERE vec_id IS NOT NULL),
+ok AS (SELECT vec_id, count(*) AS n FROM u GROUP BY vec_id HAVING bool_and(coalesce(isfinite(x), false))),
+v AS (SELECT vec_id, n, i, CAST(floor(1024 * x) AS BIGINT) AS y FROM u JOIN ok USING (vec_id)),
+p AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.y * c.y) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.i = c.i AND q.n = c.n AND c.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0 GROUP BY 1, 2),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM p)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
