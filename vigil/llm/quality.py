@@ -99,35 +99,80 @@ def bradley_terry(good: np.ndarray, bad: np.ndarray, pairs: int = PAIRS, penalty
     return w
 
 
+class Model:
+    """worth(f) = weights . f + offset, where 0 is the threshold; constant 1 if ``weights`` is None."""
+
+    def __init__(self, weights: np.ndarray | None, offset: float = 0.0):
+        self.weights, self.offset = weights, offset
+
+    def scores(self, f: np.ndarray) -> np.ndarray:
+        if self.weights is None:
+            return np.ones(len(f))
+        # summed row by row, so that equal texts get equal scores wherever they are
+        worth = (f * self.weights).sum(axis=1) + self.offset
+        return 1 / (1 + np.exp(-np.clip(worth + np.log(CUT / (1 - CUT)), -700, 700)))
+
+
+def _scored(model: Model):
+    schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64())])
+
+    def run(batches):
+        for batch in batches:
+            f = batch.column(2).flatten().to_numpy().reshape(batch.num_rows, -1)
+            yield record_batch(schema, [batch.column(0), batch.column(1), model.scores(f)])
+    return run
+
+
+def _accepted(model: Model, at: int):
+    def run(batches):
+        hasher, kinds = WordHasher(lower=True), _byte_kinds()
+        for batch in batches:
+            data, bounds = text_buffers(batch.column(at))
+            keep = [model.scores(features(data[bounds[i]:bounds[j]], bounds[i:j + 1] - bounds[i], hasher, kinds)) >= CUT for i, j in text_groups(bounds)]
+            if keep:
+                yield batch.filter(pa.array(np.concatenate(keep)))
+    return run
+
+
+def _text_features(docs: DataFrame, held_out: Column, id_col: str, text_col: str) -> DataFrame:
+    own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    return save(own.mapInArrow(_features(), "id long, f array<double>").withColumn("held_out", held_out), "features")
+
+
+def fit(feats: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
+    marks = labels.where("quality in (0, 1)").groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.min("quality").alias("quality"))
+    train = feats.where("not held_out").join(marks, "id")
+    order = train.withColumn("h", F.xxhash64("id", F.lit(11)))
+    rows = [np.array([r.f for r in order.where(F.col("quality") == q).orderBy("h", "id").limit(sample).select("f").collect()]) for q in (1, 0)]
+    if not all(map(len, rows)):
+        return Model(None)
+    both = np.concatenate(rows)
+    mean, scale = both.mean(axis=0), np.maximum(both.std(axis=0), 1e-6)
+    weights = bradley_terry(*((x - mean) / scale for x in rows)) / scale
+    model = Model(weights, -float(mean @ weights))
+    known = train.select("id", "held_out", "f").mapInArrow(_scored(model), "doc_id long, held_out boolean, score double").withColumnRenamed("doc_id", "id").join(marks, "id")
+    share = train.agg(F.avg(1 - F.col("quality"))).first()[0]
+    cut = known.agg(F.percentile_approx("score", F.lit(float(share)), F.lit(10_000))).first()[0]
+    cut = min(max(cut, 1e-300), 1 - 1e-16)
+    return Model(weights, model.offset - float(np.log(cut / (1 - cut)) - np.log(CUT / (1 - CUT))))
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> DataFrame:
-    """(doc_id, held_out, score, predicted) for every row of ``docs``.
+    """(doc_id, held_out, score, predicted) for every row of ``docs``; ``held_out`` is a condition on a column id.
 
     ``labels`` has doc_id and quality (1 good, 0 bad, others and null ignored; of several labels of an id the lowest
     counts); only rows where ``held_out`` is false are learnt from. Scores come from the text alone. Null, empty and
     white-space texts are scored by features that are 0 but for a mark of emptiness. Repeated rows and null ids are
-    kept, the latter unlabelled. Without a label of either kind nothing is known against a text: scores are at least
-    0.7. Other columns are ignored; an empty table gives no rows.
+    kept, the latter unlabelled. Without a label of either kind nothing is known against a text: scores are 1. Other
+    columns are ignored; an empty table gives no rows.
     """
-    own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    feats = save(own.mapInArrow(_features(), "id long, f array<double>"), "features").withColumn("held_out", held_out)
-    marks = labels.where("quality in (0, 1)").groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.min("quality").alias("quality"))
-    train = feats.where("not held_out").join(marks, "id")
-    lowest = train.withColumn("h", F.xxhash64("id", F.lit(11)))
-    rows = [np.array([r.f for r in lowest.where(F.col("quality") == q).orderBy("h", "id").limit(sample).select("f").collect()]) for q in (1, 0)]
-    if all(map(len, rows)):
-        both = np.concatenate(rows)
-        mean, scale = both.mean(axis=0), np.maximum(both.std(axis=0), 1e-6)
-        weights = bradley_terry(*((x - mean) / scale for x in rows)) / scale
-        # w . (f - mean) as an expression over the array, in one pass per row
-        worth = F.expr(f"aggregate(zip_with(f, array({', '.join(f'{w!r}D' for w in weights.tolist())}), (a, b) -> a * b), {-float(mean @ weights)!r}D, (s, x) -> s + x)")
-    else:
-        worth = F.lit(0.0)
-    worths = save(feats.select("id", "held_out", worth.alias("worth")), "worths")
-    known = worths.where("not held_out").join(marks, "id")
-    share = known.agg(F.avg(1 - F.col("quality"))).first()[0]
-    cut = known.agg(F.percentile_approx("worth", F.lit(float(share)), F.lit(10_000))).first()[0] if share else None
-    if cut is None or not all(map(len, rows)):  # one label only, or none
-        score = F.lit(1.0)
-    else:
-        score = 1 / (1 + F.exp(-(F.col("worth") - F.lit(float(cut)) + F.lit(float(np.log(CUT / (1 - CUT)))))))
-    return worths.select(F.col("id").alias("doc_id"), "held_out", score.alias("score")).withColumn("predicted", (F.col("score") >= CUT).cast("int"))
+    feats = _text_features(docs, held_out, id_col, text_col)
+    scored = feats.select("id", "held_out", "f").mapInArrow(_scored(fit(feats, labels, sample)), "doc_id long, held_out boolean, score double")
+    return scored.withColumn("predicted", (F.col("score") >= CUT).cast("int"))
+
+
+def accepted(docs: DataFrame, labels: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> DataFrame:
+    """The rows of ``docs``, all their columns unchanged, that quality_scores() predicts to be good. Each row is
+    judged where it is read: nothing is joined to the texts."""
+    model = fit(_text_features(docs, held_out, id_col, text_col), labels, sample)
+    return docs.mapInArrow(_accepted(model, docs.columns.index(text_col)), docs.schema)

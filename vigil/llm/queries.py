@@ -17,6 +17,7 @@ from .quality import quality_scores
 from .sampled_pieces import decode, encode
 from .substring_dedup import substring_dedup
 from .token_counts import token_counts
+from .url_filter import url_verdicts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -68,6 +69,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"), held_out_by_id("id", 4, 2))
 
 
+@query("op6_url_filter")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_verdicts(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 @query("op3_hash_prefix_forest")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 50 == 0, k=5)
