@@ -2,8 +2,8 @@
 
 Exact for any threshold t (100 * intersection >= t * union):
 
-1. Every text is hashed to its set of distinct shingles; equal sets collapse to one member (a copy group of any size
-   is one row from here on).
+1. Every text is hashed to its set of distinct shingles; equal sets collapse to one member, in each task and then
+   over all (a copy group of any size is one row from here on).
 2. Linked sets share a token among their first |A| - ceil(t|A|/100) + 1 tokens in any common order. The order here:
    shingles of a fixed hash universe first, rarest first (their frequencies are counted over all members), then the
    others by hash. Tokens of one member only are never sent; the rest deals members into blocks.
@@ -32,6 +32,8 @@ from .signature_tree import bitmap, link_group
 #: Members of a block, and shingles of a cluster, that one task takes at a time; larger ones are dealt into pairs of parts.
 BLOCK = 4096
 CLUSTER_TOKENS = 1_000_000
+#: Sets that a task remembers, so as not to send copies of them (only to save work).
+SEEN = 200_000
 
 
 def shingle_sets(data: np.ndarray, bounds: np.ndarray, hasher: WordHasher, k: int) -> list[np.ndarray]:
@@ -50,8 +52,12 @@ def shingle_sets(data: np.ndarray, bounds: np.ndarray, hasher: WordHasher, k: in
     return out
 
 
-def _signatures(k: int, t: int, universe: int):
-    schema = pa.schema([("doc", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("bits", pa.binary()), ("u", pa.list_(pa.int64())), ("extra", pa.list_(pa.int64()))])
+def _digest(tokens: np.ndarray) -> bytes:
+    return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
+
+
+def _sizes(k: int):
+    schema = pa.schema([("doc", pa.int64()), ("n", pa.int64()), ("digest", pa.binary())])
 
     def run(batches):
         hasher = WordHasher(lower=True)
@@ -59,15 +65,29 @@ def _signatures(k: int, t: int, universe: int):
             data, bounds = text_buffers(batch.column(1))
             for i, j in text_groups(bounds, GROUP_BYTES):
                 sets = shingle_sets(data[bounds[i]:bounds[j]], bounds[i:j + 1] - bounds[i], hasher, k)
+                yield record_batch(schema, [batch.column(0)[i:j], [len(s) for s in sets], [_digest(s) for s in sets]])
+    return run
+
+
+def _members(k: int, t: int, universe: int):
+    schema = pa.schema([("digest", pa.binary()), ("n", pa.int64()), ("bits", pa.binary()), ("nu", pa.int64()), ("u", pa.list_(pa.int64())), ("extra", pa.list_(pa.int64()))])
+
+    def run(batches):
+        hasher, seen = WordHasher(lower=True), set()
+        for batch in batches:
+            data, bounds = text_buffers(batch.column(0))
+            for i, j in text_groups(bounds, GROUP_BYTES):
+                digests, sets = [], []
+                for s in shingle_sets(data[bounds[i]:bounds[j]], bounds[i:j + 1] - bounds[i], hasher, k):
+                    if len(s) and (d := _digest(s)) not in seen:  # copies in one task are sent once
+                        if len(seen) < SEEN:
+                            seen.add(d)
+                        digests.append(d)
+                        sets.append(s)
                 u = [s[s % np.uint64(universe) == 0] for s in sets]
-                extra = []
-                for s, own in zip(sets, u):
-                    first = len(s) - (t * len(s) + 99) // 100 + 1 if len(s) else 0
-                    extra.append(s[s % np.uint64(universe) != 0][:max(0, first - len(own))])
-                yield record_batch(schema, [
-                    batch.column(0)[i:j], np.array([len(s) for s in sets], np.int64),
-                    [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], [bitmap(s).tobytes() for s in sets],
-                    list_array([s.view(np.int64) for s in u]), list_array([s.view(np.int64) for s in extra])])
+                extra = [s[s % np.uint64(universe) != 0][:max(0, len(s) - (t * len(s) + 99) // 100 + 1 - len(own))] for s, own in zip(sets, u)]
+                yield record_batch(schema, [digests, [len(s) for s in sets], [bitmap(s).tobytes() for s in sets], [len(x) for x in u],
+                                            list_array([x.view(np.int64) for x in u]), list_array([x.view(np.int64) for x in extra])])
     return run
 
 
@@ -148,15 +168,16 @@ def ngram_components(docs: DataFrame, k: int = 5, t: int = 80, id_col: str = "do
     """
     universe = max(1, 40 // (100 - t)) if t < 100 else 8
     own = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
-    sig = save(own.mapInArrow(_signatures(k, t, universe), "doc long, n long, digest binary, bits binary, u array<long>, extra array<long>")
-               .withColumn("rid", F.monotonically_increasing_id()), "signatures")
-    ident = save(sig.where("n > 0").groupBy("digest").agg(F.min("rid").alias("sid"), F.min("doc").alias("doc0")), "members")
-    members = sig.join(ident.select("sid"), sig.rid == ident.sid).drop("rid")
+    sig = save(own.mapInArrow(_sizes(k), "doc long, n long, digest binary"), "sizes")
+    members = own.select("text").mapInArrow(_members(k, t, universe), "digest binary, n long, bits binary, nu long, u array<long>, extra array<long>")
+    members = save(members.dropDuplicates(["digest"]).withColumn("sid", F.monotonically_increasing_id()), "members")
+    ident = members.select("digest", "sid").join(sig.where("n > 0").groupBy("digest").agg(F.min("doc").alias("doc0")), "digest")
+    ident = save(ident, "named")
 
     tokens = members.select("sid", F.explode("u").alias("h"))
     shared = tokens.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
     rare = tokens.join(shared, "h").groupBy("sid").agg(F.collect_list(F.struct("df", "h")).alias("l"))
-    first = (members.select("sid", "n", "extra", F.size("u").alias("nu")).join(rare, "sid", "left")
+    first = (members.select("sid", "n", "extra", "nu").join(rare, "sid", "left")
              .withColumn("l", F.coalesce("l", F.expr("array()")))
              .select("sid", F.explode(F.expr(f"""concat(
                  transform(slice(array_sort(l), 1, cast(greatest(0L, n - (({t} * n + 99) div 100) + 1 - (nu - size(l))) as int)), x -> x.h), extra)""")).alias("h")))
