@@ -24,7 +24,7 @@ def spark():
 @pytest.fixture
 def scratch(spark):
     from vigil.session import scratch_path
-    return scratch_path(spark, "test")
+    return scratch_path(spark, "test").removeprefix("file:")
 
 
 def readings(spark, rows, with_arrival=True):

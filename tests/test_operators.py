@@ -60,7 +60,7 @@ def test_alert_case(spark):
     assert len(out) == 1
     assert out[0]["severity"] == "CRITICAL"
     assert out[0]["reasons"] == ["Temperature CRITICAL (96.5°C > 90.0°C)"]
-    assert out[0]["alert_id"].startswith("alt-") and len(out[0]["alert_id"]) == 12
+    assert out[0]["alert_id"].startswith("alt-") and len(out[0]["alert_id"]) == 68
 
 
 def test_alert_flagged_only_and_failure(spark):

@@ -8,8 +8,10 @@ from conftest import SF_SMALL
 
 import __spark_entry__ as entry
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+from vigil.plans import registry
+
+QUERIES = registry.QUERIES
+ORACLES = registry.ORACLES
 
 
 @pytest.fixture(scope="module")

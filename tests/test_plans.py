@@ -5,9 +5,9 @@ from __future__ import annotations
 import pytest
 from conftest import SF_SMALL
 
-import __spark_entry__ as entry
+from vigil.plans import registry
 
-QUERIES = entry.queries()
+QUERIES = registry.QUERIES
 BATCH = [n for n in sorted(QUERIES) if not n.startswith(("stream_", "archive_partition_counts", "reprocess_archive",
                                                          "dlq_scan_json"))]
 
@@ -39,3 +39,28 @@ def test_scan_reads_only_needed_columns(spark):
 def test_no_python_evaluation(spark, name):
     plan = executed(spark, name)
     assert "EvalPython" not in plan and "PythonUDF" not in plan
+    assert "RoundRobin" not in plan   # nothing depends on how small the input is
+
+
+SERVED = ["critical_now", "top_temperature", "top_vibration", "total_events", "events_by_status", "events_by_anomaly",
+          "avg_by_device", "alerts_by_device", "anomaly_by_device", "lookup_event", "lookup_device_time", "lookup_metrics",
+          "refined_constraints", "sql_hot_days"]
+
+
+@pytest.mark.parametrize("name", SERVED)
+def test_serving_queries_read_the_stored_table_once(spark, name):
+    plan = executed(spark, name).split("== Initial Plan ==")[0]
+    scans = [line for line in plan.split("\n") if "FileScan parquet" in line]
+    assert len(scans) == 1 and "refined-table" in scans[0]
+    assert "events.parquet" not in plan
+
+
+def test_lookups_reach_the_scan(spark):
+    plan = executed(spark, "lookup_device_time")
+    scan = next(line for line in plan.split("\n") if "FileScan parquet" in line)
+    assert "EqualTo(device_id,MTR-0027)" in scan and "event_date" in scan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
+
+
+@pytest.mark.parametrize("name", ["moving_avg", "work_orders", "maintenance_reasons", "lifecycle_summary", "maintenance_state", "health_scores"])
+def test_running_state_does_not_check_and_dedup_again(spark, name):
+    assert "events.parquet" not in executed(spark, name)

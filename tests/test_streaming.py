@@ -24,6 +24,7 @@ REFINED_COLS = ["arrival_seq", "event_id", "device_id", "event_timestamp", "temp
 
 def write_parts(folder: str, parts=range(len(SPLITS) - 1)) -> None:
     """Parts of the events table by event_id range, with ascending modification times (replay order)."""
+    folder = folder.removeprefix("file:")
     os.makedirs(folder, exist_ok=True)
     table = pq.read_table(f"{SF_SMALL}/events.parquet")
     ids = table.column("event_id").to_pylist()
@@ -79,11 +80,65 @@ def test_restart_from_checkpoint(spark, scratch):
     assert rows(got, REFINED_COLS) == rows(refine.refined(spark, SF_SMALL), REFINED_COLS)
 
 
-def test_dedup_lookback_prunes_but_keeps_same_day_copies(spark, parts, scratch):
-    writer = medallion.RefinedWriter(f"{scratch}/out", dedup_lookback_days=1)
+def reading(i, **other):
+    return {"arrival_seq": i, "event_id": f"evt-{i}", **other}
+
+
+def test_batches_without_publishable_rows(spark, scratch):
+    """All invalid, then valid, then the same again: nothing fails, nothing is published twice, and the writer works
+    on after a restart."""
+    from conftest import readings
+    bad = readings(spark, [reading(i, status="EXPLODED") for i in range(3)])
+    good = readings(spark, [reading(i) for i in range(3, 6)])
+    maint = cstream.MaintenanceWriter(f"{scratch}/m")
+    for batch_id, batch in enumerate([bad, good, good, bad]):
+        writer = medallion.RefinedWriter(f"{scratch}/out", downstream=[maint])   # a restart before every batch
+        writer(batch, batch_id)
+        assert writer.last_counts["batch_id"] == batch_id
+    assert spark.read.parquet(writer.refined_path).count() == 3
+    assert spark.read.parquet(writer.quarantine_path).count() == 6
+    assert medallion.read_current_status(spark, writer.status_path).count() == 1
+    assert [r.total_cycles for r in cstream.read_snapshot(spark, f"{scratch}/m/snapshot").collect()] == [3]
+
+
+def test_another_query_cannot_replace_batches(spark, parts, scratch):
+    writer = medallion.RefinedWriter(f"{scratch}/out")
     medallion.start_refined(streams.telemetry_replay(spark, parts), writer, f"{scratch}/ck").awaitTermination()
-    got = spark.read.parquet(writer.refined_path)
-    assert got.count() == got.select("event_id").distinct().count() == refine.refined(spark, SF_SMALL).count()
+    q = medallion.start_refined(streams.telemetry_replay(spark, parts), writer, f"{scratch}/another")
+    with pytest.raises(Exception, match="holds batches of query"):
+        q.awaitTermination()
+
+
+def test_maintenance_snapshots_are_pruned_and_latched_on_raw_readings(spark, scratch):
+    from conftest import readings
+    maint = cstream.MaintenanceWriter(f"{scratch}/m", keep=2)
+    for b, vibration in enumerate([101.0, -50.0, -50.0, 1.0]):
+        maint(readings(spark, [reading(b, vibration=vibration)]), b)
+    state = spark.read.parquet(f"{scratch}/m/state_rows").orderBy("arrival_seq").collect()
+    assert [r.maintenance_required for r in state] == [True] * 4
+    assert [r.accumulated_vibration for r in state] == [101.0, 51.0, 1.0, 2.0]
+    assert len([x for x in os.listdir(f"{scratch.removeprefix('file:')}/m/snapshot") if x.startswith("v=")]) == 2
+
+
+def test_archive_keeps_the_message_whole(spark, scratch):
+    from vigil.sources import envelope
+    texts = ["not json", '{"event_id": "e1", "unknown": [1, 2], "event_timestamp": "2026-09-13T18:30:00Z"}']
+    raw = spark.createDataFrame(list(enumerate(texts)), "arrival_seq long, value string")
+    got = consumers.archive_records(envelope.parse(raw)).collect()
+    assert [r.raw_text for r in got] == texts and {(r.year, r.month, r.day) for r in got[1:]} == {("2026", "09", "13")}
+
+
+def test_quarantine_can_be_taken_in_again(spark):
+    from conftest import readings
+    from vigil.functions import rules
+    from vigil.operators import quality
+    from vigil.plans import stream_runs
+    import dataclasses
+    raw = readings(spark, [reading(0), reading(1, temperature=250.0), reading(2, status="EXPLODED")])
+    _, invalid = quality.split(quality.check(raw))
+    wider = dataclasses.replace(rules.LIMITS, temperature_max=300.0)
+    again = stream_runs.reprocess_quarantine(spark, quality.quarantine(invalid), wider)
+    assert [r.event_id for r in again.collect()] == ["evt-1"]
 
 
 def test_replayed_batch_is_idempotent(spark, parts, scratch):
@@ -114,7 +169,7 @@ def test_maintenance_stream_equals_batch(spark, parts, scratch):
 
 def test_metrics_stream_equals_batch(spark, parts, scratch):
     cstream.start_metrics(streams.telemetry_replay(spark, parts), f"{scratch}/m", f"{scratch}/ck").awaitTermination()
-    got = cstream.metrics_view(cstream.read_snapshot(spark, f"{scratch}/m"))
+    got = cstream.read_snapshot(spark, f"{scratch}/m")
     want = consumers.device_metrics(refine.tel.telemetry(spark, SF_SMALL))
     cols = ["device_id", "total_events", "avg_temperature", "max_vibration", "last_event_timestamp"]
     assert rows(got, cols) == rows(want, cols)
@@ -127,12 +182,25 @@ def test_stream_dedup_across_batches(spark, parts, scratch):
     assert out.count() == out.select("event_id").distinct().count() == refine.refined(spark, SF_SMALL).count()
 
 
+def test_stream_dedup_loses_nothing_in_small_pieces(spark, scratch):
+    """At the default: 40 pieces of 25 readings, hours-late ones among them, publish each valid id once."""
+    folder = f"{scratch.removeprefix('file:')}/events"
+    os.makedirs(folder)
+    table, now = pq.read_table(f"{SF_SMALL}/events.parquet"), time.time() - 1000
+    for p in range(40):
+        pq.write_table(table.slice(25 * p, 25), f"{folder}/part-{p:03d}.parquet")
+        os.utime(f"{folder}/part-{p:03d}.parquet", (now + p, now + p))
+    medallion.start_stream_dedup(streams.telemetry_replay(spark, folder, 2), f"{scratch}/d", f"{scratch}/ck").awaitTermination()
+    got = spark.read.parquet(f"{scratch}/d").select("event_id")
+    assert rows(got, ["event_id"]) == rows(refine.refined(spark, SF_SMALL), ["event_id"])
+
+
 def test_late_rows_dropped_by_watermark(spark, parts, scratch):
     """A fifth micro-batch re-delivers the first part's readings (days older than the watermark). The stream must
     drop them: every closed window holds exactly the batch count of the original data, none counted twice."""
     import shutil
-    late = f"{parts}/part-999.parquet"
-    shutil.copyfile(f"{parts}/part-000.parquet", late)
+    late = f"{parts}/part-999.parquet".removeprefix("file:")
+    shutil.copyfile(f"{parts}/part-000.parquet".removeprefix("file:"), late)
     os.utime(late, (time.time(), time.time()))
     q = cstream.start_late_demo(streams.telemetry_replay(spark, parts), f"{scratch}/late", f"{scratch}/ck")
     q.awaitTermination()
@@ -189,6 +257,7 @@ def test_random_splits_equal_batch(spark, scratch, seed):
     cuts = sorted(rng.sample(range(1, 1000), 4))
     bounds = [0] + cuts + [10 ** 9]
     folder = f"{scratch}/events"
+    folder = folder.removeprefix("file:")
     os.makedirs(folder, exist_ok=True)
     table = pq.read_table(f"{SF_SMALL}/events.parquet")
     ids = table.column("event_id").to_pylist()

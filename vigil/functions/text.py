@@ -24,9 +24,9 @@ def reason_list_sql(parts: list[tuple[str, str]]) -> str:
     return f"array_except(array({cases}), array(CAST(NULL AS STRING)))"
 
 
-def short_hash_id_sql(prefix: str, c: str, n: int = 8) -> str:
-    """Deterministic id: prefix + first ``n`` hex digits of SHA-256 of the text (replays give the same id)."""
-    return f"concat('{prefix}', substring(sha2(CAST({c} AS STRING), 256), 1, {int(n)}))"
+def hash_id_sql(prefix: str, c: str) -> str:
+    """Deterministic id: prefix + SHA-256 of the text in hex, whole (replays give the same id; no two texts share one)."""
+    return f"concat('{prefix}', sha2(CAST({c} AS STRING), 256))"
 
 
 def joined(c: Column, sep: str = "; ") -> Column:

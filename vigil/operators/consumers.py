@@ -33,6 +33,11 @@ RUNNING = "RUNNING"
 DEFAULT_TOPIC = "iot-machine-events"
 DLQ_ALARM_THRESHOLD = 10
 MSG_FAILURE = "Catastrophic Machine Failure Detected"
+MSG_TEMPERATURE = ("Temperature CRITICAL (", "°C > ", "°C)")
+MSG_VIBRATION = ("Vibration CRITICAL (", " mm/s > ", " mm/s)")
+MSG_PRESSURE = ("Pressure CRITICAL (", " bar > ", " bar)")
+MSG_WEAR_VIBRATION = ("Excessive Accumulated Vibration (", " >= ", ")")
+MSG_WEAR_HEAT = ("High Temperature Operating Limit (", " >= ", " cycles)")
 # -------------------------------------------------------------------------------------------------------
 
 _METRICS = ("temperature", "pressure", "vibration")
@@ -43,6 +48,11 @@ def _q(s: str) -> str:
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _message(value: str, limit: str, words: tuple[str, str, str]) -> str:
+    """SQL: a message of fixed words round the value and its limit."""
+    return f"concat({_q(words[0])}, {value}, {_q(words[1] + limit + words[2])})"
+
+
 def normalize(df: DataFrame) -> DataFrame:
     """Consumer-side coercion: NULL metrics -> 0.0, NULL device/status -> UNKNOWN, status upper-cased."""
     cols = set(df.columns)
@@ -68,30 +78,21 @@ def critical_sql(limits: rules.Limits = rules.LIMITS) -> str:
 
 
 def alert_reasons_sql(limits: rules.Limits = rules.LIMITS) -> str:
-    n = text.fnum
-    parts = [
-        (f"temperature > {n(limits.temperature_critical)}D",
-         f"concat('Temperature CRITICAL (', {text.num_sql('temperature')}, "
-         f"{_q('°C > ' + n(limits.temperature_critical) + '°C)')})"),
-        (f"vibration > {n(limits.vibration_critical)}D",
-         f"concat('Vibration CRITICAL (', {text.num_sql('vibration')}, "
-         f"{_q(' mm/s > ' + n(limits.vibration_critical) + ' mm/s)')})"),
-        (f"pressure > {n(limits.pressure_critical)}D",
-         f"concat('Pressure CRITICAL (', {text.num_sql('pressure')}, "
-         f"{_q(' bar > ' + n(limits.pressure_critical) + ' bar)')})"),
-        (f"status = {_q(FAILURE)}", _q(ALERT_FAILURE)),
-    ]
-    found = text.reason_list_sql(parts)
+    over = [("temperature", limits.temperature_critical, MSG_TEMPERATURE), ("vibration", limits.vibration_critical, MSG_VIBRATION),
+            ("pressure", limits.pressure_critical, MSG_PRESSURE)]
+    parts = [(f"{c} > {text.fnum(limit)}D", _message(text.num_sql(c), text.fnum(limit), words)) for c, limit, words in over]
+    found = text.reason_list_sql([*parts, (f"status = {_q(FAILURE)}", _q(ALERT_FAILURE))])
     return f"CASE WHEN size({found}) > 0 THEN {found} ELSE array({_q(ALERT_FLAGGED)}) END"
 
 
 def alerts(df: DataFrame, limits: rules.Limits = rules.LIMITS) -> DataFrame:
     """Alert records for critical readings (works on streaming frames: no state)."""
-    norm = normalize(df)
     keep = [c for c in ("arrival_seq",) if c in df.columns]
+    unnamed = ", ".join(f"CAST({c} AS STRING)" for c in ("device_id", "event_timestamp", *keep))
+    norm = normalize(df.withColumn("_alert_key", F.expr(f"coalesce(event_id, concat_ws('|', {unnamed}))")))
     return norm.filter(F.expr(critical_sql(limits))).selectExpr(
         *keep,
-        f"{text.short_hash_id_sql('alt-', 'event_id')} AS alert_id",
+        f"{text.hash_id_sql('alt-', '_alert_key')} AS alert_id",
         "device_id", "event_id", f"{_q(rules.CRITICAL)} AS severity", f"{alert_reasons_sql(limits)} AS reasons",
         "named_struct('temperature', temperature, 'pressure', pressure, 'vibration', vibration, 'status', status)"
         " AS metrics",
@@ -138,6 +139,26 @@ def status_distribution(df: DataFrame, nested: bool = False) -> DataFrame:
         F.expr("map_from_entries(collect_list(struct(status, n))) AS status_distribution"))
 
 
+def metrics_by_status(df: DataFrame, order: str = "arrival_seq") -> DataFrame:
+    """The metrics' partial form, one row per (device, status): legal on a stream in complete mode."""
+    return normalize(df).groupBy("device_id", "status").agg(*_metric_aggs(order), F.expr(f"max({order}) AS _last"))
+
+
+def metrics_snapshot(by_status: DataFrame) -> DataFrame:
+    """Per device, from ``metrics_by_status``: the summary and the map of its readings by status."""
+    parts = [f"{'sum' if c[:2] == '_s' else c[:3]}({c}) AS {c}" for m in _METRICS for c in (f"_s_{m}", f"min_{m}", f"max_{m}")]
+    g = by_status.groupBy("device_id").agg(
+        F.expr("map_from_entries(collect_list(struct(status, total_events))) AS status_distribution"),
+        F.expr("sum(total_events) AS total_events"), *map(F.expr, parts), F.expr("max_by(last_event_timestamp, _last) AS last_event_timestamp"))
+    return g.selectExpr(*_metric_view(["device_id"]), "last_event_timestamp", "status_distribution")
+
+
+def fleet_of(snapshot: DataFrame) -> DataFrame:
+    """The fleet's totals from a metrics snapshot."""
+    return snapshot.agg(F.expr("coalesce(sum(total_events), 0) AS total_processed_events"), F.expr("count(1) AS total_active_devices"),
+                        F.expr("current_timestamp() AS generated_at"))
+
+
 def fleet_summary(df: DataFrame) -> DataFrame:
     return normalize(df).agg(F.expr("count(1) AS total_processed_events"),
                              F.expr("count(DISTINCT device_id) AS total_active_devices"),
@@ -159,17 +180,20 @@ def running_metrics(df: DataFrame, order: str = "arrival_seq", span: int | None
 
 def with_date_parts(df: DataFrame, ts: str, fallback: str | None = None) -> DataFrame:
     """Zero-padded ``year``/``month``/``day`` strings of the UTC calendar day; ``fallback`` when ts is NULL."""
-    t = f"coalesce({ts}, {fallback or 'current_timestamp()'})"
+    t = f"to_utc_timestamp(coalesce({ts}, {fallback or 'current_timestamp()'}), current_timezone())"
     return df.withColumns({"year": F.expr(f"date_format({t}, 'yyyy')"), "month": F.expr(f"date_format({t}, 'MM')"),
                            "day": F.expr(f"date_format({t}, 'dd')")})
 
 
 def archive_records(df: DataFrame, topic: str = DEFAULT_TOPIC, fallback: str | None = None) -> DataFrame:
-    """Envelope ``_ingested_at, _source_topic, raw_payload`` + partition columns (the raw event is kept whole)."""
+    """Envelope ``_ingested_at, _source_topic, raw_text, raw_payload`` + partition columns. ``raw_text`` is the message
+    as received where the frame has it (``value``), else the reading as JSON; unknown fields and malformed messages
+    are in it whole."""
     payload_cols = [c for c in df.columns if c not in ("value", "kafka_timestamp", "ingestion_timestamp")]
+    raw = "CAST(value AS STRING)" if "value" in df.columns else f"to_json(struct({', '.join(payload_cols)}))"
     parsed = (rules.parsed_time_sql("event_timestamp") if dict(df.dtypes)["event_timestamp"] == "string"
               else "CAST(event_timestamp AS TIMESTAMP)")
-    out = df.selectExpr("current_timestamp() AS _ingested_at", f"{_q(topic)} AS _source_topic",
+    out = df.selectExpr("current_timestamp() AS _ingested_at", f"{_q(topic)} AS _source_topic", f"{raw} AS raw_text",
                         f"struct({', '.join(payload_cols)}) AS raw_payload", f"{parsed} AS _ts")
     return with_date_parts(out, "_ts", fallback).drop("_ts")
 
@@ -200,6 +224,21 @@ def dlq_records(q: DataFrame, order: str = "arrival_seq", span: int | None = Non
                           "error_reason", "current_timestamp() AS processed_at")
 
 
+def dlq_counts(q: DataFrame) -> DataFrame:
+    """Rejects per (reason, device): the statistics' partial form, legal on a stream in complete mode."""
+    return dlq_normalize(q).groupBy("error_reason", "device_id").agg(F.expr("count(1) AS n"))
+
+
+def dlq_views(counts: DataFrame) -> dict[str, DataFrame]:
+    """The snapshots that ``dlq_counts`` gives."""
+    return {
+        "by_reason": counts.groupBy("error_reason").agg(F.expr("sum(n) AS n")),
+        "by_device": counts.groupBy("device_id").agg(F.expr("sum(n) AS n")),
+        "summary": counts.agg(F.expr("coalesce(sum(n), 0) AS total_quarantined_events"), F.expr("count(DISTINCT error_reason) AS distinct_reasons"),
+                              F.expr("count(DISTINCT device_id) AS distinct_devices"), F.expr("current_timestamp() AS last_processed_at")),
+    }
+
+
 def dlq_by_reason(q: DataFrame) -> DataFrame:
     return dlq_normalize(q).groupBy("error_reason").agg(F.expr("count(1) AS n"))
 
@@ -273,9 +312,8 @@ def maintenance_reasons_sql(acc: str = "_acc", hot: str = "high_temp_cycles", st
                             lim: WearLimits = WEAR) -> str:
     v, h = text.fnum(lim.max_accumulated_vibration), int(lim.max_high_temp_cycles)
     return text.reason_list_sql([
-        (f"{acc} >= {v}D", f"concat('Excessive Accumulated Vibration (', {text.num_sql(acc)}, {_q(' >= ' + v + ')')})"),
-        (f"{hot} >= {h}", f"concat('High Temperature Operating Limit (', CAST({hot} AS STRING), "
-                          f"{_q(f' >= {h} cycles)')})"),
+        (f"{acc} >= {v}D", _message(text.num_sql(acc), v, MSG_WEAR_VIBRATION)),
+        (f"{hot} >= {h}", _message(f"CAST({hot} AS STRING)", str(h), MSG_WEAR_HEAT)),
         (f"{status} = {_q(FAILURE)}", _q(MSG_FAILURE)),
     ])
 
@@ -289,9 +327,8 @@ def maintenance_state(df: DataFrame, lim: WearLimits = WEAR, order: str = "arriv
     """Wear state after each reading, per device, in arrival order.
 
     One skew-proof prefix scan computes every running quantity, including the number of FAILURE readings so far.
-    Accumulated vibration and the hot-cycle count never decrease when vibration is non-negative (guaranteed on the
-    refined layer by the quality rules), so "a work order exists" at a row is simply: a limit is reached or a
-    failure was seen up to that row -- no second pass or join.
+    Hot cycles and failures never decrease. Accumulated vibration may (raw readings can be negative), so its running
+    peak is scanned too: once a limit was reached, "a work order exists" stays true whatever follows.
 
     ``prior`` (streaming): a per-device snapshot (see ``maintenance_snapshot``) whose totals are carried into the
     running values of this batch -- the same result as one pass over all batches.
@@ -300,30 +337,31 @@ def maintenance_state(df: DataFrame, lim: WearLimits = WEAR, order: str = "arriv
         "total_cycles": ("sum", "CAST(1 AS BIGINT)"),
         "running_cycles": ("sum", f"CAST(status = {_q(RUNNING)} AS BIGINT)"),
         "_acc": ("sum", "CAST(vibration AS DECIMAL(18,2))"),
+        "_peak": ("peak", "CAST(vibration AS DECIMAL(18,2))"),
         "high_temp_cycles": ("sum", f"CAST(temperature > {text.fnum(lim.hot_temperature)}D AS BIGINT)"),
         "high_pressure_cycles": ("sum", f"CAST(pressure > {text.fnum(lim.high_pressure)}D AS BIGINT)"),
         "_failures": ("sum", f"CAST(status = {_q(FAILURE)} AS BIGINT)"),
     }
     r = scan.running(normalize(df), "device_id", order, aggs, span=span)
     if prior is not None:
-        p = prior.selectExpr("device_id", *[f"{c} AS _p{c}" for c in SNAPSHOT_TOTALS])
+        p = prior.selectExpr("device_id", "_peak AS _p_peak", *[f"{c} AS _p{c}" for c in SNAPSHOT_TOTALS])
         r = r.join(p, "device_id", "left")
-        r = r.withColumns({c: F.expr(f"{c} + coalesce(_p{c}, 0)") for c in SNAPSHOT_TOTALS})
-        r = r.drop(*[f"_p{c}" for c in SNAPSHOT_TOTALS])
-    required = (f"(_acc >= {text.fnum(lim.max_accumulated_vibration)}D OR high_temp_cycles >= "
+        r = r.withColumns({c: F.expr(f"{c} + coalesce(_p{c}, 0)") for c in SNAPSHOT_TOTALS} | {"_peak": F.expr("greatest(_peak + coalesce(_p_acc, 0), _p_peak)")})
+        r = r.drop("_p_peak", *[f"_p{c}" for c in SNAPSHOT_TOTALS])
+    required = (f"(_peak >= {text.fnum(lim.max_accumulated_vibration)}D OR high_temp_cycles >= "
                 f"{int(lim.max_high_temp_cycles)} OR _failures > 0)")
     return r.selectExpr(order, "device_id", "event_id", "status AS last_status", "total_cycles", "running_cycles",
                         "CAST(_acc AS DOUBLE) AS accumulated_vibration", "high_temp_cycles", "high_pressure_cycles",
                         f"{health_score_sql(lim=lim)} AS health_score",
                         f"{maintenance_reasons_sql(lim=lim)} AS reasons", f"{required} AS maintenance_required",
-                        "_acc", "_failures")
+                        "_acc", "_peak", "_failures")
 
 
 def maintenance_snapshot(state: DataFrame, prior: DataFrame | None, new_orders: DataFrame,
                          order: str = "arrival_seq", lim: WearLimits = WEAR) -> DataFrame:
     """Next per-device snapshot: the last state row of each device in this batch (it already includes the prior
     totals), devices untouched by the batch carried over, and the work order latched once."""
-    fields = SNAPSHOT_TOTALS + ["last_status"]
+    fields = SNAPSHOT_TOTALS + ["_peak", "last_status"]
     last = state.groupBy("device_id").agg(F.expr(f"max_by(struct({', '.join(fields)}), {order}) AS s"))
     cur = last.selectExpr("device_id", *[f"s.{c} AS {c}" for c in fields])
     cur = cur.join(new_orders.selectExpr("device_id", "reasons AS _new_reasons"), "device_id", "left")

@@ -27,11 +27,15 @@ def dedup_any(df: DataFrame, key: str | list[str] = "event_id") -> DataFrame:
 
 
 def dedup_stream(df: DataFrame, key: str = "event_id", event_time: str = "event_ts",
-                 delay: str = "10 minutes") -> DataFrame:
-    """Cross-micro-batch dedup with state bounded by the watermark (streaming frames)."""
+                 delay: str | None = None) -> DataFrame:
+    """Cross-micro-batch dedup of a streaming frame. Without ``delay`` it is exact however the input is cut: the
+    state store keeps every key (RocksDB, on disk, written incrementally), and no history is read. With ``delay`` the
+    state is bounded by the watermark, and rows later than that are dropped by Spark, duplicates or not."""
+    if delay is None:
+        return df.dropDuplicates([key])
     return df.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
 
 
 def anti_seen(batch: DataFrame, seen_keys: DataFrame, key: str = "event_id") -> DataFrame:
     """Drop rows whose key was already published (exact "ever seen" check via a left-anti join)."""
-    return batch.join(seen_keys.select(key).distinct(), on=key, how="left_anti")
+    return batch.join(seen_keys.select(key), on=key, how="left_anti")

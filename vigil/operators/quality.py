@@ -50,10 +50,9 @@ def split_counts(checked: DataFrame) -> DataFrame:
 def constraint_violations(df: DataFrame, key: str, required: list[str]) -> DataFrame:
     """Integrity checks of a serving table: duplicate keys and NULLs in required columns, as one row.
 
-    Duplicate keys are found by a keyed aggregate (partial aggregation, skew-safe), never by collecting keys.
+    One keyed aggregate (partial, skew-safe) carries each key's count and NULL counts; one global sum ends it.
+    NULL keys count as NULLs, not as duplicates of each other.
     """
-    dup = (df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-             .agg(F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n") - 1)), F.lit(0)).cast("bigint")
-                  .alias("duplicate_keys")))
-    nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in required])
-    return dup.crossJoin(nulls)  # 1 row x 1 row
+    by_key = df.groupBy(key).agg(F.count(key).alias("_n"), *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in required])
+    return by_key.agg(F.coalesce(F.sum(F.greatest(F.col("_n") - 1, F.lit(0))), F.lit(0)).cast("bigint").alias("duplicate_keys"),
+                      *[F.coalesce(F.sum(f"null_{c}"), F.lit(0)).cast("bigint").alias(f"null_{c}") for c in required])

@@ -39,8 +39,8 @@ def _combine(kind: str, carry: str, inner: str) -> str:
 
 def running(df: DataFrame, key: str | list[str], order: str, aggs: dict[str, tuple[str, str | Column]],
             exclusive: bool = False, span: int | None = None, tiebreak: str | None = None) -> DataFrame:
-    """Add one column per ``aggs`` entry: ``name -> (kind, value)`` with kind in sum/min/max and value a SQL
-    expression (or Column), aggregated over the rows of the same key up to and including the current row in
+    """Add one column per ``aggs`` entry: ``name -> (kind, value)`` with kind in sum/min/max/peak (the greatest
+    running sum so far; inclusive frames only) and value a SQL expression (or Column), aggregated over the rows of the same key up to and including the current row in
     ``order`` (``exclusive``: strictly before it).
 
     ``order`` (numeric) must be unique within a key for a deterministic frame, or be made unique by ``tiebreak``;
@@ -48,6 +48,7 @@ def running(df: DataFrame, key: str | list[str], order: str, aggs: dict[str, tup
     """
     keys = [key] if isinstance(key, str) else list(key)
     span = span or default_span(df)
+    peaks = {n for n, (kind, _) in aggs.items() if kind == "peak"}
     staged_cols: dict[str, Column] = {
         "_k": F.expr(f"struct({', '.join(keys)})"),
         "_blk": F.expr(f"CAST(floor({order} / {float(span)!r}D) AS BIGINT)"),
@@ -59,17 +60,24 @@ def running(df: DataFrame, key: str | list[str], order: str, aggs: dict[str, tup
     upper = "1 PRECEDING" if exclusive else "CURRENT ROW"
     sort = f"{order}, {tiebreak}" if tiebreak else order
     frame = f"PARTITION BY _k, _blk ORDER BY {sort} ROWS BETWEEN UNBOUNDED PRECEDING AND {upper}"
-    inner = staged.withColumns({f"_in_{n}": F.expr(f"{kind}(_v_{n}) OVER ({frame})") for n, (kind, _) in aggs.items()})
-
-    totals = staged.groupBy("_k", "_blk").agg(*[F.expr(f"{kind}(_v_{n})").alias(f"_t_{n}")
-                                                for n, (kind, _) in aggs.items()])
+    plain = {n: "sum" if n in peaks else kind for n, (kind, _) in aggs.items()}
+    inner = staged.withColumns({f"_in_{n}": F.expr(f"{kind}(_v_{n}) OVER ({frame})") for n, kind in plain.items()})
+    if peaks:  # the running sum's own running maximum within the chunk, over the same frame
+        inner = inner.withColumns({f"_pk_{n}": F.expr(f"max(_in_{n}) OVER ({frame})") for n in peaks})
+
+    # a chunk's totals; its peak is that of its rows' running sums, so those are aggregated then
+    totals = (inner if peaks else staged).groupBy("_k", "_blk").agg(
+        *[F.expr(f"{kind}(_v_{n})").alias(f"_t_{n}") for n, kind in plain.items()],
+        *[F.expr(f"max(_in_{n})").alias(f"_tp_{n}") for n in peaks])
     carry_frame = "PARTITION BY _k ORDER BY _blk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
-    carry = totals.selectExpr("_k", "_blk", *[f"{kind}(_t_{n}) OVER ({carry_frame}) AS _c_{n}"
-                                              for n, (kind, _) in aggs.items()])
+    carry = totals.selectExpr("*", *[f"{kind}(_t_{n}) OVER ({carry_frame}) AS _c_{n}" for n, kind in plain.items()])
+    carry = carry.selectExpr("_k", "_blk", *[f"_c_{n}" for n in plain],
+                             *[f"max(coalesce(_c_{n}, 0) + _tp_{n}) OVER ({carry_frame}) AS _cp_{n}" for n in peaks])
 
     joined = inner.join(carry, on=["_k", "_blk"], how="inner")
-    out = joined.withColumns({n: F.expr(_combine(kind, f"_c_{n}", f"_in_{n}")) for n, (kind, _) in aggs.items()})
-    return out.drop("_k", "_blk", *[f"_{p}_{n}" for n in aggs for p in ("v", "in", "c")])
+    out = joined.withColumns({n: F.expr(f"greatest(_cp_{n}, coalesce(_c_{n}, 0) + _pk_{n})" if n in peaks else _combine(kind, f"_c_{n}", f"_in_{n}"))
+                              for n, kind in plain.items()})
+    return out.drop("_k", "_blk", *[f"_{p}_{n}" for n in aggs for p in ("v", "in", "c", "pk", "cp")])
 
 
 def sequence(df: DataFrame, key: str | list[str] | None, order: str, name: str = "seq",

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from vigil.functions import text
 from vigil.operators import analytics, consumers, dedup, latest, quality, windows
-from vigil.plans import oracle, refine, serving, stream_runs
+from vigil.plans import oracle, refine, serving, store, stream_runs
 from vigil.sources import envelope, schemas
 from vigil.sources import telemetry as tel
 
@@ -48,6 +48,9 @@ REFINED_ORACLE_COLS = ("arrival_seq, event_id, device_id, event_timestamp, tempe
                        "machine_status, anomaly_level, temperature_alert, pressure_alert, vibration_alert")
 
 
+REFINED_COLUMNS = [c.strip() for c in REFINED_ORACLE_COLS.split(",")]
+
+
 @register("refined", oracle.sql(f"SELECT {REFINED_ORACLE_COLS} FROM refined"))
 def q_refined(spark, sf):
     return refine.refined(spark, sf).drop("ingestion_timestamp", "processing_timestamp")
@@ -140,38 +143,38 @@ def q_event_time_parse(spark, sf):
     "SELECT device_id, last_event_timestamp, temperature, pressure, vibration, anomaly_level FROM current_status "
     "WHERE anomaly_level = 'CRITICAL'"))
 def q_critical_now(spark, sf):
-    return analytics.critical_now(latest.current_status(refine.refined(spark, sf)))
+    return analytics.critical_now(latest.current_status(store.refined_table(spark, sf)))
 
 
 @register("top_temperature", oracle.sql(
     "SELECT device_id, event_id, event_timestamp, temperature, anomaly_level FROM refined "
     "ORDER BY temperature DESC, event_id LIMIT 5"))
 def q_top_temperature(spark, sf):
-    return analytics.top_by(refine.refined(spark, sf), "temperature")
+    return analytics.top_by(store.refined_table(spark, sf), "temperature")
 
 
 @register("top_vibration", oracle.sql(
     "SELECT device_id, event_id, event_timestamp, vibration, anomaly_level FROM refined "
     "ORDER BY vibration DESC, event_id LIMIT 5"))
 def q_top_vibration(spark, sf):
-    return analytics.top_by(refine.refined(spark, sf), "vibration")
+    return analytics.top_by(store.refined_table(spark, sf), "vibration")
 
 
 @register("total_events", oracle.sql("SELECT COUNT(*) AS total_processed_events FROM refined"))
 def q_total_events(spark, sf):
-    return analytics.total_events(refine.refined(spark, sf))
+    return analytics.total_events(store.refined_table(spark, sf))
 
 
 @register("events_by_status", oracle.sql(
     "SELECT machine_status, COUNT(*) AS event_count FROM refined GROUP BY machine_status"))
 def q_events_by_status(spark, sf):
-    return analytics.count_by(refine.refined(spark, sf), "machine_status")
+    return analytics.count_by(store.refined_table(spark, sf), "machine_status")
 
 
 @register("events_by_anomaly", oracle.sql(
     "SELECT anomaly_level, COUNT(*) AS event_count FROM refined GROUP BY anomaly_level"))
 def q_events_by_anomaly(spark, sf):
-    return analytics.count_by(refine.refined(spark, sf), "anomaly_level")
+    return analytics.count_by(store.refined_table(spark, sf), "anomaly_level")
 
 
 AVG2 = ("CAST(CASE WHEN s{x} < 0 THEN -((2 * (-s{x}) + n) // (2 * n)) ELSE (2 * s{x} + n) // (2 * n) END AS DOUBLE)"
@@ -190,7 +193,7 @@ def _avg2(x: str, name: str) -> str:
     " CAST(SUM(CAST(vibration AS DECIMAL(18,2))) * 100 AS BIGINT) AS sv, COUNT(*) AS n"
     " FROM refined GROUP BY device_id)"))
 def q_avg_by_device(spark, sf):
-    return analytics.avg_by_device(refine.refined(spark, sf))
+    return analytics.avg_by_device(store.refined_table(spark, sf))
 
 
 @register("alerts_by_device", oracle.sql(
@@ -200,7 +203,7 @@ def q_avg_by_device(spark, sf):
     " COUNT(*) FILTER (WHERE temperature_alert OR pressure_alert OR vibration_alert) AS total_alerts"
     " FROM refined GROUP BY device_id"))
 def q_alerts_by_device(spark, sf):
-    return analytics.alerts_by_device(refine.refined(spark, sf))
+    return analytics.alerts_by_device(store.refined_table(spark, sf))
 
 
 @register("anomaly_by_device", oracle.sql(
@@ -208,7 +211,7 @@ def q_alerts_by_device(spark, sf):
     " COUNT(*) FILTER (WHERE anomaly_level = 'WARNING') AS warning_count,"
     " COUNT(*) FILTER (WHERE anomaly_level = 'CRITICAL') AS critical_count FROM refined GROUP BY device_id"))
 def q_anomaly_by_device(spark, sf):
-    return analytics.anomaly_by_device(refine.refined(spark, sf))
+    return analytics.anomaly_by_device(store.refined_table(spark, sf))
 
 
 @register("rejected_total", oracle.sql("SELECT COUNT(*) AS rejected_events FROM quarantine"))
@@ -220,7 +223,7 @@ def q_rejected_total(spark, sf):
     "SELECT device_id, last_event_id, last_event_timestamp, temperature, pressure, vibration, rpm, machine_status,"
     " anomaly_level FROM current_status"))
 def q_current_status(spark, sf):
-    return latest.current_status(refine.refined(spark, sf)).drop("updated_at")
+    return latest.current_status(store.refined_table(spark, sf)).drop("updated_at")
 
 
 # --- shared SQL fragments ---------------------------------------------------------------------------------------
@@ -285,7 +288,7 @@ def q_normalize_consumer_input(spark, sf):
 
 
 ALERTS_SQL = """
-SELECT 'alt-' || substr(sha256(event_id), 1, 8) AS alert_id, device_id, event_id, 'CRITICAL' AS severity,
+SELECT 'alt-' || sha256(event_id) AS alert_id, device_id, event_id, 'CRITICAL' AS severity,
   COALESCE(NULLIF(CONCAT_WS('; ',
     CASE WHEN temperature > 90 THEN 'Temperature CRITICAL (' || CAST(temperature AS VARCHAR) || '°C > 90.0°C)' END,
     CASE WHEN vibration > 15 THEN 'Vibration CRITICAL (' || CAST(vibration AS VARCHAR) || ' mm/s > 15.0 mm/s)' END,
@@ -312,7 +315,7 @@ def _metric_cols_sql(n: str) -> str:
 
 
 @register("device_metrics", oracle.sql(
-    f"SELECT device_id, total_events, {_metric_cols_sql('total_events')}, last_event_timestamp FROM ("
+    f"SELECT device_id, total_events, {_metric_cols_sql('total_events')}, last_event_timestamp, statuses FROM ("
     " SELECT device_id, COUNT(*) AS total_events,"
     f" {hundredths_sql('temperature')} AS st, MIN(temperature) AS min_temperature, MAX(temperature) AS max_temperature,"
     f" {hundredths_sql('pressure')} AS sp, MIN(pressure) AS min_pressure, MAX(pressure) AS max_pressure,"
@@ -436,19 +439,35 @@ def q_dlq_alarms(spark, sf):
     " hot AS high_temp_cycles, high_press AS high_pressure_cycles,"
     " (acc >= 100 OR hot >= 20 OR failures > 0) AS maintenance_required FROM mstate", MAINT))
 def q_maintenance_state(spark, sf):
-    s = consumers.maintenance_state(refine.refined(spark, sf))
+    s = consumers.maintenance_state(store.refined_table(spark, sf))
     return s.select("arrival_seq", "device_id", "total_cycles", "running_cycles", "accumulated_vibration",
                     "high_temp_cycles", "high_pressure_cycles", "maintenance_required")
 
 
+def _falling(raw):
+    """Raw readings, of which every third has a negative vibration (a sensor that drifts)."""
+    return raw.withColumn("vibration", F.expr("CASE WHEN arrival_seq % 3 = 1 THEN -vibration ELSE vibration END"))
+
+
+RAW_MAINT = """
+mstate AS (
+  SELECT arrival_seq, device_id,
+    SUM(CAST(CASE WHEN arrival_seq % 3 = 1 THEN -vibration ELSE vibration END AS DECIMAL(18,2))) OVER w AS acc,
+    SUM(CASE WHEN temperature > 75 THEN 1 ELSE 0 END) OVER w AS hot,
+    SUM(CASE WHEN UPPER(COALESCE(status, 'UNKNOWN')) = 'FAILURE' THEN 1 ELSE 0 END) OVER w AS failures
+  FROM (SELECT arrival_seq, COALESCE(device_id, 'UNKNOWN') AS device_id, COALESCE(vibration, 0) AS vibration, temperature, status FROM telemetry)
+  WINDOW w AS (PARTITION BY device_id ORDER BY arrival_seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+)"""
+
+
 @register("health_scores", oracle.sql("SELECT arrival_seq, device_id, health_score FROM mscore", MAINT))
 def q_health_scores(spark, sf):
-    return consumers.maintenance_state(refine.refined(spark, sf)).select("arrival_seq", "device_id", "health_score")
+    return consumers.maintenance_state(store.refined_table(spark, sf)).select("arrival_seq", "device_id", "health_score")
 
 
 @register("maintenance_reasons", oracle.sql("SELECT arrival_seq, device_id, reasons FROM mscore", MAINT))
 def q_maintenance_reasons(spark, sf):
-    s = consumers.maintenance_state(refine.refined(spark, sf))
+    s = consumers.maintenance_state(store.refined_table(spark, sf))
     return s.select("arrival_seq", "device_id", text.joined(F.col("reasons")).alias("reasons"))
 
 
@@ -457,7 +476,7 @@ def q_maintenance_reasons(spark, sf):
     " event_id AS trigger_event_id, CASE WHEN status = 'FAILURE' THEN 'HIGH' ELSE 'MEDIUM' END AS priority,"
     " health_score, reasons FROM wo", MAINT))
 def q_work_orders(spark, sf):
-    w = consumers.work_orders(consumers.maintenance_state(refine.refined(spark, sf)))
+    w = consumers.work_orders(consumers.maintenance_state(store.refined_table(spark, sf)))
     return w.select("work_order_id", "device_id", "trigger_event_id", "priority", "health_score",
                     text.joined(F.col("reasons")).alias("reasons"))
 
@@ -477,7 +496,7 @@ LEFT JOIN (SELECT device_id AS wo_device, reasons AS wo_reasons FROM wo) w ON f.
 
 @register("lifecycle_by_device", oracle.sql(LIFE_SQL, MAINT))
 def q_lifecycle_by_device(spark, sf):
-    d = consumers.lifecycle_by_device(refine.refined(spark, sf))
+    d = consumers.lifecycle_by_device(store.refined_table(spark, sf))
     return d.withColumn("maintenance_reasons", text.joined(F.col("maintenance_reasons")))
 
 
@@ -485,7 +504,7 @@ def q_lifecycle_by_device(spark, sf):
     "SELECT COUNT(*) AS monitored_devices_count, COUNT(*) FILTER (WHERE maintenance_required) AS open_work_orders_count"
     f" FROM ({LIFE_SQL})", MAINT))
 def q_lifecycle_summary(spark, sf):
-    return consumers.lifecycle_summary(consumers.lifecycle_by_device(refine.refined(spark, sf))).drop("updated_at")
+    return consumers.lifecycle_summary(consumers.lifecycle_by_device(store.refined_table(spark, sf))).drop("updated_at")
 
 
 # --- event-time windows and row frames ---------------------------------------------------------------------------
@@ -496,7 +515,7 @@ def q_lifecycle_summary(spark, sf):
     " CAST(SUM(CAST(temperature AS DECIMAL(18,2))) AS DOUBLE) / CAST(COUNT(temperature) AS DOUBLE) AS avg_temperature,"
     " MAX(temperature) AS max_temperature FROM refined GROUP BY ALL"))
 def q_tumbling_metrics(spark, sf):
-    return windows.tumbling(refine.refined(spark, sf), "1 hour")
+    return windows.tumbling(store.refined_table(spark, sf), "1 hour")
 
 
 @register("sliding_counts", oracle.sql(
@@ -504,7 +523,7 @@ def q_tumbling_metrics(spark, sf):
     " SELECT device_id, UNNEST([time_bucket(INTERVAL '1 hour', event_timestamp),"
     " time_bucket(INTERVAL '1 hour', event_timestamp) - INTERVAL '1 hour']) AS ws FROM refined) GROUP BY ALL"))
 def q_sliding_counts(spark, sf):
-    return windows.sliding(refine.refined(spark, sf), "2 hours", "1 hour")
+    return windows.sliding(store.refined_table(spark, sf), "2 hours", "1 hour")
 
 
 @register("device_sessions", oracle.sql(
@@ -516,7 +535,7 @@ def q_sliding_counts(spark, sf):
     " device_id ORDER BY event_timestamp, arrival_seq) >= INTERVAL '6 hours' THEN 1 ELSE 0 END AS new_s FROM refined))"
     " GROUP BY device_id, sid"))
 def q_device_sessions(spark, sf):
-    return windows.sessions(refine.refined(spark, sf), "6 hours")
+    return windows.sessions(store.refined_table(spark, sf), "6 hours")
 
 
 @register("moving_avg", oracle.sql(
@@ -524,7 +543,7 @@ def q_device_sessions(spark, sf):
     " / CAST(COUNT(temperature) OVER w AS DOUBLE) AS moving_avg_temperature FROM refined"
     " WINDOW w AS (PARTITION BY device_id ORDER BY arrival_seq ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)"))
 def q_moving_avg(spark, sf):
-    return windows.moving_avg(refine.refined(spark, sf), 10, "temperature")
+    return windows.moving_avg(store.refined_table(spark, sf), 10, "temperature")
 
 
 @register("late_events", oracle.sql(
@@ -532,7 +551,7 @@ def q_moving_avg(spark, sf):
     " ORDER BY arrival_seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL '10 minutes' AS is_late"
     " FROM refined"))
 def q_late_events(spark, sf):
-    return windows.late_flag(refine.refined(spark, sf), 10).select("arrival_seq", "device_id", "is_late")
+    return windows.late_flag(store.refined_table(spark, sf), 10).select("arrival_seq", "device_id", "is_late")
 
 
 # --- topic-side logic --------------------------------------------------------------------------------------------
@@ -594,15 +613,15 @@ def q_topic_route(spark, sf):
 
 @register("lookup_event", oracle.sql(f"SELECT {REFINED_ORACLE_COLS} FROM refined WHERE event_id = 'evt-500'"))
 def q_lookup_event(spark, sf):
-    return analytics.lookup(q_refined(spark, sf), event_id="evt-500")
+    return analytics.lookup(store.refined_table(spark, sf), REFINED_COLUMNS, event_id="evt-500")
 
 
 @register("lookup_device_time", oracle.sql(
     "SELECT event_id, device_id, event_timestamp, temperature, pressure, anomaly_level FROM refined"
     " WHERE device_id = 'MTR-0027' AND event_timestamp = TIMESTAMP '2024-01-03 06:03:33.431023'"))
 def q_lookup_device_time(spark, sf):
-    r = refine.refined(spark, sf)
-    return r.filter((F.col("device_id") == "MTR-0027")
+    r = store.refined_table(spark, sf)
+    return r.filter((F.col("event_date") == F.lit("2024-01-03").cast("date")) & (F.col("device_id") == "MTR-0027")
                     & (F.col("event_timestamp") == F.lit("2024-01-03 06:03:33.431023").cast("timestamp"))).select(
         "event_id", "device_id", "event_timestamp", "temperature", "pressure", "anomaly_level")
 
@@ -611,7 +630,7 @@ def q_lookup_device_time(spark, sf):
     f"SELECT {REFINED_ORACLE_COLS} FROM refined WHERE device_id = 'MTR-0029' AND temperature = 39.14E0"
     " AND pressure = 1.84E0"))
 def q_lookup_metrics(spark, sf):
-    return analytics.lookup(q_refined(spark, sf), device_id="MTR-0029", temperature=39.14, pressure=1.84)
+    return analytics.lookup(store.refined_table(spark, sf), REFINED_COLUMNS, device_id="MTR-0029", temperature=39.14, pressure=1.84)
 
 
 @register("refined_constraints", oracle.sql(
@@ -621,14 +640,14 @@ def q_lookup_metrics(spark, sf):
                  "machine_status", "anomaly_level", "temperature_alert", "pressure_alert", "vibration_alert"])
     + ", CAST(0 AS BIGINT) AS null_ingestion_timestamp FROM refined"))
 def q_refined_constraints(spark, sf):
-    return quality.constraint_violations(refine.refined(spark, sf), "event_id", schemas.REFINED_NOT_NULL)
+    return quality.constraint_violations(store.refined_table(spark, sf), "event_id", schemas.REFINED_NOT_NULL)
 
 
 @register("current_status_merge", oracle.sql(
     "SELECT device_id, last_event_id, last_event_timestamp, temperature, pressure, vibration, rpm, machine_status,"
     " anomaly_level FROM current_status"))
 def q_current_status_merge(spark, sf):
-    r = refine.refined(spark, sf)
+    r = store.refined_table(spark, sf)
     first = latest.merge_snapshot(None, r.filter(F.col("arrival_seq") % 2 == 1))
     second = latest.merge_snapshot(first, r.filter(F.col("arrival_seq") % 2 == 0))
     return second.drop("last_arrival_seq")
@@ -670,15 +689,44 @@ def q_stream_alerts(spark, sf):
 
 
 @register("stream_metrics", oracle.sql(
-    f"SELECT device_id, total_events, {_metric_cols_sql('total_events')}, last_event_timestamp FROM ("
+    f"SELECT device_id, total_events, {_metric_cols_sql('total_events')}, last_event_timestamp, statuses FROM ("
     " SELECT device_id, COUNT(*) AS total_events,"
     f" {hundredths_sql('temperature')} AS st, MIN(temperature) AS min_temperature, MAX(temperature) AS max_temperature,"
     f" {hundredths_sql('pressure')} AS sp, MIN(pressure) AS min_pressure, MAX(pressure) AS max_pressure,"
     f" {hundredths_sql('vibration')} AS sv, MIN(vibration) AS min_vibration, MAX(vibration) AS max_vibration,"
-    " (array_agg(event_timestamp ORDER BY arrival_seq DESC))[1] AS last_event_timestamp FROM norm GROUP BY device_id)",
+    " (array_agg(event_timestamp ORDER BY arrival_seq DESC))[1] AS last_event_timestamp FROM norm GROUP BY device_id)"
+    " JOIN (SELECT device_id, string_agg(status || '=' || CAST(c AS VARCHAR), ';' ORDER BY status || '=' || CAST(c AS VARCHAR)) AS statuses"
+    " FROM (SELECT device_id, status, COUNT(*) AS c FROM norm GROUP BY ALL) GROUP BY device_id) USING (device_id)",
     NORM))
 def q_stream_metrics(spark, sf):
-    return stream_runs.metrics(spark, sf)
+    devices, _ = stream_runs.metrics(spark, sf)
+    return devices.withColumn("statuses", F.array_join(F.array_sort(F.expr("transform(map_entries(status_distribution), e -> concat(e.key, '=', e.value))")), ";"))\
+        .drop("status_distribution")
+
+
+@register("stream_fleet", oracle.sql("SELECT COUNT(*) AS total_processed_events, COUNT(DISTINCT device_id) AS total_active_devices FROM norm", NORM))
+def q_stream_fleet(spark, sf):
+    return stream_runs.metrics(spark, sf)[1].drop("generated_at")
+
+
+@register("stream_dlq", oracle.sql(
+    "SELECT 'reason' AS kind, error_reason AS name, COUNT(*) AS n FROM dlqn GROUP BY error_reason"
+    " UNION ALL SELECT 'device', device_id, COUNT(*) FROM dlqn GROUP BY device_id"
+    " UNION ALL SELECT 'total', 'all', COUNT(*) FROM dlqn", DLQN))
+def q_stream_dlq(spark, sf):
+    by_reason, by_device, summary = stream_runs.dlq(spark, sf)
+    return (by_reason.selectExpr("'reason' AS kind", "error_reason AS name", "n")
+            .union(by_device.selectExpr("'device'", "device_id", "n")).union(summary.selectExpr("'total'", "'all'", "total_quarantined_events")))
+
+
+@register("maintenance_latch", oracle.sql(
+    "SELECT arrival_seq, device_id, MAX(CASE WHEN acc >= 20 OR hot >= 20 OR failures > 0 THEN 1 ELSE 0 END) OVER"
+    " (PARTITION BY device_id ORDER BY arrival_seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) = 1 AS maintenance_required"
+    " FROM mstate", RAW_MAINT))
+def q_maintenance_latch(spark, sf):
+    """Maintenance over the raw topic, where vibration falls too: once required, it stays required."""
+    state = consumers.maintenance_state(_falling(tel.telemetry(spark, sf)), consumers.WearLimits(max_accumulated_vibration=20.0))
+    return state.select("arrival_seq", "device_id", "maintenance_required")
 
 
 @register("stream_archive", oracle.sql(
@@ -730,15 +778,25 @@ def q_dlq_scan_json(spark, sf):
     return consumers.dlq_by_reason(stream_runs.quarantine_json_scan(spark, sf))
 
 
-# --- the serving queries through Spark SQL over temp views --------------------------------------------------------
+# --- the serving queries through Spark SQL: views over the stored tables --------------------------------------------
 
 def _serving(name: str):
     def run(spark, sf):
-        ref = refine.refined(spark, sf)
+        ref = store.refined_table(spark, sf)
         serving.register_views(ref, latest.current_status(ref))
-        return serving.run(spark, name)
+        return spark.sql(f"SELECT * FROM {name}")
     return run
 
 
-for _name in serving.SQL:
+for _name in serving.VIEWS:
     register(f"sql_{_name}", ORACLES[_name])(_serving(_name))
+
+
+@register("sql_hot_days", oracle.sql(
+    "SELECT CAST(event_timestamp AS DATE) AS event_date, COUNT(*) AS readings, MAX(temperature) AS hottest FROM refined"
+    " WHERE anomaly_level <> 'NORMAL' GROUP BY 1"))
+def q_sql_hot_days(spark, sf):
+    ref = store.refined_table(spark, sf)
+    serving.register_views(ref, latest.current_status(ref))
+    return spark.sql(f"SELECT event_date, COUNT(*) AS readings, MAX(temperature) AS hottest FROM {serving.MEASUREMENTS}"
+                     " WHERE anomaly_level <> 'NORMAL' GROUP BY event_date")

@@ -51,10 +51,18 @@ def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(schemas.ALERT).json(f"{root}/table")
 
 
-def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+def metrics(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(devices, fleet)"""
     root = scratch_path(spark, "metrics")
     _finish(cstream.start_metrics(streams.telemetry_replay(spark, sf_dir), f"{root}/table", f"{root}/_ck"))
-    return cstream.metrics_view(cstream.read_snapshot(spark, f"{root}/table"))
+    return cstream.read_snapshot(spark, f"{root}/table"), cstream.read_snapshot(spark, f"{root}/table/fleet")
+
+
+def dlq(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(by reason, by device, summary)"""
+    root = scratch_path(spark, "dlq")
+    _finish(cstream.start_dlq(streams.telemetry_replay(spark, sf_dir), f"{root}/table", f"{root}/_ck"))
+    return tuple(cstream.read_snapshot(spark, f"{root}/table/{view}") for view in ("by_reason", "by_device", "summary"))
 
 
 def archive(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,9 +95,15 @@ def archive_batch_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reprocess_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Re-run the refined flow over the stored archive (the raw payload kept whole)."""
+    """Re-run the refined flow over the stored archive, from the text as it was received."""
     arch = archive_batch_roundtrip(spark, sf_dir)
-    return refine.refined_from(arch.select("raw_payload.*"))
+    return refine.refined_from(arch.select(F.from_json("raw_text", schemas.TELEMETRY).alias("data")).select("data.*"))
+
+
+def reprocess_quarantine(spark: SparkSession, quarantine: DataFrame, limits) -> DataFrame:
+    """Quarantined readings that other limits let through, from the payload as it was received."""
+    raw = quarantine.select("arrival_seq", F.from_json("original_payload", schemas.EVENT).alias("data")).select("arrival_seq", "data.*")
+    return refine.refined_from(raw, limits)
 
 
 def quarantine_json_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

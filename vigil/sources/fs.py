@@ -46,10 +46,17 @@ def delete(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
-def size_of(spark: SparkSession, path: str) -> tuple[int, int]:
-    """(number of data files, total bytes) under ``path`` (a file or a folder, recursively)."""
+def names(spark: SparkSession, path: str) -> list[str]:
     fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return 0, 0
-    summary = fs.getContentSummary(p)
-    return int(summary.getFileCount()), int(summary.getLength())
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def mkdirs(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.mkdirs(p)
+
+
+def stamp(spark: SparkSession, path: str) -> tuple:
+    """Names, sizes and times of a file or of a folder's entries: changes when the table does."""
+    fs, p = _fs(spark, path)
+    return tuple(sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in fs.listStatus(p)))

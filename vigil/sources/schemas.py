@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql.types import (ArrayType, BooleanType, DoubleType, IntegerType, LongType, StringType, StructField,
                                StructType, TimestampType)
 
+# --- fixed values: field names, types and order of the wire format ---------------------------------------------------
 # Telemetry event as it arrives on the topic.
 EVENT = StructType([
     StructField("event_id", StringType(), True),
@@ -19,6 +20,8 @@ EVENT = StructType([
     StructField("location", StringType(), True),
 ])
 
+# -----------------------------------------------------------------------------------------------------------------
+
 # Telemetry replay rows as produced by ``sources.telemetry`` (arrival order first).
 TELEMETRY = StructType([StructField("arrival_seq", LongType(), True)] + [
     f for f in EVENT.fields if f.name not in ("machine_type", "location")])
@@ -43,6 +46,7 @@ ALERT = StructType([
 ARCHIVE = StructType([
     StructField("_ingested_at", TimestampType(), True),
     StructField("_source_topic", StringType(), True),
+    StructField("raw_text", StringType(), True),
     StructField("raw_payload", TELEMETRY, True),
     StructField("year", StringType(), True),
     StructField("month", StringType(), True),
@@ -58,6 +62,26 @@ QUARANTINE = StructType([
     StructField("quarantine_timestamp", TimestampType(), True),
 ])
 
+# The refined table, as written and read back.
+REFINED = StructType([
+    StructField("arrival_seq", LongType(), True),
+    StructField("event_id", StringType(), True),
+    StructField("device_id", StringType(), True),
+    StructField("event_timestamp", TimestampType(), True),
+    StructField("ingestion_timestamp", TimestampType(), True),
+    StructField("processing_timestamp", TimestampType(), True),
+    StructField("temperature", DoubleType(), True),
+    StructField("pressure", DoubleType(), True),
+    StructField("vibration", DoubleType(), True),
+    StructField("rpm", IntegerType(), True),
+    StructField("machine_status", StringType(), True),
+    StructField("anomaly_level", StringType(), True),
+    StructField("temperature_alert", BooleanType(), True),
+    StructField("pressure_alert", BooleanType(), True),
+    StructField("vibration_alert", BooleanType(), True),
+])
+
+# --- fixed values: columns that the serving table requires -------------------------------------------------------
 REFINED_NOT_NULL = ["event_id", "device_id", "event_timestamp", "ingestion_timestamp", "temperature", "pressure",
                     "vibration", "rpm", "machine_status", "anomaly_level", "temperature_alert", "pressure_alert",
                     "vibration_alert"]

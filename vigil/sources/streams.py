@@ -15,10 +15,12 @@ from vigil.sources import telemetry as tel
 
 
 def kafka_topic(spark: SparkSession, servers: str, topic: str = "iot-machine-events",
-                starting_offsets: str = "earliest", max_offsets_per_trigger: int | None = None) -> DataFrame:
-    """``(key, value, topic, partition, offset, timestamp)`` stream from a Kafka topic."""
+                starting_offsets: str = "earliest", max_offsets_per_trigger: int | None = None,
+                fail_on_data_loss: bool = True) -> DataFrame:
+    """``(key, value, topic, partition, offset, timestamp)`` stream from a Kafka topic. Records that expired before
+    they were read fail the query unless ``fail_on_data_loss`` is turned off."""
     r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic)
-         .option("startingOffsets", starting_offsets).option("failOnDataLoss", "false"))
+         .option("startingOffsets", starting_offsets).option("failOnDataLoss", str(fail_on_data_loss).lower()))
     if max_offsets_per_trigger:
         r = r.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
     return r.load()

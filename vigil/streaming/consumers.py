@@ -1,7 +1,10 @@
 """Consumer streaming queries, each with its own checkpoint (the equivalent of one consumer group per consumer).
 
 alerts       stateless: filter + projection -> JSON append sink
-metrics      stateful aggregate per device (complete mode) -> versioned snapshot via foreachBatch
+metrics      stateful aggregate per (device, status) (complete mode) -> versioned snapshots of the devices (with their
+             status maps) and of the fleet
+dlq          stateful counts of rejects per (reason, device) (complete mode) -> versioned snapshots by reason, by device
+             and in total
 archive      raw envelope -> JSON sink partitioned by year/month/day
 maintenance  MaintenanceWriter: prior snapshot + this batch -> state rows, new work orders (latched once per
              device), next snapshot. Arrival-ordered, as the source consumer; wire it downstream of the refined
@@ -19,54 +22,58 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from vigil.functions import exact, rules
-from vigil.operators import consumers
+from vigil.functions import rules
+from vigil.operators import consumers, quality
 from vigil.sources import fs
+from vigil.streaming.medallion import INTERVAL, triggered
 
-NAMES = ("alerts", "metrics", "archive", "maintenance")
+NAMES = ("alerts", "metrics", "archive", "dlq", "maintenance")
 
 
-def _trigger(w, available_now: bool):
-    return w.trigger(availableNow=True) if available_now else w.trigger(processingTime="5 seconds")
-
-
-def start_alerts(stream: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
+def start_alerts(stream: DataFrame, path: str, checkpoint: str, available_now: bool = True, interval: str = INTERVAL) -> StreamingQuery:
     w = (consumers.alerts(stream).writeStream.format("json").outputMode("append")
          .option("checkpointLocation", checkpoint).option("path", path))
-    return _trigger(w, available_now).start()
+    return triggered(w, available_now, interval).start()
+
 
+def write_version(df: DataFrame, path: str, version: int, keep: int = 3) -> None:
+    """``df`` as snapshot ``v=<version>`` of ``path``; the newest ``keep`` stay."""
+    spark = df.sparkSession
+    df.write.mode("overwrite").parquet(f"{path}/v={version}")
+    old = [v for v in fs.partition_values(spark, path, "v") if v < version]
+    for v in old[:-max(keep - 1, 1)]:
+        fs.delete(spark, f"{path}/v={v}")
 
-def metrics_aggregate(stream: DataFrame, order: str = "arrival_seq") -> DataFrame:
-    """Streaming-legal per-device aggregate (no windows, no sorts)."""
-    norm = consumers.normalize(stream)
-    aggs = [F.count(F.lit(1)).alias("total_events")]
-    for m in ("temperature", "pressure", "vibration"):
-        aggs += [exact.sum_hundredths(F.col(m)).alias(f"_s_{m}"), F.min(m).alias(f"min_{m}"),
-                 F.max(m).alias(f"max_{m}")]
-    aggs.append(F.max_by("event_timestamp", order).alias("last_event_timestamp"))
-    return norm.groupBy("device_id").agg(*aggs)
 
+class MetricsWriter:
+    """foreachBatch over ``metrics_by_status`` (complete): devices -> ``<path>/v=<n>``, totals -> ``<path>/fleet/v=<n>``."""
+
+    def __init__(self, path: str, keep: int = 3):
+        self.path, self.keep = path.rstrip("/"), keep
 
-def metrics_view(agg: DataFrame) -> DataFrame:
-    out = [F.col("device_id"), F.col("total_events")]
-    for m in ("temperature", "pressure", "vibration"):
-        out += [exact.half_up_avg2(f"_s_{m}", "total_events").alias(f"avg_{m}"),
-                F.col(f"min_{m}"), F.col(f"max_{m}")]
-    return agg.select(*out, "last_event_timestamp")
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        write_version(consumers.metrics_snapshot(batch), self.path, batch_id, self.keep)
+        devices = batch.sparkSession.read.parquet(f"{self.path}/v={batch_id}")
+        write_version(consumers.fleet_of(devices), f"{self.path}/fleet", batch_id, self.keep)
 
 
-class SnapshotWriter:
-    """foreachBatch: write the (complete) batch as snapshot version ``v=<batch_id>``; keep the newest few."""
+class DlqWriter:
+    """foreachBatch over counts by (reason, device) (complete): ``<path>/by_reason``, ``by_device`` and ``summary``."""
 
     def __init__(self, path: str, keep: int = 3):
         self.path, self.keep = path.rstrip("/"), keep
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch.write.mode("overwrite").parquet(f"{self.path}/v={batch_id}")
-        old = [v for v in fs.partition_values(spark, self.path, "v") if v < batch_id]
-        for v in old[:-max(self.keep - 1, 1)]:
-            fs.delete(spark, f"{self.path}/v={v}")
+        for view, df in consumers.dlq_views(batch).items():
+            write_version(df, f"{self.path}/{view}", batch_id, self.keep)
+
+
+def start_dlq(stream: DataFrame, path: str, checkpoint: str, available_now: bool = True, interval: str = INTERVAL) -> StreamingQuery:
+    """Dead-letter statistics of the readings that fail the quality check."""
+    _, invalid = quality.split(quality.check(stream))
+    counts = consumers.dlq_counts(quality.quarantine(invalid))
+    w = counts.writeStream.outputMode("complete").foreachBatch(DlqWriter(path)).option("checkpointLocation", checkpoint)
+    return triggered(w, available_now, interval).start()
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame | None:
@@ -74,17 +81,17 @@ def read_snapshot(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(f"{path}/v={versions[-1]}") if versions else None
 
 
-def start_metrics(stream: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
-    w = (metrics_aggregate(stream).writeStream.outputMode("complete").foreachBatch(SnapshotWriter(path))
+def start_metrics(stream: DataFrame, path: str, checkpoint: str, available_now: bool = True, interval: str = INTERVAL) -> StreamingQuery:
+    w = (consumers.metrics_by_status(stream).writeStream.outputMode("complete").foreachBatch(MetricsWriter(path))
          .option("checkpointLocation", checkpoint))
-    return _trigger(w, available_now).start()
+    return triggered(w, available_now, interval).start()
 
 
 def start_archive(stream: DataFrame, path: str, checkpoint: str, topic: str = consumers.DEFAULT_TOPIC,
-                  available_now: bool = True) -> StreamingQuery:
+                  available_now: bool = True, interval: str = INTERVAL) -> StreamingQuery:
     w = (consumers.archive_records(stream, topic).writeStream.format("json").outputMode("append")
          .partitionBy("year", "month", "day").option("checkpointLocation", checkpoint).option("path", path))
-    return _trigger(w, available_now).start()
+    return triggered(w, available_now, interval).start()
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
@@ -96,8 +103,8 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
 class MaintenanceWriter:
     """foreachBatch: carries per-device wear totals and the latched work order from batch to batch."""
 
-    def __init__(self, root: str, limits: consumers.WearLimits = consumers.WEAR, order: str = "arrival_seq"):
-        self.root, self.limits, self.order = root.rstrip("/"), limits, order
+    def __init__(self, root: str, limits: consumers.WearLimits = consumers.WEAR, order: str = "arrival_seq", keep: int = 3):
+        self.root, self.limits, self.order, self.keep = root.rstrip("/"), limits, order, keep
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -110,22 +117,22 @@ class MaintenanceWriter:
             orders = consumers.work_orders(state, self.order, latched)
             orders.write.mode("overwrite").parquet(f"{self.root}/work_orders/batch_id={batch_id}")
             new_orders = spark.read.parquet(f"{self.root}/work_orders/batch_id={batch_id}")
-            (state.drop("_acc", "_failures").write.mode("overwrite")
+            (state.drop("_acc", "_peak", "_failures").write.mode("overwrite")
                   .parquet(f"{self.root}/state_rows/batch_id={batch_id}"))
             snap = consumers.maintenance_snapshot(state, prior, new_orders, self.order, self.limits)
-            snap.write.mode("overwrite").parquet(f"{snap_path}/v={batch_id}")
+            write_version(snap, snap_path, batch_id, self.keep)
         finally:
             state.unpersist()
 
 
 def start_maintenance(refined_stream: DataFrame, root: str, checkpoint: str,
-                      limits: consumers.WearLimits = consumers.WEAR, available_now: bool = True) -> StreamingQuery:
+                      limits: consumers.WearLimits = consumers.WEAR, available_now: bool = True, interval: str = INTERVAL) -> StreamingQuery:
     """Maintenance over a stream of refined rows (e.g. a topic, per-device ordered). Over a *file* stream of the
     refined table, files are not arrival-ordered; there the preferred wiring is
     ``RefinedWriter(downstream=[MaintenanceWriter(root)])``, which sees each refined micro-batch whole."""
     w = refined_stream.writeStream.foreachBatch(MaintenanceWriter(root, limits)).option("checkpointLocation",
                                                                                          checkpoint)
-    return _trigger(w, available_now).start()
+    return triggered(w, available_now, interval).start()
 
 
 def late_window_counts(stream: DataFrame, delay: str = "10 minutes", width: str = "1 hour") -> DataFrame:
@@ -138,29 +145,27 @@ def late_window_counts(stream: DataFrame, delay: str = "10 minutes", width: str
 
 
 def start_late_demo(stream: DataFrame, path: str, checkpoint: str, delay: str = "10 minutes",
-                    available_now: bool = True) -> StreamingQuery:
+                    available_now: bool = True, interval: str = INTERVAL) -> StreamingQuery:
     w = (late_window_counts(stream, delay).writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", checkpoint).option("path", path))
-    return _trigger(w, available_now).start()
+    return triggered(w, available_now, interval).start()
 
 
 def start_consumers(spark: SparkSession, stream: DataFrame, root: str, names=NAMES,
-                    refined_stream: DataFrame | None = None, available_now: bool = True) -> dict[str, StreamingQuery]:
-    """Start the named consumers on one session, each with its own output and checkpoint under ``root``."""
+                    refined_stream: DataFrame | None = None, available_now: bool = True,
+                    interval: str = INTERVAL) -> dict[str, StreamingQuery]:
+    """Start the named consumers on one session, each with its own output and checkpoint under ``root``. Maintenance
+    reads ``refined_stream`` if there is one, else the readings themselves."""
     root = root.rstrip("/")
     out: dict[str, StreamingQuery] = {}
     for name in names:
         ck = f"{root}/_checkpoints/{name}"
-        if name == "alerts":
-            out[name] = start_alerts(stream, f"{root}/alerts", ck, available_now)
-        elif name == "metrics":
-            out[name] = start_metrics(stream, f"{root}/metrics", ck, available_now)
-        elif name == "archive":
-            out[name] = start_archive(stream, f"{root}/archive", ck, available_now=available_now)
-        elif name == "maintenance":
-            if refined_stream is None:
-                raise ValueError("maintenance consumes the refined table: pass refined_stream")
-            out[name] = start_maintenance(refined_stream, f"{root}/maintenance", ck, available_now=available_now)
+        if name == "maintenance":
+            out[name] = start_maintenance(stream if refined_stream is None else refined_stream, f"{root}/maintenance", ck,
+                                          available_now=available_now, interval=interval)
+        elif name in NAMES:
+            start = {"alerts": start_alerts, "metrics": start_metrics, "archive": start_archive, "dlq": start_dlq}[name]
+            out[name] = start(stream, f"{root}/{name}", ck, available_now=available_now, interval=interval)
         else:
             raise ValueError(f"unknown consumer {name!r}; choose from {NAMES}")
     return out

@@ -8,17 +8,18 @@ Refined: one ``foreachBatch`` writer drives every sink from a single persisted,
 * refined      -> ``<root>/refined/batch_id=<n>/event_date=<d>``
                                                        keep-first dedup inside the batch, then (``exact_dedup``)
                                                        a left-anti join against ids published by earlier batches
-                                                       (``batch_id < n``). With ``dedup_lookback_days`` only the
-                                                       event days the batch touches (widened by the lookback) are
-                                                       read -- partition pruning keeps the join proportional to the
-                                                       batch, not to the whole history; a re-sent reading carries
-                                                       its original event time, so its copy is on the same day.
+                                                       (``<root>/ids/batch_id < n``: the id column alone, never the
+                                                       refined history itself)
 * current state-> ``<root>/current_status/v=<n>``      keyed merge of the previous version and the new rows;
                                                        readers take the highest version
 * counts       -> ``observe`` metrics (raw / valid / invalid) without extra jobs
 
 Errors are not swallowed: a failing batch fails the query and is retried from the checkpoint; since every write
-is keyed by ``batch_id`` the retry is idempotent.
+is keyed by ``batch_id`` the retry is idempotent. A query with another checkpoint numbers its batches from 0 again,
+so a root belongs to the query that wrote it first; any other fails instead of replacing its batches.
+
+A batch may publish nothing (all invalid, or all published before): the sinks behind the refined layer are not called
+then.
 """
 
 from __future__ import annotations
@@ -29,11 +30,18 @@ from pyspark.sql.streaming import StreamingQuery
 
 from vigil.functions import rules
 from vigil.operators import dedup, enrich, latest, quality
-from vigil.sources import fs
+from vigil.sources import fs, schemas
+
+#: Time between micro-batches of a continuous run.
+INTERVAL = "5 seconds"
+
+
+def triggered(w, available_now: bool, interval: str = INTERVAL):
+    return w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
 
 
 def start_bronze(stream: DataFrame, path: str, checkpoint: str, available_now: bool = True,
-                 name: str | None = None) -> StreamingQuery:
+                 name: str | None = None, interval: str = INTERVAL) -> StreamingQuery:
     """``stream``: topic-shaped frame with ``value`` (JSON text) -> parsed readings appended to Parquet."""
     from vigil.sources import envelope
     parsed = envelope.parse(stream).withColumn("ingestion_timestamp", F.current_timestamp())
@@ -41,20 +49,23 @@ def start_bronze(stream: DataFrame, path: str, checkpoint: str, available_now: b
                .option("path", path))
     if name:
         w = w.queryName(name)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="5 seconds")
+    w = triggered(w, available_now, interval)
     return w.start()
 
 
+def utc_date(ts: str):
+    """The UTC calendar day of a timestamp, whatever the session's zone."""
+    return F.expr(f"to_date(to_utc_timestamp({ts}, current_timezone()))")
+
+
 class RefinedWriter:
     """``foreachBatch`` callable: checked batch -> quarantine, refined, current-status snapshot."""
 
     def __init__(self, root: str, limits: rules.Limits = rules.LIMITS, exact_dedup: bool = True,
-                 payload_col: str | None = "value", keep_versions: int = 3, dedup_lookback_days: int | None = None,
-                 downstream=()):
+                 payload_col: str | None = "value", keep_versions: int = 3, downstream=()):
         self.root = root.rstrip("/")
         self.limits = limits
         self.exact_dedup = exact_dedup
-        self.dedup_lookback_days = dedup_lookback_days
         self.payload_col = payload_col
         self.keep_versions = keep_versions
         self.last_counts: dict = {}
@@ -66,6 +77,10 @@ class RefinedWriter:
     def refined_path(self) -> str:
         return f"{self.root}/refined"
 
+    @property
+    def ids_path(self) -> str:
+        return f"{self.root}/ids"
+
     @property
     def quarantine_path(self) -> str:
         return f"{self.root}/quarantine"
@@ -78,6 +93,7 @@ class RefinedWriter:
         spark = batch.sparkSession
         if batch.isEmpty():          # nothing arrived: write nothing (reads at most one row)
             return
+        self._own(spark)
         obs = Observation(f"dq_{batch_id}")
         checked = quality.check(batch, self.limits).observe(
             obs, F.count(F.lit(1)).alias("raw_count"), F.count_if(F.col("is_valid")).alias("valid_count"),
@@ -91,33 +107,38 @@ class RefinedWriter:
 
             firsts = dedup.dedup_first(valid, "event_id", "arrival_seq" if "arrival_seq" in batch.columns
                                        else "event_timestamp")
-            if self.exact_dedup and fs.has_data(spark, self.refined_path):
-                seen = spark.read.parquet(self.refined_path).filter(F.col("batch_id") < batch_id)
-                if self.dedup_lookback_days is not None:
-                    seen = seen.filter(self._days_of(firsts))
-                firsts = dedup.anti_seen(firsts, seen)
+            if self.exact_dedup and fs.has_data(spark, self.ids_path):
+                seen = spark.read.schema("event_id string, batch_id bigint").parquet(self.ids_path)
+                firsts = dedup.anti_seen(firsts, seen.filter(F.col("batch_id") < batch_id))
             refined = enrich.project_refined(enrich.enrich(firsts, self.limits))
             out = f"{self.refined_path}/batch_id={batch_id}"
-            (refined.withColumn("event_date", F.to_date("event_timestamp"))
+            (refined.withColumn("event_date", utc_date("event_timestamp"))
                     .write.mode("overwrite").partitionBy("event_date").parquet(out))
 
-            published = spark.read.parquet(out).drop("event_date")
-            self._merge_status(spark, published, batch_id)
-            for sink in self.downstream:
-                sink(published, batch_id)
+            # read back by the known columns: a batch without publishable rows leaves no file to infer them from
+            published = spark.read.schema(self._schema(refined)).parquet(out)
+            if not published.isEmpty():
+                published.select("event_id").write.mode("overwrite").parquet(f"{self.ids_path}/batch_id={batch_id}")
+                self._merge_status(spark, published, batch_id)
+                for sink in self.downstream:
+                    sink(published, batch_id)
             self.last_counts = {"batch_id": batch_id, **obs.get}
         finally:
             checked.unpersist()
 
-    def _days_of(self, batch: DataFrame):
-        """Partition filter: the event days present in the batch, widened by the lookback (one small aggregate)."""
-        r = batch.selectExpr("to_date(min(try_to_timestamp(event_timestamp))) AS lo",
-                             "to_date(max(try_to_timestamp(event_timestamp))) AS hi").first()
-        if r["lo"] is None:
-            return F.lit(False)
-        import datetime as dt
-        lo = r["lo"] - dt.timedelta(days=self.dedup_lookback_days)
-        return (F.col("event_date") >= F.lit(lo)) & (F.col("event_date") <= F.lit(r["hi"]))
+    @staticmethod
+    def _schema(refined: DataFrame):
+        """``schemas.REFINED``, without the arrival number where the batch has none."""
+        return schemas.REFINED if "arrival_seq" in refined.columns else type(schemas.REFINED)(schemas.REFINED.fields[1:])
+
+    def _own(self, spark: SparkSession) -> None:
+        """The root's query: the id that its checkpoint keeps (none when the writer is called directly)."""
+        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if query:
+            others = [x for x in fs.names(spark, f"{self.root}/_query") if x != query]
+            if others:
+                raise RuntimeError(f"{self.root} holds batches of query {others[0]}; its checkpoint is needed, or another root")
+            fs.mkdirs(spark, f"{self.root}/_query/{query}")
 
     def _merge_status(self, spark: SparkSession, new_rows: DataFrame, batch_id: int) -> None:
         versions = [v for v in fs.partition_values(spark, self.status_path, "v") if v < batch_id]
@@ -129,12 +150,12 @@ class RefinedWriter:
 
 
 def start_refined(stream: DataFrame, writer: RefinedWriter, checkpoint: str, available_now: bool = True,
-                  name: str | None = None) -> StreamingQuery:
+                  name: str | None = None, interval: str = INTERVAL) -> StreamingQuery:
     observed = stream.observe("ingest", F.count(F.lit(1)).alias("raw_count"))
     w = observed.writeStream.foreachBatch(writer).option("checkpointLocation", checkpoint)
     if name:
         w = w.queryName(name)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="5 seconds")
+    w = triggered(w, available_now, interval)
     return w.start()
 
 
@@ -143,13 +164,13 @@ def read_current_status(spark: SparkSession, status_path: str) -> DataFrame | No
     return spark.read.parquet(f"{status_path}/v={versions[-1]}") if versions else None
 
 
-def start_stream_dedup(stream: DataFrame, path: str, checkpoint: str, delay: str = "10 minutes",
-                       available_now: bool = True) -> StreamingQuery:
-    """Watermark-bounded cross-batch dedup of valid readings (state expires with the watermark)."""
+def start_stream_dedup(stream: DataFrame, path: str, checkpoint: str, delay: str | None = None,
+                       available_now: bool = True, interval: str = INTERVAL) -> StreamingQuery:
+    """Cross-batch dedup of valid readings. Exact by default; with ``delay`` state expires with the watermark and
+    later readings are lost (see ``dedup.dedup_stream``)."""
     valid, _ = quality.split(quality.check(stream))
     timed = valid.withColumn("event_ts", rules.parsed_time(F.col("event_timestamp")))
     out = dedup.dedup_stream(timed, "event_id", "event_ts", delay).drop("failed_codes", "is_valid", "error_reason")
     w = (out.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
             .option("path", path))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="5 seconds")
-    return w.start()
+    return triggered(w, available_now, interval).start()
