@@ -22,7 +22,7 @@ SCALE = 1024
 def scaled(m: np.ndarray) -> np.ndarray:
     """floor(SCALE * x): doubles as long as all inner products are exact in them, else Python integers."""
     out = np.floor(SCALE * m)
-    if not len(out) or np.abs(out).max() ** 2 * out.shape[1] < 2 ** 52:
+    if not len(out) or np.abs(out).max() < np.sqrt(2 ** 52 / out.shape[1]):
         return out
     with np.errstate(over="ignore"):
         big = np.isinf(out)
@@ -74,7 +74,7 @@ class KDTree:
                 scores = np.concatenate([scores, vectors[node] @ queries[i]])
                 best = np.lexsort((ids, -scores))[:k]
                 ids, scores = ids[best], scores[best]
-                if len(ids) == k:
+                if k and len(ids) == k:
                     kth = scores[-1]
             out.append((np.full(len(ids), q), ids, np.array([min(max(int(s), -2 ** 63), 2 ** 63 - 1) for s in scores], np.int64)))
         return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64),) * 3
