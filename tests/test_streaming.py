@@ -278,3 +278,18 @@ def test_random_splits_equal_batch(spark, scratch, seed):
     mcols = ["device_id", "total_cycles", "accumulated_vibration", "last_status", "maintenance_required",
              "health_score"]
     assert rows(got, mcols) == rows(consumers.lifecycle_by_device(want), mcols)
+
+
+@pytest.mark.parametrize("operator", ["tumbling", "sliding", "sessions"])
+def test_event_time_windows_on_a_stream_equal_batch(spark, parts, scratch, operator):
+    from vigil.operators import windows
+    from vigil.sources import schemas
+
+    ref = refine.refined(spark, SF_SMALL)
+    ref.repartition(3).write.parquet(f"{scratch}/refined")
+    stream = spark.readStream.schema(schemas.REFINED).option("maxFilesPerTrigger", "1").parquet(f"{scratch}/refined")
+    apply = {"tumbling": windows.tumbling, "sliding": windows.sliding, "sessions": windows.sessions_stream}[operator]
+    out = apply(stream).writeStream.outputMode("complete").option("checkpointLocation", f"{scratch}/ck")
+    out.foreachBatch(lambda df, _: df.write.mode("overwrite").parquet(f"{scratch}/out")).trigger(availableNow=True).start().awaitTermination()
+    want = apply(ref)
+    assert rows(spark.read.parquet(f"{scratch}/out"), want.columns) == rows(want, want.columns)

@@ -1,9 +1,10 @@
 """Data-quality rules, alert flags and severity as Spark Column expressions.
 
-The rule table is data: (code, failing-condition) pairs in a fixed order. ``error_reason`` compiles it into one
-column (the failed codes joined by ", ", NULL when valid); ``is_valid`` and the ``failed_codes`` array are derived
-from that single column, so the rule logic is written once and is never three-valued (a NULL input fails its rule
-instead of vanishing from both the valid and the invalid side).
+The rule table is data: each rule has a code, its failing condition and its positive form, in a fixed order.
+``error_reason`` compiles the failing conditions into one column (the failed codes joined by ", ", NULL when valid);
+``is_valid`` is the conjunction of the positive forms, which stays small and code-generated when it is pushed into a
+scan. Both are never three-valued (a NULL input fails its rule instead of vanishing from both sides), and tests hold
+them against each other.
 """
 
 from __future__ import annotations

@@ -216,11 +216,12 @@ def dlq_normalize(q: DataFrame) -> DataFrame:
     })
 
 
-def dlq_records(q: DataFrame, order: str = "arrival_seq", span: int | None = None) -> DataFrame:
+def dlq_records(q: DataFrame, order: str | list[str] = "arrival_seq", span: int | None = None) -> DataFrame:
     """``dlq-<n>``: n = position in arrival order over the whole quarantine, computed by a chunked prefix count
-    (no single-partition global window)."""
+    (no single-partition global window). Offsets of several topic partitions tie: give a total order then, e.g.
+    ``["kafka_timestamp", "kafka_partition", "arrival_seq"]``."""
     seq = scan.sequence(dlq_normalize(q), None, order, "_n", span=span)
-    return seq.selectExpr(order, "concat('dlq-', CAST(_n AS STRING)) AS quarantine_id", "event_id", "device_id",
+    return seq.selectExpr(*([order] if isinstance(order, str) else order), "concat('dlq-', CAST(_n AS STRING)) AS quarantine_id", "event_id", "device_id",
                           "error_reason", "current_timestamp() AS processed_at")
 
 
@@ -271,14 +272,14 @@ def dlq_threshold(q: DataFrame, n: int = DLQ_ALARM_THRESHOLD) -> DataFrame:
     return dlq_by_reason(q).filter(F.expr(f"n >= {int(n)}"))
 
 
-def dlq_alarms(q: DataFrame, n: int = DLQ_ALARM_THRESHOLD, order: str = "arrival_seq",
+def dlq_alarms(q: DataFrame, n: int = DLQ_ALARM_THRESHOLD, order: str | list[str] = "arrival_seq",
                span: int | None = None) -> DataFrame:
     """The quarantined record at which each reason's count reaches the threshold (when the alarm fires).
     Per-reason arrival numbers come from the chunked prefix scan, so a reason holding most rejects is not
     numbered in one task."""
     seq = scan.sequence(dlq_normalize(q), "error_reason", order, "_n", span=span)
-    return seq.filter(F.expr(f"_n = {int(n)}")).selectExpr("error_reason", f"{order} AS alarm_at", "event_id",
-                                                          "device_id")
+    return seq.filter(F.expr(f"_n = {int(n)}")).selectExpr(
+        "error_reason", f"{order if isinstance(order, str) else order[-1]} AS alarm_at", "event_id", "device_id")
 
 
 # --- maintenance -----------------------------------------------------------------------------------------------

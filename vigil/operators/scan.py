@@ -9,6 +9,10 @@ monotone bucket of the order column (``floor(order / span)``):
 3. a running aggregate over the *small* chunk-total table per key (exclusive), giving each chunk's carry-in;
 4. an equi-join back on (key, chunk) and a combine (sum: add, min: least, max: greatest).
 
+``by_rows`` cuts chunks by row count instead, for orders that are not dense numbers (times, offsets of several
+partitions): rows are range-partitioned by (key, order) and written to the shared folder once, with the partition as the
+chunk. Chunks are then as large as partitions whatever the order's values, and the input is evaluated once.
+
 sum / count / min / max are associative, so the result equals the single-window answer exactly (for decimals and
 integers; for doubles sums are added in a different order). The rows are shuffled once, by (key, chunk); the totals
 branch reads only the columns it aggregates and pre-aggregates before its shuffle; the chunk table is joined back by
@@ -23,6 +27,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vigil.session import scratch_path
+
 DEFAULT_SPAN = 1 << 22
 SPAN_CONF = "spark.vigil.scan.span"
 
@@ -38,24 +44,29 @@ def _combine(kind: str, carry: str, inner: str) -> str:
 
 
 def running(df: DataFrame, key: str | list[str], order: str, aggs: dict[str, tuple[str, str | Column]],
-            exclusive: bool = False, span: int | None = None, tiebreak: str | None = None) -> DataFrame:
+            exclusive: bool = False, span: int | None = None, tiebreak: str | None = None, by_rows: bool = False) -> DataFrame:
     """Add one column per ``aggs`` entry: ``name -> (kind, value)`` with kind in sum/min/max/peak (the greatest
     running sum so far; inclusive frames only) and value a SQL expression (or Column), aggregated over the rows of the same key up to and including the current row in
     ``order`` (``exclusive``: strictly before it).
 
-    ``order`` (numeric) must be unique within a key for a deterministic frame, or be made unique by ``tiebreak``;
-    chunks are cut on ``order`` alone, so ties never straddle a chunk boundary.
+    ``order`` (numeric; with ``by_rows`` any type) must be unique within a key for a deterministic frame, or be made
+    unique by ``tiebreak``; without ``by_rows`` chunks are cut on ``order`` alone, so ties never straddle a boundary.
     """
     keys = [key] if isinstance(key, str) else list(key)
     span = span or default_span(df)
     peaks = {n for n, (kind, _) in aggs.items() if kind == "peak"}
-    staged_cols: dict[str, Column] = {
-        "_k": F.expr(f"struct({', '.join(keys)})"),
-        "_blk": F.expr(f"CAST(floor({order} / {float(span)!r}D) AS BIGINT)"),
-    }
+    staged_cols: dict[str, Column] = {"_k": F.expr(f"struct({', '.join(keys)})")}
+    if not by_rows:
+        staged_cols["_blk"] = F.expr(f"CAST(floor({order} / {float(span)!r}D) AS BIGINT)")
     for name, (_, value) in aggs.items():
         staged_cols[f"_v_{name}"] = F.expr(value) if isinstance(value, str) else value
     staged = df.withColumns(staged_cols)
+    if by_rows:
+        path = scratch_path(df.sparkSession, "chunks")
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        staged = staged.repartitionByRange(parts, *keys, order, *([tiebreak] if tiebreak else [])).withColumn("_blk", F.spark_partition_id().cast("bigint"))
+        staged.write.parquet(path)
+        staged = df.sparkSession.read.schema(staged.schema).parquet(path)
 
     upper = "1 PRECEDING" if exclusive else "CURRENT ROW"
     sort = f"{order}, {tiebreak}" if tiebreak else order
@@ -80,11 +91,14 @@ def running(df: DataFrame, key: str | list[str], order: str, aggs: dict[str, tup
     return out.drop("_k", "_blk", *[f"_{p}_{n}" for n in aggs for p in ("v", "in", "c", "pk", "cp")])
 
 
-def sequence(df: DataFrame, key: str | list[str] | None, order: str, name: str = "seq",
+def sequence(df: DataFrame, key: str | list[str] | None, order: str | list[str], name: str = "seq",
              span: int | None = None) -> DataFrame:
-    """1-based row number in ``order`` per key (``key=None``: one global sequence), skew-proof."""
-    if key is None:
-        out = running(df.withColumn("_one", F.lit(0)), "_one", order, {name: ("sum", "CAST(1 AS BIGINT)")},
-                      span=span)
-        return out.drop("_one")
-    return running(df, key, order, {name: ("sum", "CAST(1 AS BIGINT)")}, span=span)
+    """1-based row number in ``order`` per key (``key=None``: one global sequence), skew-proof. Several columns of
+    ``order`` make a total order over partitions (time, partition, offset); chunks are then cut by rows."""
+    one = df.withColumn("_one", F.lit(0)) if key is None else df
+    columns = [order] if isinstance(order, str) else list(order)
+    if len(columns) > 1:
+        one = one.withColumn("_order", F.struct(*columns))
+    out = running(one, "_one" if key is None else key, columns[0] if len(columns) == 1 else "_order", {name: ("sum", "CAST(1 AS BIGINT)")},
+                  span=span, by_rows=len(columns) > 1)
+    return out.drop("_one", "_order")

@@ -34,19 +34,18 @@ def sliding(df: DataFrame, width: str = "2 hours", slide: str = "1 hour", ts: st
 
 
 def sessions(df: DataFrame, gap: str = "6 hours", ts: str = "event_timestamp", key: str = "device_id",
-             tiebreak: str = "arrival_seq", span_seconds: int = 86400) -> DataFrame:
+             tiebreak: str = "arrival_seq") -> DataFrame:
     """Activity sessions per device: a new session starts when ``gap`` or more passed since the previous reading.
 
-    Batch form built on the chunked prefix scan, so a device with a third of all readings is never sorted in one
-    task: the previous reading's time is an exclusive running max in time order, a gap flag marks session starts,
+    Batch form built on the prefix scan with chunks cut by row count, so a device with a third of all readings, even
+    within one day, is never sorted in one task: the previous reading's time is an exclusive running max in time order, a gap flag marks session starts,
     the session number is a running sum of flags, then one keyed aggregate. Same sessions as ``session_window``
     (whose end is the last reading + gap); ``sessions_stream`` is the streaming form."""
     gap_us = f"CAST(unix_micros(CAST({ts} AS TIMESTAMP)) - unix_micros(CAST({ts} AS TIMESTAMP) - INTERVAL {gap}) AS BIGINT)"
-    span = int(span_seconds) * 1_000_000
     timed = df.filter(F.col(ts).isNotNull()).withColumn("_t", F.expr(f"unix_micros(CAST({ts} AS TIMESTAMP))"))
-    prev = scan.running(timed, key, "_t", {"_prev": ("max", "_t")}, exclusive=True, span=span, tiebreak=tiebreak)
+    prev = scan.running(timed, key, "_t", {"_prev": ("max", "_t")}, exclusive=True, tiebreak=tiebreak, by_rows=True)
     flagged = prev.withColumn("_new", F.expr(f"CAST(_prev IS NULL OR _t - _prev >= {gap_us} AS BIGINT)"))
-    numbered = scan.running(flagged, key, "_t", {"_sid": ("sum", "_new")}, span=span, tiebreak=tiebreak)
+    numbered = scan.running(flagged, key, "_t", {"_sid": ("sum", "_new")}, tiebreak=tiebreak, by_rows=True)
     g = numbered.groupBy(key, "_sid").agg(F.expr(f"min({ts}) AS session_start"),
                                           F.expr(f"max({ts}) + INTERVAL {gap} AS session_end"),
                                           F.expr("count(1) AS n"))
@@ -77,6 +76,19 @@ def moving_avg(df: DataFrame, n: int = 10, value: str = "temperature", key: str
         key, order, (F.col("_s").cast("double") / F.col("_c").cast("double")).alias(f"moving_avg_{value}"))
 
 
+def moving_avg_range(df: DataFrame, minutes: int = 60, value: str = "temperature", key: str = "device_id", ts: str = "event_timestamp",
+                     order: str = "arrival_seq") -> DataFrame:
+    """Average of ``value`` over the readings of the same key of the last ``minutes`` (both ends and equal times
+    included), exact decimal sums. Time is cut into blocks of ``minutes``; a reading is also sent to the next block,
+    where it may be in reach, so a window group holds two blocks of a key and never its whole history."""
+    width = int(minutes) * 60_000_000
+    timed = df.where(F.col(ts).isNotNull()).select(key, order, value, F.expr(f"unix_micros(CAST({ts} AS TIMESTAMP))").alias("_t"))
+    rows = timed.withColumn("_own", F.expr(f"_t div {width}")).withColumn("_blk", F.explode(F.array("_own", F.col("_own") + 1)))
+    w = Window.partitionBy(key, "_blk").orderBy("_t").rangeBetween(-width, 0)
+    out = rows.select(key, order, "_own", "_blk", F.sum(exact.dec2(F.col(value))).over(w).alias("_s"), F.count(F.col(value)).over(w).alias("_c"))
+    return out.where("_own = _blk").select(key, order, (F.col("_s").cast("double") / F.col("_c").cast("double")).alias(f"moving_avg_{value}"))
+
+
 def late_flag(df: DataFrame, delay_minutes: int = 10, ts: str = "event_timestamp", key: str = "device_id",
               order: str = "arrival_seq", span: int | None = None) -> DataFrame:
     """``is_late``: event time below (latest event time seen earlier for the device - delay); NULL for a device's

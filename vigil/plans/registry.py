@@ -197,11 +197,8 @@ def q_avg_by_device(spark, sf):
 
 
 @register("alerts_by_device", oracle.sql(
-    "SELECT device_id, CAST(SUM(CASE WHEN temperature_alert THEN 1 ELSE 0 END) AS BIGINT) AS temp_alerts,"
-    " CAST(SUM(CASE WHEN pressure_alert THEN 1 ELSE 0 END) AS BIGINT) AS press_alerts,"
-    " CAST(SUM(CASE WHEN vibration_alert THEN 1 ELSE 0 END) AS BIGINT) AS vib_alerts,"
-    " COUNT(*) FILTER (WHERE temperature_alert OR pressure_alert OR vibration_alert) AS total_alerts"
-    " FROM refined GROUP BY device_id"))
+    "SELECT device_id, count_if(temperature > 75) AS temp_alerts, count_if(pressure > 5) AS press_alerts, count_if(vibration > 6) AS vib_alerts,"
+    " count_if(greatest(temperature / 75, pressure / 5, vibration / 6) > 1) AS total_alerts FROM firsts WHERE rn = 1 GROUP BY device_id"))
 def q_alerts_by_device(spark, sf):
     return analytics.alerts_by_device(store.refined_table(spark, sf))
 
@@ -546,6 +543,14 @@ def q_moving_avg(spark, sf):
     return windows.moving_avg(store.refined_table(spark, sf), 10, "temperature")
 
 
+@register("moving_avg_day", oracle.sql(
+    "SELECT device_id, arrival_seq, CAST(SUM(CAST(temperature AS DECIMAL(18,2))) OVER w AS DOUBLE)"
+    " / CAST(COUNT(temperature) OVER w AS DOUBLE) AS moving_avg_temperature FROM refined"
+    " WINDOW w AS (PARTITION BY device_id ORDER BY event_timestamp RANGE BETWEEN INTERVAL '24 hours' PRECEDING AND CURRENT ROW)"))
+def q_moving_avg_day(spark, sf):
+    return windows.moving_avg_range(store.refined_table(spark, sf), 24 * 60, "temperature")
+
+
 @register("late_events", oracle.sql(
     "SELECT arrival_seq, device_id, event_timestamp < MAX(event_timestamp) OVER (PARTITION BY device_id"
     " ORDER BY arrival_seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL '10 minutes' AS is_late"
@@ -603,10 +608,13 @@ def q_topic_envelope(spark, sf):
     "SELECT arrival_seq, topic, regexp_matches(topic, '^industrial/machines/([^/]*)/telemetry$') AS matched,"
     " CASE WHEN regexp_matches(topic, '^industrial/machines/([^/]*)/telemetry$')"
     " THEN regexp_extract(topic, '^industrial/machines/([^/]*)/telemetry$', 1) END AS routed_device FROM ("
-    " SELECT arrival_seq, 'industrial/machines/' || device_id || '/telemetry' AS topic FROM telemetry)"))
+    " SELECT arrival_seq, 'industrial/machines/' || device_id || CASE WHEN arrival_seq % 7 = 0 THEN '/status'"
+    " WHEN arrival_seq % 11 = 0 THEN '/part/telemetry' ELSE '/telemetry' END AS topic FROM telemetry)"))
 def q_topic_route(spark, sf):
-    t = tel.telemetry(spark, sf).select("arrival_seq", envelope.topic_for(F.col("device_id")).alias("topic"))
-    return envelope.route(t)
+    """Topics of readings, and of other messages that the subscription does not match."""
+    topic, a = envelope.topic_for(F.col("device_id")), F.col("arrival_seq")
+    other = F.when(a % 7 == 0, F.replace(topic, F.lit("/telemetry"), F.lit("/status"))).when(a % 11 == 0, F.replace(topic, F.lit("/telemetry"), F.lit("/part/telemetry")))
+    return envelope.route(tel.telemetry(spark, sf).select("arrival_seq", F.coalesce(other, topic).alias("topic")))
 
 
 # --- point lookups, constraints, keyed merge ---------------------------------------------------------------------
@@ -744,18 +752,26 @@ def q_stream_maintenance(spark, sf):
                                                          text.joined(F.col("maintenance_reasons")))
 
 
-# One micro-batch over the whole table: nothing is behind the watermark inside it; the closing (no-data) batch then
-# emits exactly the windows whose end is at or before the watermark (latest event time - 10 minutes).
+# Four pieces in arrival order, a run each: a reading is late if its window had ended by the latest time of the pieces
+# before its own, less the delay. The last run's closing batch gives the windows that ended by then.
 LATE_SQL = """
 SELECT ws AS window_start, ws + INTERVAL '1 hour' AS window_end, device_id, COUNT(*) AS n
-FROM (SELECT device_id, time_bucket(INTERVAL '1 hour', t) AS ws, t FROM (
-        SELECT device_id, try_strptime(event_timestamp, '%Y-%m-%dT%H:%M:%S.%fZ') AS t FROM telemetry) WHERE t IS NOT NULL)
+FROM (SELECT r.*, b.seen FROM
+        (SELECT device_id, t, time_bucket(INTERVAL '1 hour', t) AS ws, piece FROM pieces WHERE t IS NOT NULL) r
+        JOIN (SELECT piece, MAX(MAX(t)) OVER (ORDER BY piece ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM pieces GROUP BY piece) b USING (piece))
+WHERE seen IS NULL OR ws + INTERVAL '1 hour' > seen - INTERVAL '10 minutes'
 GROUP BY ws, device_id
-HAVING ws + INTERVAL '1 hour' <= (SELECT max(try_strptime(event_timestamp, '%Y-%m-%dT%H:%M:%S.%fZ')) FROM telemetry)
-                                 - INTERVAL '10 minutes'"""
+HAVING ws + INTERVAL '1 hour' <= (SELECT max(t) FROM pieces) - INTERVAL '10 minutes'"""
+
+PIECES = """
+pieces AS (
+  SELECT device_id, try_strptime(event_timestamp, '%Y-%m-%dT%H:%M:%S.%fZ') AS t,
+         arrival_seq * 4 // ((SELECT MAX(arrival_seq) FROM telemetry) + 1) AS piece
+  FROM telemetry
+)"""
 
 
-@register("stream_late_drop", oracle.sql(LATE_SQL))
+@register("stream_late_drop", oracle.sql(LATE_SQL, PIECES))
 def q_stream_late_drop(spark, sf):
     return stream_runs.late_drop(spark, sf)
 

@@ -80,9 +80,16 @@ def maintenance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def late_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = scratch_path(spark, "late")
-    q = cstream.start_late_demo(streams.telemetry_replay(spark, sf_dir), f"{root}/table", f"{root}/_ck")
-    _finish(q)
+    """The events in four pieces by arrival, each added to the source and run to its end: readings of windows that
+    earlier pieces closed are dropped."""
+    root, pieces = scratch_path(spark, "late"), 4
+    events = tel.table(spark, sf_dir, "events")
+    end = (events.agg(F.max("event_id")).first()[0] or 0) + 1
+    for piece in range(pieces):
+        part = events.where(F.expr(f"event_id * {pieces} div {end} = {piece}"))
+        part.write.mode("append").parquet(f"{root}/events")
+        stream = streams.telemetry_replay(spark, f"{root}/events", max_files_per_trigger=1 << 30)
+        _finish(cstream.start_late_demo(stream, f"{root}/table", f"{root}/_ck"))
     return spark.read.parquet(f"{root}/table")
 
 
