@@ -136,3 +136,27 @@ def test_kafka_records_to_readings(spark):
     assert [x["arrival_seq"] for x in r] == [41, 42] and r[0]["temperature"] == 95.5
     assert r[0]["value"].startswith('{"event_id": "e1"') and r[0]["kafka_partition"] == 3
     assert dedup.dedup_first(streams.kafka_readings(raw)).collect()[0]["arrival_seq"] == 41
+
+
+def test_constraint_violations_are_counted(spark):
+    from vigil.operators import quality
+    df = spark.createDataFrame([("a", 1), ("a", None), ("a", 2), ("b", None), (None, 3), (None, None)], "k string, v int")
+    r = quality.constraint_violations(df, "k", ["k", "v"]).first().asDict()
+    assert r == {"duplicate_keys": 2, "null_k": 2, "null_v": 3}
+    assert quality.constraint_violations(df.where("false"), "k", ["v"]).first().asDict() == {"duplicate_keys": 0, "null_v": 0}
+
+
+def test_alert_ids_without_an_event_id_differ(spark):
+    rows = readings(spark, [{"event_id": None, "device_id": f"d{i % 2}", "temperature": 95.0} for i in range(6)])
+    assert consumers.alerts(rows).select("alert_id").distinct().count() == 6
+
+
+def test_metrics_snapshot_equals_the_parts(spark):
+    rows = readings(spark, [{"device_id": f"d{i % 3}", "status": "RUNNING" if i % 2 else "STOPPED", "temperature": float(i)} for i in range(30)])
+    snap = consumers.metrics_snapshot(consumers.metrics_by_status(rows))
+    want = {r["device_id"]: r for r in consumers.device_metrics(rows).collect()}
+    by_status = {(r["device_id"], r["status"]): r["n"] for r in consumers.status_distribution(rows).collect()}
+    for r in snap.collect():
+        assert all(r[c] == want[r["device_id"]][c] for c in snap.columns if c != "status_distribution")
+        assert r["status_distribution"] == {s: n for (d, s), n in by_status.items() if d == r["device_id"]}
+    assert consumers.fleet_of(snap).select("total_processed_events", "total_active_devices").first() == (30, 3)
