@@ -368,3 +368,17 @@ def test_queries_follow_the_operators(spark):
     root = components([shingles(x, 3) for _, x in rows], 90)
     got = {r.doc_id: r.component_id for r in QUERIES["op1_ngram_jaccard_join"](spark, SF_SMALL).collect()}
     assert got == {i: rows[r][0] for (i, _), r in zip(rows, root)}
+
+
+@pytest.mark.parametrize("name", ["op1_ngram_jaccard_join", "op4_substring_dedup"])
+def test_queries_match_sql(spark, name):
+    import duckdb
+    from conftest import SF_SMALL
+
+    from vigil.llm.queries import ORACLES, QUERIES
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF_SMALL}/documents.parquet'")
+    cur = con.execute(ORACLES[name])
+    cols = [c[0] for c in cur.description]
+    assert plain(QUERIES[name](spark, SF_SMALL), *cols) == Counter(cur.fetchall())

@@ -22,6 +22,14 @@ from .url_filter import url_verdicts
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
+#: (doc_id, n, word) of every document's words, and (doc_id, ws) their lists; {text} is the text's expression.
+WORDS_SQL = """
+pieces AS (
+    SELECT doc_id, generate_subscripts(list, 1) AS i, unnest(list) AS word
+    FROM (SELECT doc_id, string_split_regex({text}, '[\\x20\\x09-\\x0D]+') AS list FROM documents WHERE text IS NOT NULL)),
+words AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS n, word FROM pieces WHERE word <> ''),
+lists AS (SELECT doc_id, list(word ORDER BY n) AS ws FROM words GROUP BY doc_id)"""
+
 
 def query(name: str):
     def add(f):
@@ -35,12 +43,39 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(documents(spark, sf_dir), k=3, t=90)
 
 
+ORACLES["op1_ngram_jaccard_join"] = "WITH RECURSIVE" + WORDS_SQL.format(text="translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')") + """,
+shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(ws[j:j + 2], ' ') AS shingle
+    FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 2, 1) + 1)) AS j FROM lists)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT x, y FROM pairs JOIN sizes s ON s.doc_id = x JOIN sizes t ON t.doc_id = y WHERE 100 * k >= 90 * (s.n + t.n - k)),
+ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, w.y FROM reach r JOIN ways w ON r.b = w.x)
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(b) AS component_id
+FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN reach ON a = doc_id GROUP BY doc_id
+"""
+
+
 @query("op4_substring_dedup")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup(documents(spark, sf_dir), window=13)
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+ORACLES["op4_substring_dedup"] = "WITH" + WORDS_SQL.format(text="text") + """,
+windows AS (
+    SELECT doc_id, j, array_to_string(ws[j:j + 12], ' ') AS w
+    FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS j FROM lists)),
+firsts AS (SELECT w, min(doc_id) AS least FROM windows GROUP BY w),
+gone AS (SELECT DISTINCT doc_id, j + d AS n FROM windows JOIN firsts USING (w), range(0, 13) t(d) WHERE least < doc_id),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY n) AS text, count(*) AS n FROM words ANTI JOIN gone USING (doc_id, n) GROUP BY doc_id),
+counts AS (SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id)
+SELECT d.doc_id, coalesce(c.n, 0) AS n_words, coalesce(c.n, 0) - coalesce(k.n, 0) AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256
+FROM documents d LEFT JOIN counts c USING (doc_id) LEFT JOIN kept k USING (doc_id)
+"""
+
+
 @query("op9_best_fit_packing")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir))
