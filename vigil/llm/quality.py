@@ -142,8 +142,13 @@ def _text_features(docs: DataFrame, held_out: Column, id_col: str, text_col: str
 def fit(feats: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     marks = labels.where("quality in (0, 1)").groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.min("quality").alias("quality"))
     train = feats.where("not held_out").join(marks, "id")
-    order = train.withColumn("h", F.xxhash64("id", F.lit(11)))
-    rows = [np.array([r.f for r in order.where(F.col("quality") == q).orderBy("h", "id").limit(sample).select("f").collect()]) for q in (1, 0)]
+    number = dict(train.groupBy("quality").count().collect())
+    drawn = train.withColumn("h", F.pmod(F.xxhash64("id", F.lit(11)), F.lit(1 << 40)))
+    rows = []
+    for q in (1, 0):  # half as many again as are wanted, by the hash alone; the lowest of them are taken
+        share = min(1.0, 1.5 * sample / max(number.get(q, 0), 1))
+        some = drawn.where((F.col("quality") == q) & (F.col("h") <= int(share * (1 << 40)))).select("h", "id", "f").collect()
+        rows.append(np.array([r.f for r in sorted(some, key=lambda r: (r.h, r.id, r.f))[:sample]]))
     if not all(map(len, rows)):
         return Model(None)
     both = np.concatenate(rows)
