@@ -2,11 +2,12 @@
 
 Exact for any threshold t (100 * intersection >= t * union):
 
-1. Every text is hashed to its set of distinct shingles; equal sets collapse to one member, in each task and then
-   over all (a copy group of any size is one row from here on).
+1. Every text is hashed to its set of distinct shingles; equal sets are one member (a copy group of any size is one
+   row per task at most, and one row when candidates are sought). Sets are hashed anew in each pass: cheaper than
+   keeping them.
 2. Linked sets share a token among their first |A| - ceil(t|A|/100) + 1 tokens in any common order. The order here:
-   shingles of a fixed hash universe first, rarest first (their frequencies are counted over all members), then the
-   others by hash. Tokens of one member only are never sent; the rest deals members into blocks.
+   shingles of a fixed hash universe first, rarest first (their frequencies are counted over all texts, copies once a
+   task), then the others by hash. Tokens of one member only go no further; the rest deals members into blocks.
 3. In a block, the dual traversal of signature trees (bitmaps and sizes only) gives a spanning forest of the pairs
    that may be linked. Blocks over BLOCK members are dealt into pairs of parts, so any block is done whole in bounded
    memory.
@@ -32,7 +33,7 @@ from .signature_tree import bitmap, link_group
 #: Members of a block, and shingles of a cluster, that one task takes at a time; larger ones are dealt into pairs of parts.
 BLOCK = 4096
 CLUSTER_TOKENS = 1_000_000
-#: Sets that a task remembers, so as not to send copies of them (only to save work).
+#: Sets that a task remembers.
 SEEN = 200_000
 
 
@@ -56,38 +57,57 @@ def _digest(tokens: np.ndarray) -> bytes:
     return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
 
 
-def _sizes(k: int):
-    schema = pa.schema([("doc", pa.int64()), ("n", pa.int64()), ("digest", pa.binary())])
+def _sid(digest: bytes) -> int:
+    """The 64-bit name of a set while candidates are sought (links are verified under the whole digest)."""
+    return int.from_bytes(digest[:8], "little", signed=True)
+
+
+def _hashed(batches, at: int, k: int):
+    """(batch, first row, row after the last, sets) by groups of texts."""
+    hasher = WordHasher(lower=True)
+    for batch in batches:
+        data, bounds = text_buffers(batch.column(at))
+        for i, j in text_groups(bounds, GROUP_BYTES):
+            yield batch, i, j, shingle_sets(data[bounds[i]:bounds[j]], bounds[i:j + 1] - bounds[i], hasher, k)
+
+
+class _Seen:
+    """The sets that a task has met, so that it sends copies of them once (forgets beyond SEEN: only work is saved)."""
+
+    def __init__(self):
+        self.digests: set[bytes] = set()
+
+    def new(self, digest: bytes) -> bool:
+        if digest in self.digests:
+            return False
+        if len(self.digests) < SEEN:
+            self.digests.add(digest)
+        return True
+
+
+def _members(k: int, t: int, universe: int):
+    schema = pa.schema([("doc", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("sid", pa.int64()), ("bits", pa.binary()), ("nu", pa.int64()), ("extra", pa.list_(pa.int64()))])
 
     def run(batches):
-        hasher = WordHasher(lower=True)
-        for batch in batches:
-            data, bounds = text_buffers(batch.column(1))
-            for i, j in text_groups(bounds, GROUP_BYTES):
-                sets = shingle_sets(data[bounds[i]:bounds[j]], bounds[i:j + 1] - bounds[i], hasher, k)
-                yield record_batch(schema, [batch.column(0)[i:j], [len(s) for s in sets], [_digest(s) for s in sets]])
+        seen = _Seen()
+        for batch, i, j, sets in _hashed(batches, 1, k):
+            digests = [_digest(s) for s in sets]
+            first = [len(s) > 0 and seen.new(d) for s, d in zip(sets, digests)]
+            own = [s % np.uint64(universe) == 0 for s in sets]
+            extra = [s[~o][:max(0, len(s) - (t * len(s) + 99) // 100 + 1 - int(o.sum()))] if f else s[:0] for s, o, f in zip(sets, own, first)]
+            yield record_batch(schema, [batch.column(0)[i:j], [len(s) for s in sets], digests, [_sid(d) for d in digests],
+                                        [bitmap(s).tobytes() if f else None for s, f in zip(sets, first)], [int(o.sum()) for o in own], list_array([x.view(np.int64) for x in extra])])
     return run
 
 
-def _members(k: int, t: int, universe: int):
-    schema = pa.schema([("digest", pa.binary()), ("n", pa.int64()), ("bits", pa.binary()), ("nu", pa.int64()), ("u", pa.list_(pa.int64())), ("extra", pa.list_(pa.int64()))])
+def _tokens(k: int, universe: int):
+    schema = pa.schema([("sid", pa.int64()), ("u", pa.list_(pa.int64()))])
 
     def run(batches):
-        hasher, seen = WordHasher(lower=True), set()
-        for batch in batches:
-            data, bounds = text_buffers(batch.column(0))
-            for i, j in text_groups(bounds, GROUP_BYTES):
-                digests, sets = [], []
-                for s in shingle_sets(data[bounds[i]:bounds[j]], bounds[i:j + 1] - bounds[i], hasher, k):
-                    if len(s) and (d := _digest(s)) not in seen:  # copies in one task are sent once
-                        if len(seen) < SEEN:
-                            seen.add(d)
-                        digests.append(d)
-                        sets.append(s)
-                u = [s[s % np.uint64(universe) == 0] for s in sets]
-                extra = [s[s % np.uint64(universe) != 0][:max(0, len(s) - (t * len(s) + 99) // 100 + 1 - len(own))] for s, own in zip(sets, u)]
-                yield record_batch(schema, [digests, [len(s) for s in sets], [bitmap(s).tobytes() for s in sets], [len(x) for x in u],
-                                            list_array([x.view(np.int64) for x in u]), list_array([x.view(np.int64) for x in extra])])
+        seen = _Seen()
+        for _, _, _, sets in _hashed(batches, 0, k):
+            rows = [(_sid(d), s[s % np.uint64(universe) == 0]) for s in sets if len(s) and seen.new(d := _digest(s))]
+            yield record_batch(schema, [[x for x, _ in rows], list_array([u.view(np.int64) for _, u in rows])])
     return run
 
 
@@ -95,12 +115,8 @@ def _sets(k: int):
     schema = pa.schema([("digest", pa.binary()), ("tokens", pa.binary())])
 
     def run(batches):
-        hasher = WordHasher(lower=True)
-        for batch in batches:
-            data, bounds = text_buffers(batch.column(0))
-            for i, j in text_groups(bounds, GROUP_BYTES):
-                raw = [s.tobytes() for s in shingle_sets(data[bounds[i]:bounds[j]], bounds[i:j + 1] - bounds[i], hasher, k)]
-                yield record_batch(schema, [[hashlib.blake2b(r, digest_size=16).digest() for r in raw], raw])
+        for _, _, _, sets in _hashed(batches, 0, k):
+            yield record_batch(schema, [[_digest(s) for s in sets], [s.tobytes() for s in sets]])
     return run
 
 
@@ -166,17 +182,14 @@ def ngram_components(docs: DataFrame, k: int = 5, t: int = 80, id_col: str = "do
     Equal texts are linked. Repeated ids are judged row by row; a null id takes part in linking but is never a
     component's name unless all its members' ids are null. Other columns are ignored; an empty table gives no rows.
     """
-    universe = max(1, 40 // (100 - t)) if t < 100 else 8
+    universe = max(1, 60 // (100 - t)) if t < 100 else 8
     own = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
-    sig = save(own.mapInArrow(_sizes(k), "doc long, n long, digest binary"), "sizes")
-    members = own.select("text").mapInArrow(_members(k, t, universe), "digest binary, n long, bits binary, nu long, u array<long>, extra array<long>")
-    members = save(members.dropDuplicates(["digest"]).withColumn("sid", F.monotonically_increasing_id()), "members")
-    ident = members.select("digest", "sid").join(sig.where("n > 0").groupBy("digest").agg(F.min("doc").alias("doc0")), "digest")
-    ident = save(ident, "named")
+    sig = save(own.mapInArrow(_members(k, t, universe), "doc long, n long, digest binary, sid long, bits binary, nu long, extra array<long>"), "sizes")
+    members = save(sig.where("bits is not null").select("sid", "n", "bits", "nu", "extra").dropDuplicates(["sid"]), "members")
 
-    tokens = members.select("sid", F.explode("u").alias("h"))
+    tokens = own.select("text").mapInArrow(_tokens(k, universe), "sid long, u array<long>").select("sid", F.explode("u").alias("h"))
     shared = tokens.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
-    rare = tokens.join(shared, "h").groupBy("sid").agg(F.collect_list(F.struct("df", "h")).alias("l"))
+    rare = tokens.join(shared, "h").groupBy("sid").agg(F.collect_set(F.struct("df", "h")).alias("l"))
     first = (members.select("sid", "n", "extra", "nu").join(rare, "sid", "left")
              .withColumn("l", F.coalesce("l", F.expr("array()")))
              .select("sid", F.explode(F.expr(f"""concat(
@@ -185,19 +198,23 @@ def ngram_components(docs: DataFrame, k: int = 5, t: int = 80, id_col: str = "do
     blocks = first.groupBy("h").agg(F.count("*").alias("size")).where("size > 1")
     rows = first.join(blocks, "h").join(members.select("sid", "n", "bits"), "sid")
     near = _dealt(rows, "h", F.ceil(F.col("size") / block)).select("h", "i", "j", "c", "sid", "n", "bits").mapInArrow(_candidates(t, "h"), "a long, b long")
-    clusters = save(connected_components(near), "clusters")
+    clusters = save(connected_components(near).withColumnsRenamed({"node": "sid"}), "clusters")
 
-    wanted = clusters.join(ident, clusters.node == ident.sid).select("digest", "sid", "root", "doc0")
-    names = sized(wanted.select(F.col("doc0")).distinct(), 32)
+    # from here on a member is its digest, numbered; names that two digests share (a chance of n^2 / 2^65) part again
+    ident = sig.where("n > 0").groupBy("digest", "sid").agg(F.min("doc").alias("doc0"))
+    ident = save(ident.withColumn("nid", F.monotonically_increasing_id()), "named")
+    wanted = clusters.join(ident, "sid").select("digest", "nid", "sid", "root", "doc0")
+    names = sized(wanted.select("doc0").distinct(), 32)
     sets = own.join(names, own.doc.eqNullSafe(names.doc0), "left_semi").select("text").mapInArrow(_sets(k), "digest binary, tokens binary")
     sets = wanted.join(sets, "digest").dropDuplicates(["digest"])
-    sets = save(sets.join(members.select("sid", "n", "bits"), "sid"), "sets")
+    sets = sets.join(members.select("sid", "n", "bits"), "sid").drop("sid").withColumnRenamed("nid", "sid")
+    sets = save(sets.select("sid", "root", "n", "bits", "tokens"), "sets")
     weight = sets.groupBy("root").agg(F.ceil(F.sum("n") / cluster_tokens).alias("parts"))
     links = _dealt(sets.join(weight, "root"), "root", F.col("parts")).select("root", "i", "j", "c", "sid", "n", "bits", "tokens").mapInArrow(_verified(t, "root"), "a long, b long")
     labels = save(connected_components(links), "labels")
 
-    named = labels.join(ident, labels.node == ident.sid).groupBy("root").agg(F.min("doc0").alias("least"))
-    answer = (ident.join(labels, ident.sid == labels.node, "left").join(named, "root", "left")
+    named = labels.join(ident, labels.node == ident.nid).groupBy("root").agg(F.min("doc0").alias("least"))
+    answer = (ident.join(labels, ident.nid == labels.node, "left").join(named, "root", "left")
               .select("digest", F.coalesce("least", "doc0").alias("component")))
     return (sig.select("doc", "n", "digest").join(answer, "digest", "left")
             .select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc")).alias("component_id")))
