@@ -25,7 +25,7 @@ CHUNK_BYTES = 8 << 20
 EM_ROUNDS = 3
 PRIOR = 1000.0
 #: Words whose lattices are built together.
-WORDS = 100_000
+WORDS = 50_000
 
 
 def _count_words():
@@ -36,7 +36,7 @@ def _count_words():
         for batch in batches:
             data, bounds = text_buffers(batch.column(0))
             train = ~batch.column(1).to_numpy(zero_copy_only=False)
-            for i, j in text_groups(bounds, CHUNK_BYTES):
+            for i, j in text_groups(bounds):
                 part = data[bounds[i]:bounds[j]]
                 h, woff, (s, e) = hasher(part, bounds[i:j + 1] - bounds[i], places=True)
                 if not len(h):
@@ -155,7 +155,7 @@ def lattice_scores(docs: DataFrame, held_out: Column, vocabulary: str | None = N
     """
     own = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"), held_out.alias("held_out"))
     words = save(own.select("text", "held_out").mapInArrow(_count_words(), "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
-    n_words, distinct, n_all = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when(F.col("n") > 0, 1)), F.count("*")).first()
+    n_words, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when(F.col("n") > 0, 1))).first()
     ends, size = own.agg(F.count(F.when(~F.col("held_out"), 1)), F.sum(F.octet_length("text"))).first()
 
     voc = Vocabulary(vocabulary)
@@ -170,7 +170,7 @@ def lattice_scores(docs: DataFrame, held_out: Column, vocabulary: str | None = N
             logp = np.log(uses) - np.log(total)
         log_end = np.log(ends + prior / len(uses)) - np.log(total)
 
-    buckets = max(1, n_all // bucket_values)
+    buckets = max(1, (size or 0) // (8 * bucket_values))  # chunks ask in proportion to their size
     scored = words.mapInArrow(_scored(voc, logp, buckets), REQUEST_DDL)
     texts = chunked(own, size or 0, "doc", "text", chunk_bytes=chunk_bytes)
     asked = texts.groupBy("chunk").applyInArrow(_ask(buckets), REQUEST_DDL)
