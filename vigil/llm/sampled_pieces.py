@@ -18,6 +18,10 @@ from .common import WordHasher, list_array, mix, record_batch, text_buffers, tex
 from .lattice import Lattice, PieceTrie, Vocabulary, lattices, segments
 
 
+#: Bytes of texts, and ids, that a task samples or decodes at a time.
+GROUP_TEXT, GROUP_IDS = 1 << 20, 1 << 19
+
+
 def _sample(lattice: Lattice, logp: np.ndarray, ends: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(occurrence, step, piece) of segmentations drawn backwards from the nodes ``ends``; key: a hash per occurrence."""
     f = lattice.forward(logp)
@@ -32,16 +36,16 @@ def _sample(lattice: Lattice, logp: np.ndarray, ends: np.ndarray, key: np.ndarra
     out = []
     node, at, step = ends, np.arange(len(ends)), 0
     while len(at):
-        draw = (mix(key[at] + np.uint64(step) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(12)).astype(np.float64) / float(1 << 52)
+        draw = (mix(key[at] + np.uint64(step * 0x9E3779B97F4A7C15 % 2 ** 64)) >> np.uint64(12)).astype(np.float64) / float(1 << 52)
         arc = np.clip(np.searchsorted(where, node + draw, "right"), first[node], first[node + 1] - 1)
         empty = part[arc] == 0  # by rounding at the upper end: the last arc with weight
         while empty.any():
             arc[empty] -= 1
             empty &= part[arc] == 0
-        out.append((at, np.full(len(at), step), piece[arc]))
+        out.append((at.astype(np.int32), np.full(len(at), step, np.int32), piece[arc].astype(np.int32)))
         node = u[arc]
         at, node, step = at[node > 0], node[node > 0], step + 1
-    return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64),) * 3
+    return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int32),) * 3
 
 
 def _encode(vocabulary: Vocabulary, logp: np.ndarray, seed: int):
@@ -52,7 +56,7 @@ def _encode(vocabulary: Vocabulary, logp: np.ndarray, seed: int):
         for batch in batches:
             data, bounds = text_buffers(batch.column(2))
             row = mix(batch.column(1).to_numpy().view(np.uint64) + np.uint64(seed))
-            for i, j in text_groups(bounds):
+            for i, j in text_groups(bounds, GROUP_TEXT):
                 own, which, cut = segments(data[bounds[i]:bounds[j]], bounds[i:j + 1] - bounds[i], hasher)
                 text = np.repeat(np.arange(i, j), np.diff(cut))
                 key = mix(row[text] ^ mix((np.arange(len(which)) - cut[text - i] + 1).astype(np.uint64)))
@@ -78,13 +82,20 @@ def _encode(vocabulary: Vocabulary, logp: np.ndarray, seed: int):
 
 def _decode(vocabulary: Vocabulary):
     def run(batches):
-        piece = vocabulary.pieces
+        size = np.array([len(p) for p in vocabulary.pieces], np.int64)
+        blob, first = np.frombuffer(b"".join(vocabulary.pieces), np.uint8), np.cumsum(size) - size
         for batch in batches:
-            at = batch.schema.get_field_index("ids")
-            texts = []
-            for ids in batch.column(at).to_pylist():
-                texts.append(b"".join([piece[i] for i in ids])[1:].decode() if ids is not None else None)
-            yield batch.append_column("text", pa.array(texts, pa.string()))
+            column = batch.column(batch.schema.get_field_index("ids"))
+            count = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            ids, texts = column.flatten().to_numpy(), []
+            for i, j in text_groups(np.concatenate([[0], np.cumsum(count)]), GROUP_IDS):
+                part = ids[count[:i].sum():count[:j].sum()]
+                ends = np.cumsum(size[part])
+                raw = blob[np.repeat(first[part] - (ends - size[part]), size[part]) + np.arange(int(ends[-1]) if len(ends) else 0)].tobytes()
+                cut = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(count[i:j])])].tolist()
+                # without the space that encoding puts before a text
+                texts += [raw[a + 1:b].decode(errors="replace") for a, b in zip(cut[:-1], cut[1:])]
+            yield batch.append_column("text", pa.array([None if null else x for null, x in zip(column.is_null().to_pylist(), texts)], pa.string()))
     return run
 
 
