@@ -83,6 +83,22 @@ def test_forest_ascends_no_further_than_needed():
     assert np.array_equal(projections(4, 2, 3), projections(4, 2, 3))
 
 
+@pytest.mark.parametrize("shard", [64, 4096])
+def test_forest_gives_k_or_all(spark, shard):
+    rows = awkward_vectors()
+    vs = usable(rows)
+    got = Counter(r.query_id for r in nearest(vectors(spark, rows), F.col("vec_id") % 50 == 0, 5, shard=shard).collect())
+    assert got == Counter({q: min(5, sum(len(v) == len(vs[q]) for v in vs.values()) - 1) for q in vs if q % 50 == 0})
+
+
+@pytest.mark.parametrize("n", [2, 3, 6, 8, 11])
+def test_small_forest_gives_k_or_all(n):
+    m = np.random.default_rng(n).normal(size=(n, 8))
+    for ids in (np.arange(n), np.arange(n) // 2):
+        q, i, _ = HashForest(ids, m)(ids, m, 5)
+        assert all(len(set(i[q == x])) == min(5, len(set(ids)) - 1) and x not in i[q == x] for x in ids)
+
+
 def integers(a, b):
     return int(np.floor(1024 * a).astype(object) @ np.floor(1024 * b).astype(object))
 

@@ -3,8 +3,8 @@
 In every shard each of TREES trees is a sorted array of long hash strings (BITS signs of random projections, as one
 integer). A query descends to its longest prefix match in every tree, and then all trees ascend together, a bit at a
 time: at each level the vectors that share that many leading bits with the query in any tree are its candidates --
-ranges of the sorted arrays, found by binary search -- until they are FRACTION of the shard. Candidates are scored
-exactly. Nothing depends on the number of vectors but the number of shards, so recall does not fall as data grow.
+ranges of the sorted arrays, found by binary search -- until those other than the query's own id are FRACTION of the
+shard and k ids, or all there are. Candidates are scored exactly. Nothing depends on the number of vectors but the number of shards, so recall does not fall as data grow.
 """
 
 from __future__ import annotations
@@ -33,6 +33,7 @@ class HashForest:
         keep = length > 0
         self.ids, self.vectors, self.length = ids[keep], vectors[keep], length[keep]
         self.trees, self.bits, self.least = trees, bits, fraction * len(self.ids)
+        self.repeated = len(np.unique(self.ids)) < len(self.ids)
         self.planes = projections(vectors.shape[1], trees, bits)
         hashes = self.hash(self.vectors)
         self.order = np.argsort(hashes, axis=0, kind="stable").T
@@ -42,8 +43,15 @@ class HashForest:
         signs = (vectors @ self.planes > 0).reshape(len(vectors), self.trees, self.bits)
         return signs @ (1 << np.arange(self.bits - 1, -1, -1, dtype=np.int64))
 
-    def candidates(self, hashes: np.ndarray) -> np.ndarray:
-        """Of the deepest common level at which enough vectors share a prefix with the query."""
+    def count(self, rows: np.ndarray) -> int:
+        """Different ids where ``rows`` is true."""
+        return len(np.unique(self.ids[rows])) if self.repeated else int(rows.sum())
+
+    def candidates(self, hashes: np.ndarray, query: int | None = None, k: int = 0) -> np.ndarray:
+        """Of the deepest common level at which enough vectors, ``query``'s own not counted, share a prefix with it."""
+        other = np.ones(len(self.ids), bool) if query is None else self.ids != query
+        least, ids = min(self.least, other.sum()), min(k, self.count(other))
+
         def at(level: int) -> np.ndarray:
             low = hashes >> (self.bits - level) << (self.bits - level)
             high = low + (1 << (self.bits - level))
@@ -58,7 +66,7 @@ class HashForest:
         while deep - flat > 1:
             level = (deep + flat) // 2
             seen = at(level)
-            if seen.sum() >= self.least:
+            if (seen & other).sum() >= least and self.count(seen & other) >= ids:
                 flat, found = level, seen
             else:
                 deep = level
@@ -70,10 +78,13 @@ class HashForest:
         for i, q in enumerate(query_ids):
             if not length[i] or not len(self.ids):
                 continue
-            c = self.candidates(hashes[i])
+            c = self.candidates(hashes[i], q, k)
             c = c[self.ids[c] != q]
             score = (self.vectors[c] * queries[i]).sum(axis=1) / (self.length[c] * length[i])
-            best = np.lexsort((self.ids[c], -score))[:k]
+            best = np.lexsort((self.ids[c], -score))
+            if self.repeated:  # the best row of each id
+                best = best[np.sort(np.unique(self.ids[c[best]], return_index=True)[1])]
+            best = best[:k]
             out.append((np.full(len(best), q), self.ids[c[best]], score[best]))
         return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
 
