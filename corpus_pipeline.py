@@ -23,19 +23,22 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (shingles of five words, similarity 0.8): the least id's.
-
-    Texts without words all stay, and so do rows without an id. Rows that share an id stay or go together (they go if
-    all of them do); of equal ones a single row stays."""
-    found = save(ngram_components(docs, k=5, t=80).groupBy("doc_id").agg(
-        F.min((F.col("n_shingles") > 0) & F.coalesce(F.col("doc_id") != F.col("component_id"), F.lit(False))).alias("gone"), F.count("*").alias("rows")), "near")
-    gone = sized(found.where("gone").select(F.col("doc_id").alias("id")), 16)
-    kept = docs.join(gone, docs.doc_id == gone.id, "left_anti")
-    again = found.where("rows > 1 and doc_id is not null").select(F.col("doc_id").alias("id"))
+    """One row of each group of near duplicates (shingles of five words, similarity 0.8): the least id's, of rows that
+    share it or have none (they come last) the one whose text has the least MD5; of equal rows a single one.
+
+    Texts without words all stay."""
+    def same(rows: DataFrame, named: DataFrame):
+        return rows.doc_id.eqNullSafe(named.id) & (F.unhex(F.md5(rows.text)) == named.mark)
+
+    found = save(ngram_components(docs, k=5, t=80, mark=F.unhex(F.md5("text"))).where("n_shingles > 0").groupBy(F.col("doc_id").alias("id"), "mark").agg(
+        F.min("stays").alias("stays"), F.count("*").alias("rows")), "near")
+    gone = sized(found.where("not stays").select("id", "mark"), 96)
+    kept = docs.join(gone, same(docs, gone), "left_anti")
+    again = found.where("stays and rows > 1").select("id", "mark")
     if again.isEmpty():
         return kept
-    again = sized(again, 16)
-    return kept.join(again, kept.doc_id == again.id, "left_anti").union(kept.join(again, kept.doc_id == again.id, "left_semi").dropDuplicates(["doc_id", "text"]))
+    again = sized(again, 96)
+    return kept.join(again, same(kept, again), "left_anti").union(kept.join(again, same(kept, again), "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

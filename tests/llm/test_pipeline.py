@@ -37,6 +37,17 @@ def test_near_duplicate_stage(spark):
     assert got == Counter(want) and len(gone) > 20
 
 
+def test_near_duplicate_stage_without_or_with_shared_ids(spark):
+    """One row of each group stays, whether ids are null, shared or neither; texts without words all stay."""
+    text, other, third = (" ".join(f"{x}{i}" for i in range(100)) for x in "abc")
+    rows = [(None, text)] * 3 + [(None, text + " more"), (5, text), (9, text + " end"), (None, other), (None, other), (None, other + " z"),
+            (7, third), (7, third + " z"), (7, "quite another text of that id"), (8, ""), (8, ""), (None, None), (None, None), (8, " ")]
+    got = rows_of(cp.near_duplicates(spark, table(spark, rows), SF))
+    assert [got.pop(x, 0) for x in [(8, ""), (None, None), (8, " ")]] == [2, 2, 1]
+    assert got.pop((5, text)) == got.pop((7, "quite another text of that id")) == 1
+    assert sorted((i or 0, x[:1], n) for (i, x), n in got.items()) == [(0, "b", 1), (7, "c", 1)]
+
+
 def test_passage_stage_keeps_all_columns(spark):
     rows = awkward()
     got = cp.passages(spark, table(spark, rows, clash=True), SF)

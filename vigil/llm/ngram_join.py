@@ -23,7 +23,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import (GROUP_BYTES, WordHasher, list_array, record_batch, save, sized, streamed, text_buffers, text_groups, window_mask, windows)
@@ -85,8 +85,9 @@ class _Seen:
         return True
 
 
-def _members(k: int, t: int, universe: int):
-    schema = pa.schema([("doc", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("sid", pa.int64()), ("bits", pa.binary()), ("nu", pa.int64()), ("extra", pa.list_(pa.int64()))])
+def _members(k: int, t: int, universe: int, marked: bool):
+    schema = pa.schema([("doc", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("sid", pa.int64()), ("bits", pa.binary()), ("nu", pa.int64()), ("extra", pa.list_(pa.int64())),
+                        *([("mark", pa.binary())] if marked else [])])
 
     def run(batches):
         seen = _Seen()
@@ -96,7 +97,8 @@ def _members(k: int, t: int, universe: int):
             own = [s % np.uint64(universe) == 0 for s in sets]
             extra = [s[~o][:max(0, len(s) - (t * len(s) + 99) // 100 + 1 - int(o.sum()))] if f else s[:0] for s, o, f in zip(sets, own, first)]
             yield record_batch(schema, [batch.column(0)[i:j], [len(s) for s in sets], digests, [_sid(d) for d in digests],
-                                        [bitmap(s).tobytes() if f else None for s, f in zip(sets, first)], [int(o.sum()) for o in own], list_array([x.view(np.int64) for x in extra])])
+                                        [bitmap(s).tobytes() if f else None for s, f in zip(sets, first)], [int(o.sum()) for o in own], list_array([x.view(np.int64) for x in extra]),
+                                        *([batch.column(2)[i:j]] if marked else [])])
     return run
 
 
@@ -174,17 +176,21 @@ def _verified(t: int, key: str):
 
 
 def ngram_components(docs: DataFrame, k: int = 5, t: int = 80, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK,
-                     cluster_tokens: int = CLUSTER_TOKENS) -> DataFrame:
+                     cluster_tokens: int = CLUSTER_TOKENS, mark: Column | None = None) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs``.
 
+    With ``mark`` (a binary digest of the text) also mark and stays: whether the row's (id, mark) is the least of its
+    component, null ids last, which is so for one (id, mark) of each component; texts without words all stay.
+
     Words are lower-cased (A-Z). component_id is the least id reachable over links, the row's own included. Texts
     without words (null, empty, white space) have 0 shingles and link with nothing, so component_id is their own id.
     Equal texts are linked. Repeated ids are judged row by row; a null id takes part in linking but is never a
     component's name unless all its members' ids are null. Other columns are ignored; an empty table gives no rows.
     """
     universe = max(1, 60 // (100 - t)) if t < 100 else 8
-    own = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
-    sig = save(own.mapInArrow(_members(k, t, universe), "doc long, n long, digest binary, sid long, bits binary, nu long, extra array<long>"), "sizes")
+    own = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"), *([] if mark is None else [mark.alias("mark")]))
+    sig = save(own.mapInArrow(_members(k, t, universe, mark is not None),
+                              "doc long, n long, digest binary, sid long, bits binary, nu long, extra array<long>" + ("" if mark is None else ", mark binary")), "sizes")
     members = save(sig.where("bits is not null").select("sid", "n", "bits", "nu", "extra").dropDuplicates(["sid"]), "members")
 
     tokens = own.select("text").mapInArrow(_tokens(k, universe), "sid long, u array<long>").select("sid", F.explode("u").alias("h"))
@@ -201,7 +207,8 @@ def ngram_components(docs: DataFrame, k: int = 5, t: int = 80, id_col: str = "do
     clusters = save(connected_components(near).withColumnsRenamed({"node": "sid"}), "clusters")
 
     # from here on a member is its digest, numbered; names that two digests share (a chance of n^2 / 2^65) part again
-    ident = sig.where("n > 0").groupBy("digest", "sid").agg(F.min("doc").alias("doc0"))
+    first_mark = [] if mark is None else [F.expr("min(struct(doc IS NULL AS no_id, doc, mark))").alias("first0")]
+    ident = sig.where("n > 0").groupBy("digest", "sid").agg(F.min("doc").alias("doc0"), *first_mark)
     ident = save(ident.withColumn("nid", F.monotonically_increasing_id()), "named")
     wanted = clusters.join(ident, "sid").select("digest", "nid", "sid", "root", "doc0")
     names = sized(wanted.select("doc0").distinct(), 32)
@@ -213,8 +220,9 @@ def ngram_components(docs: DataFrame, k: int = 5, t: int = 80, id_col: str = "do
     links = _dealt(sets.join(weight, "root"), "root", F.col("parts")).select("root", "i", "j", "c", "sid", "n", "bits", "tokens").mapInArrow(_verified(t, "root"), "a long, b long")
     labels = save(connected_components(links), "labels")
 
-    named = labels.join(ident, labels.node == ident.nid).groupBy("root").agg(F.min("doc0").alias("least"))
+    named = labels.join(ident, labels.node == ident.nid).groupBy("root").agg(F.min("doc0").alias("least"), *([] if mark is None else [F.min("first0").alias("first")]))
     answer = (ident.join(labels, ident.nid == labels.node, "left").join(named, "root", "left")
-              .select("digest", F.coalesce("least", "doc0").alias("component")))
-    return (sig.select("doc", "n", "digest").join(answer, "digest", "left")
-            .select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc")).alias("component_id")))
+              .select("digest", F.coalesce("least", "doc0").alias("component"), *([] if mark is None else [F.coalesce("first", "first0").alias("first")])))
+    more = [] if mark is None else ["mark", F.expr("n = 0 OR (first.doc <=> doc AND first.mark <=> mark)").alias("stays")]
+    return (sig.select("doc", "n", "digest", *more[:1]).join(answer, "digest", "left")
+            .select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc")).alias("component_id"), *more))
