@@ -102,6 +102,22 @@ def test_substring_dedup(spark, rows, window, chunk, bucket):
     assert {r.kept for r in got.select("rest.kept").collect()} == {"kept"}
 
 
+def test_repeated_rows_are_dealt_into_many_chunks(spark):
+    from vigil.llm.chunks import chunked
+    rows = [(1, "a repeated row " * 10)] * 2000 + [(None, None)] * 2000 + [(i, f"text {i} " * 20) for i in range(2, 500)]
+    df = spark.createDataFrame(rows, "doc long, text string").repartition(4)
+    got = chunked(df, sum(len(x or "") for _, x in rows), "doc", "text", chunk_bytes=10_000)
+    assert sorted((r.doc or 0, r.text or "") for r in got.collect()) == sorted((i or 0, x or "") for i, x in rows)
+    assert got.columns == ["doc", "text", "chunk"] and max(r["count"] for r in got.groupBy("chunk").count().collect()) < 400
+
+
+def test_substring_dedup_of_repeated_rows(spark, rows):
+    passage = " ".join(f"p{i}" for i in range(40))
+    more = rows + [(105, passage + " end")] * 60 + [(None, passage)] * 60 + [(104, "start " + passage)]
+    got = substring_dedup(table(spark, more), 13, chunk_bytes=2000)
+    assert Counter((r.doc_id, r.n_words, r.n_removed, r.kept.encode()) for r in got.collect()) == Counter((i, *w) for (i, _), w in zip(more, kept_words(more, 13)))
+
+
 def test_substring_dedup_of_nothing(spark):
     assert substring_dedup(spark.createDataFrame([], DOCS)).count() == 0
 

@@ -12,9 +12,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import save, sized
+
 #: Text of a chunk, and values of a bucket, on average. Both are sizes, so their numbers follow the input.
 CHUNK_BYTES = 4 << 20
 BUCKET_VALUES = 1 << 20
+#: What a row counts besides its text.
+ROW_BYTES = 64
 
 REQUEST = pa.schema([("bucket", pa.int64()), ("chunk", pa.int64()), ("keys", pa.binary()), ("data", pa.binary())])
 REQUEST_DDL = "bucket long, chunk long, keys binary, data binary"
@@ -27,10 +31,19 @@ def text_size(docs: DataFrame, text: Column) -> int:
 
 
 def chunked(docs: DataFrame, size: int, *key: str, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """``docs`` with a ``chunk`` number from the row's ``key`` columns, dealt out by it (all uses share one exchange)."""
+    """``docs`` with a ``chunk`` number from the row's ``key`` columns, dealt out by it (all uses share one exchange).
+
+    Rows with equal keys that are more than a chunk together are written once with a number, which deals them too."""
     n = max(1, -(-size // chunk_bytes))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return docs.withColumn("chunk", F.pmod(F.xxhash64(*key), F.lit(n))).repartition(parts, "chunk")
+    same, nth = F.xxhash64(*key), F.lit(None).cast("long")
+    row = F.coalesce(F.octet_length("text"), F.lit(0)) + ROW_BYTES
+    many = save(docs.groupBy(same.alias("same")).agg(F.count("*").alias("rows"), F.sum(row).alias("bytes")).where(f"rows > 1 and bytes > {chunk_bytes}").select("same"), "many") if n > 1 else None
+    if many is not None and not many.isEmpty():
+        many = sized(many, 16)
+        repeated = save(docs.join(many, same == many.same, "left_semi").withColumn("nth", F.monotonically_increasing_id()), "repeated")
+        docs, nth = docs.join(many, same == many.same, "left_anti").withColumn("nth", nth).union(repeated), F.col("nth")
+    return docs.withColumn("chunk", F.pmod(F.xxhash64(*key, nth), F.lit(n))).drop("nth").repartition(parts, "chunk")
 
 
 def requests(chunk: int, keys: np.ndarray, buckets: int, data: np.ndarray | None = None, width=np.uint64) -> pa.Table:
