@@ -351,6 +351,19 @@ def test_quality_learns_from_training_rows_only(spark):
     assert plain(quality_scores(df, label(False), held), "doc_id", "score") == plain(quality_scores(df, label(True), held), "doc_id", "score")
 
 
+def test_quality_sample_of_an_id_with_many_rows_is_bounded(spark, monkeypatch):
+    from vigil.llm import quality
+    hot = spark.range(5000).selectExpr("id", "pmod(xxhash64(id, 11), 1L << 40) AS h").orderBy("h").first().id
+    rows = [(hot, [float(i % 1000), 1.0]) for i in range(4000)] + [(i, [float(i % 7), 0.0]) for i in range(5000) if i != hot]
+    feats = spark.createDataFrame([(i, f, False) for i, f in rows], "id long, f array<double>, held_out boolean").repartition(4)
+    labels = spark.createDataFrame([(i, int(i == hot or i % 2)) for i in range(5000)], "doc_id long, quality int")
+    sent, frame, collect = [], type(feats), type(feats).collect
+    monkeypatch.setattr(frame, "collect", lambda df: sent.append(collect(df)) or sent[-1])
+    quality.fit(feats, labels, sample=200)
+    good = [r for rows in sent for r in rows if "f" in r and (r.id == hot or r.id % 2)]
+    assert max(map(len, sent)) <= 2 * 200 and 0 < sum(r.id == hot for r in good) < 0.5 * len(good)
+
+
 def test_quality_without_both_labels(spark):
     rows = quality_rows()[:20]
     for marks in ([], [(i, 1) for i, _ in rows]):

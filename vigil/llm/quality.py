@@ -7,7 +7,8 @@ as is labelled bad lies below it. A score is given as sigmoid(worth - threshold
 threshold.
 
 Texts are read once; their features (a few hundred bytes a text) are written to the shared folder. The pairs come from
-a bounded sample of labelled rows (SAMPLE of each label, those whose ids hash lowest); the threshold comes from all.
+a bounded sample of labelled rows (SAMPLE of each label, those whose ids and features hash lowest; rows equal in both
+are one); the threshold comes from all.
 """
 
 from __future__ import annotations
@@ -142,12 +143,12 @@ def _text_features(docs: DataFrame, held_out: Column, id_col: str, text_col: str
 def fit(feats: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     marks = labels.where("quality in (0, 1)").groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.min("quality").alias("quality"))
     train = feats.where("not held_out").join(marks, "id")
-    number = dict(train.groupBy("quality").count().collect())
-    drawn = train.withColumn("h", F.pmod(F.xxhash64("id", F.lit(11)), F.lit(1 << 40)))
+    number = dict(train.groupBy("quality").agg(F.count_distinct(F.xxhash64("id", "f"))).collect())
+    drawn = train.withColumn("h", F.pmod(F.xxhash64("id", "f", F.lit(11)), F.lit(1 << 40)))
     rows = []
     for q in (1, 0):  # half as many again as are wanted, by the hash alone; the lowest of them are taken
         share = min(1.0, 1.5 * sample / max(number.get(q, 0), 1))
-        some = drawn.where((F.col("quality") == q) & (F.col("h") <= int(share * (1 << 40)))).select("h", "id", "f").collect()
+        some = drawn.where((F.col("quality") == q) & (F.col("h") <= int(share * (1 << 40)))).select("h", "id", "f").distinct().collect()
         rows.append(np.array([r.f for r in sorted(some, key=lambda r: (r.h, r.id, r.f))[:sample]]))
     if not all(map(len, rows)):
         return Model(None)
