@@ -53,6 +53,21 @@ def test_moving_avg_blocks_equal_window(spark, skewed):
     assert sorted(got.collect()) == sorted(want.collect())
 
 
+def test_moving_avg_range_of_a_hot_key(spark):
+    """A key's readings of a few hours are cut by row count; null values, null keys, ties and both ends count."""
+    df = spark.range(4000).selectExpr("IF(id % 10 = 3, NULL, IF(id % 3 = 0, 'K', 'HOT')) AS k", "id AS seq", "timestamp_seconds(1700000000 + (id * 37) % 3000 * 10) AS t",
+                                      "IF(id % 11 = 0 OR id < 5, NULL, CAST(id % 70 AS DOUBLE) / 10) AS x").union(spark.sql("SELECT 'ALONE', 9000L, timestamp_seconds(5), CAST(NULL AS DOUBLE)"))
+    w = Window.partitionBy("k").orderBy(F.unix_micros("t")).rangeBetween(-600_000_000, 0)
+    want = df.select("k", "seq", (F.sum(F.col("x").cast("decimal(18,2)")).over(w).cast("double") / F.count("x").over(w).cast("double")).alias("a"))
+    got = windows.moving_avg_range(df, 10, "x", "k", "t", "seq")
+    plain = lambda d: sorted(map(str, (tuple(r) for r in d.collect())))
+    assert plain(got) == plain(want) and got.count() == 4001
+    import glob
+    import os
+    newest = max(glob.glob(f"{scratch_root(spark)}/chunks-*"), key=os.path.getmtime)
+    assert max(r["count"] for r in spark.read.parquet(newest).groupBy("_k", "_blk").count().collect()) < 2500
+
+
 def test_rows_are_exchanged_once(spark, skewed):
     """Rows are exchanged by (key, chunk) once; the other exchanges carry partial totals and the chunk table."""
     df = scan.running(skewed, "k", "seq", {"n": ("sum", "CAST(1 AS BIGINT)")}, span=64)

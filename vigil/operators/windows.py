@@ -79,14 +79,19 @@ def moving_avg(df: DataFrame, n: int = 10, value: str = "temperature", key: str
 def moving_avg_range(df: DataFrame, minutes: int = 60, value: str = "temperature", key: str = "device_id", ts: str = "event_timestamp",
                      order: str = "arrival_seq") -> DataFrame:
     """Average of ``value`` over the readings of the same key of the last ``minutes`` (both ends and equal times
-    included), exact decimal sums. Time is cut into blocks of ``minutes``; a reading is also sent to the next block,
-    where it may be in reach, so a window group holds two blocks of a key and never its whole history."""
+    included), exact decimal sums: the running sum up to a reading's time less the one before ``minutes`` earlier. Both
+    come from one prefix scan, with chunks cut by row count, over a key's times (each with its sum and count) and the
+    times that lie ``minutes`` before them, so no task holds all readings of a key, however close in time."""
     width = int(minutes) * 60_000_000
     timed = df.where(F.col(ts).isNotNull()).select(key, order, value, F.expr(f"unix_micros(CAST({ts} AS TIMESTAMP))").alias("_t"))
-    rows = timed.withColumn("_own", F.expr(f"_t div {width}")).withColumn("_blk", F.explode(F.array("_own", F.col("_own") + 1)))
-    w = Window.partitionBy(key, "_blk").orderBy("_t").rangeBetween(-width, 0)
-    out = rows.select(key, order, "_own", "_blk", F.sum(exact.dec2(F.col(value))).over(w).alias("_s"), F.count(F.col(value)).over(w).alias("_c"))
-    return out.where("_own = _blk").select(key, order, (F.col("_s").cast("double") / F.col("_c").cast("double")).alias(f"moving_avg_{value}"))
+    times = timed.groupBy(key, "_t").agg(F.coalesce(F.sum(exact.dec2(F.col(value))), F.lit(0)).alias("_s"), F.count(F.col(value)).alias("_c"))
+    # at equal times the start of a later window comes before the readings, which it includes
+    points = times.select(key, "_t", F.explode(F.expr(f"array(struct(_t AS at, 1 AS up, _s AS s, _c AS c), struct(_t - {width} AS at, 0 AS up, _s * 0 AS s, 0L AS c))")).alias("_p"))
+    points = points.select(key, "_t", F.expr("struct(_p.at, _p.up)").alias("_at"), F.col("_p.s").alias("_s"), F.col("_p.c").alias("_c"))
+    sums = scan.running(points, key, "_at", {"_rs": ("sum", "_s"), "_rc": ("sum", "_c")}, by_rows=True)
+    ends = sums.groupBy(F.col(key).alias("_key"), F.col("_t").alias("_time")).agg(*[F.expr(f"sum(CASE WHEN _at.up = 1 THEN _r{x} ELSE -_r{x} END) AS _w{x}") for x in "sc"])
+    out = timed.join(ends, timed[key].eqNullSafe(ends["_key"]) & (timed["_t"] == ends["_time"]))
+    return out.select(key, order, F.expr("CASE WHEN _wc > 0 THEN CAST(_ws AS DOUBLE) / CAST(_wc AS DOUBLE) END").alias(f"moving_avg_{value}"))
 
 
 def late_flag(df: DataFrame, delay_minutes: int = 10, ts: str = "event_timestamp", key: str = "device_id",
