@@ -53,6 +53,17 @@ def test_moving_avg_blocks_equal_window(spark, skewed):
     assert sorted(got.collect()) == sorted(want.collect())
 
 
+@pytest.mark.parametrize("span", [7, 1 << 22])
+def test_rows_of_a_null_order_stay(spark, skewed, span):
+    rows = skewed.union(spark.createDataFrame([(None, "HOT", 1.0), (None, "K1", 2.0), (None, "HOT", 3.0)], skewed.schema))
+    got = scan.running(rows, "k", "seq", {"n": ("sum", "CAST(1 AS BIGINT)"), "hi": ("max", "x")}, span=span).collect()
+    assert len(got) == 3003
+    assert sorted((r.k, r.n) for r in got if r.seq is None) == [("HOT", 1), ("HOT", 2), ("K1", 1)]
+    first = min((r for r in got if r.k == "HOT" and r.seq is not None), key=lambda r: r.seq)
+    assert first.n == 3 and first.hi == max(3.0, first.x)
+    assert sorted(r.n for r in scan.sequence(rows, None, "seq", "n", span=span).collect()) == list(range(1, 3004))
+
+
 def test_moving_avg_range_of_a_hot_key(spark):
     """A key's readings of a few hours are cut by row count; null values, null keys, ties and both ends count."""
     df = spark.range(4000).selectExpr("IF(id % 10 = 3, NULL, IF(id % 3 = 0, 'K', 'HOT')) AS k", "id AS seq", "timestamp_seconds(1700000000 + (id * 37) % 3000 * 10) AS t",

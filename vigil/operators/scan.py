@@ -31,6 +31,8 @@ from vigil.session import scratch_path
 
 DEFAULT_SPAN = 1 << 22
 SPAN_CONF = "spark.vigil.scan.span"
+#: The chunk of rows without an order, before all others as null orders sort first.
+NULL_CHUNK = -(1 << 63)
 
 
 def default_span(df: DataFrame) -> int:
@@ -51,13 +53,14 @@ def running(df: DataFrame, key: str | list[str], order: str, aggs: dict[str, tup
 
     ``order`` (numeric; with ``by_rows`` any type) must be unique within a key for a deterministic frame, or be made
     unique by ``tiebreak``; without ``by_rows`` chunks are cut on ``order`` alone, so ties never straddle a boundary.
+    Rows of a null ``order`` come first, in a chunk of their own.
     """
     keys = [key] if isinstance(key, str) else list(key)
     span = span or default_span(df)
     peaks = {n for n, (kind, _) in aggs.items() if kind == "peak"}
     staged_cols: dict[str, Column] = {"_k": F.expr(f"struct({', '.join(keys)})")}
     if not by_rows:
-        staged_cols["_blk"] = F.expr(f"CAST(floor({order} / {float(span)!r}D) AS BIGINT)")
+        staged_cols["_blk"] = F.expr(f"coalesce(CAST(floor({order} / {float(span)!r}D) AS BIGINT), {NULL_CHUNK}L)")
     for name, (_, value) in aggs.items():
         staged_cols[f"_v_{name}"] = F.expr(value) if isinstance(value, str) else value
     staged = df.withColumns(staged_cols)
