@@ -194,6 +194,14 @@ def test_trees_learn_from_labelled_urls(spark):
     assert right >= 190
 
 
+def test_long_suffixes_are_not_broadcast(spark, monkeypatch):
+    from vigil.llm import common
+    monkeypatch.setattr(common, "BROADCAST_BYTES", 1 << 16)
+    urls = [f"http://a.{i}{'x' * 1000}/p" for i in range(100)] + ["http://a.org/x", "http://a.com/de/x"] * 5
+    hints = [url_verdicts(pages(spark, u))._jdf.queryExecution().analyzed().toString().count("strategy=broadcast") for u in (urls, URLS)]
+    assert hints == [0, 1]
+
+
 def test_urls_without_labels_or_rows(spark):
     one = spark.createDataFrame([(1, "http://q.net/x"), (2, "http://a.org/x")], "page_id long, url string")
     assert {r.page_id: r.verdict for r in url_verdicts(one).collect()} == {1: "allow", 2: "allow"}

@@ -36,9 +36,14 @@ def save(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def sized(df: DataFrame, width: int) -> DataFrame:
-    """``df`` with a broadcast hint if its counted rows fit BROADCAST_BYTES; else as it is, for a shuffled join."""
-    return F.broadcast(df) if df.count() * width <= BROADCAST_BYTES else df
+def sized(df: DataFrame, width: int, text: str | None = None) -> DataFrame:
+    """``df`` with a broadcast hint if its counted rows, of ``width`` and the bytes of a column ``text``, fit
+    BROADCAST_BYTES; else as it is, for a shuffled join."""
+    if text is None:
+        size = df.count() * width
+    else:
+        size = df.agg(F.sum(F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + width)).first()[0] or 0
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
 
 def mix(x: np.ndarray) -> np.ndarray:

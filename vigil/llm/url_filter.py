@@ -87,7 +87,7 @@ def url_verdicts(pages: DataFrame, rules=RULES, labelled: DataFrame | None = Non
     suffixes = own.groupBy("suffix").agg(F.count("*").alias("urls")).join(marks, "suffix", "full").select(
         "suffix", F.log1p(F.coalesce("urls", F.lit(0))).alias("suffix_log_count"),
         ((F.coalesce("blocked", F.lit(0.0)) + blocked / n) / (F.coalesce("seen", F.lit(0)) + 1)).alias("suffix_blocked"))
-    suffixes = sized(save(suffixes, "suffixes"), 64)
+    suffixes = sized(save(suffixes, "suffixes"), 64, "suffix")
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
     train = known.where(F.pmod("key", F.lit(max(1, -(-n // sample)))) == 0).join(suffixes, "suffix")
     model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=1).fit(vectors.transform(train.select("label", *FEATURES)))
