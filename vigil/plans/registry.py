@@ -311,13 +311,28 @@ def _metric_cols_sql(n: str) -> str:
     return ", ".join(parts)
 
 
-@register("device_metrics", oracle.sql(
-    f"SELECT device_id, total_events, {_metric_cols_sql('total_events')}, last_event_timestamp, statuses FROM ("
+#: Count, averages and extremes of a device's readings, and the time of the one that arrived last.
+DEVICE_METRICS_SQL = (
+    f"SELECT device_id, total_events, {_metric_cols_sql('total_events')}, last_event_timestamp FROM ("
     " SELECT device_id, COUNT(*) AS total_events,"
     f" {hundredths_sql('temperature')} AS st, MIN(temperature) AS min_temperature, MAX(temperature) AS max_temperature,"
     f" {hundredths_sql('pressure')} AS sp, MIN(pressure) AS min_pressure, MAX(pressure) AS max_pressure,"
     f" {hundredths_sql('vibration')} AS sv, MIN(vibration) AS min_vibration, MAX(vibration) AS max_vibration,"
-    " (array_agg(event_timestamp ORDER BY arrival_seq DESC))[1] AS last_event_timestamp FROM norm GROUP BY device_id)", NORM))
+    " (array_agg(event_timestamp ORDER BY arrival_seq DESC))[1] AS last_event_timestamp FROM norm GROUP BY device_id)")
+
+#: A device's readings by status, as one text ``STATUS=n;...``.
+STATUSES_SQL = (
+    "SELECT device_id, string_agg(status || '=' || CAST(c AS VARCHAR), ';' ORDER BY status || '=' || CAST(c AS VARCHAR)) AS statuses"
+    " FROM (SELECT device_id, status, COUNT(*) AS c FROM norm GROUP BY ALL) GROUP BY device_id")
+
+
+def _statuses(df: DataFrame) -> DataFrame:
+    """The map of readings by status as the text that ``STATUSES_SQL`` gives."""
+    entries = F.expr("transform(map_entries(status_distribution), e -> concat(e.key, '=', e.value))")
+    return df.withColumn("statuses", F.array_join(F.array_sort(entries), ";")).drop("status_distribution")
+
+
+@register("device_metrics", oracle.sql(DEVICE_METRICS_SQL, NORM))
 def q_device_metrics(spark, sf):
     return consumers.device_metrics(tel.telemetry(spark, sf)).drop("updated_at")
 
@@ -328,6 +343,11 @@ def q_status_distribution(spark, sf):
     return consumers.status_distribution(tel.telemetry(spark, sf))
 
 
+@register("status_map", oracle.sql(STATUSES_SQL, NORM))
+def q_status_map(spark, sf):
+    return _statuses(consumers.status_distribution(tel.telemetry(spark, sf), nested=True))
+
+
 @register("fleet_summary", oracle.sql(
     "SELECT COUNT(*) AS total_processed_events, COUNT(DISTINCT device_id) AS total_active_devices FROM norm", NORM))
 def q_fleet_summary(spark, sf):
@@ -696,20 +716,10 @@ def q_stream_alerts(spark, sf):
     return consumers.flat_alerts(stream_runs.alerts(spark, sf))
 
 
-@register("stream_metrics", oracle.sql(
-    f"SELECT device_id, total_events, {_metric_cols_sql('total_events')}, last_event_timestamp, statuses FROM ("
-    " SELECT device_id, COUNT(*) AS total_events,"
-    f" {hundredths_sql('temperature')} AS st, MIN(temperature) AS min_temperature, MAX(temperature) AS max_temperature,"
-    f" {hundredths_sql('pressure')} AS sp, MIN(pressure) AS min_pressure, MAX(pressure) AS max_pressure,"
-    f" {hundredths_sql('vibration')} AS sv, MIN(vibration) AS min_vibration, MAX(vibration) AS max_vibration,"
-    " (array_agg(event_timestamp ORDER BY arrival_seq DESC))[1] AS last_event_timestamp FROM norm GROUP BY device_id)"
-    " JOIN (SELECT device_id, string_agg(status || '=' || CAST(c AS VARCHAR), ';' ORDER BY status || '=' || CAST(c AS VARCHAR)) AS statuses"
-    " FROM (SELECT device_id, status, COUNT(*) AS c FROM norm GROUP BY ALL) GROUP BY device_id) USING (device_id)",
-    NORM))
+@register("stream_metrics", oracle.sql(f"SELECT * FROM ({DEVICE_METRICS_SQL}) JOIN ({STATUSES_SQL}) USING (device_id)", NORM))
 def q_stream_metrics(spark, sf):
     devices, _ = stream_runs.metrics(spark, sf)
-    return devices.withColumn("statuses", F.array_join(F.array_sort(F.expr("transform(map_entries(status_distribution), e -> concat(e.key, '=', e.value))")), ";"))\
-        .drop("status_distribution")
+    return _statuses(devices)
 
 
 @register("stream_fleet", oracle.sql("SELECT COUNT(*) AS total_processed_events, COUNT(DISTINCT device_id) AS total_active_devices FROM norm", NORM))
