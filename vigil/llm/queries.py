@@ -11,13 +11,16 @@ from .common import documents
 from .hash_forest import nearest
 from .kd_trees import exact_top
 from .lm_scoring import held_out_by_id, lattice_scores
+from .mixing import mix_sources
 from .ngram_join import ngram_components
 from .packing import pack
+from .periodic_runs import periodic_runs
 from .quality import quality_scores
 from .sampled_pieces import decode, encode
 from .substring_dedup import substring_dedup
 from .token_counts import token_counts
 from .url_filter import url_verdicts
+from .whitening import whiten
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -129,3 +132,67 @@ p AS (
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM p)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
+
+
+@query("op11_source_mix")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mix_sources(documents(spark, sf_dir), weights=(3, 1, 2), share=(3, 2), most=2)
+    return out.select("doc_id", "size", "source_size", "target", "taken")
+
+
+#: Water level by the sources' order of size over weight: one is full if the level of those from it on is above it.
+ORACLES["op11_source_mix"] = """
+WITH d AS (
+    SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
+        CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ' ' || coalesce(text, '')), 1, 15) AS BIGINT) AS place
+    FROM documents),
+s AS (
+    SELECT source, sum(size)::HUGEINT AS s, [3, 1, 2][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::HUGEINT AS w
+    FROM d GROUP BY source),
+levels AS (
+    SELECT *, sum(w) OVER up AS parts, 3 * sum(s) OVER () - 4 * (sum(s) OVER up_to - s) AS rest
+    FROM s WINDOW up AS (ORDER BY s * 6 // w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING),
+        up_to AS (ORDER BY s * 6 // w, source NULLS LAST ROWS UNBOUNDED PRECEDING)),
+full_ones AS (SELECT *, 4 * s * parts < rest * w AS is_full FROM levels),
+level AS (SELECT 3 * sum(s) - 4 * coalesce(sum(s) FILTER (is_full), 0) AS over, coalesce(sum(w) FILTER (NOT is_full), 1) AS shares FROM full_ones),
+plan AS (
+    SELECT source, s, CASE WHEN is_full THEN CAST(2 * s AS DOUBLE) ELSE CAST(over * w AS DOUBLE) / CAST(2 * shares AS DOUBLE) END AS target,
+        CASE WHEN is_full THEN 2 * s ELSE (2 * over * w + 2 * shares) // (4 * shares) END AS budget
+    FROM full_ones, level),
+r AS (
+    SELECT d.*, p.s, p.target, CASE WHEN p.s = 0 THEN 0 ELSE p.budget // p.s END AS base, p.budget,
+        coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY place, rowid_ ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+    FROM (SELECT *, row_number() OVER () AS rowid_ FROM d) d JOIN plan p ON d.source IS NOT DISTINCT FROM p.source)
+SELECT doc_id, size, CAST(s AS BIGINT) AS source_size, target,
+    CAST(base * size + least(size, greatest(0, budget - base * s - before)) AS BIGINT) AS taken
+FROM r
+"""
+
+
+def looped(docs: DataFrame) -> DataFrame:
+    """doc_id and text; of ids whose checksum h ends in 0 the words from a on repeat the first p of them:
+    a = h div 10 modulo the number of words, p = 1 + (n - a) div (3 + h div 10 modulo 8)."""
+    space = r"[\x20\x09-\x0D]+"
+    own = docs.select("doc_id", "text", F.expr("crc32(CAST(CAST(doc_id AS STRING) AS BINARY))").alias("h"))
+    words = F.filter(F.split("text", space), lambda w: w != "")
+    some = own.withColumn("w", F.when(F.expr("h % 10 = 0"), words)).withColumn("n", F.size("w")).withColumn("g", F.expr("h div 10"))
+    some = some.withColumn("a", F.expr("CAST(CASE WHEN n > 0 THEN g % n END AS INT)")).withColumn("p", F.expr("CAST(1 + (n - a) div (3 + g % 8) AS INT)"))
+    tail = F.expr("flatten(array_repeat(slice(w, a + 1, p), CAST((n - a) div p + 1 AS INT)))")
+    text = F.array_join(F.slice(F.concat(F.expr("slice(w, 1, a)"), tail), 1, F.col("n")), " ")
+    return some.select("doc_id", F.when(F.col("a").isNotNull(), text).otherwise(F.col("text")).alias("text"))
+
+
+@query("op12_periodic_runs")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = periodic_runs(looped(documents(spark, sf_dir)), least=6, times=4)
+    longest = F.expr("array_max(transform(runs, r -> struct(r.length AS length, -r.start AS start, -r.period AS period)))")
+    lines = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    out = out.select("doc_id", F.size("runs").cast("long").alias("n_runs"), longest.alias("r"), F.sha2(lines, 256).alias("runs_sha256"),
+                     F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    return out.select("doc_id", "n_runs", F.expr("-r.start").alias("start"), F.col("r.length").alias("length"), F.expr("-r.period").alias("period"),
+                      F.expr("1000 * r.length div -r.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
+@query("op13_embedding_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), components=8)
