@@ -7,6 +7,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -16,6 +17,7 @@ from vigil.llm.hash_forest import HashForest, nearest, projections
 from vigil.llm.kd_trees import KDTree, exact_top, scaled
 from vigil.llm.queries import ORACLES, QUERIES
 from vigil.llm.url_filter import RULES, lexical, parts, url_verdicts
+from vigil.llm.vector_shards import _deal, merged
 
 VECTORS = "vec_id long, embedding array<double>, label int"
 SF = "/root/testdata/sf0.01"
@@ -44,14 +46,64 @@ def usable(rows, zero=False):
 
 
 def brute(vs, asks, k, score):
-    out = set()
-    for q in vs:
-        if asks(q):
-            s = sorted((-score(vs[q], v), i) for i, v in vs.items() if i != q and len(v) == len(vs[q]))[:k]
-            out |= {(q, r, i, -x) for r, (x, i) in enumerate(s, 1)}
+    return brute_rows(list(vs.items()), asks, k, score)
+
+
+def brute_rows(rows, asks, k, score):
+    """Ids may repeat: an id counts with its best row, for the best row of a query id."""
+    out, found = set(), {}
+    for q, a in rows:
+        for i, v in rows if asks(q) else ():
+            if i != q and len(v) == len(a):
+                best = found.setdefault(q, {})
+                best[i] = max(best.get(i, -np.inf), score(a, v))
+    for q, best in found.items():
+        s = sorted((-x, i) for i, x in best.items())[:k]
+        out |= {(q, r, i, -x) for r, (x, i) in enumerate(s, 1)}
     return out
 
 
+def repeated_rows():
+    """An id with a large score has thirty rows, another is a query with three, and rows repeat as a whole."""
+    rng = np.random.default_rng(11)
+    rows = [(i, rng.normal(size=6)) for i in range(200)]
+    rows += [(777, 5 + rng.normal(size=6) / 100) for _ in range(30)] + [(50, rng.normal(size=6)) for _ in range(2)]
+    return rows + rows[:20] + [rows[210]] * 50
+
+
+@pytest.mark.parametrize("shard", [16, 64, 4096])
+def test_repeated_ids_cost_no_results(spark, shard):
+    rows = repeated_rows()
+    got = {(r.query_id, r.rank, r.vec_id, r.score) for r in exact_top(vectors(spark, rows), F.col("vec_id") % 50 == 0, 10, shard=shard).collect()}
+    assert got == brute_rows(rows, lambda q: q % 50 == 0, 10, integers)
+    got = {(r.query_id, r.rank, r.vec_id, round(r.score, 9)) for r in nearest(vectors(spark, rows), F.col("vec_id") % 50 == 0, 5, fraction=1.0, shard=shard).collect()}
+    assert got == brute_rows(rows, lambda q: q % 50 == 0, 5, cosine)
+
+
+def test_rows_of_one_id_are_spread_and_equal_rows_sent_once(spark):
+    rng = np.random.default_rng(2)
+    rows = [(7, rng.normal(size=4)) for _ in range(5000)] + [(100, np.array([1.0, 0.0, 0.0, 0.0]))] + [(200 + i, rng.normal(size=4)) for i in range(50)]
+    got = [(r.query_id, r.rank, r.vec_id, r.score) for r in exact_top(vectors(spark, rows, clash=False), F.col("vec_id") == 100, 10, shard=64).collect()]
+    assert set(got) == brute_rows(rows, lambda q: q == 100, 10, integers)
+    places = {r.s: r.n for r in vectors(spark, rows).select(F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(79)).alias("s")).groupBy("s").agg(F.count("*").alias("n")).collect()}
+    assert max(places.values()) < 5 * 64
+    batch = pa.RecordBatch.from_pydict({"id": [1] * 9000 + [2], "vector": [[1.0, 2.0]] * 9001, "shard": pa.array([0] * 9001, pa.int32()), "asks": [True] * 9001})
+    sent = [r for b in _deal()(iter([batch])) for r in b.to_pylist()]
+    assert [(r["kind"], len(r["ids"]) // 8) for r in sent] == [(0, 2), (1, 2)]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 4), st.integers(-3, 3)), max_size=30), st.integers(1, 4))
+def test_merged_lists_hold_k_different_ids(rows, k):
+    q, i, s = (np.array([r[x] for r in rows], np.int64) for x in range(3))
+    best = {}
+    for a, b, c in rows:
+        best[a, b] = max(best.get((a, b), c), c)
+    want = [(a, b, c) for a in sorted({x[0] for x in best}) for c, b in sorted(((-c, b) for (x, b), c in best.items() if x == a))[:k] for c in [-c]]
+    assert list(zip(*[x.tolist() for x in merged(q, i, s, k)])) == want
+    assert list(zip(*[x.tolist() for x in merged(q, i, s.astype(float), k)])) == want
+
+
 def cosine(a, b):
     return round(float((a * b).sum() / np.sqrt((a * a).sum()) / np.sqrt((b * b).sum())), 9)
 

@@ -72,7 +72,7 @@ class HashForest:
                 deep = level
         return np.flatnonzero(found) if found is not None else np.arange(len(self.ids))
 
-    def __call__(self, query_ids: np.ndarray, queries: np.ndarray, k: int):
+    def __call__(self, query_ids: np.ndarray, queries: np.ndarray, k: int, floors: list | None = None):
         out = []
         hashes, length = self.hash(queries), np.sqrt((queries * queries).sum(axis=1))
         for i, q in enumerate(query_ids):
@@ -85,6 +85,8 @@ class HashForest:
             if self.repeated:  # the best row of each id
                 best = best[np.sort(np.unique(self.ids[c[best]], return_index=True)[1])]
             best = best[:k]
+            if floors and floors[i] is not None:
+                best = best[score[best] >= floors[i]]
             out.append((np.full(len(best), q), self.ids[c[best]], score[best]))
         return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
 

@@ -2,8 +2,9 @@
 
 A shard's tree splits at the median of its widest dimension down to leaves of LEAF vectors, and every node keeps the
 tight bounding box of its vectors. The greatest inner product with anything in a box is the sum over dimensions of
-the greater of q * low and q * high. A query visits nodes best bound first; its kth score is carried along and ends
-the search at the first bound below it (at an equal one a smaller id may still be found).
+the greater of q * low and q * high. A query visits nodes best bound first; the kth score of different ids, found here or
+in a shard before, is carried along and ends the search at the first bound below it (at an equal one a smaller id may
+still be found).
 """
 
 from __future__ import annotations
@@ -35,6 +36,7 @@ class KDTree:
         self.low, self.high, self.nodes = [], [], []
         self._build(np.arange(len(ids)))
         self.low, self.high = np.array(self.low), np.array(self.high)
+        self.repeated = len(np.unique(ids)) < len(ids)
 
     def _build(self, rows: np.ndarray) -> int:
         m = self.vectors[rows]
@@ -50,7 +52,7 @@ class KDTree:
             self.nodes[at] = (self._build(rows[order[:half]]), self._build(rows[order[half:]]))
         return at
 
-    def __call__(self, query_ids: np.ndarray, queries: np.ndarray, k: int):
+    def __call__(self, query_ids: np.ndarray, queries: np.ndarray, k: int, floors: list | None = None):
         queries = scaled(queries)
         if queries.dtype != self.vectors.dtype or (len(queries) and queries.dtype != object and np.abs(queries).max() * np.abs(self.vectors).max() * queries.shape[1] >= 2 ** 53):
             queries, vectors = (x if x.dtype == object else x.astype(np.int64).astype(object) for x in (queries, self.vectors))
@@ -60,7 +62,9 @@ class KDTree:
         bounds = np.maximum(queries, 0) @ high.T + np.minimum(queries, 0) @ low.T
         out = []
         for i, q in enumerate(query_ids):
-            bound, kth = bounds[i], None
+            bound, kth = bounds[i], floors[i] if floors else None
+            if kth == -2 ** 63:  # a score below all longs is given as this one
+                kth = None
             heap = [(-bound[0], 0)]
             ids, scores = np.zeros(0, np.int64), np.zeros(0, vectors.dtype)
             while heap and (kth is None or -heap[0][0] >= kth):
@@ -72,17 +76,20 @@ class KDTree:
                 node = node[self.ids[node] != q]
                 ids = np.concatenate([ids, self.ids[node]])
                 scores = np.concatenate([scores, vectors[node] @ queries[i]])
-                best = np.lexsort((ids, -scores))[:k]
+                best = np.lexsort((ids, -scores))
+                if self.repeated:  # the best row of each id
+                    best = best[np.sort(np.unique(ids[best], return_index=True)[1])]
+                best = best[:k]
                 ids, scores = ids[best], scores[best]
                 if k and len(ids) == k:
-                    kth = scores[-1]
+                    kth = scores[-1] if kth is None else max(kth, scores[-1])
             out.append((np.full(len(ids), q), ids, np.array([min(max(int(s), -2 ** 63), 2 ** 63 - 1) for s in scores], np.int64)))
         return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64),) * 3
 
 
 def exact_top(vectors: DataFrame, asks: Column, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", shard: int = SHARD) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's ``k`` greatest inner products of vectors floor(1024 * x), ties to
-    the smaller id. Rows where ``asks`` is true are the queries. Null and empty vectors, those with null or non-finite
+    the smaller id. Rows where ``asks`` is true are the queries; an id counts once, with its best row, for a query id's best row. Null and empty vectors, those with null or non-finite
     components and null ids take no part (zero vectors do); products beyond 64 bits are given as the nearest long; an
     empty table gives no rows; other columns are ignored."""
     return top(vectors, asks, k, KDTree, "long", id_col, vector_col, shard)

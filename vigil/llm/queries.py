@@ -123,13 +123,15 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op8_kd_tree_topk"] = """
-WITH u AS (SELECT vec_id, generate_subscripts(embedding, 1) AS i, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings WHERE vec_id IS NOT NULL),
-ok AS (SELECT vec_id, count(*) AS n FROM u GROUP BY vec_id HAVING bool_and(coalesce(isfinite(x), false))),
-v AS (SELECT vec_id, n, i, CAST(floor(1024 * x) AS BIGINT) AS y FROM u JOIN ok USING (vec_id)),
+WITH e AS (SELECT vec_id, embedding, row_number() OVER () AS row FROM embeddings WHERE vec_id IS NOT NULL),
+u AS (SELECT vec_id, row, generate_subscripts(embedding, 1) AS i, CAST(unnest(embedding) AS DOUBLE) AS x FROM e),
+ok AS (SELECT row, count(*) AS n FROM u GROUP BY row HAVING bool_and(coalesce(isfinite(x), false))),
+v AS (SELECT vec_id, row, n, i, CAST(floor(1024 * x) AS BIGINT) AS y FROM u JOIN ok USING (row)),
 p AS (
     SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.y * c.y) AS BIGINT) AS score
-    FROM v q JOIN v c ON q.i = c.i AND q.n = c.n AND c.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0 GROUP BY 1, 2),
-r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM p)
+    FROM v q JOIN v c ON q.i = c.i AND q.n = c.n AND c.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0 GROUP BY q.vec_id, q.row, c.vec_id, c.row),
+b AS (SELECT query_id, vec_id, max(score) AS score FROM p GROUP BY ALL),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM b)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
 
