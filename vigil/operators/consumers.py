@@ -165,15 +165,29 @@ def fleet_summary(df: DataFrame) -> DataFrame:
                              F.expr("current_timestamp() AS generated_at"))
 
 
-def running_metrics(df: DataFrame, order: str = "arrival_seq", span: int | None = None) -> DataFrame:
-    """The summary after each reading, per device, in arrival order (skew-proof prefix scan)."""
+def running_totals(df: DataFrame, order: str = "arrival_seq", span: int | None = None, prior: DataFrame | None = None) -> DataFrame:
+    """Count, sums and extremes after each reading, per device, in arrival order (skew-proof prefix scan). ``prior``
+    (streaming): rows of these totals by device, of all readings before ``df``."""
     aggs = {"total_events": ("sum", "CAST(1 AS BIGINT)")}
     for m in _METRICS:
         aggs[f"_s_{m}"] = ("sum", exact.hundredths_sql(m))
         aggs[f"min_{m}"] = ("min", m)
         aggs[f"max_{m}"] = ("max", m)
-    r = scan.running(normalize(df), "device_id", order, aggs, span=span)
-    return r.selectExpr(*_metric_view([order, "device_id"]))
+    r = scan.running(normalize(df), "device_id", order, aggs, span=span).select(order, "device_id", *aggs)
+    if prior is None:
+        return r
+    joined = r.join(prior.select("device_id", *[F.col(c).alias(f"_p{c}") for c in aggs]), "device_id", "left")
+    both = {"sum": "{0} + coalesce(_p{0}, 0)", "min": "least({0}, _p{0})", "max": "greatest({0}, _p{0})"}
+    return joined.select(order, "device_id", *[F.expr(both[kind].format(c)).alias(c) for c, (kind, _) in aggs.items()])
+
+
+def running_view(totals: DataFrame, order: str = "arrival_seq") -> DataFrame:
+    return totals.selectExpr(*_metric_view([order, "device_id"]))
+
+
+def running_metrics(df: DataFrame, order: str = "arrival_seq", span: int | None = None) -> DataFrame:
+    """The summary after each reading, per device, in arrival order."""
+    return running_view(running_totals(df, order, span), order)
 
 
 # --- archive ---------------------------------------------------------------------------------------------------
@@ -216,12 +230,12 @@ def dlq_normalize(q: DataFrame) -> DataFrame:
     })
 
 
-def dlq_records(q: DataFrame, order: str | list[str] = "arrival_seq", span: int | None = None) -> DataFrame:
-    """``dlq-<n>``: n = position in arrival order over the whole quarantine, computed by a chunked prefix count
+def dlq_records(q: DataFrame, order: str | list[str] = "arrival_seq", span: int | None = None, first: int = 1) -> DataFrame:
+    """``dlq-<n>``: n = position, from ``first``, in arrival order over the whole quarantine, computed by a chunked prefix count
     (no single-partition global window). Offsets of several topic partitions tie: give a total order then, e.g.
     ``["kafka_timestamp", "kafka_partition", "arrival_seq"]``."""
     seq = scan.sequence(dlq_normalize(q), None, order, "_n", span=span)
-    return seq.selectExpr(*([order] if isinstance(order, str) else order), "concat('dlq-', CAST(_n AS STRING)) AS quarantine_id", "event_id", "device_id",
+    return seq.selectExpr(*([order] if isinstance(order, str) else order), f"concat('dlq-', CAST(_n + {int(first) - 1} AS STRING)) AS quarantine_id", "event_id", "device_id",
                           "error_reason", "current_timestamp() AS processed_at")
 
 

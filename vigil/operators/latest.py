@@ -45,4 +45,9 @@ def merge_snapshot(old: DataFrame | None, new_refined: DataFrame) -> DataFrame:
     rows = _status_rows(new_refined)
     if old is not None:
         rows = old.select(*STATUS_COLUMNS).unionByName(rows)
+    return merge_status(rows)
+
+
+def merge_status(rows: DataFrame) -> DataFrame:
+    """The latest of each device's status rows, from any number of snapshots or changes to them."""
     return latest_by_key(rows, "device_id", _order()).select(*STATUS_COLUMNS)

@@ -60,20 +60,20 @@ def sessions_stream(df: DataFrame, gap: str = "6 hours", ts: str = "event_timest
 
 
 def moving_avg(df: DataFrame, n: int = 10, value: str = "temperature", key: str = "device_id",
-               order: str = "arrival_seq", block: int | None = None, span: int | None = None) -> DataFrame:
-    """Average of ``value`` over the last ``n`` rows of the same key (current row included), exact decimal sum."""
+               order: str = "arrival_seq", block: int | None = None, span: int | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Average of ``value`` over the last ``n`` rows of the same key (current row included), exact decimal sum; with the
+    columns ``keep`` of each row. The rows are numbered once: a row near the end of its block is exploded into two, itself
+    and its copy in the next block's halo."""
     block = max(block or (1 << 20), n)
-    numbered = scan.sequence(df.select(key, order, value), key, order, "_idx", span=span)
-    numbered = numbered.withColumn("_blk", F.floor((F.col("_idx") - 1) / F.lit(block)).cast("bigint"))
-    pos = (F.col("_idx") - 1) % F.lit(block)
-    halo = (numbered.filter(pos >= F.lit(block - (n - 1)))
-                    .withColumn("_blk", F.col("_blk") + 1).withColumn("_halo", F.lit(True)))
-    rows = numbered.withColumn("_halo", F.lit(False)).unionByName(halo)
+    numbered = scan.sequence(df.select(key, order, value, *keep), key, order, "_idx", span=span)
+    own = f"CAST((_idx - 1) div {block} AS BIGINT)"
+    blocks = f"CASE WHEN (_idx - 1) % {block} >= {block - (n - 1)} THEN array({own}, {own} + 1) ELSE array({own}) END"
+    rows = numbered.select("*", F.posexplode(F.expr(blocks)).alias("_halo", "_blk"))
     w = Window.partitionBy(key, "_blk").orderBy("_idx").rowsBetween(-(n - 1), 0)
-    out = rows.select(key, order, "_halo",
+    out = rows.select(key, order, *keep, "_halo",
                       F.sum(exact.dec2(F.col(value))).over(w).alias("_s"), F.count(F.col(value)).over(w).alias("_c"))
-    return out.filter(~F.col("_halo")).select(
-        key, order, (F.col("_s").cast("double") / F.col("_c").cast("double")).alias(f"moving_avg_{value}"))
+    return out.filter("_halo = 0").select(
+        key, order, *keep, (F.col("_s").cast("double") / F.col("_c").cast("double")).alias(f"moving_avg_{value}"))
 
 
 def moving_avg_range(df: DataFrame, minutes: int = 60, value: str = "temperature", key: str = "device_id", ts: str = "event_timestamp",

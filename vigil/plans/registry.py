@@ -17,6 +17,7 @@ from vigil.operators import analytics, consumers, dedup, latest, quality, window
 from vigil.plans import oracle, refine, serving, store, stream_runs
 from vigil.sources import envelope, schemas
 from vigil.sources import telemetry as tel
+from vigil.streaming import wear
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -493,7 +494,10 @@ def q_maintenance_reasons(spark, sf):
     " event_id AS trigger_event_id, CASE WHEN status = 'FAILURE' THEN 'HIGH' ELSE 'MEDIUM' END AS priority,"
     " health_score, reasons FROM wo", MAINT))
 def q_work_orders(spark, sf):
-    w = consumers.work_orders(consumers.maintenance_state(store.refined_table(spark, sf)))
+    return _flat_orders(consumers.work_orders(consumers.maintenance_state(store.refined_table(spark, sf))))
+
+
+def _flat_orders(w: DataFrame) -> DataFrame:
     return w.select("work_order_id", "device_id", "trigger_event_id", "priority", "health_score",
                     text.joined(F.col("reasons")).alias("reasons"))
 
@@ -706,6 +710,19 @@ def q_stream_current_status(spark, sf):
     return medallion.read_current_status(spark, writer.status_path).drop("last_arrival_seq")
 
 
+@register("stream_refined_indexed", oracle.sql(f"SELECT {REFINED_ORACLE_COLS} FROM refined"))
+def q_stream_refined_indexed(spark, sf):
+    """Exact dedup over eight uneven pieces with readings sent again: a batch reads the buckets of its own ids alone."""
+    writer = stream_runs.refined_indexed(spark, sf)
+    return spark.read.parquet(writer.refined_path).select(*REFINED_COLUMNS)
+
+
+@register("current_status_mor", ORACLES["current_status_merge"])
+def q_current_status_mor(spark, sf):
+    """The status table of the same run: each batch writes its own devices, runs are merged when read."""
+    return stream_runs.refined_indexed(spark, sf).status.read(spark).drop("last_arrival_seq")
+
+
 @register("stream_dedup", oracle.sql("SELECT DISTINCT event_id FROM valid"))
 def q_stream_dedup(spark, sf):
     return stream_runs.dedup(spark, sf).select("event_id")
@@ -762,6 +779,41 @@ def q_stream_maintenance(spark, sf):
                                                          text.joined(F.col("maintenance_reasons")))
 
 
+@register("stream_maintenance_state", ORACLES["lifecycle_by_device"])
+def q_stream_maintenance_state(spark, sf):
+    """The same from a state store, over six uneven pieces and as many restarts."""
+    life = wear.wear_view(stream_runs.maintenance_state(spark, sf).read(spark))
+    return life.withColumn("maintenance_reasons", text.joined(F.col("maintenance_reasons")))
+
+
+@register("stream_work_orders", ORACLES["work_orders"])
+def q_stream_work_orders(spark, sf):
+    """The work orders that the state store latched."""
+    return _flat_orders(wear.wear_orders(stream_runs.maintenance_state(spark, sf).read(spark)))
+
+
+@register("stream_dlq_records", ORACLES["dlq_records"])
+def q_stream_dlq_records(spark, sf):
+    """Numbers that go on over five uneven pieces."""
+    return stream_runs.dead_letters(spark, sf).read(spark, "records").drop("processed_at")
+
+
+@register("stream_dlq_alarms", ORACLES["dlq_alarms"])
+def q_stream_dlq_alarms(spark, sf):
+    """One alarm per reason, at the record that reaches the threshold, in whichever piece it is."""
+    return stream_runs.dead_letters(spark, sf).read(spark, "alarms")
+
+
+@register("stream_running_metrics", ORACLES["running_metrics"])
+def q_stream_running_metrics(spark, sf):
+    return stream_runs.running_metrics(spark, sf)
+
+
+@register("stream_moving_avg", ORACLES["moving_avg"])
+def q_stream_moving_avg(spark, sf):
+    return stream_runs.moving_avg(spark, sf)
+
+
 # Four pieces in arrival order, a run each: a reading is late if its window had ended by the latest time of the pieces
 # before its own, less the delay. The last run's closing batch gives the windows that ended by then.
 LATE_SQL = """

@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 from vigil.operators import consumers
 from vigil.plans import refine
 from vigil.session import scratch_path
-from vigil.sources import schemas, streams
+from vigil.sources import fs, schemas, streams
 from vigil.sources import telemetry as tel
 from vigil.streaming import consumers as cstream
-from vigil.streaming import medallion
+from vigil.streaming import carried, medallion, runs, wear
 
 
 def _finish(q) -> None:
@@ -79,6 +79,91 @@ def maintenance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return consumers.snapshot_view(cstream.read_snapshot(spark, f"{root}/maint/snapshot"))
 
 
+def in_pieces(spark: SparkSession, sf_dir: str, root: str, pieces: int, start, resend: bool = False) -> None:
+    """The events in uneven pieces by arrival (later ones smaller), each added to the source and run to its end by
+    ``start(stream)``: every piece is a restart from the checkpoint. With ``resend`` each piece also holds a seventh of
+    all events before it once more."""
+    events = tel.table(spark, sf_dir, "events")
+    end = (events.agg(F.max("event_id")).first()[0] or 0) + 1
+    own = F.expr(f"CAST(floor({pieces} * pow(event_id / {end}, 2)) AS INT)")
+    for piece in range(pieces):
+        again = (own < piece) & (F.col("event_id") % 7 == piece % 7) if resend else F.lit(False)
+        events.where((own == piece) | again).write.mode("append").parquet(f"{root}/events")
+        _finish(start(streams.telemetry_replay(spark, f"{root}/events", max_files_per_trigger=1 << 30)))
+
+
+_done: dict[tuple, object] = {}
+
+
+def once(run):
+    """A streaming run whose several results are queries of their own: done once per application and input."""
+    def get(spark: SparkSession, sf_dir: str):
+        key = (run.__name__, spark.sparkContext.applicationId, sf_dir, fs.stamp(spark, f"{sf_dir.rstrip('/')}/events.parquet"))
+        if key not in _done:
+            _done[key] = run(spark, sf_dir)
+        return _done[key]
+    return get
+
+
+@once
+def refined_indexed(spark: SparkSession, sf_dir: str) -> medallion.RefinedWriter:
+    """Eight pieces with readings sent again, through the index of published ids and a status table merged on read."""
+    root = scratch_path(spark, "indexed")
+    writer = medallion.RefinedWriter(f"{root}/out", index=runs.id_index(f"{root}/ids"), status=medallion.status_table(f"{root}/status"))
+    in_pieces(spark, sf_dir, root, 8, lambda stream: medallion.start_refined(stream, writer, f"{root}/_ck"), resend=True)
+    return writer
+
+
+def refined_replay(spark: SparkSession, refined_path: str) -> DataFrame:
+    """What a refined writer has published, as a stream: a run to the end takes all new files as one micro-batch."""
+    fs.mkdirs(spark, refined_path)
+    r = spark.readStream.schema(schemas.REFINED).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", str(1 << 30))
+    return r.parquet(refined_path)
+
+
+@once
+def maintenance_state(spark: SparkSession, sf_dir: str) -> runs.RunTable:
+    """Wear kept in the state store: six pieces of readings, refined by one query and followed by another."""
+    root = scratch_path(spark, "wear")
+    table, writer = wear.wear_table(f"{root}/table"), medallion.RefinedWriter(f"{root}/medallion", index=runs.id_index(f"{root}/ids"))
+
+    def start(stream: DataFrame):
+        _finish(medallion.start_refined(stream, writer, f"{root}/_ck_refined"))
+        return wear.start_wear(refined_replay(spark, writer.refined_path), table, f"{root}/_ck")
+
+    in_pieces(spark, sf_dir, root, 6, start)
+    return table
+
+
+@once
+def dead_letters(spark: SparkSession, sf_dir: str) -> carried.DeadLetters:
+    """Rejects numbered and counted over five pieces."""
+    root = scratch_path(spark, "dead-letters")
+    writer = carried.DeadLetters(f"{root}/out")
+    in_pieces(spark, sf_dir, root, 5, lambda stream: carried.start_carried(stream, writer, f"{root}/_ck"))
+    return writer
+
+
+def running_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_path(spark, "running")
+    writer = carried.RunningMetrics(f"{root}/out")
+    in_pieces(spark, sf_dir, root, 5, lambda stream: carried.start_carried(stream, writer, f"{root}/_ck"))
+    return writer.read(spark)
+
+
+def moving_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Over what a refined query publishes of six pieces."""
+    root = scratch_path(spark, "moving")
+    refined_writer, writer = medallion.RefinedWriter(f"{root}/medallion", index=runs.id_index(f"{root}/ids")), carried.MovingAverage(f"{root}/out")
+
+    def start(stream: DataFrame):
+        _finish(medallion.start_refined(stream, refined_writer, f"{root}/_ck_refined"))
+        return carried.start_carried(refined_replay(spark, refined_writer.refined_path), writer, f"{root}/_ck")
+
+    in_pieces(spark, sf_dir, root, 6, start)
+    return writer.read(spark)
+
+
 def late_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events in four pieces by arrival, each added to the source and run to its end: readings of windows that
     earlier pieces closed are dropped."""

@@ -60,3 +60,31 @@ def stamp(spark: SparkSession, path: str) -> tuple:
     """Names, sizes and times of a file or of a folder's entries: changes when the table does."""
     fs, p = _fs(spark, path)
     return tuple(sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in fs.listStatus(p)))
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def publish_text(spark: SparkSession, path: str, text: str) -> None:
+    """``path`` with the text, whole or not at all: written beside it and renamed. Fails if it is there already."""
+    fs, p = _fs(spark, path)
+    beside = p.suffix(".part")
+    out = fs.create(beside, True)
+    try:
+        out.write(bytearray(text, "utf-8"))
+    finally:
+        out.close()
+    if fs.exists(p) or not fs.rename(beside, p):
+        raise FileExistsError(path)
+
+
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of a file, or of all files below a folder."""
+    fs, p = _fs(spark, path)
+    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0

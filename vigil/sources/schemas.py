@@ -81,9 +81,21 @@ REFINED = StructType([
     StructField("vibration_alert", BooleanType(), True),
 ])
 
+# The current status of a device: its latest reading, and the arrival number that decides between equal times.
+STATUS = StructType([
+    StructField("device_id", StringType(), True),
+    StructField("last_event_id", StringType(), True),
+    StructField("last_event_timestamp", TimestampType(), True),
+    StructField("temperature", DoubleType(), True),
+    StructField("pressure", DoubleType(), True),
+    StructField("vibration", DoubleType(), True),
+    StructField("rpm", IntegerType(), True),
+    StructField("machine_status", StringType(), True),
+    StructField("anomaly_level", StringType(), True),
+    StructField("last_arrival_seq", LongType(), True),
+])
+
 # --- fixed values: columns that the serving table requires -------------------------------------------------------
 REFINED_NOT_NULL = ["event_id", "device_id", "event_timestamp", "ingestion_timestamp", "temperature", "pressure",
                     "vibration", "rpm", "machine_status", "anomaly_level", "temperature_alert", "pressure_alert",
                     "vibration_alert"]
-
-BOOL = BooleanType()

@@ -10,8 +10,12 @@ Refined: one ``foreachBatch`` writer drives every sink from a single persisted,
                                                        a left-anti join against ids published by earlier batches
                                                        (``<root>/ids/batch_id < n``: the id column alone, never the
                                                        refined history itself)
+                                                       or, with ``index``, against the buckets of a run table that may
+                                                       hold the batch's ids (``runs.id_index``): what a batch reads then
+                                                       follows the batch
 * current state-> ``<root>/current_status/v=<n>``      keyed merge of the previous version and the new rows;
-                                                       readers take the highest version
+                                                       readers take the highest version. With ``status`` a run table
+                                                       (``status_table``): a batch writes its own devices, readers merge
 * counts       -> ``observe`` metrics (raw / valid / invalid) without extra jobs
 
 Errors are not swallowed: a failing batch fails the query and is retried from the checkpoint; since every write
@@ -31,6 +35,7 @@ from pyspark.sql.streaming import StreamingQuery
 from vigil.functions import rules
 from vigil.operators import dedup, enrich, latest, quality
 from vigil.sources import fs, schemas
+from vigil.streaming.runs import RunTable
 
 #: Time between micro-batches of a continuous run.
 INTERVAL = "5 seconds"
@@ -62,13 +67,14 @@ class RefinedWriter:
     """``foreachBatch`` callable: checked batch -> quarantine, refined, current-status snapshot."""
 
     def __init__(self, root: str, limits: rules.Limits = rules.LIMITS, exact_dedup: bool = True,
-                 payload_col: str | None = "value", keep_versions: int = 3, downstream=()):
+                 payload_col: str | None = "value", keep_versions: int = 3, downstream=(), index: RunTable | None = None, status: RunTable | None = None):
         self.root = root.rstrip("/")
         self.limits = limits
         self.exact_dedup = exact_dedup
         self.payload_col = payload_col
         self.keep_versions = keep_versions
         self.last_counts: dict = {}
+        self.index, self.status = index, status
         # callables (refined_rows_of_this_batch, batch_id) run after the refined write -- e.g. a MaintenanceWriter:
         # they see exactly this batch's published rows, in the same micro-batch, so arrival order is kept
         self.downstream = list(downstream)
@@ -98,6 +104,7 @@ class RefinedWriter:
         checked = quality.check(batch, self.limits).observe(
             obs, F.count(F.lit(1)).alias("raw_count"), F.count_if(F.col("is_valid")).alias("valid_count"),
             F.count_if(~F.col("is_valid")).alias("invalid_count")).persist()
+        kept = [checked]
         try:
             valid, invalid = quality.split(checked)
             # the payload as received (raw topic text) when the batch carries it, else the row as JSON
@@ -107,7 +114,11 @@ class RefinedWriter:
 
             firsts = dedup.dedup_first(valid, "event_id", "arrival_seq" if "arrival_seq" in batch.columns
                                        else "event_timestamp")
-            if self.exact_dedup and fs.has_data(spark, self.ids_path):
+            if self.index:
+                firsts = firsts.persist()
+                kept.append(firsts)
+                firsts = dedup.anti_seen(firsts, self.index.read(spark, before=batch_id, keys=firsts))
+            elif self.exact_dedup and fs.has_data(spark, self.ids_path):
                 seen = spark.read.schema("event_id string, batch_id bigint").parquet(self.ids_path)
                 firsts = dedup.anti_seen(firsts, seen.filter(F.col("batch_id") < batch_id))
             refined = enrich.project_refined(enrich.enrich(firsts, self.limits))
@@ -118,13 +129,20 @@ class RefinedWriter:
             # read back by the known columns: a batch without publishable rows leaves no file to infer them from
             published = spark.read.schema(self._schema(refined)).parquet(out)
             if not published.isEmpty():
-                published.select("event_id").write.mode("overwrite").parquet(f"{self.ids_path}/batch_id={batch_id}")
-                self._merge_status(spark, published, batch_id)
+                if self.index:
+                    self.index.add(published.select("event_id"), batch_id)
+                else:
+                    published.select("event_id").write.mode("overwrite").parquet(f"{self.ids_path}/batch_id={batch_id}")
+                if self.status:
+                    self.status.add(latest.merge_snapshot(None, published), batch_id)
+                else:
+                    self._merge_status(spark, published, batch_id)
                 for sink in self.downstream:
                     sink(published, batch_id)
             self.last_counts = {"batch_id": batch_id, **obs.get}
         finally:
-            checked.unpersist()
+            for frame in kept:
+                frame.unpersist()
 
     @staticmethod
     def _schema(refined: DataFrame):
@@ -159,6 +177,11 @@ def start_refined(stream: DataFrame, writer: RefinedWriter, checkpoint: str, ava
     return w.start()
 
 
+def status_table(root: str, **options) -> RunTable:
+    """The current status as runs of the devices that each micro-batch had, the latest reading of a device counting."""
+    return RunTable(root, schemas.STATUS, "device_id", latest.merge_status, **options)
+
+
 def read_current_status(spark: SparkSession, status_path: str) -> DataFrame | None:
     versions = fs.partition_values(spark, status_path, "v")
     return spark.read.parquet(f"{status_path}/v={versions[-1]}") if versions else None
