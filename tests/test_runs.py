@@ -6,6 +6,7 @@ from __future__ import annotations
 import glob
 import os
 import random
+import time
 
 import pytest
 from conftest import SF_SMALL, readings
@@ -196,7 +197,7 @@ def test_wear_over_pieces_restarts_and_a_hot_device(spark, scratch):
     assert sorted(wear.wear_orders(state).select(*cols).collect()) == sorted(consumers.work_orders(consumers.maintenance_state(whole)).select(*cols).collect())
 
 
-def test_wear_starts_from_a_snapshot_and_expires(spark, scratch):
+def test_wear_starts_from_a_snapshot(spark, scratch):
     rows = [{"device_id": d, "vibration": 60.0, "temperature": 80.0} for d in ("A", "B")]
     first, second = wear.wear_table(f"{scratch}/one"), wear.wear_table(f"{scratch}/two")
     refined_rows(spark, f"{scratch}/a", rows, 0)
@@ -206,11 +207,26 @@ def test_wear_starts_from_a_snapshot_and_expires(spark, scratch):
     run_wear(spark, f"{scratch}/b", second, f"{scratch}/ck2", initial=first.read(spark))
     got = {r.device_id: r for r in wear.wear_view(second.read(spark)).collect()}
     assert list(got) == ["A"] and got["A"].total_cycles == 2 and got["A"].accumulated_vibration == 120.0 and got["A"].maintenance_required
-    gone = wear.wear_table(f"{scratch}/three")
-    for part in (0, 1):  # a state of one millisecond is gone at the next run
-        refined_rows(spark, f"{scratch}/c", [{"arrival_seq": part, "event_id": f"y{part}", "device_id": "A"}], part)
-        run_wear(spark, f"{scratch}/c", gone, f"{scratch}/ck3", ttl=1)
-    assert [r.total_cycles for r in gone.read(spark).collect()] == [1]
+    with pytest.raises(ValueError):
+        wear.start_wear(first.read(spark), first, f"{scratch}/ck3", ttl=1)
+
+
+def test_expired_state_starts_anew(spark, scratch):
+    from vigil.plans import stream_runs
+    table = wear.wear_table(f"{scratch}/table")
+    refined_rows(spark, f"{scratch}/in", [{"arrival_seq": 0, "event_id": "y0", "device_id": "A"}], 0)
+    q = wear.start_wear(stream_runs.refined_replay(spark, f"{scratch}/in"), table, f"{scratch}/ck", ttl=1, available_now=False, interval="1 second")
+    try:
+        for part in (1, 2):
+            for _ in range(60):
+                if len(table.runs(spark)) >= part:
+                    break
+                time.sleep(1)
+            if part == 1:
+                refined_rows(spark, f"{scratch}/in", [{"arrival_seq": 1, "event_id": "y1", "device_id": "A"}], 1)
+        assert [(r.last_seq, r.total_cycles) for r in table.read(spark).collect()] == [(1, 1)]
+    finally:
+        q.stop()
 
 
 # --- values that go on over micro-batches

@@ -127,7 +127,10 @@ def wear_orders(state: DataFrame, lim: consumers.WearLimits = consumers.WEAR) ->
 
 def start_wear(refined: DataFrame, table: RunTable, checkpoint: str, lim: consumers.WearLimits = consumers.WEAR, ttl: int | None = None,
                initial: DataFrame | None = None, available_now: bool = True, interval: str = INTERVAL) -> StreamingQuery:
-    """Keeps ``table`` (``wear_table``) at the state of the devices in ``refined``; a micro-batch writes its own devices."""
+    """Keeps ``table`` (``wear_table``) at the state of the devices in ``refined``; a micro-batch writes its own devices. With a
+    ``ttl`` Spark goes on making micro-batches to expire state, so such a query has no end to run to."""
+    if ttl and available_now:
+        raise ValueError("a query whose state expires runs on: available_now=False")
     w = (wear_stream(refined, lim, ttl=ttl, initial=initial).writeStream.outputMode("update").option("checkpointLocation", checkpoint)
          .foreachBatch(lambda batch, batch_id: table.add(batch, batch_id)))
     return triggered(w, available_now, interval).start()
