@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.functions import text
-from vigil.operators import analytics, consumers, dedup, latest, quality, windows
+from vigil.operators import analytics, consumers, dedup, latest, quality, sketches, windows
 from vigil.plans import oracle, refine, serving, store, stream_runs
 from vigil.sources import envelope, schemas
 from vigil.sources import telemetry as tel
@@ -355,6 +355,19 @@ def q_fleet_summary(spark, sf):
     return consumers.fleet_summary(tel.telemetry(spark, sf)).drop("generated_at")
 
 
+@register("fleet_devices_by_day", oracle.sql(
+    "SELECT d.event_date, COUNT(*) FILTER (WHERE r.event_date = d.event_date) AS events,"
+    " COUNT(DISTINCT CASE WHEN r.event_date = d.event_date THEN device_id END) AS devices, COUNT(DISTINCT device_id) AS devices_of_week"
+    " FROM (SELECT DISTINCT CAST(event_timestamp AS DATE) AS event_date FROM refined) d"
+    " JOIN (SELECT CAST(event_timestamp AS DATE) AS event_date, device_id FROM refined) r"
+    " ON r.event_date BETWEEN d.event_date - 6 AND d.event_date GROUP BY d.event_date"))
+def q_fleet_devices_by_day(spark, sf):
+    """From the stored sketches alone; counts as small as these are exact."""
+    days = store.sketch_table(spark, sf)
+    week = sketches.devices(days, 7).select("event_date", F.col("devices").alias("devices_of_week"))
+    return sketches.devices(days).join(week, "event_date")
+
+
 _W_ALL = "OVER (PARTITION BY device_id ORDER BY arrival_seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
 
 
@@ -401,7 +414,7 @@ dlqn AS (
     "SELECT arrival_seq, 'dlq-' || CAST(ROW_NUMBER() OVER (ORDER BY arrival_seq) AS VARCHAR) AS quarantine_id,"
     " event_id, device_id, error_reason FROM dlqn", DLQN))
 def q_dlq_records(spark, sf):
-    return consumers.dlq_records(refine.quarantined(spark, sf)).drop("processed_at")
+    return consumers.dlq_records(store.quarantine_table(spark, sf)).drop("processed_at")
 
 
 @register("dlq_by_reason", oracle.sql("SELECT error_reason, COUNT(*) AS n FROM dlqn GROUP BY error_reason", DLQN))
@@ -447,7 +460,7 @@ def q_dlq_threshold(spark, sf):
     "SELECT error_reason, arrival_seq AS alarm_at, event_id, device_id FROM (SELECT *, ROW_NUMBER() OVER"
     " (PARTITION BY error_reason ORDER BY arrival_seq) AS r FROM dlqn) WHERE r = 10", DLQN))
 def q_dlq_alarms(spark, sf):
-    return consumers.dlq_alarms(refine.quarantined(spark, sf))
+    return consumers.dlq_alarms(store.quarantine_table(spark, sf))
 
 
 # --- consumers: maintenance --------------------------------------------------------------------------------------

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructType
 
+from vigil.operators import sketches
 from vigil.plans import refine
 from vigil.session import scratch_path
 from vigil.sources import fs, schemas
@@ -30,10 +31,27 @@ def read_refined(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SCHEMA).parquet(path)
 
 
-def refined_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = (spark.sparkContext.applicationId, sf_dir, fs.stamp(spark, f"{sf_dir.rstrip('/')}/events.parquet"))
+def _stored(spark: SparkSession, sf_dir: str, name: str, write) -> str:
+    """The folder that ``write(path)`` filled for this application and these events."""
+    key = (name, spark.sparkContext.applicationId, sf_dir, fs.stamp(spark, f"{sf_dir.rstrip('/')}/events.parquet"))
     if key not in _written:
-        path = scratch_path(spark, "refined-table")
-        write_refined(refine.refined(spark, sf_dir), path)
+        path = scratch_path(spark, name)
+        write(path)
         _written[key] = path
-    return read_refined(spark, _written[key])
+    return _written[key]
+
+
+def refined_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_refined(spark, _stored(spark, sf_dir, "refined-table", lambda path: write_refined(refine.refined(spark, sf_dir), path)))
+
+
+def quarantine_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rejects, stored: prefix scans read their input twice."""
+    path = _stored(spark, sf_dir, "quarantine-table", lambda path: refine.quarantined(spark, sf_dir).write.parquet(path))
+    return spark.read.schema(schemas.QUARANTINE).parquet(path)
+
+
+def sketch_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sketch of the devices of each stored day."""
+    days = sketches.day_sketches(refined_table(spark, sf_dir))
+    return spark.read.schema(days.schema).parquet(_stored(spark, sf_dir, "sketch-table", lambda path: days.write.parquet(path)))
