@@ -10,8 +10,8 @@ monotone bucket of the order column (``floor(order / span)``):
 4. an equi-join back on (key, chunk) and a combine (sum: add, min: least, max: greatest).
 
 ``by_rows`` cuts chunks by row count instead, for orders that are not dense numbers (times, offsets of several
-partitions): rows are range-partitioned by (key, order) and written to the shared folder once, with the partition as the
-chunk. Chunks are then as large as partitions whatever the order's values, and the input is evaluated once.
+partitions): rows are written to the shared folder, range-partitioned by (key, order) from there and written with the
+partition as the chunk. Chunks are then as large as partitions whatever the order's values, and the input is evaluated once.
 
 sum / count / min / max are associative, so the result equals the single-window answer exactly (for decimals and
 integers; for doubles sums are added in a different order). The rows are shuffled once, by (key, chunk); the totals
@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigil.session import scratch_path
+from vigil.sources import fs
 
 DEFAULT_SPAN = 1 << 22
 SPAN_CONF = "spark.vigil.scan.span"
@@ -39,6 +40,21 @@ def default_span(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get(SPAN_CONF, str(DEFAULT_SPAN)))
 
 
+def chunked_by_rows(df: DataFrame, keys: list[str], *order: str) -> DataFrame:
+    """``df`` in the shared folder with ``_blk``, its chunk: range partitions by (keys, order), so a chunk's size follows
+    the rows and not the order's values. ``df`` is computed once: it is written as it is, and the bounds are sampled from
+    what was written. The number of chunks is that of the rows over ``default_span``, or of the shuffle partitions if larger."""
+    spark = df.sparkSession
+    plain, path = scratch_path(spark, "rows"), scratch_path(spark, "chunks")
+    df.write.parquet(plain)
+    stored = spark.read.schema(df.schema).parquet(plain)
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-stored.count() // default_span(df)))
+    dealt = stored.repartitionByRange(parts, *keys, *order).withColumn("_blk", F.spark_partition_id().cast("bigint"))
+    dealt.write.parquet(path)
+    fs.delete(spark, plain)
+    return spark.read.schema(dealt.schema).parquet(path)
+
+
 def _combine(kind: str, carry: str, inner: str) -> str:
     if kind == "sum":
         return f"CASE WHEN {carry} IS NULL THEN {inner} WHEN {inner} IS NULL THEN {carry} ELSE {carry} + {inner} END"
@@ -65,11 +81,7 @@ def running(df: DataFrame, key: str | list[str], order: str, aggs: dict[str, tup
         staged_cols[f"_v_{name}"] = F.expr(value) if isinstance(value, str) else value
     staged = df.withColumns(staged_cols)
     if by_rows:
-        path = scratch_path(df.sparkSession, "chunks")
-        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        staged = staged.repartitionByRange(parts, *keys, order, *([tiebreak] if tiebreak else [])).withColumn("_blk", F.spark_partition_id().cast("bigint"))
-        staged.write.parquet(path)
-        staged = df.sparkSession.read.schema(staged.schema).parquet(path)
+        staged = chunked_by_rows(staged, keys, order, *([tiebreak] if tiebreak else []))
 
     upper = "1 PRECEDING" if exclusive else "CURRENT ROW"
     sort = f"{order}, {tiebreak}" if tiebreak else order

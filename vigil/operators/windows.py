@@ -1,7 +1,7 @@
 """Event-time windows (tumbling, sliding, session), moving averages over a bounded row frame, late-event flags.
 
 Tumbling / sliding windows are keyed aggregates on ``window()`` (partial + final aggregation, skew-safe) and run
-unchanged on streaming frames with a watermark. Batch sessions are built from two prefix scans and a keyed
+unchanged on streaming frames with a watermark. Batch sessions are built in one pass over chunks and a keyed
 aggregate (``session_window`` would sort each device in one task); ``sessions_stream`` is the streaming form.
 Row-frame operators never put a whole device in one task:
 ``moving_avg`` numbers each device's rows with the chunked prefix scan, cuts them into blocks of ``block`` rows and
@@ -37,15 +37,22 @@ def sessions(df: DataFrame, gap: str = "6 hours", ts: str = "event_timestamp", k
              tiebreak: str = "arrival_seq") -> DataFrame:
     """Activity sessions per device: a new session starts when ``gap`` or more passed since the previous reading.
 
-    Batch form built on the prefix scan with chunks cut by row count, so a device with a third of all readings, even
-    within one day, is never sorted in one task: the previous reading's time is an exclusive running max in time order, a gap flag marks session starts,
-    the session number is a running sum of flags, then one keyed aggregate. Same sessions as ``session_window``
-    (whose end is the last reading + gap); ``sessions_stream`` is the streaming form."""
+    Batch form in one pass over chunks cut by row count, so a device with a third of all readings, even within one day, is
+    never sorted in one task. Within a chunk a reading's predecessor is the row before it; only a chunk's first reading
+    needs the chunks before it. A table of one row per (device, chunk) tells whether that one starts a session and how
+    many sessions started before; the session number is then a running count, and one keyed aggregate ends it. Same
+    sessions as ``session_window`` (whose end is the last reading + gap); ``sessions_stream`` is the streaming form."""
     gap_us = f"CAST(unix_micros(CAST({ts} AS TIMESTAMP)) - unix_micros(CAST({ts} AS TIMESTAMP) - INTERVAL {gap}) AS BIGINT)"
-    timed = df.filter(F.col(ts).isNotNull()).withColumn("_t", F.expr(f"unix_micros(CAST({ts} AS TIMESTAMP))"))
-    prev = scan.running(timed, key, "_t", {"_prev": ("max", "_t")}, exclusive=True, tiebreak=tiebreak, by_rows=True)
-    flagged = prev.withColumn("_new", F.expr(f"CAST(_prev IS NULL OR _t - _prev >= {gap_us} AS BIGINT)"))
-    numbered = scan.running(flagged, key, "_t", {"_sid": ("sum", "_new")}, tiebreak=tiebreak, by_rows=True)
+    timed = df.filter(F.col(ts).isNotNull()).selectExpr(key, tiebreak, ts, f"unix_micros(CAST({ts} AS TIMESTAMP)) AS _t", f"{gap_us} AS _gap")
+    chunks = scan.chunked_by_rows(timed, [key], "_t", tiebreak)
+    order = f"OVER (PARTITION BY {key}, _blk ORDER BY _t, {tiebreak})"
+    rows = chunks.withColumn("_new", F.expr(f"CAST(_t - lag(_t) {order} >= _gap AS BIGINT)"))  # null for a chunk's first reading
+    parts = rows.groupBy(key, "_blk").agg(F.min_by("_gap", "_t").alias("_g"), F.min("_t").alias("_lo"), F.max("_t").alias("_hi"), F.coalesce(F.sum("_new"), F.lit(0)).alias("_n"))
+    before = f"OVER (PARTITION BY {key} ORDER BY _blk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    parts = parts.withColumn("_first", F.expr(f"CAST(coalesce(_lo - max(_hi) {before} >= _g, true) AS BIGINT)"))
+    parts = parts.selectExpr(f"{key} AS _key", "_blk AS _chunk", "_first", f"coalesce(sum(_first + _n) {before}, 0) AS _had")
+    joined = rows.join(parts, rows[key].eqNullSafe(parts["_key"]) & (rows["_blk"] == parts["_chunk"]))
+    numbered = joined.withColumn("_sid", F.expr(f"_had + sum(coalesce(_new, _first)) {order}"))
     g = numbered.groupBy(key, "_sid").agg(F.expr(f"min({ts}) AS session_start"),
                                           F.expr(f"max({ts}) + INTERVAL {gap} AS session_end"),
                                           F.expr("count(1) AS n"))
