@@ -840,7 +840,7 @@ HAVING ws + INTERVAL '1 hour' <= (SELECT max(t) FROM pieces) - INTERVAL '10 minu
 
 PIECES = """
 pieces AS (
-  SELECT device_id, try_strptime(event_timestamp, '%Y-%m-%dT%H:%M:%S.%fZ') AS t,
+  SELECT arrival_seq, device_id, try_strptime(event_timestamp, '%Y-%m-%dT%H:%M:%S.%fZ') AS t,
          arrival_seq * 4 // ((SELECT MAX(arrival_seq) FROM telemetry) + 1) AS piece
   FROM telemetry
 )"""
@@ -851,6 +851,15 @@ def q_stream_late_drop(spark, sf):
     return stream_runs.late_drop(spark, sf)
 
 
+@register("stream_late_rows", oracle.sql("""
+SELECT arrival_seq, device_id, t AS event_ts, seen - INTERVAL '10 minutes' AS watermark
+FROM pieces JOIN (SELECT piece, MAX(MAX(t)) OVER (ORDER BY piece ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM pieces GROUP BY piece) b USING (piece)
+WHERE time_bucket(INTERVAL '1 hour', t) + INTERVAL '1 hour' <= seen - INTERVAL '10 minutes'""", PIECES))
+def q_stream_late_rows(spark, sf):
+    """The readings that stream_late_drop loses, one by one."""
+    return stream_runs.late_rows(spark, sf).read(spark, "late").select("arrival_seq", "device_id", "event_ts", "watermark")
+
+
 @register("archive_partition_counts", oracle.sql(
     "SELECT " + ", ".join(f"strftime({ARCHIVE_DAY}, '{f}') AS {n}" for f, n in
                           (("%Y", "year"), ("%m", "month"), ("%d", "day")))

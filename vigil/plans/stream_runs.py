@@ -16,7 +16,7 @@ from vigil.session import scratch_path
 from vigil.sources import fs, schemas, streams
 from vigil.sources import telemetry as tel
 from vigil.streaming import consumers as cstream
-from vigil.streaming import carried, medallion, runs, wear
+from vigil.streaming import carried, late, medallion, runs, wear
 
 
 def _finish(q) -> None:
@@ -164,20 +164,32 @@ def moving_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return writer.read(spark)
 
 
-def late_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events in four pieces by arrival, each added to the source and run to its end: readings of windows that
-    earlier pieces closed are dropped."""
-    root, pieces = scratch_path(spark, "late"), 4
+def _quarters(spark: SparkSession, sf_dir: str, root: str):
+    """The events in four pieces by arrival, each added to the source: a stream over it per piece."""
     events = tel.table(spark, sf_dir, "events")
     end = (events.agg(F.max("event_id")).first()[0] or 0) + 1
-    for piece in range(pieces):
-        part = events.where(F.expr(f"event_id * {pieces} div {end} = {piece}"))
-        part.write.mode("append").parquet(f"{root}/events")
-        stream = streams.telemetry_replay(spark, f"{root}/events", max_files_per_trigger=1 << 30)
+    for piece in range(4):
+        events.where(F.expr(f"event_id * 4 div {end} = {piece}")).write.mode("append").parquet(f"{root}/events")
+        yield streams.telemetry_replay(spark, f"{root}/events", max_files_per_trigger=1 << 30)
+
+
+def late_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each piece run to its end: readings of windows that earlier pieces closed are dropped."""
+    root = scratch_path(spark, "late")
+    for stream in _quarters(spark, sf_dir, root):
         _finish(cstream.start_late_demo(stream, f"{root}/table", f"{root}/_ck"))
     return spark.read.parquet(f"{root}/table")
 
 
+def late_rows(spark: SparkSession, sf_dir: str) -> late.LateRouter:
+    """The same pieces through the router, which keeps what ``late_drop`` loses."""
+    root = scratch_path(spark, "late-rows")
+    router = late.LateRouter(f"{root}/out")
+    for stream in _quarters(spark, sf_dir, root):
+        _finish(late.start_late_router(stream, router, f"{root}/_ck"))
+    return router
+
+
 def archive_batch_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batch archive write (JSON, partitioned by day) and read-back."""
     root = scratch_path(spark, "archive_batch")
