@@ -12,12 +12,16 @@ REFINED_COLUMNS = ["event_id", "device_id", "event_timestamp", "ingestion_timest
                    "vibration_alert", "processing_timestamp"]
 
 
+def outcome(limits: rules.Limits = rules.LIMITS) -> dict:
+    """The columns of a refined row that depend on the limits."""
+    return {**rules.alert_flags(limits), "anomaly_level": rules.severity(limits)}
+
+
 def enrich(df: DataFrame, limits: rules.Limits = rules.LIMITS) -> DataFrame:
     text_ts = dict(df.dtypes)["event_timestamp"] == "string"
     cols = {"event_timestamp": F.expr(rules.parsed_time_sql("event_timestamp") if text_ts
                                       else "CAST(event_timestamp AS TIMESTAMP)")}
-    cols.update(rules.alert_flags(limits))
-    cols["anomaly_level"] = rules.severity(limits)
+    cols.update(outcome(limits))
     cols["machine_status"] = F.expr("status")
     if "ingestion_timestamp" not in df.columns:
         cols["ingestion_timestamp"] = F.expr("current_timestamp()")

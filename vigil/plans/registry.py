@@ -12,9 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.functions import text
+from vigil.functions import rules, text
 from vigil.operators import analytics, consumers, dedup, latest, quality, sketches, windows
-from vigil.plans import oracle, refine, serving, store, stream_runs
+from vigil.plans import oracle, refine, reprocess, serving, store, stream_runs
 from vigil.sources import envelope, schemas
 from vigil.sources import telemetry as tel
 from vigil.streaming import wear
@@ -873,6 +873,49 @@ def q_reprocess_archive(spark, sf):
     return stream_runs.reprocess_archive(spark, sf).drop("ingestion_timestamp", "processing_timestamp")
 
 
+# --- reprocessing after a rule change ---------------------------------------------------------------------------------
+
+NEW_LIMITS = rules.Limits(temperature_min=1.0, temperature_max=300.0, temperature_critical=80.0, vibration_critical=17.0, pressure_alert=4.5)
+
+
+def _new_rules(sql: str) -> str:
+    """An oracle's text under NEW_LIMITS."""
+    for old, new in (("temperature < 0 OR temperature > 200", "temperature < 1 OR temperature > 300"), ("temperature > 90", "temperature > 80"),
+                     ("vibration > 15", "vibration > 17"), ("pressure > 5", "pressure > 4.5E0")):
+        assert old in sql
+        sql = sql.replace(old, new)
+    return sql
+
+
+def _delta(spark, sf):
+    return reprocess.rules_delta(tel.telemetry(spark, sf), rules.LIMITS, NEW_LIMITS)
+
+
+@register("reprocess_rules_delta", _new_rules(ORACLES["refined"]))
+def q_reprocess_rules_delta(spark, sf):
+    """The stored refined table brought to other limits by what changes."""
+    return reprocess.refined_after(store.refined_table(spark, sf), _delta(spark, sf))
+
+
+@register("reprocess_rules_tallies", _new_rules(ORACLES["anomaly_by_device"]))
+def q_reprocess_rules_tallies(spark, sf):
+    return reprocess.tallies_after(analytics.anomaly_by_device(store.refined_table(spark, sf)), _delta(spark, sf))
+
+
+@register("reprocess_rules_status", _new_rules(ORACLES["current_status_merge"]))
+def q_reprocess_rules_status(spark, sf):
+    refined = store.refined_table(spark, sf)
+    return reprocess.status_after(latest.merge_snapshot(None, refined), refined, _delta(spark, sf)).drop("last_arrival_seq")
+
+
+@register("reprocess_quarantine", _new_rules(oracle.sql(
+    f"SELECT {REFINED_ORACLE_COLS} FROM refined WHERE arrival_seq IN (SELECT arrival_seq FROM quarantine_before)",
+    "quarantine_before AS (SELECT arrival_seq FROM telemetry WHERE temperature > 2E2)")))
+def q_reprocess_quarantine(spark, sf):
+    """Rejects that other limits let through, taken in again from the payload as it was received."""
+    return stream_runs.reprocess_quarantine(spark, store.quarantine_table(spark, sf), NEW_LIMITS).drop("ingestion_timestamp", "processing_timestamp")
+
+
 @register("dlq_scan_json", oracle.sql("SELECT error_reason, COUNT(*) AS n FROM dlqn GROUP BY error_reason", DLQN))
 def q_dlq_scan_json(spark, sf):
     return consumers.dlq_by_reason(stream_runs.quarantine_json_scan(spark, sf))
