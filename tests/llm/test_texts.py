@@ -289,13 +289,14 @@ def test_plan_packs_all_pieces(counts):
 
 def test_plan_fills_gaps_exactly():
     counts = np.zeros(101, int)
-    counts[[60, 40, 50, 30, 20]] = [4, 3, 2, 1, 1]  # 60+40 three times, 60+40 by 20+... no: 50+50, 60+30 and 20 do not fill
-    assert sorted((sorted(p), t) for p, t in plan(counts)) == [([20, 30], 1), ([40, 60], 3), ([50, 50], 1), ([60], 1)] or sum(t for _, t in plan(counts)) == 6
+    counts[[60, 40, 50, 30, 20]] = [4, 3, 2, 1, 1]  # 60 + 40 and 50 + 50 fill sequences, 510 in all need six
+    got = plan(counts)
+    assert sum(t for _, t in got) == 6 and sum(t for p, t in got if sum(p) == 100) >= 4
 
 
 @pytest.mark.parametrize("capacity", [2048, 64])
 def test_pack(spark, rows, tokenizers, capacity):
-    some = [r for r in rows if len(r[1] or "") < 100_000]
+    some = rows if capacity == 2048 else [r for r in rows if len(r[1] or "") < 100_000]
     got = pack(table(spark, some, clash=True), capacity, keep_ids=True).collect()
     whole = Counter((i, tuple(tokenizers[1].encode(x or "", add_special_tokens=False).ids + [0])) for i, x in some)
     want = Counter()
