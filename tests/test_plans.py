@@ -64,3 +64,24 @@ def test_lookups_reach_the_scan(spark):
 @pytest.mark.parametrize("name", ["moving_avg", "work_orders", "maintenance_reasons", "lifecycle_summary", "maintenance_state", "health_scores"])
 def test_running_state_does_not_check_and_dedup_again(spark, name):
     assert "events.parquet" not in executed(spark, name)
+
+
+def test_located_lookup_opens_one_day(spark, scratch):
+    """A hundred days, a file each: an id opens one of them, and one bucket of the locator."""
+    from vigil.plans import store
+    days = spark.range(5000).selectExpr("concat('e', id) AS event_id", "date_add(DATE '2026-01-01', CAST(id % 100 AS INT)) AS event_date", "id AS n")
+    days.coalesce(1).write.partitionBy("event_date").parquet(f"{scratch}/table")
+    where = store.RunTable(f"{scratch}/locator", store.LOCATOR, "event_id", lambda rows: rows.distinct(), bucket_rows=100)
+    where.add(days, 0)
+    table = spark.read.parquet(f"{scratch}/table")
+    assert len(table.inputFiles()) == 100
+    found = store.find_events(table, where, ["e250", "e251", "none"])
+    assert sorted((r.event_id, r.n) for r in found.collect()) == [("e250", 250), ("e251", 251)]
+    scan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in scan and "event_date" in scan.split("PartitionFilters:")[1].split("]")[0]
+    metrics = found._jdf.queryExecution().executedPlan().collectLeaves().head().metrics()
+    assert metrics.apply("numFiles").value() == 2
+    asked = spark.createDataFrame([("e250",)], "event_id string")
+    paths = where.paths_of(spark, where.runs(spark), asked)
+    assert [len(p) for p in paths.values()] == [1] and where.runs(spark)[0].buckets == 64
+    assert store.find_events(table, where, ["none"]).count() == 0

@@ -661,6 +661,12 @@ def q_lookup_event(spark, sf):
     return analytics.lookup(store.refined_table(spark, sf), REFINED_COLUMNS, event_id="evt-500")
 
 
+@register("lookup_event_located", ORACLES["lookup_event"])
+def q_lookup_event_located(spark, sf):
+    """The same by the locator of ids: one bucket of it and one day of the table are opened."""
+    return store.find_events(store.refined_table(spark, sf), store.locator_table(spark, sf), ["evt-500"]).select(*REFINED_COLUMNS)
+
+
 @register("lookup_device_time", oracle.sql(
     "SELECT event_id, device_id, event_timestamp, temperature, pressure, anomaly_level FROM refined"
     " WHERE device_id = 'MTR-0027' AND event_timestamp = TIMESTAMP '2024-01-03 06:03:33.431023'"))

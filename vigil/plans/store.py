@@ -16,6 +16,7 @@ from vigil.plans import refine
 from vigil.session import scratch_path
 from vigil.sources import fs, schemas
 from vigil.streaming.medallion import utc_date
+from vigil.streaming.runs import RunTable
 
 SCHEMA = StructType(schemas.REFINED.fields).add("event_date", DateType())
 _written: dict[tuple, str] = {}
@@ -31,6 +32,23 @@ def read_refined(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SCHEMA).parquet(path)
 
 
+#: Which day a published id is on: an id opens one bucket of it, not every file of the refined table.
+LOCATOR = StructType().add("event_id", "string").add("event_date", "date")
+
+
+def locator(root: str, **options) -> RunTable:
+    """A run table of (event_id, event_date); ``add`` it a micro-batch's published rows."""
+    return RunTable(root, LOCATOR, "event_id", lambda rows: rows.distinct(), bucket_rows=1 << 14, **options)
+
+
+def find_events(refined: DataFrame, where: RunTable, ids: list[str]) -> DataFrame:
+    """The refined rows of the event ids: their days come from the locator, and only those days' files are opened."""
+    spark = refined.sparkSession
+    asked = spark.createDataFrame([(i,) for i in ids], "event_id string")
+    days = where.read(spark, keys=asked).join(asked, "event_id", "left_semi").select("event_date").distinct().collect()  # a day per id at most
+    return refined.where(F.col("event_date").isin([r.event_date for r in days]) & F.col("event_id").isin(list(ids)))
+
+
 def _stored(spark: SparkSession, sf_dir: str, name: str, write) -> str:
     """The folder that ``write(path)`` filled for this application and these events."""
     key = (name, spark.sparkContext.applicationId, sf_dir, fs.stamp(spark, f"{sf_dir.rstrip('/')}/events.parquet"))
@@ -55,3 +73,8 @@ def sketch_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A sketch of the devices of each stored day."""
     days = sketches.day_sketches(refined_table(spark, sf_dir))
     return spark.read.schema(days.schema).parquet(_stored(spark, sf_dir, "sketch-table", lambda path: days.write.parquet(path)))
+
+
+def locator_table(spark: SparkSession, sf_dir: str) -> RunTable:
+    """The locator of the stored refined table."""
+    return locator(_stored(spark, sf_dir, "locator", lambda path: locator(path).add(refined_table(spark, sf_dir), 0)))
