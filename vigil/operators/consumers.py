@@ -33,11 +33,11 @@ RUNNING = "RUNNING"
 DEFAULT_TOPIC = "iot-machine-events"
 DLQ_ALARM_THRESHOLD = 10
 MSG_FAILURE = "Catastrophic Machine Failure Detected"
-MSG_TEMPERATURE = ("Temperature CRITICAL (", "°C > ", "°C)")
-MSG_VIBRATION = ("Vibration CRITICAL (", " mm/s > ", " mm/s)")
-MSG_PRESSURE = ("Pressure CRITICAL (", " bar > ", " bar)")
-MSG_WEAR_VIBRATION = ("Excessive Accumulated Vibration (", " >= ", ")")
-MSG_WEAR_HEAT = ("High Temperature Operating Limit (", " >= ", " cycles)")
+MSG_TEMPERATURE = "Temperature CRITICAL ({value}°C > {limit}°C)"
+MSG_VIBRATION = "Vibration CRITICAL ({value} mm/s > {limit} mm/s)"
+MSG_PRESSURE = "Pressure CRITICAL ({value} bar > {limit} bar)"
+MSG_WEAR_VIBRATION = "Excessive Accumulated Vibration ({value} >= {limit})"
+MSG_WEAR_HEAT = "High Temperature Operating Limit ({value} >= {limit} cycles)"
 # -------------------------------------------------------------------------------------------------------
 
 _METRICS = ("temperature", "pressure", "vibration")
@@ -48,9 +48,10 @@ def _q(s: str) -> str:
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _message(value: str, limit: str, words: tuple[str, str, str]) -> str:
-    """SQL: a message of fixed words round the value and its limit."""
-    return f"concat({_q(words[0])}, {value}, {_q(words[1] + limit + words[2])})"
+def _message(value: str, limit: str, words: str) -> str:
+    """SQL: a message with its value (an expression) and limit put in."""
+    before, after = words.format(value="\0", limit=limit).split("\0")
+    return f"concat({_q(before)}, {value}, {_q(after)})"
 
 
 def normalize(df: DataFrame) -> DataFrame:

@@ -6,10 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil.functions import rules
-
-REFINED_COLUMNS = ["event_id", "device_id", "event_timestamp", "ingestion_timestamp", "temperature", "pressure",
-                   "vibration", "rpm", "machine_status", "anomaly_level", "temperature_alert", "pressure_alert",
-                   "vibration_alert", "processing_timestamp"]
+from vigil.sources.schemas import REFINED_COLUMNS
 
 
 def outcome(limits: rules.Limits = rules.LIMITS) -> dict:

@@ -62,24 +62,16 @@ QUARANTINE = StructType([
     StructField("quarantine_timestamp", TimestampType(), True),
 ])
 
-# The refined table, as written and read back.
-REFINED = StructType([
-    StructField("arrival_seq", LongType(), True),
-    StructField("event_id", StringType(), True),
-    StructField("device_id", StringType(), True),
-    StructField("event_timestamp", TimestampType(), True),
-    StructField("ingestion_timestamp", TimestampType(), True),
-    StructField("processing_timestamp", TimestampType(), True),
-    StructField("temperature", DoubleType(), True),
-    StructField("pressure", DoubleType(), True),
-    StructField("vibration", DoubleType(), True),
-    StructField("rpm", IntegerType(), True),
-    StructField("machine_status", StringType(), True),
-    StructField("anomaly_level", StringType(), True),
-    StructField("temperature_alert", BooleanType(), True),
-    StructField("pressure_alert", BooleanType(), True),
-    StructField("vibration_alert", BooleanType(), True),
-])
+# --- fixed values: columns of the serving table, in its order ----------------------------------------------------
+REFINED_COLUMNS = ["event_id", "device_id", "event_timestamp", "ingestion_timestamp", "temperature", "pressure",
+                   "vibration", "rpm", "machine_status", "anomaly_level", "temperature_alert", "pressure_alert",
+                   "vibration_alert", "processing_timestamp"]
+# -----------------------------------------------------------------------------------------------------------------
+
+# The refined table, as written and read back: arrival order first, types as on the wire but for times and flags.
+REFINED = StructType([StructField("arrival_seq", LongType(), True)] + [
+    StructField(c, TimestampType() if c.endswith("_timestamp") else BooleanType() if c.endswith("_alert")
+                else EVENT[c].dataType if c in EVENT.names else StringType(), True) for c in REFINED_COLUMNS])
 
 # The current status of a device: its latest reading, and the arrival number that decides between equal times.
 STATUS = StructType([
