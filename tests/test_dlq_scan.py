@@ -1,0 +1,62 @@
+"""Rejects counted as their files arrive: moved, renamed and copied files once, replays, restarts."""
+
+from __future__ import annotations
+
+import json
+import os
+import shutil
+
+from conftest import SF_SMALL
+
+from vigil.operators import consumers
+from vigil.plans import refine, stream_runs
+from vigil.streaming import dlq_scan
+
+
+def _write(path, rows):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w") as f:
+        f.writelines(json.dumps({"arrival_seq": i, "event_id": f"e{i}", "error_reason": r}) + "\n" for i, r in rows)
+
+
+def _scan(spark, out, folder, checkpoint):
+    stream_runs._finish(dlq_scan.start_dlq_scan(dlq_scan.files(spark, folder), out, checkpoint))
+    return {r.error_reason: r.n for r in out.reasons.read(spark).collect()}
+
+
+def test_files_of_three_lots_are_counted_once(spark):
+    out = stream_runs.dlq_scan_arriving(spark, SF_SMALL)
+    want = {r.error_reason: r.n for r in consumers.dlq_by_reason(refine.quarantined(spark, SF_SMALL)).collect()}
+    assert {r.error_reason: r.n for r in out.reasons.read(spark).collect()} == want
+    assert out.ledger.read(spark).groupBy().sum("records").first()[0] == sum(want.values())
+
+
+def test_moved_renamed_and_copied_files(spark, scratch):
+    folder, out = f"{scratch}/files", dlq_scan.DlqScan(f"{scratch}/out")
+    _write(f"{folder}/a/1.json", [(1, "x"), (2, "x"), (3, "y")])
+    _write(f"{folder}/b/c/2.json", [(4, "y"), (5, None)])
+    shutil.copy(f"{folder}/a/1.json", f"{folder}/copy.json")  # a copy beside it, in the same micro-batch
+    first = {"x": 2, "y": 2, "unspecified_error": 1}
+    assert _scan(spark, out, folder, f"{scratch}/ck") == first
+    os.makedirs(f"{folder}/done")
+    os.rename(f"{folder}/a/1.json", f"{folder}/done/renamed.json")
+    shutil.copy(f"{folder}/b/c/2.json", f"{folder}/done/2.json")
+    assert _scan(spark, out, folder, f"{scratch}/ck") == first
+    # fewer records, the same ones twice, or other ones are other files; lines in another order are not
+    _write(f"{folder}/a/3.json", [(1, "x"), (2, "x")])
+    _write(f"{folder}/a/4.json", [(1, "x"), (1, "x")])
+    _write(f"{folder}/a/5.json", [(3, "y"), (1, "x"), (2, "x")])
+    _write(f"{folder}/a/6.json", [])
+    assert _scan(spark, out, folder, f"{scratch}/ck") == {"x": 6, "y": 2, "unspecified_error": 1}
+    assert out.ledger.read(spark).count() == 4
+
+
+def test_a_replayed_batch_counts_once(spark, scratch):
+    folder, out = f"{scratch}/files", dlq_scan.DlqScan(f"{scratch}/out")
+    _write(f"{folder}/1.json", [(1, "x"), (2, "y")])
+    _write(f"{folder}/2.json", [(3, "x")])
+    batch = spark.read.schema(dlq_scan.schemas.QUARANTINE).json(folder).selectExpr("*", "_metadata.file_path AS _file")
+    for i in (0, 0, 1, 1):
+        out(batch, i)
+    out(batch.limit(0), 2)
+    assert {r.error_reason: r.n for r in out.reasons.read(spark).collect()} == {"x": 2, "y": 1}

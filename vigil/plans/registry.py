@@ -17,6 +17,7 @@ from vigil.operators import analytics, consumers, dedup, latest, quality, sketch
 from vigil.plans import oracle, refine, reprocess, serving, store, stream_runs
 from vigil.sources import envelope, schemas
 from vigil.sources import telemetry as tel
+from vigil.streaming import archive as archives
 from vigil.streaming import wear
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -874,6 +875,42 @@ def q_archive_partition_counts(spark, sf):
     return consumers.archive_partition_counts(stream_runs.archive_batch_roundtrip(spark, sf))
 
 
+# one message in 211 breaks off: it has no fields, and the day it is archived on is its day
+BROKEN_DAY = f"CASE WHEN arrival_seq % 211 = 0 THEN CAST(timezone('UTC', current_timestamp) AS TIMESTAMP) ELSE {ARCHIVE_DAY} END"
+
+
+@register("stream_archive_packed", oracle.sql(
+    "SELECT arrival_seq, CASE WHEN arrival_seq % 211 <> 0 THEN event_id END AS event_id, "
+    + ", ".join(f"strftime({BROKEN_DAY}, '{f}') AS {n}" for f, n in (("%Y", "year"), ("%m", "month"), ("%d", "day"))) + " FROM telemetry"))
+def q_stream_archive_packed(spark, sf):
+    """The archive of eight micro-batches, its small files packed twice on the way."""
+    return stream_runs.packed_archive(spark, sf).read(spark).select("raw_payload.arrival_seq", "raw_payload.event_id", "year", "month", "day")
+
+
+@register("archive_unknown_fields", oracle.sql("""
+SELECT 'machine' AS field, 'OBJECT<' || CASE WHEN json_extract_string(props, '$.k') IS NULL THEN '' ELSE 'k: BIGINT, ' END || 'kind: STRING>' AS kind, COUNT(*) AS n
+FROM events WHERE event_id % 211 <> 0 GROUP BY ALL
+UNION ALL SELECT 'firmware', 'STRING', COUNT(*) FROM events WHERE event_id % 211 <> 0 AND event_id % 31 = 0 HAVING COUNT(*) > 0"""))
+def q_archive_unknown_fields(spark, sf):
+    """Fields of the archived messages that the event schema does not name."""
+    return archives.field_summary(stream_runs.packed_archive(spark, sf).read(spark))
+
+
+@register("archive_malformed", oracle.sql("SELECT arrival_seq FROM telemetry WHERE arrival_seq % 211 = 0"))
+def q_archive_malformed(spark, sf):
+    return archives.malformed(stream_runs.packed_archive(spark, sf).read(spark)).select("raw_payload.arrival_seq")
+
+
+@register("archive_machine_kinds", oracle.sql("""
+SELECT event_type AS kind, COUNT(*) AS messages, CAST(SUM(CAST(json_extract_string(props, '$.k') AS INT)) AS BIGINT) AS total_k
+FROM events WHERE event_id % 211 <> 0 GROUP BY event_type"""))
+def q_archive_machine_kinds(spark, sf):
+    """A query over a nested field that no schema names."""
+    fields = archives.payloads(stream_runs.packed_archive(spark, sf).read(spark)).where("payload IS NOT NULL")
+    return fields.selectExpr("try_variant_get(payload, '$.machine.kind', 'string') AS kind", "try_variant_get(payload, '$.machine.k', 'bigint') AS k").groupBy("kind").agg(
+        F.count(F.lit(1)).alias("messages"), F.sum("k").alias("total_k"))
+
+
 @register("reprocess_archive", oracle.sql(f"SELECT {REFINED_ORACLE_COLS} FROM refined"))
 def q_reprocess_archive(spark, sf):
     return stream_runs.reprocess_archive(spark, sf).drop("ingestion_timestamp", "processing_timestamp")
@@ -927,6 +964,12 @@ def q_dlq_scan_json(spark, sf):
     return consumers.dlq_by_reason(stream_runs.quarantine_json_scan(spark, sf))
 
 
+@register("stream_dlq_scan", ORACLES["dlq_scan_json"])
+def q_stream_dlq_scan(spark, sf):
+    """Counted as the files arrive, a file that is moved meanwhile once."""
+    return stream_runs.dlq_scan_arriving(spark, sf).reasons.read(spark)
+
+
 # --- the serving queries through Spark SQL: views over the stored tables --------------------------------------------
 
 def _serving(name: str):

@@ -16,7 +16,8 @@ from vigil.session import scratch_path
 from vigil.sources import fs, schemas, streams
 from vigil.sources import telemetry as tel
 from vigil.streaming import consumers as cstream
-from vigil.streaming import carried, late, medallion, runs, wear
+from vigil.streaming import archive as archives
+from vigil.streaming import carried, dlq_scan, late, medallion, runs, wear
 
 
 def _finish(q) -> None:
@@ -79,17 +80,17 @@ def maintenance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return consumers.snapshot_view(cstream.read_snapshot(spark, f"{root}/maint/snapshot"))
 
 
-def in_pieces(spark: SparkSession, sf_dir: str, root: str, pieces: int, start, resend: bool = False) -> None:
+def in_pieces(spark: SparkSession, sf_dir: str, root: str, pieces: int, start, resend: bool = False, replay=streams.telemetry_replay) -> None:
     """The events in uneven pieces by arrival (later ones smaller), each added to the source and run to its end by
     ``start(stream)``: every piece is a restart from the checkpoint. With ``resend`` each piece also holds a seventh of
-    all events before it once more."""
+    all events before it once more. ``replay`` makes the stream of the folder of events."""
     events = tel.table(spark, sf_dir, "events")
     end = (events.agg(F.max("event_id")).first()[0] or 0) + 1
     own = F.expr(f"CAST(floor({pieces} * pow(event_id / {end}, 2)) AS INT)")
     for piece in range(pieces):
         again = (own < piece) & (F.col("event_id") % 7 == piece % 7) if resend else F.lit(False)
         events.where((own == piece) | again).write.mode("append").parquet(f"{root}/events")
-        _finish(start(streams.telemetry_replay(spark, f"{root}/events", max_files_per_trigger=1 << 30)))
+        _finish(start(replay(spark, f"{root}/events", max_files_per_trigger=1 << 30)))
 
 
 _done: dict[tuple, object] = {}
@@ -144,6 +145,29 @@ def dead_letters(spark: SparkSession, sf_dir: str) -> carried.DeadLetters:
     return writer
 
 
+@once
+def packed_archive(spark: SparkSession, sf_dir: str) -> archives.Archive:
+    """Messages archived over eight pieces, small files packed before the fourth and the eighth."""
+    root = scratch_path(spark, "packed-archive")
+    table = archives.Archive(f"{root}/archive", every=4)
+    in_pieces(spark, sf_dir, root, 8, lambda stream: archives.start_archive(stream, table, f"{root}/_ck"), replay=streams.message_replay)
+    return table
+
+
+def dlq_scan_arriving(spark: SparkSession, sf_dir: str) -> dlq_scan.DlqScan:
+    """Rejects that come in three lots of files, a folder for each first code; between the scans a file that was counted is moved
+    to another folder under another name."""
+    root = scratch_path(spark, "dlq-scan")
+    out = dlq_scan.DlqScan(f"{root}/out")
+    stored = refine.quarantined(spark, sf_dir).withColumn("code", F.split(F.col("error_reason"), ", ").getItem(0))
+    for lot in range(3):
+        stored.where(F.pmod("arrival_seq", F.lit(3)) == lot).write.mode("append").partitionBy("code").json(f"{root}/files")
+        _finish(dlq_scan.start_dlq_scan(dlq_scan.files(spark, f"{root}/files"), out, f"{root}/_ck"))
+        for seen in fs.files_below(spark, f"{root}/files")[:1]:
+            fs.move(spark, seen, f"{root}/files/sorted/lot-{lot}.json")
+    return out
+
+
 def running_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "running")
     writer = carried.RunningMetrics(f"{root}/out")

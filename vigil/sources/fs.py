@@ -88,3 +88,22 @@ def size(spark: SparkSession, path: str) -> int:
     """Bytes of a file, or of all files below a folder."""
     fs, p = _fs(spark, path)
     return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
+
+
+def move(spark: SparkSession, path: str, to: str) -> None:
+    fs, p = _fs(spark, path)
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(to)
+    fs.mkdirs(target.getParent())
+    if not fs.rename(p, target):
+        raise OSError(f"{path} cannot be moved to {to}")
+
+
+def files_below(spark: SparkSession, path: str) -> list[str]:
+    """The data files of a folder and the folders below it, in order of their paths."""
+    fs, p = _fs(spark, path)
+    out, it = [], fs.listFiles(p, True)
+    while it.hasNext():
+        found = it.next().getPath()
+        if not found.getName().startswith(("_", ".")):
+            out.append(found.toString())
+    return sorted(out)

@@ -60,3 +60,8 @@ def topic_replay(spark: SparkSession, source: str, max_files_per_trigger: int =
     """The replay shaped like a topic: ``(arrival_seq, value, kafka_timestamp)`` with JSON payloads."""
     t = telemetry_replay(spark, source, max_files_per_trigger)
     return envelope.to_payload(t).withColumn("kafka_timestamp", F.current_timestamp())
+
+
+def message_replay(spark: SparkSession, source: str, max_files_per_trigger: int = 1) -> DataFrame:
+    """Messages with fields that the event schema does not name, parsed, the text kept in ``value``."""
+    return envelope.parse(tel.messages_from_events(events_replay(spark, source, max_files_per_trigger)))

@@ -40,6 +40,40 @@ class Run:
     buckets: int
 
 
+class Log:
+    """The states of a table, each a numbered file that lists the folders it is made of (dicts with their particulars).
+    ``folder`` gives an entry's folder below the root. The newest ``keep`` states stay readable."""
+
+    def __init__(self, root: str, folder: Callable[[dict], str], keep: int = 3):
+        self.root, self.folder, self.keep = root.rstrip("/"), folder, keep
+
+    def states(self, spark: SparkSession) -> list[int]:
+        return sorted(int(n.split(".")[0]) for n in fs.names(spark, f"{self.root}/_log") if n.endswith(".json"))
+
+    def entries(self, spark: SparkSession, state: int | None = None) -> list[dict]:
+        """Of the newest or a given state; nothing before the first."""
+        if state is None:
+            states = self.states(spark)
+            if not states:
+                return []
+            state = states[-1]
+        return json.loads(fs.read_text(spark, f"{self.root}/_log/{state:012d}.json"))
+
+    def publish(self, spark: SparkSession, live: list[dict]) -> int:
+        """``live`` as the next state. Folders that only states older than the newest ``keep`` list are deleted."""
+        states = self.states(spark)
+        state = states[-1] + 1 if states else 0
+        fs.publish_text(spark, f"{self.root}/_log/{state:012d}.json", json.dumps(live))
+        kept = states[-(self.keep - 1):] if self.keep > 1 else []
+        old = [s for s in states if s not in kept]
+        needed = {self.folder(r) for s in kept for r in self.entries(spark, s)} | {self.folder(r) for r in live}
+        for folder in {self.folder(r) for s in old for r in self.entries(spark, s)} - needed:
+            fs.delete(spark, f"{self.root}/{folder}")
+        for s in old:
+            fs.delete(spark, f"{self.root}/_log/{s:012d}.json")
+        return state
+
+
 class RunTable:
     """``schema``: the rows' columns; ``key``: the column that deals them; ``combine``: makes a frame of several runs'
     rows one of the table's (None: all rows count). ``combine`` must not depend on the runs' order."""
@@ -47,31 +81,17 @@ class RunTable:
     def __init__(self, root: str, schema: StructType, key: str, combine: Callable[[DataFrame], DataFrame] | None = None,
                  bucket_rows: int = 1 << 16, fanout: int = 4, keep: int = 3):
         self.root, self.schema, self.key, self.combine = root.rstrip("/"), schema, key, combine
-        self.bucket_rows, self.fanout, self.keep = bucket_rows, fanout, keep
+        self.bucket_rows, self.fanout = bucket_rows, fanout
+        self.log = Log(root, lambda run: run["name"], keep)
 
     # --- the log
 
     def _states(self, spark: SparkSession) -> list[int]:
-        return sorted(int(n.split(".")[0]) for n in fs.names(spark, f"{self.root}/_log") if n.endswith(".json"))
-
-    def _state(self, spark: SparkSession, state: int) -> list[Run]:
-        return [Run(**r) for r in json.loads(fs.read_text(spark, f"{self.root}/_log/{state:012d}.json"))]
+        return self.log.states(spark)
 
     def runs(self, spark: SparkSession, before: int | None = None, state: int | None = None) -> list[Run]:
         """The runs of the newest (or a given) state, of batches before ``before``."""
-        states = self._states(spark)
-        live = self._state(spark, states[-1] if state is None else state) if states else []
-        return [r for r in live if before is None or r.batch < before]
-
-    def _publish(self, spark: SparkSession, live: list[Run]) -> None:
-        states = self._states(spark)
-        fs.publish_text(spark, f"{self.root}/_log/{(states[-1] + 1 if states else 0):012d}.json", json.dumps([asdict(r) for r in live]))
-        old, kept = states[:-(self.keep - 1)] if self.keep > 1 else states, states[-(self.keep - 1):] if self.keep > 1 else []
-        needed = {r.name for s in kept for r in self._state(spark, s)} | {r.name for r in live}
-        for name in {r.name for s in old for r in self._state(spark, s)} - needed:
-            fs.delete(spark, f"{self.root}/{name}")
-        for s in old:
-            fs.delete(spark, f"{self.root}/_log/{s:012d}.json")
+        return [r for r in (Run(**e) for e in self.log.entries(spark, state)) if before is None or r.batch < before]
 
     # --- writing
 
@@ -96,7 +116,7 @@ class RunTable:
             run = self._write(rows, batch, count) if count else None
         finally:
             rows.unpersist()
-        self._publish(spark, live + ([run] if run else []))
+        self.log.publish(spark, [asdict(r) for r in live + ([run] if run else [])])
         return run
 
     def _merged(self, spark: SparkSession, live: list[Run]) -> list[Run]:
