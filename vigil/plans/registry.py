@@ -7,6 +7,7 @@ DuckDB's naive timestamps; nested values (arrays, maps, structs) are returned fl
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from vigil.functions import rules, text
 from vigil.operators import analytics, consumers, dedup, latest, quality, sketches, windows
-from vigil.plans import oracle, refine, reprocess, serving, store, stream_runs
+from vigil.plans import clustered, oracle, refine, reprocess, serving, store, stream_runs
 from vigil.sources import envelope, schemas
 from vigil.sources import telemetry as tel
 from vigil.streaming import archive as archives
@@ -678,6 +679,27 @@ def q_lookup_device_time(spark, sf):
         "event_id", "device_id", "event_timestamp", "temperature", "pressure", "anomaly_level")
 
 
+def _clustered(spark, sf) -> str:
+    return store.stored(spark, sf, "clustered-table", lambda path: clustered.write_clustered(store.refined_table(spark, sf), path))
+
+
+@register("lookup_device_time_zoned", ORACLES["lookup_device_time"])
+def q_lookup_device_time_zoned(spark, sf):
+    """The same from the clustered table: files whose zones hold the device and the time are opened."""
+    at = dt.datetime(2024, 1, 3, 6, 3, 33, 431023, tzinfo=dt.timezone.utc)
+    return clustered.find(spark, _clustered(spark, sf), device="MTR-0027", since=at, until=at).select(
+        "event_id", "device_id", "event_timestamp", "temperature", "pressure", "anomaly_level")
+
+
+@register("device_span_zoned", oracle.sql(
+    f"SELECT {REFINED_ORACLE_COLS} FROM refined WHERE device_id = 'MTR-0027' AND anomaly_level = 'CRITICAL'"
+    " AND event_timestamp BETWEEN TIMESTAMP '2024-01-02 12:00:00' AND TIMESTAMP '2024-01-20 18:30:00'"))
+def q_device_span_zoned(spark, sf):
+    """Critical readings of a device over a span of time that begins and ends inside a day."""
+    since, until = dt.datetime(2024, 1, 2, 12, tzinfo=dt.timezone.utc), dt.datetime(2024, 1, 20, 18, 30, tzinfo=dt.timezone.utc)
+    return clustered.find(spark, _clustered(spark, sf), "MTR-0027", since, until, "CRITICAL").select(*REFINED_COLUMNS)
+
+
 @register("lookup_metrics", oracle.sql(
     f"SELECT {REFINED_ORACLE_COLS} FROM refined WHERE device_id = 'MTR-0029' AND temperature = 39.14E0"
     " AND pressure = 1.84E0"))

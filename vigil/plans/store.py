@@ -49,7 +49,7 @@ def find_events(refined: DataFrame, where: RunTable, ids: list[str]) -> DataFram
     return refined.where(F.col("event_date").isin([r.event_date for r in days]) & F.col("event_id").isin(list(ids)))
 
 
-def _stored(spark: SparkSession, sf_dir: str, name: str, write) -> str:
+def stored(spark: SparkSession, sf_dir: str, name: str, write) -> str:
     """The folder that ``write(path)`` filled for this application and these events."""
     key = (name, spark.sparkContext.applicationId, sf_dir, fs.stamp(spark, f"{sf_dir.rstrip('/')}/events.parquet"))
     if key not in _written:
@@ -60,21 +60,21 @@ def _stored(spark: SparkSession, sf_dir: str, name: str, write) -> str:
 
 
 def refined_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_refined(spark, _stored(spark, sf_dir, "refined-table", lambda path: write_refined(refine.refined(spark, sf_dir), path)))
+    return read_refined(spark, stored(spark, sf_dir, "refined-table", lambda path: write_refined(refine.refined(spark, sf_dir), path)))
 
 
 def quarantine_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rejects, stored: prefix scans read their input twice."""
-    path = _stored(spark, sf_dir, "quarantine-table", lambda path: refine.quarantined(spark, sf_dir).write.parquet(path))
+    path = stored(spark, sf_dir, "quarantine-table", lambda path: refine.quarantined(spark, sf_dir).write.parquet(path))
     return spark.read.schema(schemas.QUARANTINE).parquet(path)
 
 
 def sketch_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A sketch of the devices of each stored day."""
     days = sketches.day_sketches(refined_table(spark, sf_dir))
-    return spark.read.schema(days.schema).parquet(_stored(spark, sf_dir, "sketch-table", lambda path: days.write.parquet(path)))
+    return spark.read.schema(days.schema).parquet(stored(spark, sf_dir, "sketch-table", lambda path: days.write.parquet(path)))
 
 
 def locator_table(spark: SparkSession, sf_dir: str) -> RunTable:
     """The locator of the stored refined table."""
-    return locator(_stored(spark, sf_dir, "locator", lambda path: locator(path).add(refined_table(spark, sf_dir), 0)))
+    return locator(stored(spark, sf_dir, "locator", lambda path: locator(path).add(refined_table(spark, sf_dir), 0)))
