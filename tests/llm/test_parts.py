@@ -1,0 +1,84 @@
+"""Groups dealt into parts: exact against all pairs, and near copies cost about their number."""
+
+from __future__ import annotations
+
+import random
+
+import pyarrow as pa
+import pytest
+
+from vigil.llm.components import connected_components
+from vigil.llm.parts import linked
+
+
+def _link(near, dealt):
+    """Links of numbers whose ``x`` differ by ``near`` at most, by comparing all of a task's pairs; notes the rows it gets."""
+    def of_group(table: pa.Table) -> pa.Table:
+        sid, x, c = (table.column(n).to_pylist() for n in ("sid", "x", "c"))
+        known = table.column("known").to_pylist() if "known" in table.column_names else list(range(len(sid)))
+        across = table.column("i")[0] != table.column("j")[0]
+        out = [(sid[a], sid[b]) for a in range(len(sid)) for b in range(a) if abs(x[a] - x[b]) <= near and known[a] != known[b] and not (across and c[a] == c[b])]
+        if "parts" in table.column_names and table.column("parts")[0].as_py() > 1:
+            out.append((sid[0], sid[0]))
+        return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
+
+    def link(groups):
+        g = groups.select("key", "i", "j", "c", "sid", "x", *[n for n in ("parts", "known") if n in groups.columns])
+        dealt.append(g.count())
+        largest = g.groupBy("key", "i", "j").count().agg({"count": "max"}).first()[0] or 0
+        assert largest <= 4 * LIMIT
+        return g.groupBy("key", "i", "j").applyInArrow(of_group, "a long, b long")
+    return link
+
+
+LIMIT = 10
+
+
+def _roots(spark, groups, near, dealt):
+    rows = [(key, i, x, max(1, -(-len(xs) // LIMIT))) for key, xs in groups.items() for i, x in xs]
+    frame = spark.createDataFrame(rows, "key string, sid long, x long, parts int")
+    return {r.node: r.root for r in connected_components(linked(frame, "key", ["sid", "x"], "1", LIMIT, _link(near, dealt))).collect()}
+
+
+def _plain(groups, near):
+    root: dict[int, int] = {}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+    for xs in groups.values():
+        for i, _ in xs:
+            root.setdefault(i, i)
+        for a, x in xs:
+            for b, y in xs:
+                if abs(x - y) <= near and find(a) != find(b):
+                    low, high = sorted((find(a), find(b)))
+                    root[high] = low
+    found = {i: find(i) for i in root}
+    sizes = list(found.values())
+    return {i: r for i, r in found.items() if sizes.count(r) > 1}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_components_equal_those_of_all_pairs(spark, seed):
+    rnd = random.Random(seed)
+    groups = {"chain": [(i, 3 * i) for i in range(60)],  # long, so that no part sees much of it
+              "hot": [(100 + i, 1000 + rnd.randrange(3)) for i in range(80)] + [(200 + i, 1000 + 50 * i) for i in range(40)],  # one large component, others
+              "two": [(300 + i, 10 * (i % 2)) for i in range(70)] + [(400, 5)],  # two large ones, which nothing but a third joins
+              "apart": [(500 + i, 100 * i) for i in range(40)], "small": [(600 + i, i % 4) for i in range(8)], "shared": [(i, 5000 + i) for i in (0, 100, 500, 600)]}
+    assert _roots(spark, groups, 3 if seed == 1 else 5, dealt := []) == _plain(groups, 3 if seed == 1 else 5)
+    assert len(dealt) > 2
+
+
+def test_near_copies_cost_about_their_number(spark):
+    costs = []
+    for size in (100, 200, 400):
+        got = _roots(spark, {"copies": [(i, i % 3) for i in range(size)]}, 3, dealt := [])
+        assert got == {i: 0 for i in range(size)}
+        costs.append(sum(dealt))
+    assert costs[1] <= 2.3 * costs[0] and costs[2] <= 2.3 * costs[1] and costs[2] <= 2 * 400
+
+
+def test_nothing(spark):
+    assert _roots(spark, {}, 3, []) == {}

@@ -9,11 +9,11 @@ Exact for any threshold t (100 * intersection >= t * union):
    shingles of a fixed hash universe first, rarest first (their frequencies are counted over all texts, copies once a
    task), then the others by hash. Tokens of one member only go no further; the rest deals members into blocks.
 3. In a block, the dual traversal of signature trees (bitmaps and sizes only) gives a spanning forest of the pairs
-   that may be linked. Blocks over BLOCK members are dealt into pairs of parts, so any block is done whole in bounded
-   memory.
+   that may be linked. Blocks over BLOCK members are dealt into parts (parts.py), so any block is done whole in bounded
+   memory, and a group of near copies costs about its size.
 4. The forests' components are the candidate clusters; each member's whole set goes once to its cluster, and a second
    dual traversal verifies pairs on the sets, leaving out pairs whose members are linked already. Clusters over
-   CLUSTER_TOKENS are again dealt into pairs of parts.
+   CLUSTER_TOKENS are again dealt into parts.
 5. Components of the verified links give the answer.
 """
 
@@ -28,9 +28,10 @@ from pyspark.sql import functions as F
 
 from .common import (GROUP_BYTES, WordHasher, list_array, record_batch, save, sized, streamed, text_buffers, text_groups, window_mask, windows)
 from .components import connected_components
+from .parts import linked
 from .signature_tree import bitmap, link_group
 
-#: Members of a block, and shingles of a cluster, that one task takes at a time; larger ones are dealt into pairs of parts.
+#: Members of a block, and shingles of a cluster, that one task takes at a time; larger ones are dealt into parts.
 BLOCK = 4096
 CLUSTER_TOKENS = 1_000_000
 #: Sets that a task remembers.
@@ -122,21 +123,24 @@ def _sets(k: int):
     return run
 
 
-def _dealt(rows: DataFrame, key: str, parts) -> DataFrame:
-    """Rows with key columns (key, i, j): one group if ``parts`` is 1, else a group for each pair of parts i <= j."""
-    return (rows.withColumn("k", F.greatest(F.lit(1), parts).cast("int")).withColumn("c", F.pmod(F.xxhash64(F.lit(7), "sid"), F.col("k")).cast("int"))
-            .withColumn("o", F.explode(F.expr("sequence(0, k - 1)"))).withColumn("i", F.least("c", "o")).withColumn("j", F.greatest("c", "o"))
-            .repartition(key, "i", "j").sortWithinPartitions(key, "i", "j", "sid"))
-
-
 def _columns(table: pa.Table):
     sid = table.column("sid").to_numpy()
     n = table.column("n").to_numpy()
     bits = [np.frombuffer(x, np.uint64) for x in table.column("bits").to_pylist()]
     side = None
     if table.column("i")[0].as_py() != table.column("j")[0].as_py():
-        side = (table.column("c").to_numpy() == table.column("j")[0].as_py()).astype(int)
-    return sid, n, bits, side
+        side = np.array([c == table.column("j")[0].as_py() for c in table.column("c").to_pylist()]).astype(int)
+    known = table.column("known").to_numpy() if "known" in table.column_names else None
+    return sid, n, bits, side, known
+
+
+def _parted(schema: pa.Schema, table: pa.Table, sid: np.ndarray, edges: list[tuple[int, int]]):
+    """The links found, and a loop if the group has more parts than this."""
+    if "parts" in table.column_names and table.column("parts")[0].as_py() > 1:
+        edges = [*edges, (0, 0)]
+    if edges:
+        at = np.array(edges)
+        yield record_batch(schema, [sid[at[:, 0]], sid[at[:, 1]]])
 
 
 def _candidates(t: int, key: str):
@@ -145,15 +149,13 @@ def _candidates(t: int, key: str):
     def run(batches):
         seen: set[bytes] = set()  # the same members often share many blocks
         for _, table in streamed(batches, [key, "i", "j"]):
-            sid, n, bits, side = _columns(table)
-            if side is None and len(sid) < 64:
+            sid, n, bits, side, known = _columns(table)
+            if side is None and len(sid) < 64 and ("parts" not in table.column_names or table.column("parts")[0].as_py() < 2):
                 if (name := sid.tobytes()) in seen:
                     continue
                 if len(seen) < 100_000:
                     seen.add(name)
-            if edges := link_group(n, bits, t, None, side):
-                at = np.array(edges)
-                yield record_batch(schema, [sid[at[:, 0]], sid[at[:, 1]]])
+            yield from _parted(schema, table, sid, link_group(n, bits, t, None, side, known))
     return run
 
 
@@ -162,19 +164,21 @@ def _verified(t: int, key: str):
 
     def run(batches):
         for _, table in streamed(batches, [key, "i", "j"]):
-            sid, n, bits, side = _columns(table)
+            sid, n, bits, side, known = _columns(table)
             tokens = [np.frombuffer(x, np.uint64) for x in table.column("tokens").to_pylist()]
 
-            def linked(a: int, b: int) -> bool:
+            def meets(a: int, b: int) -> bool:
                 common = len(np.intersect1d(tokens[a], tokens[b], assume_unique=True))
                 return 100 * common >= t * (len(tokens[a]) + len(tokens[b]) - common)
 
-            if edges := link_group(n, bits, t, linked, side):
-                at = np.array(edges)
-                yield record_batch(schema, [sid[at[:, 0]], sid[at[:, 1]]])
+            yield from _parted(schema, table, sid, link_group(n, bits, t, meets, side, known))
     return run
 
 
+def _narrow(groups: DataFrame, key: str, *columns: str) -> DataFrame:
+    return groups.select(key, "i", "j", "c", *columns, *[c for c in ("parts", "known") if c in groups.columns])
+
+
 def ngram_components(docs: DataFrame, k: int = 5, t: int = 80, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK,
                      cluster_tokens: int = CLUSTER_TOKENS, mark: Column | None = None) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs``.
@@ -203,7 +207,8 @@ def ngram_components(docs: DataFrame, k: int = 5, t: int = 80, id_col: str = "do
     first = save(first, "prefixes")
     blocks = first.groupBy("h").agg(F.count("*").alias("size")).where("size > 1")
     rows = first.join(blocks, "h").join(members.select("sid", "n", "bits"), "sid")
-    near = _dealt(rows, "h", F.ceil(F.col("size") / block)).select("h", "i", "j", "c", "sid", "n", "bits").mapInArrow(_candidates(t, "h"), "a long, b long")
+    near = linked(rows.withColumn("parts", F.ceil(F.col("size") / block).cast("int")), "h", ["sid", "n", "bits"], "1", block,
+                  lambda g: _narrow(g, "h", "sid", "n", "bits").mapInArrow(_candidates(t, "h"), "a long, b long"))
     clusters = save(connected_components(near).withColumnsRenamed({"node": "sid"}), "clusters")
 
     # from here on a member is its digest, numbered; names that two digests share (a chance of n^2 / 2^65) part again
@@ -216,8 +221,9 @@ def ngram_components(docs: DataFrame, k: int = 5, t: int = 80, id_col: str = "do
     sets = wanted.join(sets, "digest").dropDuplicates(["digest"])
     sets = sets.join(members.select("sid", "n", "bits"), "sid").drop("sid").withColumnRenamed("nid", "sid")
     sets = save(sets.select("sid", "root", "n", "bits", "tokens"), "sets")
-    weight = sets.groupBy("root").agg(F.ceil(F.sum("n") / cluster_tokens).alias("parts"))
-    links = _dealt(sets.join(weight, "root"), "root", F.col("parts")).select("root", "i", "j", "c", "sid", "n", "bits", "tokens").mapInArrow(_verified(t, "root"), "a long, b long")
+    weight = sets.groupBy("root").agg(F.ceil(F.sum("n") / cluster_tokens).cast("int").alias("parts"))
+    links = linked(sets.join(weight, "root"), "root", ["sid", "n", "bits", "tokens"], "n", cluster_tokens,
+                   lambda g: _narrow(g, "root", "sid", "n", "bits", "tokens").mapInArrow(_verified(t, "root"), "a long, b long"))
     labels = save(connected_components(links), "labels")
 
     named = labels.join(ident, labels.node == ident.nid).groupBy("root").agg(F.min("doc0").alias("least"), *([] if mark is None else [F.min("first0").alias("first")]))

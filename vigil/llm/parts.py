@@ -1,0 +1,73 @@
+"""Links within groups of any size, taken a part of a group at a time, without meeting of all parts with all.
+
+``link`` finds a spanning forest of the linked rows of what one task holds. A group over the limit is dealt into parts, and
+
+1. each part is linked by itself;
+2. one row of each component found so far is dealt into parts again and linked, until that finds nothing more: rows that
+   are near copies of each other become one component at about the cost of their number;
+3. only rows of different components are left to compare. Components as large as a part get parts of their own, which never
+   meet each other; small ones share parts; any two parts that may hold rows of different components meet once.
+
+Exact: any two rows of a group were in one task together, or are in one component already.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import save
+from .components import connected_components
+
+
+def _dealt(rows: DataFrame, key: str) -> DataFrame:
+    return rows.repartition(key, "i", "j").sortWithinPartitions(key, "i", "j", "sid")
+
+
+def _own_parts(rows: DataFrame, key: str, salt: int) -> DataFrame:
+    """Every row in one of its group's ``parts``."""
+    own = F.pmod(F.xxhash64(F.lit(salt), "sid"), F.greatest(F.lit(1), F.col("parts"))).cast("int")
+    return _dealt(rows.withColumn("i", own).withColumns({"j": F.col("i"), "c": F.col("i")}), key)
+
+
+def _pairs_of_parts(known: DataFrame, key: str, limit: int) -> DataFrame:
+    """Rows with their component's name (``known``) and weight (``w``), copied to each pair of parts that must meet."""
+    sizes = known.groupBy(key, "known").agg(F.sum("w").alias("cw"))
+    sizes = save(sizes.withColumn("kind", F.when(F.col("cw") >= limit, F.concat(F.lit("c"), "known")).otherwise("shared")), "sizes")
+    kinds = sizes.groupBy(key, "kind").agg(F.ceil(F.sum("cw") / limit).cast("int").alias("number"))
+    own = known.join(sizes.select(key, "known", "kind"), [key, "known"]).join(kinds, [key, "kind"])
+    spread = F.xxhash64(F.lit(9), F.when(F.col("kind") == "shared", F.col("known")).otherwise(F.col("sid")))
+    own = own.withColumn("c", F.concat("kind", F.lit(":"), F.pmod(spread, F.col("number")).cast("string"))).drop("number")
+    others = kinds.select(key, F.col("kind").alias("kind2"), "number")
+    met = own.join(others, key).where("kind <> kind2 OR kind = 'shared'").withColumn("_nth", F.explode(F.expr("sequence(0, number - 1)")))
+    met = met.withColumn("_other", F.concat("kind2", F.lit(":"), F.col("_nth").cast("string")))
+    return _dealt(met.withColumns({"i": F.least("c", "_other"), "j": F.greatest("c", "_other")}), key)
+
+
+def linked(rows: DataFrame, key: str, columns: list[str], weight: str, limit: int, link: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Links (a, b), by ``sid``, that join what ``link`` links in the groups of ``rows`` (loops may be among them).
+
+    ``rows``: key, parts (the group's weight over ``limit``), and ``columns``, ``sid`` first. ``link`` gets these with the part
+    (i, j; rows of one side have c = i, of the other c = j) and maybe ``known``; it gives a loop for a part with parts > 1."""
+    near = save(link(_own_parts(rows, key, 7)), "links")
+    if near.where("a = b").isEmpty():  # no group over the limit
+        return near
+    large = save(rows.where("parts > 1").select(key, *columns, F.expr(weight).alias("w")), "large")
+    before, salt = None, 100
+    while True:
+        labels = save(connected_components(near), "labels").select("node", F.col("root").alias("known"))
+        known = large.join(labels, large.sid == labels.node, "left").select(key, *columns, "w", F.coalesce("known", "sid").alias("known"))
+        firsts = known.groupBy(key, "known").agg(F.min(F.struct(*columns, "w")).alias("first")).select(key, "first.*")
+        firsts = save(firsts, "firsts")
+        several = save(firsts.groupBy(key).agg(F.count("*").alias("components"), F.ceil(F.sum("w") / limit).cast("int").alias("parts")).where("components > 1"), "several")
+        left = several.agg(F.sum("components")).first()[0]
+        if left is None:
+            return near
+        if left == before:
+            break
+        before, salt = left, salt + 1
+        near = save(near.union(link(_own_parts(firsts.join(several, key), key, salt))), "links")
+    known = save(known.join(several.select(key), key, "left_semi"), "known")
+    return near.union(link(_pairs_of_parts(known, key, limit)))

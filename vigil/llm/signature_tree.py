@@ -63,10 +63,10 @@ class SignatureTree:
 
 
 class Links:
-    """Links found so far among members 0..m-1, as labels of their components."""
+    """Links found so far among members 0..m-1, as labels of their components; ``known``: components they are in already."""
 
-    def __init__(self, m: int):
-        self.label = np.arange(m)
+    def __init__(self, m: int, known: np.ndarray | None = None):
+        self.label = np.arange(m) if known is None else np.unique(known, return_inverse=True)[1]
         self.edges: list[tuple[int, int]] = []
 
     def add(self, a: int, b: int) -> None:
@@ -114,12 +114,13 @@ def traverse(one: SignatureTree, two: SignatureTree, n: np.ndarray, t: int, link
                 links.add(u, v)
 
 
-def link_group(n: np.ndarray, bits: list[np.ndarray], t: int, accept=None, side: np.ndarray | None = None) -> list[tuple[int, int]]:
-    """A spanning forest of the linked pairs of a group; with ``side`` (0/1), only pairs of different sides count.
+def link_group(n: np.ndarray, bits: list[np.ndarray], t: int, accept=None, side: np.ndarray | None = None, known: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """A spanning forest of the linked pairs of a group; with ``side`` (0/1), only pairs of different sides count, with
+    ``known`` (names of components) only pairs of different components.
 
     Sets are taken by bitmap length; as sizes of linked sets differ by less than t < 50 % would allow, only classes
     whose sizes can reach t meet, with the longer bitmaps folded to the shorter."""
-    links = Links(len(n))
+    links = Links(len(n), known)
     width = np.array([len(b) for b in bits])
     classes = [np.flatnonzero((width == w) & ((side == s) if side is not None else True)) for w in np.unique(width) for s in ((0, 1) if side is not None else (0,))]
     kinds = [s for _ in np.unique(width) for s in ((0, 1) if side is not None else (0,))]
