@@ -6,10 +6,13 @@ from __future__ import annotations
 import glob
 import os
 import random
+import subprocess
+import sys
 import time
 
 import pytest
 from conftest import SF_SMALL, readings
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -197,6 +200,43 @@ def test_wear_over_pieces_restarts_and_a_hot_device(spark, scratch):
     assert sorted(wear.wear_orders(state).select(*cols).collect()) == sorted(consumers.work_orders(consumers.maintenance_state(whole)).select(*cols).collect())
 
 
+def test_wear_runs_whatever_store_the_session_names(spark, scratch):
+    own = spark.conf.get(wear.PROVIDER)
+    other = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    table = wear.wear_table(f"{scratch}/wear")
+    spark.conf.set(wear.PROVIDER, other)
+    try:
+        for n in range(2):
+            refined_rows(spark, f"{scratch}/in", [{"arrival_seq": n, "event_id": f"s{n}", "device_id": "A", "status": "FAILURE"}], n)
+            run_wear(spark, f"{scratch}/in", table, f"{scratch}/ck")
+        assert spark.conf.get(wear.PROVIDER) == other
+    finally:
+        spark.conf.set(wear.PROVIDER, own)
+    assert [(r.device_id, r.total_cycles, r.failures) for r in table.read(spark).collect()] == [("A", 2, 2)]
+
+
+def test_wear_processor_needs_no_package_on_the_workers(tmp_path):
+    """Read and run where this package cannot be imported, as in a worker without it."""
+    (tmp_path / "p.bin").write_bytes(cloudpickle.dumps(wear.Wear(10_000, 20, None)))
+    code = """
+import pandas as pd
+from pyspark import cloudpickle
+class State:
+    kept = None
+    def exists(self): return self.kept is not None
+    def get(self): return self.kept
+    def update(self, v): self.kept = v
+p = cloudpickle.loads(open("p.bin", "rb").read())
+p.state = State()
+rows = pd.DataFrame([("A", 1, "e1", "RUNNING", 300, True, False), ("A", 2, "e2", "FAILURE", 200, False, True)],
+                    columns=["device_id", "seq", "event_id", "status", "cents", "hot", "pressed"])
+print(*next(p.handleInputRows(("A",), iter([rows]), None)).iloc[0][["total_cycles", "cents", "failures", "order_event_id"]])
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    got = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=120)
+    assert got.stdout.split() == ["2", "500", "1", "e2"], got.stderr
+
+
 def test_wear_starts_from_a_snapshot(spark, scratch):
     rows = [{"device_id": d, "vibration": 60.0, "temperature": 80.0} for d in ("A", "B")]
     first, second = wear.wear_table(f"{scratch}/one"), wear.wear_table(f"{scratch}/two")

@@ -1,7 +1,7 @@
 """Maintenance wear as a keyed stateful operator: totals per device live in the state store, not in a snapshot table.
 
-``wear_stream`` groups refined readings by device and keeps one value per device (``transformWithStateInPandas``, RocksDB):
-totals, the running peak of the accumulated vibration, and the first reading that required maintenance, latched. A
+``wear_stream`` groups refined readings by device and keeps one value per device (``transformWithStateInPandas``; ``start_wear``
+runs it on RocksDB, the only store that has this operator's state, whatever store the session names): totals, the running peak of the accumulated vibration, and the first reading that required maintenance, latched. A
 micro-batch touches the state of its own devices only, and gives one row for each of them. The state starts from a snapshot
 if there is one (``initial``), survives restarts with the checkpoint, and may expire (``ttl``, of devices not heard of).
 
@@ -30,9 +30,13 @@ from vigil.operators import consumers
 from vigil.streaming.medallion import INTERVAL, triggered
 from vigil.streaming.runs import RunTable
 
-# the processor travels to the workers by value
+# the processor travels to the workers by value: its methods name nothing else of this package, which workers need not have
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+FAILURE, RUNNING = consumers.FAILURE, consumers.RUNNING
+
 TOTALS = ["total_cycles", "running_cycles", "cents", "peak_cents", "high_temp_cycles", "high_pressure_cycles", "failures"]
 #: The state of a device; order_* describe the reading that required maintenance first.
 STATE = StructType().add("device_id", "string")
@@ -76,16 +80,16 @@ class Wear(StatefulProcessor):
         cents = now["cents"] + batch.cents.cumsum()
         hot = now["high_temp_cycles"] + batch.hot.cumsum()
         if now.get("order_cycles") is None:
-            due = (cents.ge(self.limit_cents) | hot.ge(self.limit_hot) | batch.status.eq(consumers.FAILURE)).to_numpy().nonzero()[0]
+            due = (cents.ge(self.limit_cents) | hot.ge(self.limit_hot) | batch.status.eq(FAILURE)).to_numpy().nonzero()[0]
             if len(due):
                 i = int(due[0])
                 now |= {"order_seq": batch.seq.iloc[i], "order_event_id": batch.event_id.iloc[i], "order_cycles": now["total_cycles"] + i + 1, "order_cents": cents.iloc[i],
                         "order_hot": hot.iloc[i], "order_status": batch.status.iloc[i]}
         now["peak_cents"] = max(x for x in (now["peak_cents"], int(cents.max())) if x is not None)
         now["total_cycles"] += len(batch)
-        now["running_cycles"] += int(batch.status.eq(consumers.RUNNING).sum())
+        now["running_cycles"] += int(batch.status.eq(RUNNING).sum())
         now["high_pressure_cycles"] += int(batch.pressed.sum())
-        now["failures"] += int(batch.status.eq(consumers.FAILURE).sum())
+        now["failures"] += int(batch.status.eq(FAILURE).sum())
         now["cents"], now["high_temp_cycles"] = cents.iloc[-1], hot.iloc[-1]
         seq, last = _plain(batch.seq.iloc[-1]), now.get("last_seq")
         if last is None or seq is not None and seq >= last:  # a reading that comes late does not change the last status
@@ -133,4 +137,11 @@ def start_wear(refined: DataFrame, table: RunTable, checkpoint: str, lim: consum
         raise ValueError("a query whose state expires runs on: available_now=False")
     w = (wear_stream(refined, lim, ttl=ttl, initial=initial).writeStream.outputMode("update").option("checkpointLocation", checkpoint)
          .foreachBatch(lambda batch, batch_id: table.add(batch, batch_id)))
-    return triggered(w, available_now, interval).start()
+    # a query takes the session's settings when it starts; other queries keep the store they have
+    conf = refined.sparkSession.conf
+    before = conf.get(PROVIDER)
+    conf.set(PROVIDER, ROCKSDB)
+    try:
+        return triggered(w, available_now, interval).start()
+    finally:
+        conf.set(PROVIDER, before)
