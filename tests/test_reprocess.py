@@ -50,3 +50,15 @@ def test_only_changed_ids_are_refined_again(spark):
     ids = reprocess.changed_ids(raw, rules.LIMITS, replace(rules.LIMITS, temperature_max=199.0))
     near = raw.where(F.col("temperature").between(199.0, 200.0)).select("event_id").distinct()
     assert {r.event_id for r in ids.collect()} <= {r.event_id for r in near.collect()}
+
+
+def test_readings_are_made_once_and_weights_kept(spark):
+    """The comparison does not make the readings' columns anew at each mention, and what uses the weights does not compute them again."""
+    raw = tel.telemetry(spark, SF_SMALL)
+    new = replace(rules.LIMITS, temperature_critical=60.0, pressure_alert=4.5)
+    plan = reprocess.changed_ids(raw, rules.LIMITS, new)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("get_json_object") == 1
+    delta = reprocess.rules_delta(raw, rules.LIMITS, new)
+    plan = delta._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Aggregate" not in plan and "events" not in plan
+    assert not delta.isEmpty()
