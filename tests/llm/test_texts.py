@@ -21,7 +21,7 @@ from vigil.llm.components import connected_components
 from vigil.llm.lattice import Lattice, PieceTrie, Vocabulary
 from vigil.llm.lm_scoring import held_out_by_id, lattice_scores
 from vigil.llm.ngram_join import ngram_components
-from vigil.llm.packing import pack, plan, read_tokenizer
+from vigil.llm.packing import CAPACITY, GROUP, _cut, pack, plan, read_tokenizer
 from vigil.llm.quality import accepted, bradley_terry, quality_scores
 from vigil.llm.sampled_pieces import decode, encode
 from vigil.llm.substring_dedup import COVER, PERIOD, substring_dedup
@@ -412,3 +412,15 @@ def test_queries_match_sql(spark, name):
     cur = con.execute(ORACLES[name])
     cols = [c[0] for c in cur.description]
     assert plain(QUERIES[name](spark, SF_SMALL), *cols) == Counter(cur.fetchall())
+
+
+def test_packing_tokenises_few_texts_at_a_time(monkeypatch):
+    """The tokenizer is never handed more than GROUP bytes at once, unless a single text is longer."""
+    seen = []
+    real = ByteBPE.__call__
+    monkeypatch.setattr(ByteBPE, "__call__", lambda self, data, bounds: (seen.append((len(data), len(bounds) - 1)), real(self, data, bounds))[1])
+    words = " ".join(f"w{i}" for i in range(20_000))
+    batch = pa.record_batch([pa.array(range(30), pa.int64()), pa.array([words] * 29 + [words * 12], pa.string())], names=["doc_id", "text"])
+    out = pa.Table.from_batches(list(_cut(read_tokenizer(), CAPACITY, 0, False)(iter([batch]))))
+    assert sum(n for _, n in seen) == 30 and all(size <= GROUP <= 1 << 20 or n == 1 for size, n in seen)
+    assert len(set(out["doc_id"].to_pylist())) == 30

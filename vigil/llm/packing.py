@@ -25,6 +25,8 @@ from .common import record_batch, save, text_buffers, text_groups
 
 CAPACITY = 2048
 TOKENIZER = "byte_bpe_50k.json"
+#: Texts tokenised at a time, in bytes: the tokenizer's arrays take some 40 bytes for each, beside other workers' and the JVM's.
+GROUP = 1 << 20
 
 
 def read_tokenizer(path: str | None = None) -> str:
@@ -133,7 +135,7 @@ def _cut(tokenizer: str, capacity: int, end: int, keep: bool):
         bpe = ByteBPE(tokenizer)
         for batch in batches:
             data, bounds = text_buffers(batch.column(1))
-            for i, j in text_groups(bounds):
+            for i, j in text_groups(bounds, GROUP):
                 texts, rows = bpe(data[bounds[i]:bounds[j]], bounds[i:j + 1] - bounds[i]), []
                 for doc, ids in zip(batch.column(0)[i:j].to_pylist(), texts):
                     ids = np.append(ids, np.int32(end))
