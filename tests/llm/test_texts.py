@@ -16,7 +16,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from vigil.llm.byte_bpe import ByteBPE
-from vigil.llm.common import WordHasher, text_buffers, text_groups, window_mask, windows
+from vigil.llm import common, quality
+from vigil.llm.common import WordHasher, save, text_buffers, text_groups, window_mask, windows
 from vigil.llm.components import connected_components
 from vigil.llm.lattice import Lattice, PieceTrie, Vocabulary
 from vigil.llm.lm_scoring import held_out_by_id, lattice_scores
@@ -424,3 +425,42 @@ def test_packing_tokenises_few_texts_at_a_time(monkeypatch):
     out = pa.Table.from_batches(list(_cut(read_tokenizer(), CAPACITY, 0, False)(iter([batch]))))
     assert sum(n for _, n in seen) == 30 and all(size <= GROUP <= 1 << 20 or n == 1 for size, n in seen)
     assert len(set(out["doc_id"].to_pylist())) == 30
+
+
+def test_quality_reads_few_texts_at_a_time(monkeypatch):
+    """Features are made of GROUP bytes at once (or a single text), and accepted rows go back as they are judged."""
+    seen = []
+    real = quality.features
+    monkeypatch.setattr(quality, "features", lambda data, bounds, *rest: (seen.append((len(data), len(bounds) - 1)), real(data, bounds, *rest))[1])
+    words = " ".join(f"w{i}" for i in range(20_000))
+    texts = [words, "a b c", None] * 9 + [words * 12]
+    batch = pa.record_batch([pa.array(range(28), pa.int64()), pa.array(texts, pa.string())], names=["doc_id", "text"])
+    for run in (quality._features(), quality._accepted(quality.Model(None), 1)):
+        out = list(run(iter([batch])))
+        assert sum(n for _, n in seen) == 28 and all(size <= quality.GROUP <= 1 << 20 or n == 1 for size, n in seen)
+        assert [out_n.num_rows for out_n in out] == [n for _, n in seen]
+        assert pa.Table.from_batches(out).column(0).to_pylist() == list(range(28))
+        seen.clear()
+
+
+def test_word_hasher_keeps_little_for_long_texts():
+    """The tables of powers follow the segment, whatever the length of the texts."""
+    hasher = WordHasher(lower=True)
+    data, bounds = text_buffers(pa.array([" ".join(f"w{i}" for i in range(300_000))]))
+    h, woff = hasher(data, bounds)
+    assert len(data) > 1 << 21 and woff.tolist() == [0, 300_000] and len(set(h.tolist())) == 300_000
+    assert hasher.power.nbytes + hasher.inverse.nbytes <= 5 << 20
+
+
+def test_save_sends_texts_in_small_batches(spark):
+    """With ``texts`` a worker gets little more than BATCH_BYTES at a time; the session's setting stays."""
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], names=["n", "size"])
+
+    df = spark.range(0, 3_000, 1, 1).select(F.expr("repeat('word ', 1000)").alias("text")).mapInArrow(sizes, "n long, size long")
+    before = spark.conf.get(common.BATCH)
+    small, whole = (save(df, "sizes", texts=t).collect() for t in (True, False))
+    assert spark.conf.get(common.BATCH) == before
+    assert sum(r.n for r in small) == sum(r.n for r in whole) == 3_000
+    assert max(r["size"] for r in small) <= common.BATCH_BYTES + (1 << 20) < max(r["size"] for r in whole)

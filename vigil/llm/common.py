@@ -22,17 +22,27 @@ from vigil.session import scratch_path
 GROUP_BYTES = 4 << 20
 #: Broadcast a side only if its rows, counted, need no more than this.
 BROADCAST_BYTES = 16 << 20
+#: Bytes of rows sent to a Python worker at a time by save() of whole texts; Spark's own limit is 64 MB.
+BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def save(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read back: cuts the lineage, survives lost executors."""
+def save(df: DataFrame, name: str, texts: bool = False) -> DataFrame:
+    """``df`` written to the shared folder and read back: cuts the lineage, survives lost executors. With ``texts``
+    (whole texts pass through Python) rows go to the workers BATCH_BYTES at a time; the session's setting is put back."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(BATCH)
+    if texts:
+        spark.conf.set(BATCH, str(BATCH_BYTES))
+    try:
+        df.write.parquet(path)
+    finally:
+        if texts:
+            spark.conf.set(BATCH, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -85,7 +95,8 @@ def is_space() -> np.ndarray:
 class WordHasher:
     """64-bit hashes of all words of many texts; made inside a task."""
 
-    SEGMENT = 1 << 20
+    #: Bytes hashed at a time; the arrays take some 50 bytes for each.
+    SEGMENT = 1 << 18
     BASE = 0x9E3779B97F4A7C15
 
     def __init__(self, lower: bool):
@@ -97,7 +108,7 @@ class WordHasher:
 
     def _powers(self, n: int) -> None:
         if len(self.power) < n:
-            size = 1 << (n - 1).bit_length()
+            size = -(-n // (1 << 14)) << 14
             for name, base in (("power", self.BASE), ("inverse", pow(self.BASE, -1, 1 << 64))):
                 p = np.full(size, base, np.uint64)
                 p[0] = 1

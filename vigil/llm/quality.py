@@ -23,6 +23,8 @@ from .common import WordHasher, list_array, record_batch, save, text_buffers, te
 
 #: Labelled rows of each label that pairs are made of; pairs; weight of the L2 penalty; score at the threshold.
 SAMPLE, PAIRS, PENALTY, CUT = 5_000, 100_000, 1e-3, 0.7
+#: Texts that features are made of at a time, in bytes: the arrays take some 30 bytes for each, beside other workers' and the JVM's.
+GROUP = 1 << 19
 
 
 def _byte_kinds() -> np.ndarray:
@@ -78,7 +80,7 @@ def _features():
         hasher, kinds = WordHasher(lower=True), _byte_kinds()
         for batch in batches:
             data, bounds = text_buffers(batch.column(1))
-            for i, j in text_groups(bounds):
+            for i, j in text_groups(bounds, GROUP):
                 f = features(data[bounds[i]:bounds[j]], bounds[i:j + 1] - bounds[i], hasher, kinds)
                 yield record_batch(schema, [batch.column(0)[i:j], list_array(list(f), pa.float64())])
     return run
@@ -129,15 +131,16 @@ def _accepted(model: Model, at: int):
         hasher, kinds = WordHasher(lower=True), _byte_kinds()
         for batch in batches:
             data, bounds = text_buffers(batch.column(at))
-            keep = [model.scores(features(data[bounds[i]:bounds[j]], bounds[i:j + 1] - bounds[i], hasher, kinds)) >= CUT for i, j in text_groups(bounds)]
-            if keep:
-                yield batch.filter(pa.array(np.concatenate(keep)))
+            for i, j in text_groups(bounds, GROUP):  # sent back as they are judged, never a second copy of the whole batch
+                keep = model.scores(features(data[bounds[i]:bounds[j]], bounds[i:j + 1] - bounds[i], hasher, kinds)) >= CUT
+                if keep.any():
+                    yield batch.slice(i, j - i).filter(pa.array(keep))
     return run
 
 
 def _text_features(docs: DataFrame, held_out: Column, id_col: str, text_col: str) -> DataFrame:
     own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return save(own.mapInArrow(_features(), "id long, f array<double>").withColumn("held_out", held_out), "features")
+    return save(own.mapInArrow(_features(), "id long, f array<double>").withColumn("held_out", held_out), "features", texts=True)
 
 
 def fit(feats: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
