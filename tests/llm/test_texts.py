@@ -16,7 +16,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from vigil.llm.byte_bpe import ByteBPE
-from vigil.llm import common, quality
+from vigil.llm import common, packing, quality
 from vigil.llm.common import WordHasher, save, text_buffers, text_groups, window_mask, windows
 from vigil.llm.components import connected_components
 from vigil.llm.lattice import Lattice, PieceTrie, Vocabulary
@@ -464,3 +464,11 @@ def test_save_sends_texts_in_small_batches(spark):
     assert spark.conf.get(common.BATCH) == before
     assert sum(r.n for r in small) == sum(r.n for r in whole) == 3_000
     assert max(r["size"] for r in small) <= common.BATCH_BYTES + (1 << 20) < max(r["size"] for r in whole)
+
+
+def test_packing_sends_texts_in_small_batches(spark, monkeypatch):
+    """The pieces are saved with small batches of texts."""
+    seen = []
+    monkeypatch.setattr(packing, "save", lambda df, name, texts=False: (seen.append((name, texts)), save(df, name, texts))[1])
+    assert pack(spark.createDataFrame([(1, "a b c"), (2, None)], "doc_id long, text string")).count() == 2
+    assert seen == [("pieces", True)]

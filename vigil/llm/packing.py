@@ -171,7 +171,7 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, end: int = 0, tokenizer: str
     ddl = "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids array<int>" if keep_ids else "")
     pieces = own.mapInArrow(_cut(read_tokenizer(tokenizer), capacity, end, keep_ids), ddl)
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pieces = save(pieces.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(parts))), "pieces")
+    pieces = save(pieces.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(parts))), "pieces", texts=True)
 
     sizes = pieces.groupBy("length", "part").agg(F.count("*").alias("n"))
     counts = np.zeros(capacity + 1, np.int64)
