@@ -10,6 +10,7 @@ import subprocess
 import sys
 import time
 
+import pandas as pd
 import pytest
 from conftest import SF_SMALL, readings
 from pyspark import cloudpickle
@@ -257,6 +258,72 @@ print(*next(p.handleInputRows(("A",), iter([rows]), None)).iloc[0][["total_cycle
     assert got.stdout.split() == ["2", "500", "1", "e2"], got.stderr
 
 
+class Kept:
+    """The state of a processor: of one device, or by device in a map."""
+
+    def __init__(self):
+        self.kept = {}
+
+    def exists(self):
+        return None in self.kept
+
+    def get(self):
+        return self.kept.get(None)
+
+    def update(self, value):
+        self.kept[None] = value
+
+    def getValue(self, key):
+        return self.kept.get(key)
+
+    def updateValue(self, key, value):
+        self.kept[key] = value
+
+
+def test_a_group_of_many_devices_is_added_up_at_once():
+    """One call and one frame for all devices of a group, with the rows that each device by itself gives."""
+    rng = random.Random(3)
+    dealt, alone = wear.DealtWear(900, 4, None), {}
+    dealt.state = Kept()
+    columns = ["device_id", "seq", "event_id", "status", "cents", "hot", "pressed"]
+    for n in range(5):
+        rows = pd.DataFrame([(f"M{rng.randrange(40 if n else 9)}", rng.choice([None, rng.randrange(10 ** 4)]) if n == 3 else 10 ** 4 * (4 - n) + i if n == 4 else 10 ** 4 * n + 500 - i, f"e{n}-{i}",
+                              rng.choice(["RUNNING"] * 30 + ["STOPPED", "FAILURE"]), rng.randrange(-50, 100), rng.random() < 0.1, rng.random() < 0.2) for i in range(300)], columns=columns)
+        frames = list(dealt.handleInputRows((7,), iter([rows[:120], rows[120:]]), None))
+        assert len(frames) == 1 and frames[0].device_id.is_unique and set(frames[0].device_id) == set(rows.device_id)
+        got = {r[0]: tuple(None if pd.isna(v) else v for v in r) for r in frames[0].itertuples(index=False, name=None)}
+        for device, own in rows.groupby("device_id"):
+            if device not in alone:
+                alone[device] = wear.Wear(900, 4, None)
+                alone[device].state = Kept()
+            (frame,) = alone[device].handleInputRows((device,), iter([own]), None)
+            assert got[device] == tuple(None if pd.isna(v) else v for v in frame.iloc[0])
+            assert dealt.state.kept[(device,)] == got[device][1:] and all(type(v) in (int, str, type(None)) for v in dealt.state.kept[(device,)])
+    assert len(alone) > 30 and {v[TOTAL["order_seq"]] is None for v in dealt.state.kept.values()} == {True, False}
+
+
+TOTAL = {name: i for i, name in enumerate(wear.STATE.names[1:])}
+
+
+def test_wear_of_many_devices_in_few_groups_equals_batch(spark, scratch, monkeypatch):
+    monkeypatch.setattr(wear, "GROUPS", 3)
+    rng = random.Random(11)
+    rows = [{"arrival_seq": 2 ** 53 + 2 * i + 1, "event_id": f"g{i}", "device_id": f"M{rng.randrange(60)}", "vibration": round(rng.random() * 9, 2), "temperature": rng.choice([60.0, 80.0]),
+             "status": rng.choice(["RUNNING"] * 40 + ["FAILURE"])} for i in range(1_200)]
+    first, second = wear.wear_table(f"{scratch}/one"), wear.wear_table(f"{scratch}/two")
+    for n, (a, b) in enumerate([(0, 100), (100, 400), (400, 1_200)]):
+        refined_rows(spark, f"{scratch}/refined-{n // 2}", rows[a:b], n)
+        run_wear(spark, f"{scratch}/refined-{n // 2}", second if n == 2 else first, f"{scratch}/ck{n // 2}", **({"initial": first.read(spark)} if n == 2 else {}))
+    whole = spark.read.parquet(f"{scratch}/refined-0", f"{scratch}/refined-1")
+    assert spark.read.parquet(f"{scratch}/refined-1").select("device_id").distinct().count() == 60
+    state = second.read(spark)
+    assert any(r.order_seq is None for r in first.read(spark).collect())  # among orders
+    assert life(wear.wear_view(state)) == life(consumers.lifecycle_by_device(whole))
+    cols = ["work_order_id", "device_id", "trigger_event_id", "priority", "health_score", "reasons"]
+    assert sorted(wear.wear_orders(state).select(*cols).collect()) == sorted(consumers.work_orders(consumers.maintenance_state(whole)).select(*cols).collect())
+    assert {r.order_seq for r in state.collect() if r.order_seq is not None} <= {r["arrival_seq"] for r in rows}
+
+
 def test_wear_starts_from_a_snapshot(spark, scratch):
     rows = [{"device_id": d, "vibration": 60.0, "temperature": 80.0} for d in ("A", "B")]
     first, second = wear.wear_table(f"{scratch}/one"), wear.wear_table(f"{scratch}/two")

@@ -1,14 +1,17 @@
 """Maintenance wear as a keyed stateful operator: totals per device live in the state store, not in a snapshot table.
 
-``wear_stream`` groups refined readings by device and keeps one value per device (``transformWithStateInPandas``; ``start_wear``
-runs it on RocksDB, the only store that has this operator's state, whatever store the session names): totals, the running peak of the accumulated vibration, and the first reading that required maintenance, latched. A
-micro-batch touches the state of its own devices only, and gives one row for each of them. The state starts from a snapshot
-if there is one (``initial``), survives restarts with the checkpoint, and may expire (``ttl``, of devices not heard of).
+``wear_stream`` deals refined readings by device into ``GROUPS`` groups and keeps a map in each, one value per device
+(``transformWithStateInPandas``; ``start_wear`` runs it on RocksDB, the only store that has this operator's state, whatever
+store the session names): totals, the running peak of the accumulated vibration, and the first reading that required
+maintenance, latched. A micro-batch touches the state of its own devices only, and gives one row for each of them. Spark hands
+a group over at a time, which costs a frame in and a frame out; so a group holds many devices, whose readings are added up
+together. The state starts from a snapshot if there is one (``initial``), survives restarts with the checkpoint, and may
+expire (``ttl``, of devices not heard of).
 
 Numbers are exact: vibration is counted in whole hundredths, and scores and reasons are computed by Spark from the totals
 (``wear_view``), with the batch operator's expressions.
 
-A device's readings of one micro-batch are held by one task, seven narrow columns each, to be put in arrival order. The source's
+A group's readings of one micro-batch are held by one task, seven narrow columns each, to be put in arrival order. The source's
 bound on a micro-batch (``maxOffsetsPerTrigger``, ``maxFilesPerTrigger``) bounds that; ``MaintenanceWriter`` is the form
 without this bound, with a prefix scan over each micro-batch.
 """
@@ -18,9 +21,10 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 from pyspark.sql.types import StructType
@@ -36,6 +40,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 FAILURE, RUNNING = consumers.FAILURE, consumers.RUNNING
+#: Groups that devices are dealt into; a checkpoint's state is kept by them, so the number holds for its life.
+GROUPS = 1 << 11
 
 TOTALS = ["total_cycles", "running_cycles", "cents", "peak_cents", "high_temp_cycles", "high_pressure_cycles", "failures"]
 #: The state of a device; order_* describe the reading that required maintenance first.
@@ -63,7 +69,8 @@ def _inputs(df: DataFrame, lim: consumers.WearLimits, order: str) -> DataFrame:
 
 
 class Wear(StatefulProcessor):
-    """Adds a micro-batch's readings of a device to its state; one row per device that had any."""
+    """Adds a micro-batch's readings to the state of their devices; one row per device that had any. The state is one device's,
+    the group's; ``DealtWear`` has groups of many."""
 
     def __init__(self, limit_cents: int, limit_hot: int, ttl_ms: int | None):
         self.limit_cents, self.limit_hot, self.ttl_ms = limit_cents, limit_hot, ttl_ms
@@ -71,45 +78,99 @@ class Wear(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("wear", StructType(STATE.fields[1:]), self.ttl_ms)
 
+    def _get(self, device: str) -> tuple | None:
+        return self.state.get() if self.state.exists() else None
+
+    def _put(self, device: str, values: tuple) -> None:
+        self.state.update(values)
+
     def handleInitialState(self, key, initial: pd.DataFrame, timer_values) -> None:
-        self.state.update(tuple(_plain(v) for v in initial.iloc[0][STATE.names[1:]]))
+        for row in initial[STATE.names].itertuples(index=False, name=None):
+            plain = [_plain(v) for v in row]
+            self._put(row[0], tuple(int(v) if v is not None and f.dataType.typeName() == "long" else v for f, v in zip(STATE, plain))[1:])
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
-        now = dict(zip(STATE.names[1:], self.state.get())) if self.state.exists() else dict.fromkeys(TOTALS, 0) | {"peak_cents": None}
-        batch = pd.concat(rows).sort_values("seq", kind="stable", na_position="first")
-        cents = now["cents"] + batch.cents.cumsum()
-        hot = now["high_temp_cycles"] + batch.hot.cumsum()
-        if now.get("order_cycles") is None:
-            due = (cents.ge(self.limit_cents) | hot.ge(self.limit_hot) | batch.status.eq(FAILURE)).to_numpy().nonzero()[0]
-            if len(due):
-                i = int(due[0])
-                now |= {"order_seq": batch.seq.iloc[i], "order_event_id": batch.event_id.iloc[i], "order_cycles": now["total_cycles"] + i + 1, "order_cents": cents.iloc[i],
-                        "order_hot": hot.iloc[i], "order_status": batch.status.iloc[i]}
-        now["peak_cents"] = max(x for x in (now["peak_cents"], int(cents.max())) if x is not None)
-        now["total_cycles"] += len(batch)
-        now["running_cycles"] += int(batch.status.eq(RUNNING).sum())
-        now["high_pressure_cycles"] += int(batch.pressed.sum())
-        now["failures"] += int(batch.status.eq(FAILURE).sum())
-        now["cents"], now["high_temp_cycles"] = cents.iloc[-1], hot.iloc[-1]
-        seq, last = _plain(batch.seq.iloc[-1]), now.get("last_seq")
-        if last is None or seq is not None and seq >= last:  # a reading that comes late does not change the last status
-            now |= {"last_seq": seq, "last_status": batch.status.iloc[-1]}
-        values = tuple(_plain(now.get(c)) for c in STATE.names[1:])
-        self.state.update(values)
-        yield pd.DataFrame([(key[0], *values)], columns=STATE.names).astype({f.name: "Int64" for f in STATE if f.dataType.typeName() == "long"})
+        batch = pd.concat(rows, ignore_index=True)
+        code, devices = pd.factorize(batch.device_id)
+        seq = pd.to_numeric(batch.seq).to_numpy()
+        if seq.dtype.kind == "f":  # a missing number is the first
+            seq = np.where(np.isnan(seq), -np.inf, seq)
+        order = np.lexsort((seq, code))  # by device, and each one's in arrival order
+        seq, status, event = seq[order], batch.status.to_numpy(dtype=object)[order], batch.event_id.to_numpy(dtype=object)[order]
+        first = np.searchsorted(code[order], np.arange(len(devices)))
+        n = np.diff(np.append(first, len(batch)))
+        before = [self._get(d) for d in devices]
+        before = [dict.fromkeys(TOTALS, 0) | {"peak_cents": None} if v is None else dict(zip(STATE.names[1:], v)) for v in before]
+
+        def running(column, carried: str):
+            """Sums after each reading, from what its device had before."""
+            values = pd.to_numeric(column).fillna(0).to_numpy().astype(np.int64)[order]
+            sums = values.cumsum()
+            had = np.array([b[carried] for b in before], dtype=np.int64)
+            return sums + np.repeat(had - sums[first] + values[first], n)
+
+        def counted(which) -> list[int]:
+            return np.add.reduceat(which, first, dtype=np.int64).tolist()
+
+        cents, hot, failed = running(batch.cents, "cents"), running(batch.hot, "high_temp_cycles"), status == FAILURE
+        due = np.flatnonzero((cents >= self.limit_cents) | (hot >= self.limit_hot) | failed)
+        due = np.append(due, len(batch))[np.searchsorted(due, first)].tolist()  # each device's first, or one of the next device's
+        peak, last, n = np.maximum.reduceat(cents, first).tolist(), (first + n - 1).tolist(), n.tolist()
+        ran, pressed, failures = counted(status == RUNNING), counted(batch.pressed.to_numpy(dtype=bool)[order]), counted(failed)
+        out = []
+        for k, (device, now) in enumerate(zip(devices, before)):
+            i, end = due[k], last[k]
+            if now.get("order_cycles") is None and i <= end:
+                now |= {"order_seq": _number(seq[i]), "order_event_id": event[i], "order_cycles": now["total_cycles"] + i - int(first[k]) + 1,
+                        "order_cents": int(cents[i]), "order_hot": int(hot[i]), "order_status": status[i]}
+            now["peak_cents"] = peak[k] if now["peak_cents"] is None else max(now["peak_cents"], peak[k])
+            now["total_cycles"] += n[k]
+            now["running_cycles"] += ran[k]
+            now["high_pressure_cycles"] += pressed[k]
+            now["failures"] += failures[k]
+            now["cents"], now["high_temp_cycles"] = int(cents[end]), int(hot[end])
+            number, latest = _number(seq[end]), now.get("last_seq")
+            if latest is None or number is not None and number >= latest:  # a reading that comes late does not change the last status
+                now |= {"last_seq": number, "last_status": status[end]}
+            values = tuple(_plain(now.get(c)) for c in STATE.names[1:])
+            self._put(device, values)
+            out.append((device, *values))
+        yield pd.DataFrame({f.name: pd.array(c, dtype="Int64") if f.dataType.typeName() == "long" else list(c) for f, c in zip(STATE, zip(*out))})
+
+
+class DealtWear(Wear):
+    """The same over groups of many devices: the state of each is an entry of its group's map, with an expiry of its own."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getMapState("wear", StructType(STATE.fields[:1]), StructType(STATE.fields[1:]), self.ttl_ms)
+
+    def _get(self, device: str) -> tuple | None:
+        return self.state.getValue((device,))
+
+    def _put(self, device: str, values: tuple) -> None:
+        self.state.updateValue((device,), values)
 
 
 def _plain(v):
     return None if v is None or v is pd.NA or v != v else v.item() if hasattr(v, "item") else v
 
 
+def _number(seq) -> int | None:
+    return None if seq == -np.inf else int(seq)
+
+
+def _dealt(df: DataFrame) -> GroupedData:
+    return df.withColumn("_group", F.pmod(F.xxhash64("device_id"), F.lit(GROUPS)).cast("int")).groupBy("_group")
+
+
 def wear_stream(refined: DataFrame, lim: consumers.WearLimits = consumers.WEAR, order: str = "arrival_seq", ttl: int | None = None,
                 initial: DataFrame | None = None) -> DataFrame:
     """A row of ``STATE`` for each device that a micro-batch has readings of, after them (update mode). ``ttl``: milliseconds
     after which the state of a device that sends nothing is dropped; ``initial``: rows of ``STATE`` to start from."""
-    processor = Wear(int(round(lim.max_accumulated_vibration * 100)), int(lim.max_high_temp_cycles), ttl)
-    return _inputs(refined, lim, order).groupBy("device_id").transformWithStateInPandas(
-        processor, STATE, "Update", "ProcessingTime" if ttl else "None", initialState=None if initial is None else initial.groupBy("device_id"))
+    processor = DealtWear(int(round(lim.max_accumulated_vibration * 100)), int(lim.max_high_temp_cycles), ttl)
+    if initial is not None:  # as text, for pandas makes floats of whole numbers among missing ones
+        initial = _dealt(initial.select([F.col(f.name).cast("string") for f in STATE]))
+    return _dealt(_inputs(refined, lim, order)).transformWithStateInPandas(processor, STATE, "Update", "ProcessingTime" if ttl else "None", initialState=initial)
 
 
 def wear_view(state: DataFrame, lim: consumers.WearLimits = consumers.WEAR) -> DataFrame:
