@@ -148,6 +148,16 @@ def test_indexed_writer_equals_batch_whatever_is_sent_again(spark, scratch):
     assert not os.path.exists(f"{scratch}/out/current_status") and not os.path.exists(f"{scratch}/out/ids")
 
 
+def test_a_batch_of_many_days_has_few_files(spark, scratch):
+    """A file per day and not one of every task: its small rows need no more, and the next readers open all of them."""
+    rows = [{"device_id": f"M{i % 7}", "event_timestamp": f"2026-0{1 + i % 3}-{1 + i % 28:02d}T18:30:00Z"} for i in range(2_000)]
+    writer = medallion.RefinedWriter(f"{scratch}/out", index=id_index(f"{scratch}/ids"))
+    writer(readings(spark, rows).repartition(8), 0)
+    files = glob.glob(f"{writer.refined_path}/batch_id=0/event_date=*/*.parquet")
+    assert len({os.path.dirname(f) for f in files}) == 84 and len(files) <= 2 * 84
+    assert spark.read.parquet(writer.refined_path).count() == 2_000
+
+
 def test_a_late_batch_does_not_roll_a_device_back(spark, scratch):
     table = medallion.status_table(scratch)
     rows = [{"event_timestamp": f"2026-09-13T18:{m:02d}:00Z", "temperature": float(m)} for m in (30, 10)]

@@ -123,7 +123,8 @@ class RefinedWriter:
                 firsts = dedup.anti_seen(firsts, seen.filter(F.col("batch_id") < batch_id))
             refined = enrich.project_refined(enrich.enrich(firsts, self.limits))
             out = f"{self.refined_path}/batch_id={batch_id}"
-            (refined.withColumn("event_date", utc_date("event_timestamp"))
+            # days are rebalanced by size, else every task has a file of every day, and readers open them one by one
+            (refined.withColumn("event_date", utc_date("event_timestamp")).hint("rebalance", "event_date")
                     .write.mode("overwrite").partitionBy("event_date").parquet(out))
 
             # read back by the known columns: a batch without publishable rows leaves no file to infer them from
